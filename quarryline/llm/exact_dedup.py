@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.llm.shared import shuffle_partitions
@@ -232,3 +232,17 @@ def duplicates(docs: DataFrame) -> DataFrame:
     groups = entries(build_index(docs))
     joined = digests(docs).join(groups, "digest")
     return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` per text, with all its columns: that of the largest doc_id."""
+    names = [f"_{n}" for n in ("digest", "place")]
+    while any(n in docs.columns for n in names):
+        names = [f"_{n}" for n in names]
+    digest, place = names
+    groups = entries(build_index(docs)).select(F.col("digest").alias(digest), F.col("keep_id"))
+    keyed = docs.withColumn(digest, F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
+    kept = keyed.join(groups, (keyed[digest] == groups[digest]) & keyed["doc_id"].eqNullSafe(groups["keep_id"]), "left_semi")
+    # the join left the rows dealt by digest and id; of rows that repeat both, one stays
+    first = Window.partitionBy(digest, "doc_id").orderBy(digest)
+    return kept.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*docs.columns)

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import exact_dedup, simhash, substring_dedup
+from quarryline.llm import decontamination, exact_dedup, packing, sharding, simhash, substring_dedup, toxicity
+
+TOKENIZER = "byte_bpe_50k.json"
+SHARDS = 40
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,10 +31,42 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The old shards are those of a layout by source, which the flow evens out."""
+    docs = _table(spark, sf_dir, "documents")
+    out = sharding.reshard(docs, F.pmod(F.xxhash64("source"), F.lit(SHARDS)), SHARDS)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old", "moved")
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", toxicity.in_fold().alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_resharding": op3_resharding,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
+    "op6_decontamination": op6_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_packing": op9_packing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
@@ -54,5 +89,14 @@ from documents d left join gone g on g.doc_id = d.doc_id group by d.doc_id
     "op7_exact_dedup": """
 select doc_id, max(doc_id) over g keep_id, count(*) over g group_size, doc_id = max(doc_id) over g kept, sha256(coalesce(text, '')) text_sha256
 from documents window g as (partition by coalesce(text, ''))
+""",
+    "op6_decontamination": r"""
+with d as (select doc_id id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') w from documents),
+i as (select item_id id, regexp_extract_all(lower(coalesce(text, '')), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') w from benchmark),
+sd as (select distinct id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) s from d),
+si as (select distinct id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) s from i),
+n as (select id, count(*) n from si group by id)
+select sd.id doc_id, si.id item_id, count(*) n_shared, any_value(n.n) n_item, count(*) / any_value(n.n) containment
+from sd join si using (s) join n on n.id = si.id group by sd.id, si.id having count(*) >= 0.8 * any_value(n.n)
 """,
 }

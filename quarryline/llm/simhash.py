@@ -217,3 +217,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, block: int
     groups = components(links(nodes, radius, block).union(repeated))
     named = nodes.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return fps.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without those whose group has a smaller doc_id; null ids stay."""
+    dropped = near_duplicates(docs, **options).where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
