@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import decontamination, exact_dedup, packing, sharding, simhash, substring_dedup, toxicity
+from quarryline.llm import chat_format, decontamination, exact_dedup, html_extraction, packing, secret_scan, sharding, simhash, substring_dedup, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 40
@@ -31,6 +31,16 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extraction.extract(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = secret_scan.train(secret_scan.labelled_findings(spark))
+    return secret_scan.scan(_table(spark, sf_dir, "documents"), model, path="source")
+
+
 def op3_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old shards are those of a layout by source, which the flow evens out."""
     docs = _table(spark, sf_dir, "documents")
@@ -42,6 +52,10 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.render(_table(spark, sf_dir, "conversations"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -60,11 +74,14 @@ def tokenizer_path() -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
+    "op2_secret_scan": op2_secret_scan,
     "op3_resharding": op3_resharding,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_simhash": op5_simhash,
     "op6_decontamination": op6_decontamination,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_chat_format": op8_chat_format,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
 }
