@@ -120,9 +120,37 @@ def window_hashes(words: np.ndarray, offsets: np.ndarray, length: int) -> tuple[
     text = np.repeat(np.arange(len(n)), windows)
     first = np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)
     at = first + offsets[:-1][text]
-    # each value is a sum over `length` words, so plain Horner steps are cheaper than long power tables
+    # a sum over `length` words by Horner steps is cheaper than long power tables
     value = np.zeros(len(at), np.uint64)
     for j in range(length):
         value *= np.uint64(_WORD_BASE)
         value += words[at + j]
     return mix(value), text, first
+
+
+def anchors(words: np.ndarray, offsets: np.ndarray, length: int, width: int) -> np.ndarray:
+    """For each window of ``length`` words, the least hash among its runs of ``width`` words.
+
+    Equal windows have equal anchors, and neighbouring windows mostly share one. The hashes are
+    independent of those of ``window_hashes``.
+    """
+    n = np.diff(offsets)
+    if len(words) < length:
+        return np.zeros(0, np.uint32)
+    total = np.zeros(len(words) - width + 1, np.uint32)
+    mixed = (words >> np.uint64(32)).astype(np.uint32)
+    for j in range(width):
+        total *= np.uint32(0x9E3779B1)
+        total += mixed[j : len(mixed) - width + 1 + j]
+    total ^= total >> np.uint32(15)
+    total *= np.uint32(0x85EBCA6B)
+    total ^= total >> np.uint32(13)
+    span = length - width + 1
+    least, have = total, 1
+    while have < span:  # doubling: the least of `have` neighbours becomes that of up to twice as many
+        step = min(have, span - have)
+        least = np.minimum(least[: len(least) - step], least[step:])
+        have += step
+    windows = np.maximum(n - length + 1, 0)
+    starts = np.repeat(offsets[:-1], windows)
+    return least[starts + np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)]

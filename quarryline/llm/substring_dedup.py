@@ -2,10 +2,15 @@
 
 Every window of ``length`` words of every text is hashed. A task first counts its own windows:
 of equal ones only the earliest goes on, so a passage that a third of all rows share costs one row
-per task, and the others are marked at once. The survivors are shuffled by hash range, packed
-(hash, document, position) in binary columns, about 12 bytes a window; each range finds the
-windows whose hash also starts in an earlier document. Marked windows go back by document, where
-they merge into maximal removal intervals.
+per task, and the others are marked at once. The survivors are shuffled by their anchor, the least
+hash among the shorter word runs inside the window: equal windows have equal anchors, and some seven
+neighbouring windows share one, so that their document and position are sent once for all of them,
+however many ranges there are. In each range of anchors, windows whose hash also starts in an
+earlier document are marked. Marked windows go back by document, where they merge into maximal
+removal intervals.
+
+Hashes are sent in seven bytes; anchors are hashed independently, so that the bits that tell
+windows apart grow with the number of ranges.
 
 Order: smaller ``doc_id`` first. Defined cases: a null text is empty; a null ``doc_id`` comes after
 all others; rows that repeat id and text are one document (each gets its result); rows with one id
@@ -23,56 +28,76 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.llm.rolling import window_hashes, word_hashes
+from quarryline.llm.rolling import anchors, window_hashes, word_hashes
 from quarryline.llm.shared import shuffle_partitions, text_bytes
 
 LENGTH = 20
-#: Words that a task counts by itself, and windows that one hash range should hold.
-FLUSH_WORDS = 2_000_000
-RANGE_WINDOWS = 2_000_000
+#: Words of the runs that anchors are taken from.
+ANCHOR = 6
+#: Words that a task counts by itself, and windows that one range should hold.
+FLUSH_WORDS = 1_000_000
+RANGE_WINDOWS = 1_500_000
 _NULL_ID = 2**63 - 1
-_PACKED = "bucket int, marked boolean, hashes binary, documents binary, counts binary, positions binary"
+_PACKED = "bucket int, marked boolean, hashes binary, ids binary, tags binary, counts binary, positions binary"
+_NAMES = [c.split()[0] for c in _PACKED.split(", ")]
+_KINDS = [pa.int32(), pa.bool_(), *[pa.binary()] * 5]
 
 
 def _named(docs: DataFrame) -> DataFrame:
-    """Adds the key of a document: its id (nulls last) and a hash of its text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), F.xxhash64("text").alias("tag"), F.col("doc_id"), "text")
-
-
-def _pack(bucket: int, marked: bool, hashes: np.ndarray, keys: np.ndarray, document: np.ndarray, position: np.ndarray) -> dict:
-    """One row: documents in order of first use, windows per document, positions as steps within a document."""
-    edge = np.flatnonzero(np.r_[True, document[1:] != document[:-1]])
-    counts = np.diff(np.r_[edge, len(document)]).astype(np.uint32)
-    steps = np.diff(position, prepend=0)
-    steps[edge] = position[edge]
-    narrow = len(steps) == 0 or steps.max() < 1 << 16
-    return {"bucket": bucket, "marked": marked, "hashes": hashes.tobytes(), "documents": keys[document[edge]].tobytes(), "counts": counts.tobytes(), "positions": (b"\x02" if narrow else b"\x04") + steps.astype(np.uint16 if narrow else np.uint32).tobytes()}
+    """Adds the key of a document: its id (nulls last) and a checksum of its text."""
+    tag = F.coalesce(F.crc32("text"), F.lit(0))
+    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"), tag.alias("tag"), F.col("doc_id"), "text")
+
+
+def _pack(bucket: int, hashes: np.ndarray | None, keys: np.ndarray, document: np.ndarray, position: np.ndarray) -> list:
+    """One row of windows given by document and position.
+
+    Runs of windows at neighbouring positions are sent as (step from the last run's end, length).
+    """
+    new = np.r_[True, document[1:] != document[:-1]]
+    run = np.flatnonzero(new | np.r_[True, position[1:] != position[:-1] + 1])
+    length = np.diff(np.r_[run, len(document)])
+    end = position[run] + length
+    step = position[run] - np.r_[0, end[:-1]]
+    first = new[run]
+    step[first] = position[run][first]
+    edge = np.flatnonzero(first)
+    owners = document[run][edge]
+    counts = np.diff(np.r_[edge, len(run)])
+    pairs = np.stack([step, length], axis=1)
+    narrow = pairs.max(initial=0) < 1 << 16
+    sent = b"" if hashes is None else np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+    return [bucket, hashes is None, sent, keys[owners, 0].tobytes(), keys[owners, 1].astype(np.uint32).tobytes(), counts.astype(np.uint32).tobytes(), (b"\x02" if narrow else b"\x04") + pairs.astype(np.uint16 if narrow else np.uint32).tobytes()]
 
 
 def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """hashes, keys (id, tag), document of each window, position of each window."""
-    keys = np.frombuffer(row.documents, np.int64).reshape(-1, 2)
+    keys = np.stack([np.frombuffer(row.ids, np.int64), np.frombuffer(row.tags, np.uint32).astype(np.int64)], axis=1)
     counts = np.frombuffer(row.counts, np.uint32).astype(np.int64)
-    steps = np.frombuffer(row.positions[1:], np.uint16 if row.positions[:1] == b"\x02" else np.uint32).astype(np.int64)
-    total = np.cumsum(steps)
-    start = np.cumsum(counts) - counts
-    position = total - np.repeat(total[start] - steps[start], counts)
-    return np.frombuffer(row.hashes, np.uint64), keys, np.repeat(np.arange(len(keys)), counts), position
+    pairs = np.frombuffer(row.positions[1:], np.uint16 if row.positions[:1] == b"\x02" else np.uint32).astype(np.int64).reshape(-1, 2)
+    upto = np.cumsum(pairs.sum(axis=1))
+    edge = np.cumsum(counts) - counts
+    start = upto - pairs[:, 1] - np.repeat(upto[edge] - pairs[edge].sum(axis=1), counts)
+    length = pairs[:, 1]
+    position = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+    document = np.repeat(np.repeat(np.arange(len(keys)), counts), length)
+    hashes = np.zeros((len(row.hashes) // 7, 8), np.uint8)
+    hashes[:, :7] = np.frombuffer(row.hashes, np.uint8).reshape(-1, 7)
+    return hashes.view(np.uint64).reshape(-1), keys, document, position
 
 
-def _table(rows: list[dict]) -> pa.RecordBatch:
-    kinds = {"bucket": pa.int32(), "marked": pa.bool_()}
-    return pa.RecordBatch.from_arrays([pa.array([r[n] for r in rows], kinds.get(n, pa.binary())) for n in _PACKED.replace(",", "").split()[::2]], names=_PACKED.replace(",", "").split()[::2])
+def _table(rows: list[list]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
 
 
-def _scatter(marked: bool, n_buckets: int, bucket: np.ndarray, hashes: np.ndarray, keys: np.ndarray, document: np.ndarray, position: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _scatter(n_buckets: int, bucket: np.ndarray, hashes: np.ndarray | None, keys: np.ndarray, document: np.ndarray, position: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows for each bucket; windows are given in order of document and position, which stays within a bucket."""
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
     rows = []
     for b in np.flatnonzero(np.diff(edges)):
         at = order[edges[b] : edges[b + 1]]
-        rows.append(_pack(int(b), marked, hashes[at] if len(hashes) else hashes, keys, document[at], position[at]))
+        rows.append(_pack(int(b), None if hashes is None else hashes[at], keys, document[at], position[at]))
         if len(rows) == 256:
             yield _table(rows)
             rows = []
@@ -81,7 +106,7 @@ def _scatter(marked: bool, n_buckets: int, bucket: np.ndarray, hashes: np.ndarra
 
 
 def _document_bucket(keys: np.ndarray, n_buckets: int) -> np.ndarray:
-    h = (keys[:, 0] ^ (keys[:, 1] << 1)).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (keys[:, 0] ^ (keys[:, 1] << 20)).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return ((h >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int32)
 
 
@@ -97,6 +122,7 @@ def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int) ->
             names = np.array(order, np.int64).reshape(-1, 2)
             words, offsets = word_hashes([unique[k] for k in order])
             value, document, position = window_hashes(words, offsets, length)
+            anchor = anchors(words, offsets, length, min(ANCHOR, length))
             by = np.argsort(value, kind="stable")  # equal windows stay in order of document and position
             first = np.empty(len(by), bool)
             ranked = value[by]
@@ -105,11 +131,11 @@ def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int) ->
             earliest = np.empty(len(by), bool)
             earliest[by] = first
             go, stop = np.flatnonzero(earliest), np.flatnonzero(~earliest)
-            bucket = ((value[go] >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
-            yield from _scatter(False, n_buckets, bucket, value[go], names, document[go], position[go])
+            spread = (anchor[go] * np.uint32(0xC2B2AE35)).astype(np.uint64)  # anchors are minima, so mostly small
+            bucket = (spread * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
+            yield from _scatter(n_buckets, bucket, value[go], names, document[go], position[go])
             if len(stop):
-                at = _document_bucket(names, n_buckets)[document[stop]]
-                yield from _scatter(True, n_buckets, at, np.zeros(0, np.uint64), names, document[stop], position[stop])
+                yield from _scatter(n_buckets, _document_bucket(names, n_buckets)[document[stop]], None, names, document[stop], position[stop])
 
         for batch in batches:
             for key, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -127,10 +153,10 @@ def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int) ->
 
 
 def _earlier(n_buckets: int):
-    """For one hash range: marks each window that an earlier document also has; marked rows pass through."""
+    """For one range of anchors: marks each window that an earlier document also has; marked rows pass through."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = [r._asdict() | {"bucket": key[0]} for r in rows[rows["marked"]].itertuples(index=False)]
+        out = rows[rows["marked"]].values.tolist()
         parts = [_unpack(r) for r in rows[~rows["marked"]].itertuples(index=False)]
         if parts:
             value = np.concatenate([p[0] for p in parts])
@@ -145,9 +171,9 @@ def _earlier(n_buckets: int):
             late = by[document[by] != least]
             late = late[np.lexsort((position[late], document[late]))]
             bucket = _document_bucket(names, n_buckets)[document[late]]
-            for table in _scatter(True, n_buckets, bucket, np.zeros(0, np.uint64), names, document[late], position[late]):
-                out += table.to_pylist()
-        return pd.DataFrame(out, columns=_PACKED.replace(",", "").split()[::2])
+            for table in _scatter(n_buckets, bucket, None, names, document[late], position[late]):
+                out += zip(*(c.to_pylist() for c in table.columns))
+        return pd.DataFrame(out, columns=_NAMES)
 
     return run
 
