@@ -70,7 +70,7 @@ class Block:
 
 
 def parse(html: str | None) -> tuple[list[Block], dict[int, list]]:
-    """The page's text blocks, and its container elements: token -> [count, parent, furniture, article]."""
+    """The page's text blocks, and its container elements: token -> [count, parent, furniture, article, is the root or body]."""
     blocks: list[Block] = []
     seen: dict[int, list] = {}
     # tag, token, path of tokens, furniture, article
@@ -138,7 +138,7 @@ def parse(html: str | None) -> tuple[list[Block], dict[int, list]]:
         if token in seen:
             seen[token][0] += 1
         else:
-            seen[token] = [1, parent, furniture, article]
+            seen[token] = [1, parent, furniture, article, tag in ("html", "body")]
         stack.append((tag, token, (*path, token), furniture, article))
     flush()
     return blocks, seen
@@ -159,7 +159,8 @@ def host_of(url: str = "url"):
 def tokens(pages: DataFrame) -> DataFrame:
     """Each host's tokens with support, text held, and the checksum of their occurrence vector.
 
-    kind 0 is the page itself (its vector is one everywhere), 1 an element, 2 a constant text.
+    kind 0 is the page itself (its vector is one everywhere), 1 an element, 2 a constant text, 3 the
+    html and body elements, which hold all of a page and so are no slot.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +185,8 @@ def tokens(pages: DataFrame) -> DataFrame:
                         if not b.article:
                             texts.setdefault(_constant(b), [0, b])[0] += 1
                 add(host, 0, 0, page, 1, sum(len(b.text) - b.link for b in blocks if not b.furniture), 0, False, False)
-                for token, (count, parent, furniture, article) in seen.items():
-                    add(host, token, 1, page, count, held.get(token, 0), parent, furniture, article)
+                for token, (count, parent, furniture, article, root) in seen.items():
+                    add(host, token, 3 if root else 1, page, count, held.get(token, 0), parent, furniture, article)
                 for token, (count, b) in texts.items():
                     add(host, token, 2, page, count, len(b.text), b.path[-1] if b.path else 0, False, False)
             rows = [(*key, *row) for key, row in sums.items()]
@@ -213,32 +214,40 @@ def templates(pages: DataFrame) -> DataFrame:
         n, ones, chars = int(rows["n_pages"].iloc[0]), rows["all_pages"].iloc[0], int(rows["all_chars"].iloc[0])
         support = dict(zip(rows["token"], rows["pages"]))
         valid = []
-        for _, group in rows[rows["kind"] == 1].groupby("vector", sort=True):
+        for _, group in rows[rows["kind"].isin([1, 3])].groupby("vector", sort=True):
             # nesting: a token's parent lies in this class or in one on at least as many pages
             good = [p == 0 or p in set(group["token"]) or support.get(p, 0) >= s for p, s in zip(group["parent"], group["pages"])]
             valid.append(group[good])
         elements = pd.concat(valid) if valid else rows[:0]
-        skeleton = elements[(elements["vector"] == ones) & ~elements["furniture"]]
-        slots = _article_slots(skeleton if len(skeleton) else elements[:0], elements, chars)
-        constant = rows[(rows["kind"] == 2) & (rows["vector"] == ones)]["token"].tolist() if n >= CONSTANT_PAGES else []
-        return pd.DataFrame({"host": [key[0]], "n_pages": [n], "slots": [slots], "constant": [constant]})
+        texts = rows[(rows["kind"] == 2) & (rows["vector"] == ones)] if n >= CONSTANT_PAGES else rows[:0]
+        slots = _article_slots(elements, texts, ones, chars)
+        return pd.DataFrame({"host": [key[0]], "n_pages": [n], "slots": [slots], "constant": [texts["token"].tolist()]})
 
     return usable.groupBy("host").applyInPandas(deduce, "host string, n_pages long, slots array<long>, constant array<long>")
 
 
-def _article_slots(skeleton: pd.DataFrame, elements: pd.DataFrame, chars: int) -> list[int]:
+def _article_slots(elements: pd.DataFrame, texts: pd.DataFrame, ones: int, chars: int) -> list[int]:
     """Elements whose content is the article: the outermost marked ones of the skeleton, else of any
-    class, else the skeleton's deepest element that holds 70 % of the text outside furniture."""
-    for group in (skeleton, elements[~elements["furniture"]]):
+    class, else the skeleton's deepest element that holds 70 % of the varying text outside furniture."""
+    usable = elements[(elements["kind"] == 1) & ~elements["furniture"]]
+    skeleton = usable[usable["vector"] == ones]
+    for group in (skeleton, usable):
         marked = group[group["article"]]
         own = set(marked["token"])
         outer = [t for t, p in zip(marked["token"], marked["parent"]) if p not in own]
         if outer:
             return outer
-    rich = skeleton[skeleton["chars"] >= 0.7 * max(1, chars)]
-    inner = set(rich["parent"])
-    deepest = [t for t in rich["token"] if t not in inner]
-    return deepest[:1] if len(deepest) == 1 else []
+    varying = dict(zip(skeleton["token"], skeleton["chars"]))
+    above = dict(zip(elements["token"], elements["parent"]))
+    for token, n in zip(texts["parent"], texts["chars"]):  # constant text counts for none of the elements around it
+        chars -= n
+        while token:
+            if token in varying:
+                varying[token] -= n
+            token = above.get(token, 0)
+    rich = {t for t, n in varying.items() if n >= 0.7 * max(1, chars)}
+    deepest = rich - {above.get(t) for t in rich}
+    return list(deepest) if len(deepest) == 1 else []
 
 
 def page_text(html: str | None, slots: frozenset[int] = frozenset(), constant: frozenset[int] = frozenset()) -> str:
