@@ -8,13 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from quarryline.functions.text import dice, digits_differ, name_key, split_qualifier
 
 STRONG, WEAK = 0.90, 0.72
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity; no built-in function computes it."""
     return pd.Series([SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b)])

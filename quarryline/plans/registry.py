@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarryline.plans import coverage, measures, texts
+from quarryline.plans import coverage, evidence, measures, texts
 
-MODULES = [coverage, texts, measures]
+MODULES = [coverage, texts, measures, evidence]
 
 
 def queries() -> dict:
