@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.llm.rolling import PUNCTUATION, mix, window_hashes, word_hashes
+from quarryline.llm.rolling import PUNCTUATION, shingle_hashes
 
 WIDTH = 5
 THRESHOLD = 0.8
 #: UTF-8 bytes of items that one slice may hold.
 SLICE_BYTES = 8 << 20
 #: Documents' bytes hashed at a time.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
@@ -53,21 +53,8 @@ def shingles(text: str | None, width: int = WIDTH) -> set[str]:
     return {" ".join(w[k : k + width]) for k in range(len(w) - width + 1)}
 
 
-def shingle_hashes(texts: list[str | None], width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each text's shingles in order, and offsets by text."""
-    value, offsets = word_hashes([(t or "").lower().encode() for t in texts], PUNCTUATION)
-    n = np.diff(offsets)
-    hashes, _, _ = window_hashes(value, offsets, width)
-    counts = np.maximum(n - width + 1, 0)
-    short = np.flatnonzero((n > 0) & (n < width))
-    if len(short):  # one shingle of all words, told apart by its length
-        parts = np.split(hashes, np.cumsum(counts)[:-1])
-        for k in short:
-            whole, _, _ = window_hashes(value[offsets[k] : offsets[k + 1]], np.array([0, n[k]]), int(n[k]))
-            parts[k] = mix(whole + np.uint64(n[k]))
-        hashes = np.concatenate(parts)
-        counts[short] = 1
-    return hashes, np.concatenate([[0], np.cumsum(counts)])
+def _hashes(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
+    return shingle_hashes([(t or "").lower().encode() for t in texts], width, PUNCTUATION)
 
 
 class SizeClass:
@@ -126,7 +113,7 @@ class Searcher:
         self.width, self.threshold = width, threshold
         self.ids = [i for i, _ in items]
         self.sets = [shingles(t, width) for _, t in items]
-        hashes, offsets = shingle_hashes([t for _, t in items], width)
+        hashes, offsets = _hashes([t for _, t in items], width)
         classes: dict[int, list[tuple[int, np.ndarray]]] = {}
         for k in range(len(items)):
             own = np.unique(hashes[offsets[k] : offsets[k + 1]])
@@ -135,7 +122,7 @@ class Searcher:
         self.classes = [SizeClass(k, group) for k, group in sorted(classes.items())]
 
     def search(self, ids: list, texts: list[str | None]) -> list[tuple]:
-        hashes, offsets = shingle_hashes(texts, self.width)
+        hashes, offsets = _hashes(texts, self.width)
         document = np.repeat(np.arange(len(texts)), np.diff(offsets))
         position = np.arange(len(hashes)) - offsets[:-1][document]
         pairs = set().union(*(c.candidates(hashes, document, position) for c in self.classes))
@@ -209,7 +196,13 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: floa
             searcher = sent.value
             for batch in batches:
                 texts = batch.column(at).to_pylist()
-                leaks = {d for d, *_ in searcher.search(range(len(texts)), texts)}
+                leaks: set[int] = set()
+                first = size = 0
+                for k, text in enumerate(texts):
+                    size += len(text or "")
+                    if size >= BATCH_BYTES or k == len(texts) - 1:
+                        leaks.update(d for d, *_ in searcher.search(range(first, k + 1), texts[first : k + 1]))
+                        first, size = k + 1, 0
                 yield batch.filter(pa.array([k not in leaks for k in range(len(texts))], pa.bool_())) if leaks else batch
 
         docs = docs.mapInArrow(run, docs.schema)

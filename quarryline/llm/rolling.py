@@ -154,3 +154,20 @@ def anchors(words: np.ndarray, offsets: np.ndarray, length: int, width: int) ->
     windows = np.maximum(n - length + 1, 0)
     starts = np.repeat(offsets[:-1], windows)
     return least[starts + np.arange(int(windows.sum())) - np.repeat(np.cumsum(windows) - windows, windows)]
+
+
+def shingle_hashes(texts: list[bytes], width: int, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each text's word shingles in order, and offsets by text; fewer words than ``width`` make one shingle."""
+    value, offsets = word_hashes(texts, separators)
+    n = np.diff(offsets)
+    hashes, _, _ = window_hashes(value, offsets, width)
+    counts = np.maximum(n - width + 1, 0)
+    short = np.flatnonzero((n > 0) & (n < width))
+    if len(short):  # told apart by their length
+        parts = np.split(hashes, np.cumsum(counts)[:-1])
+        for k in short:
+            whole, _, _ = window_hashes(value[offsets[k] : offsets[k + 1]], np.array([0, n[k]]), int(n[k]))
+            parts[k] = mix(whole + np.uint64(n[k]))
+        hashes = np.concatenate(parts)
+        counts[short] = 1
+    return hashes, np.concatenate([[0], np.cumsum(counts)])
