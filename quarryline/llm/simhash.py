@@ -25,13 +25,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.components import components
+from quarryline.llm.rolling import mix, shingle_hashes
 from quarryline.llm.shared import cut
 
 SEED = 42
+# The wide sketch of similar_links: lanes of 64 bits, bands of MinHash values, and the radius that
+# stands for a similarity of 0.8 (39 bits expected there) with one deviation to spare.
+WIDE_WIDTH, LANES, WIDE_RADIUS = 5, 4, 45
+BANDS, BAND_ROWS = 12, 3
+LANE_NAMES = [f"l{k}" for k in range(LANES)]
+#: Documents of a hot key that all of its blocks share, and text bytes sketched at a time.
+PIVOTS = 64
+SKETCH_BYTES = 1 << 20
 #: Fingerprints that one group may hold before its key is refined.
 BLOCK = 4096
-#: Shingles hashed before their bits are added up.
+#: Shingles hashed before their bits are added up, and queries that one bit-sliced pass compares.
 SHINGLES = 1 << 16
+QUERIES = 256
 
 
 def fingerprint(text: str | None, width: int = 3) -> int:
@@ -67,39 +77,56 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batch, "doc_id long, fp long")
 
 
+def bit_planes(values: np.ndarray) -> np.ndarray:
+    """Vertical storage: row p holds bit p of every value, 64 values to a word. values: (n, lanes) of uint64."""
+    n = len(values)
+    bits = np.zeros((64 * values.shape[1], -(-n // 64) * 64), np.uint8)
+    bits[:, :n] = np.unpackbits(np.ascontiguousarray(values).view(np.uint8), axis=1, bitorder="little").T
+    return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
+
+
 def close_pairs(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs that span all links of up to ``radius`` differing bits in a block of uint64 values.
+    """Index pairs (i < j) of values that differ in up to ``radius`` bits. values: uint64, or (n, lanes) of it.
 
-    Each query is compared with the later values, 64 to a word of each bit plane; counters for the
-    distances are bit slices themselves (ones, twos, and a flag for four or more differences).
+    Groups of up to 64 are one word of lanes and compared by XOR and bit counts. Larger ones are
+    compared bit-sliced: a block of queries meets a plane of all values in one XOR, distances are
+    counted by carry-save steps into bit slices, and queries whose distances all exceed the radius
+    leave the block.
     """
+    values = values.reshape(len(values), -1)
     n = len(values)
-    bits = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, bitorder="little")
-    constant = (bits == bits[:1]).all(axis=0)
-    order = np.flatnonzero(~constant)  # planes in which the block differs at all
-    padded = np.zeros((len(order), -(-n // 64) * 64), np.uint8)
-    padded[:, :n] = bits[:, order].T
-    planes = np.packbits(padded, axis=1, bitorder="little").view(np.uint64)
-    full = np.uint64(0xFFFFFFFFFFFFFFFF)
+    if n <= 64:
+        distance = np.bitwise_count(values[:, None] ^ values[None]).sum(axis=2, dtype=np.int32)
+        return np.nonzero(np.triu(distance <= radius, 1))
+    planes = bit_planes(values)
+    bits = np.unpackbits(np.ascontiguousarray(values).view(np.uint8), axis=1, bitorder="little")
+    order = np.flatnonzero((bits != bits[:1]).any(axis=0))  # planes in which the block differs at all
     slices = max(1, (radius + 1).bit_length())
     left, right = [], []
-    for i in range(n - 1):
-        first = i // 64
-        counters = [np.zeros(planes.shape[1] - first, np.uint64) for _ in range(slices)]
-        over = np.zeros(planes.shape[1] - first, np.uint64)  # distances that left the counters
-        for p in range(len(order)):
-            carry = planes[p, first:] ^ (full if bits[i, order[p]] else np.uint64(0))
+    for first in range(0, n, QUERIES):
+        words = planes[:, first // 64 :]
+        query = np.arange(first, min(n, first + QUERIES))
+        flip = (np.uint64(0) - bits[query].astype(np.uint64)).T  # all ones where the query's bit is set
+        counters = [np.zeros((len(query), words.shape[1]), np.uint64) for _ in range(slices)]
+        over = np.zeros_like(counters[0])  # distances that left the counters
+        for k, p in enumerate(order):
+            carry = words[p][None] ^ flip[p][:, None]
             for c in counters:
                 carry, c[:] = c & carry, c ^ carry
             over |= carry
-            if p % 8 == 7 and ((_beyond(counters, radius) | over) == full).all():
-                break
-        else:
+            if k % 16 == 15:
+                live = (~(_beyond(counters, radius) | over)).any(axis=1)
+                if not live.all():
+                    query, flip, over, counters = query[live], flip[:, live], over[live], [c[live] for c in counters]
+                    if not len(query):
+                        break
+        if len(query):
             within = ~(_beyond(counters, radius) | over)
-            hit = np.flatnonzero(np.unpackbits(within.view(np.uint8), bitorder="little")) + first * 64
-            hit = hit[(hit > i) & (hit < n)]
-            left.append(np.full(len(hit), i))
-            right.append(hit)
+            row, column = np.nonzero(np.unpackbits(within.view(np.uint8), axis=1, bitorder="little"))
+            i, j = query[row], column + first // 64 * 64
+            ok = (j > i) & (j < n)
+            left.append(i[ok])
+            right.append(j[ok])
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
 
 
@@ -132,6 +159,38 @@ def _spanning(left: np.ndarray, right: np.ndarray, n: int) -> list[int]:
     return [find(x) for x in range(n)]
 
 
+def compare_groups(radius: int):
+    """For rows (key, node, lanes...) sorted by key: links (a, b) that span each group's close pairs."""
+
+    def linked(key: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
+        size = np.diff(edge)
+        two = edge[:-1][size == 2]
+        near = two[np.bitwise_count(fps[two] ^ fps[two + 1]).sum(axis=1, dtype=np.int32) <= radius]
+        a, b = [ids[near]], [ids[near + 1]]
+        for at, n in zip(edge[:-1][size > 2], size[size > 2]):
+            root = np.array(_spanning(*close_pairs(fps[at : at + n], radius), n))
+            other = np.flatnonzero(root != np.arange(n))
+            a.append(ids[at + other])
+            b.append(ids[at + root[other]])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last group of a batch may go on in the next."""
+        held: list[np.ndarray] = []
+        for batch in batches:
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = [np.concatenate(x) for x in zip(held, new)] if held else new
+            last = int(np.argmax(held[0] == held[0][-1])) if len(held[0]) else 0
+            if last:
+                yield linked(held[0][:last], held[1][:last], np.stack([h[:last] for h in held[2:]], axis=1).view(np.uint64))
+                held = [h[last:] for h in held]
+        if held and len(held[0]):
+            yield linked(held[0], held[1], np.stack(held[2:], axis=1).view(np.uint64))
+
+    return run
+
+
 def _keys(rows: DataFrame, level: int, radius: int) -> DataFrame:
     """Adds the next level's keys: the open bits are cut into ``radius + 2`` parts, of which two agree.
 
@@ -163,34 +222,6 @@ def links(nodes: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame:
     Not every pair is listed: each group gives a spanning forest, which has the same components.
     """
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by key; the last group of a batch may go on in the next."""
-        held: list[np.ndarray] = [np.zeros(0, np.int64)] * 3
-
-        def linked(path_key: np.ndarray, fps: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-            edge = np.flatnonzero(np.r_[True, path_key[1:] != path_key[:-1], True])
-            size = np.diff(edge)
-            two = edge[:-1][size == 2]
-            near = two[np.bitwise_count(fps[two] ^ fps[two + 1]) <= radius]
-            a, b = [ids[near]], [ids[near + 1]]
-            for at, n in zip(edge[:-1][size > 2], size[size > 2]):
-                root = np.array(_spanning(*close_pairs(fps[at : at + n], radius), n))
-                other = np.flatnonzero(root != np.arange(n))
-                a.append(ids[at + other])
-                b.append(ids[at + root[other]])
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
-
-        for batch in batches:
-            held = [np.concatenate([h, batch.column(k).to_numpy(zero_copy_only=False)]) for k, h in enumerate(held)]
-            if not len(held[0]):
-                continue
-            last = int(np.argmax(held[0] == held[0][-1]))
-            if last:
-                yield linked(held[0][:last], held[1][:last].view(np.uint64), held[2][:last])
-                held = [h[last:] for h in held]
-        if len(held[0]):
-            yield linked(held[0], held[1].view(np.uint64), held[2])
-
     rows = nodes.select("fp", "node", F.lit(0).alias("path"), F.lit(0).cast("long").alias("key"))
     found = None
     for level in range(3):
@@ -198,7 +229,7 @@ def links(nodes: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame:
         sizes = keyed.groupBy("path", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         keyed = keyed.join(sizes, ["path", "key"])
         small = keyed if level == 2 else keyed.where(F.col("n") <= block)
-        pairs = small.repartition("key").sortWithinPartitions("key").select("key", "fp", "node").mapInArrow(compare, "a long, b long")
+        pairs = small.repartition("key").sortWithinPartitions("key").select("key", "node", "fp").mapInArrow(compare_groups(radius), "a long, b long")
         found = pairs if found is None else found.union(pairs)
         if level < 2:
             rows = cut(keyed.where(F.col("n") > block).select("fp", "node", "path", "key"), "dense")
@@ -219,7 +250,82 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, block: int
     return fps.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without those whose group has a smaller doc_id; null ids stay."""
-    dropped = near_duplicates(docs, **options).where("component_id <> doc_id").select("doc_id").distinct()
+def sketches(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
+    """doc_id, l0..l3 (a 256-bit SimHash over ``width``-word shingles), keys (hashes of MinHash bands)."""
+    rng = np.random.default_rng(SEED)
+    seeds = rng.integers(1, 2**63, LANES, dtype=np.uint64)
+    odd = rng.integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def sketch(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        hashes, offsets = shingle_hashes([(t or "").encode().lower() for t in texts], width)
+        counts = np.diff(offsets)
+        some = np.flatnonzero(counts)
+        lanes = np.zeros((len(texts), LANES), np.uint64)
+        keys = np.zeros((len(texts), BANDS), np.int64)
+        if not len(some):
+            return lanes, keys
+        votes = np.zeros((len(texts), 64 * LANES), np.int64)
+        document = np.repeat(np.arange(len(texts)), counts)
+        for at in range(0, len(hashes), SHINGLES // LANES):
+            part = hashes[at : at + SHINGLES // LANES]
+            wide = np.stack([mix(part ^ s) for s in seeds], axis=1)
+            bits = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
+            owner = document[at : at + len(part)]
+            edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+            votes[owner[edge]] += np.add.reduceat(bits, edge, axis=0, dtype=np.int32)
+        lanes[:] = np.packbits(2 * votes > counts[:, None], axis=1, bitorder="little").view(np.uint64)
+        starts = offsets[:-1][some]
+        minima = np.stack([np.minimum.reduceat(hashes * a, starts) for a in odd], axis=1).reshape(len(some), BANDS, BAND_ROWS)
+        folded = np.tile(np.arange(BANDS, dtype=np.uint64), (len(some), 1))
+        for k in range(BAND_ROWS):
+            folded = mix(folded * np.uint64(0x9E3779B97F4A7C15) ^ minima[:, :, k])
+        keys[some] = folded.view(np.int64)
+        return lanes, keys
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            texts = rows.column(1).to_pylist()
+            first = size = 0
+            for k, text in enumerate(texts):
+                size += len(text or "")
+                if size >= SKETCH_BYTES or k == len(texts) - 1:
+                    lanes, keys = sketch(texts[first : k + 1])
+                    columns = [rows.column(0).slice(first, k + 1 - first), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), pa.array(list(keys), pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *LANE_NAMES, "keys"])
+                    first, size = k + 1, 0
+
+    schema = f"doc_id long, {', '.join(f'{n} long' for n in LANE_NAMES)}, keys array<long>"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+
+
+def similar_links(docs: DataFrame, width: int = WIDE_WIDTH, radius: int = WIDE_RADIUS, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between documents of a shingle similarity of about 0.8 and more.
+
+    Distances of 256-bit fingerprints estimate the similarity; bands of MinHash values say which
+    documents to compare at all, as no pigeonhole holds at such a radius (BANDS bands of BAND_ROWS
+    values miss a pair of similarity 0.8 with a probability of 2e-4). A key with more documents than
+    a block holds is dealt over blocks, and some PIVOTS of its documents are put in each of them,
+    through which the blocks' groups connect.
+    """
+    rows = cut(sketches(docs, width).where("doc_id is not null"), "sketches")
+    each = rows.select("doc_id", *LANE_NAMES, F.explode(F.array_distinct("keys")).alias("key"))
+    sizes = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    each = each.join(sizes, "key")
+    parts = F.ceil(F.col("n") / block)
+    spread = F.xxhash64("doc_id")
+    pivot = (parts > 1) & (F.pmod(spread, F.ceil(F.col("n") / PIVOTS)) == 0)
+    own = F.pmod(F.xxhash64("doc_id", F.lit("block")), parts)
+    dealt = each.select(F.explode(F.when(pivot, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(own))).alias("part"), "*")
+    keyed = dealt.select(F.xxhash64("key", "part").alias("key"), F.col("doc_id").alias("node"), *LANE_NAMES)
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare_groups(radius), "a long, b long").distinct()
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without those whose group has a smaller doc_id; null ids stay.
+
+    A group is what the links of ``near_duplicates`` and of ``similar_links`` connect.
+    """
+    near = near_duplicates(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
+    groups = components(near.union(similar_links(docs)))
+    dropped = groups.where("component <> node").select(F.col("node").alias("doc_id"))
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)

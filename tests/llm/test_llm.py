@@ -473,15 +473,14 @@ def test_pipeline_stages(spark):
     left = {i: t for i, t in rows.items() if i not in tox}
     left = {max(i for i, u in left.items() if u == t): t for t in left.values()}
     fps = {i: slow_fingerprint(t) for i, t in left.items()}
-    root = {i: i for i in left}
-    changed = True
-    while changed:
-        changed = False
-        for a in left:
-            for b in left:
-                if root[b] < root[a] and bin(fps[a] ^ fps[b]).count("1") <= 2:
-                    root[a], changed = root[b], True
-    left = {i: t for i, t in left.items() if root[i] == i}
+    shingles = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in left.items() for w in [t.lower().split()]}
+    near = corpus_pipeline.STAGES[2][1](spark, docs.where(docs.doc_id.isin(list(left))), SF)
+    kept = {r.doc_id for r in near.collect()}
+    for a in left:  # every dropped document has a close partner, and no kept pair is very close
+        partners = [b for b in left if b != a and (bin(fps[a] ^ fps[b]).count("1") <= 2 or len(shingles[a] & shingles[b]) >= 0.6 * len(shingles[a] | shingles[b]))]
+        assert a in kept or partners
+        assert a not in kept or not any(b < a and (bin(fps[a] ^ fps[b]).count("1") <= 2 or len(shingles[a] & shingles[b]) >= 0.9 * len(shingles[a] | shingles[b])) for b in kept)
+    left = {i: t for i, t in left.items() if i in kept}
     sets = [decontamination.shingles(u) for _, u in items]
     left = {i: t for i, t in left.items() if not any(s and len(s & decontamination.shingles(t)) >= 0.8 * len(s) for s in sets)}
     got = corpus_pipeline.run(spark, SF).collect()
@@ -490,3 +489,58 @@ def test_pipeline_stages(spark):
     for _, f in corpus_pipeline.STAGES[:-1]:
         stage = f(spark, stage, SF)
         assert stage.columns == docs.columns
+
+
+# --- 5: the wide sketch that the pipeline's stage adds
+
+
+def jaccard(a, b):
+    a, b = ({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for w in (a.lower().split(), b.lower().split()))
+    return len(a & b) / len(a | b)
+
+
+def copies(rng, n_originals, n_copies, words=220, edits=4):
+    rows = []
+    for o in range(n_originals):
+        w = [f"w{int(x)}" for x in rng.integers(0, 3000, words)]
+        for c in range(n_copies):
+            v = list(w)
+            for k in rng.integers(0, words, edits if c else 0):
+                v[int(k)] = f"e{int(rng.integers(0, 10**6))}"
+            rows.append((o * n_copies + c, " ".join(v), "", "", 0))
+    return rows
+
+
+@pytest.mark.parametrize("block", [4096, 40])
+def test_similar_links_recall_and_precision(spark, block):
+    rng = np.random.default_rng(8)
+    rows = copies(rng, 30, 6, edits=3) + [(1000 + k, t, "", "", 0) for k, (_, t, *_x) in enumerate(copies(rng, 60, 1))]
+    text = {i: t for i, t, *_ in rows}
+    got = {r.node: r.component for r in components.components(simhash.similar_links(frame(spark, rows), block=block)).collect()}
+    groups = {}
+    for i in text:
+        groups.setdefault(i // 6 if i < 1000 else i, []).append(i)
+    found = sum(got.get(i) == min(g) for g in groups.values() for i in g if len(g) > 1 and jaccard(text[i], text[min(g)]) >= 0.85)
+    there = sum(len(g) > 1 and jaccard(text[i], text[min(g)]) >= 0.85 for g in groups.values() for i in g)
+    assert there > 100 and found >= 0.95 * there
+    assert all(i // 6 == c // 6 for i, c in got.items()) and not any(i >= 1000 for i in got)
+
+
+def test_keep_one_hot_group(spark):
+    rng = np.random.default_rng(9)
+    rows = copies(rng, 1, 300, words=300, edits=5) + [(1000 + k, t, "", "", 0) for k, (_, t, *_x) in enumerate(copies(rng, 40, 1))]
+    left = {r.doc_id for r in simhash.keep_one(frame(spark, rows)).collect()}
+    assert {i for i in left if i >= 1000} == set(range(1000, 1040)) and len([i for i in left if i < 1000]) <= 3
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.integers(65, 400), st.integers(0, 60), st.integers(0, 10**6))
+def test_wide_bit_sliced_distances(n, radius, seed):
+    rng = np.random.default_rng(seed)
+    values = np.repeat(rng.integers(0, 2**63, (1, 4), dtype=np.uint64), n, axis=0)
+    for k in range(n):
+        for b in rng.integers(0, 256, int(rng.integers(0, 50))):
+            values[k, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+    left, right = simhash.close_pairs(values, radius)
+    distance = np.bitwise_count(values[:, None] ^ values[None]).sum(axis=2)
+    assert set(zip(left.tolist(), right.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(np.triu(distance <= radius, 1)))))
