@@ -74,3 +74,13 @@ def sphere_volume(radius: Column) -> Column:
 def lag_years(distance: Column, per_unit: float = 1000.0, exponent: float = 1.35) -> Column:
     """Apparent lag of a path of the given length; null where there is no path."""
     return F.when(distance >= 0, F.lit(per_unit) * F.pow(distance, F.lit(exponent)))
+
+
+def lognormal_product(factors: Sequence[tuple[Column, Column]], correlation: float = 0.0) -> tuple[Column, Column]:
+    """(log10 median, spread in powers of ten) of a product of log-normal factors with one correlation."""
+    median = sum((m for m, _ in factors), F.lit(0.0))
+    variance = sum((s * s for _, s in factors), F.lit(0.0))
+    for k, (_, a) in enumerate(factors):
+        for _, b in factors[:k]:
+            variance = variance + 2 * correlation * a * b
+    return median, F.sqrt(variance)

@@ -40,10 +40,27 @@ SKETCH_BYTES = 1 << 20
 #: Fingerprints that one group may hold before its key is refined.
 BLOCK = 4096
 #: Shingles hashed before their bits are added up, and queries that one bit-sliced pass compares.
-SHINGLES = 1 << 16
+SHINGLES = 1 << 15
 QUERIES = 256
 
 
+def bit_sums(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """How often each bit is set among the hashes of each of ``n`` owners. hashes: (m, lanes) of uint64, grouped by owner.
+
+    Rows are added in bytes first, up to 255 at a time, which is many times faster than in wide numbers.
+    """
+    sums = np.zeros((n, 64 * hashes.shape[1]), np.int64)
+    for at in range(0, len(hashes), SHINGLES):
+        part, own = np.ascontiguousarray(hashes[at : at + SHINGLES]), owner[at : at + SHINGLES]
+        bits = np.unpackbits(part.view(np.uint8), axis=1, bitorder="little")
+        start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        size = np.diff(np.r_[start, len(own)])
+        runs = -(-size // 255)
+        edge = np.repeat(start, runs) + 255 * (np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs))
+        np.add.at(sums, own[edge], np.add.reduceat(bits, edge, axis=0, dtype=np.uint8).astype(np.int64))
+    return sums
+
+
 def fingerprint(text: str | None, width: int = 3) -> int:
     """Majority bits of the hashes of all shingles, repeats included."""
     words = (text or "").encode().lower().split()
@@ -57,13 +74,12 @@ def fingerprint(text: str | None, width: int = 3) -> int:
         start, end = start[: 1 - width], end[width - 1 :]
     else:
         start, end = start[:1], end[-1:]
-    counts = np.zeros(64, np.int64)
     hashed = xxhash.xxh64_intdigest
+    counts = np.zeros(64, np.int64)
     for k in range(0, len(start), SHINGLES):
-        part = [hashed(joined[s:e], SEED) for s, e in zip(start[k : k + SHINGLES].tolist(), end[k : k + SHINGLES].tolist())]
-        bits = np.unpackbits(np.array(part, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(sum(1 << int(b) for b in np.flatnonzero(2 * counts > len(start))))
+        part = np.array([hashed(joined[s:e], SEED) for s, e in zip(start[k : k + SHINGLES].tolist(), end[k : k + SHINGLES].tolist())], np.uint64)
+        counts += bit_sums(part[:, None], np.zeros(len(part), np.int64), 1)[0]
+    return int(np.packbits(2 * counts > len(start), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
@@ -264,15 +280,8 @@ def sketches(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
         keys = np.zeros((len(texts), BANDS), np.int64)
         if not len(some):
             return lanes, keys
-        votes = np.zeros((len(texts), 64 * LANES), np.int64)
         document = np.repeat(np.arange(len(texts)), counts)
-        for at in range(0, len(hashes), SHINGLES // LANES):
-            part = hashes[at : at + SHINGLES // LANES]
-            wide = np.stack([mix(part ^ s) for s in seeds], axis=1)
-            bits = np.unpackbits(wide.view(np.uint8), axis=1, bitorder="little")
-            owner = document[at : at + len(part)]
-            edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            votes[owner[edge]] += np.add.reduceat(bits, edge, axis=0, dtype=np.int32)
+        votes = bit_sums(np.stack([mix(hashes ^ s) for s in seeds], axis=1), document, len(texts))
         lanes[:] = np.packbits(2 * votes > counts[:, None], axis=1, bitorder="little").view(np.uint64)
         starts = offsets[:-1][some]
         minima = np.stack([np.minimum.reduceat(hashes * a, starts) for a in odd], axis=1).reshape(len(some), BANDS, BAND_ROWS)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarryline.plans import coverage, evidence, measures, texts
+from quarryline.plans import catalogue, coverage, evidence, measures, texts
 
-MODULES = [coverage, texts, measures, evidence]
+MODULES = [coverage, texts, measures, evidence, catalogue]
 
 
 def queries() -> dict:
