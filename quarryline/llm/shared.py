@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +33,19 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in slices of about ``size`` text bytes (one row at least), without copying.
+
+    Python objects and results then exist for a slice at a time, whatever Spark's batch size is.
+    """
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        step = np.cumsum(lengths + 64) // size
+        edge = np.flatnonzero(np.r_[True, step[1:] != step[:-1]]) if len(step) else np.zeros(0, np.int64)
+        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(step)]):
+            yield batch.slice(a, b - a)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from quarryline.llm.components import components
 from quarryline.llm.rolling import mix, shingle_hashes
-from quarryline.llm.shared import cut
+from quarryline.llm.shared import cut, sliced
 
 SEED = 42
 # The wide sketch of similar_links: lanes of 64 bits, bands of MinHash values, and the radius that
@@ -34,9 +34,8 @@ SEED = 42
 WIDE_WIDTH, LANES, WIDE_RADIUS = 5, 4, 45
 BANDS, BAND_ROWS = 12, 3
 LANE_NAMES = [f"l{k}" for k in range(LANES)]
-#: Documents of a hot key that all of its blocks share, and text bytes sketched at a time.
+#: Documents of a hot key that all of its blocks share.
 PIVOTS = 64
-SKETCH_BYTES = 1 << 20
 #: Fingerprints that one group may hold before its key is refined.
 BLOCK = 4096
 #: Shingles hashed before their bits are added up, and queries that one bit-sliced pass compares.
@@ -53,11 +52,10 @@ def bit_sums(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     for at in range(0, len(hashes), SHINGLES):
         part, own = np.ascontiguousarray(hashes[at : at + SHINGLES]), owner[at : at + SHINGLES]
         bits = np.unpackbits(part.view(np.uint8), axis=1, bitorder="little")
-        start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        size = np.diff(np.r_[start, len(own)])
-        runs = -(-size // 255)
-        edge = np.repeat(start, runs) + 255 * (np.arange(int(runs.sum())) - np.repeat(np.cumsum(runs) - runs, runs))
-        np.add.at(sums, own[edge], np.add.reduceat(bits, edge, axis=0, dtype=np.uint8).astype(np.int64))
+        start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]).tolist()
+        for a, b in zip(start, [*start[1:], len(own)]):
+            for k in range(a, b, 255):
+                sums[own[a]] += np.add.reduce(bits[k : min(b, k + 255)], axis=0, dtype=np.uint8)
     return sums
 
 
@@ -86,7 +84,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long) of each row."""
 
     def batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
+        for rows in sliced(batches, 1):
             fps = np.array([fingerprint(t, width) for t in rows.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
@@ -292,16 +290,10 @@ def sketches(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
         return lanes, keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            texts = rows.column(1).to_pylist()
-            first = size = 0
-            for k, text in enumerate(texts):
-                size += len(text or "")
-                if size >= SKETCH_BYTES or k == len(texts) - 1:
-                    lanes, keys = sketch(texts[first : k + 1])
-                    columns = [rows.column(0).slice(first, k + 1 - first), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), pa.array(list(keys), pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *LANE_NAMES, "keys"])
-                    first, size = k + 1, 0
+        for rows in sliced(batches, 1):
+            lanes, keys = sketch(rows.column(1).to_pylist())
+            columns = [rows.column(0), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), pa.array(list(keys), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *LANE_NAMES, "keys"])
 
     schema = f"doc_id long, {', '.join(f'{n} long' for n in LANE_NAMES)}, keys array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
