@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words of the shingle by which a passage finds its candidate texts.
 ANCHOR_WORDS = 4
 
 
-def _words(c: str):
-    return F.filter(F.split(c, "[ \t\r\n]+"), lambda w: F.length(w) > 0)
-
-
-def _shingles(words, width: int):
-    """Hashes of all runs of ``width`` words; the outer lambda keeps the word array from being computed again for each."""
-    runs = F.transform(F.array(words), lambda ws: F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - width + 1, F.lit(0))), lambda k: F.xxhash64(F.array_join(F.slice(ws, k, F.lit(width)), " "))))
-    return F.when(F.size(words) >= width, runs[0])
+def _shingles(text: Column) -> Column:
+    """Hashes of all runs of ANCHOR_WORDS words: the word array is zipped with its own shifts, one pass for each text."""
+    words = F.filter(F.split(text, "[ \t\r\n]+"), lambda w: F.length(w) > 0)
+    shifted = lambda ws: F.arrays_zip(*[F.slice(ws, k + 1, F.greatest(F.size(ws) - ANCHOR_WORDS + 1, F.lit(0))).alias(f"w{k}") for k in range(ANCHOR_WORDS)])
+    runs = F.transform(F.array(words), lambda ws: F.transform(shifted(ws), lambda r: F.xxhash64(*[r[f"w{k}"] for k in range(ANCHOR_WORDS)])))
+    return runs[0]
 
 
 def passages_in(docs: DataFrame, passages: DataFrame, exact: bool = True) -> DataFrame:
@@ -25,10 +23,11 @@ def passages_in(docs: DataFrame, passages: DataFrame, exact: bool = True) -> Dat
     A passage's second to fifth word are whole words of any text that contains it, so their shingle
     is an equality key; ``contains`` then decides. Passages too short for an anchor are left out.
     """
-    inner = F.slice(F.col("_w"), 2, ANCHOR_WORDS)
-    keyed = passages.select("item_id", F.col("text").alias("passage"), _words("text").alias("_w")).where(F.size("_w") >= ANCHOR_WORDS + 2)
-    keyed = keyed.select("item_id", "passage", F.xxhash64(F.array_join(inner, " ")).alias("anchor"))
-    grams = docs.select("doc_id", F.explode(F.array_distinct(_shingles(_words("text"), ANCHOR_WORDS))).alias("anchor"))
-    hits = grams.join(keyed.select("item_id", "anchor"), "anchor").select("doc_id", "item_id").distinct()
+    keyed = passages.select("item_id", F.get(_shingles(F.col("text")), F.lit(1)).alias("anchor"), F.size(_shingles(F.col("text"))).alias("n"))
+    keyed = keyed.where("n >= 3").select("item_id", "anchor")
+    grams = docs.select("doc_id", F.explode(F.array_distinct(_shingles(F.col("text")))).alias("anchor"))
+    hits = grams.join(keyed, "anchor").select("doc_id", "item_id").distinct()
+    if not exact:
+        return hits
     both = hits.join(docs.select("doc_id", "text"), "doc_id").join(passages.select("item_id", F.col("text").alias("passage")), "item_id")
-    return both.where(F.contains("text", "passage")).select("doc_id", "item_id") if exact else hits
+    return both.where(F.contains("text", "passage")).select("doc_id", "item_id")
