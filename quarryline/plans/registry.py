@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarryline.plans import catalogue, coverage, evidence, measures, texts
+from quarryline.plans import catalogue, coverage, evidence, measures, shelving, texts
 
-MODULES = [coverage, texts, measures, evidence, catalogue]
+MODULES = [coverage, texts, measures, evidence, catalogue, shelving]
 
 
 def queries() -> dict:

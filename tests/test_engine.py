@@ -250,3 +250,34 @@ def test_entry_without_llm(spark, monkeypatch):
     assert "q01_coverage_by_source" in entry.queries() and not any(n.startswith("op") for n in entry.queries())
     assert entry.entry(spark).columns
     sys.modules.pop("__spark_entry__", None)
+
+
+def test_shelves(spark):
+    from quarryline.operators.shelves import shelve
+
+    rows = [(f"m{i}", f"m{j}", 10.0 if i // 5 == j // 5 else 0.1) for i in range(20) for j in range(i)]
+    members = spark.createDataFrame([("g", f"m{i}") for i in range(20)] + [("h", "solo")], "g string, member string")
+    got = {r.member: r.path for r in shelve(spark.createDataFrame(rows, "a string, b string, w double"), members, "g", span=4, depth=2).collect()}
+    assert got["solo"] == [0, 0] and all(len(p) == 2 and max(p) < 4 for p in got.values())
+    assert all(len({got[f"m{i}"][0] for i in range(5 * k, 5 * k + 5)}) == 1 for k in range(4)) and len({got[f"m{i}"][0] for i in range(20)}) == 4
+
+
+def test_ingest_merges_new_files(spark, tmp_path):
+    from quarryline.streaming.ingest import ingest
+
+    source, folder, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c")
+    schema = "k long, v string, at long"
+    for rows, expected in (([(1, "a", 1), (2, "b", 1)], {1: "a", 2: "b"}), ([(1, "c", 2), (2, "old", 0), (3, "d", 1)], {1: "c", 2: "b", 3: "d"})):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(source)
+        ingest(spark, source, schema, folder, state, ["k"], "at").awaitTermination(120)
+        assert {r.k: r.v for r in sinks.read_current(spark, folder).collect()} == expected
+
+
+def test_engine_facade(spark):
+    from quarryline.api import Engine
+
+    engine = Engine(spark, SF)
+    assert engine.sql("select count(*) n from documents where source = :s", s="src1").first().n > 0
+    assert "q14_idf" in engine.names() and engine.named("q05_categories").count() > 0
+    with pytest.raises(ValueError):
+        engine.sql("drop table documents")
