@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.rolling import PUNCTUATION, shingle_hashes
+from quarryline.llm.shared import sliced
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -161,19 +162,8 @@ def contained(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold:
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             searcher = sent.value
-            ids: list = []
-            texts: list = []
-            size = 0
-            for batch in batches:
-                for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids.append(i)
-                    texts.append(t)
-                    size += len(t or "")
-                    if size >= BATCH_BYTES:
-                        yield rows_of(searcher.search(ids, texts))
-                        ids, texts, size = [], [], 0
-            if ids:
-                yield rows_of(searcher.search(ids, texts))
+            for batch in sliced(batches, 1, BATCH_BYTES):
+                yield rows_of(searcher.search(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
 
         def rows_of(found: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*found)) if found else [[]] * 5
@@ -194,15 +184,9 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: floa
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             searcher = sent.value
-            for batch in batches:
+            for batch in sliced(batches, at, BATCH_BYTES):
                 texts = batch.column(at).to_pylist()
-                leaks: set[int] = set()
-                first = size = 0
-                for k, text in enumerate(texts):
-                    size += len(text or "")
-                    if size >= BATCH_BYTES or k == len(texts) - 1:
-                        leaks.update(d for d, *_ in searcher.search(range(first, k + 1), texts[first : k + 1]))
-                        first, size = k + 1, 0
+                leaks = {d for d, *_ in searcher.search(range(len(texts)), texts)}
                 yield batch.filter(pa.array([k not in leaks for k in range(len(texts))], pa.bool_())) if leaks else batch
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -27,7 +27,7 @@ BUCKET_KEYS = 50_000
 COMBINE_ROWS = 200_000
 SLOTS = 4
 
-INDEX_SCHEMA = "bucket int, filter binary, digests binary, keep_ids binary, sizes binary"
+INDEX_SCHEMA = "bucket int, filter binary, digests array<binary>, keep_ids array<long>, sizes array<long>"
 _EVENT = "bucket int, digest binary, doc_id long, n long, op int"
 
 
@@ -126,17 +126,15 @@ class LiveDigests:
             self.filter.delete(digest)
 
     def row(self, bucket: int) -> pd.DataFrame:
-        ids = np.array([v[0] for v in self.keys.values()], np.int64)
-        sizes = np.array([v[1] for v in self.keys.values()], np.int64)
-        return pd.DataFrame({"bucket": [bucket], "filter": [self.filter.tobytes()], "digests": [b"".join(self.keys)], "keep_ids": [ids.tobytes()], "sizes": [sizes.tobytes()]})
+        ids, sizes = [v[0] for v in self.keys.values()], [v[1] for v in self.keys.values()]
+        return pd.DataFrame({"bucket": [bucket], "filter": [self.filter.tobytes()], "digests": [list(self.keys)], "keep_ids": [ids], "sizes": [sizes]})
 
     @classmethod
     def load(cls, index: pd.DataFrame) -> LiveDigests:
         out = cls()
         for r in index.itertuples(index=False):
             out.filter = CuckooFilter.frombytes(r.filter)
-            ids, sizes = np.frombuffer(r.keep_ids, np.int64).tolist(), np.frombuffer(r.sizes, np.int64).tolist()
-            out.keys = {r.digests[32 * k : 32 * k + 32]: [ids[k], sizes[k]] for k in range(len(ids))}
+            out.keys = {bytes(k): [int(i), int(n)] for k, i, n in zip(r.digests, r.keep_ids, r.sizes)}
         return out
 
 
@@ -212,15 +210,8 @@ def update_index(index: DataFrame, n_buckets: int, insert: DataFrame | None = No
 
 def entries(index: DataFrame) -> DataFrame:
     """digest, keep_id, group_size of each live digest."""
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                ids = np.frombuffer(r.keep_ids, np.int64)
-                yield pd.DataFrame({"digest": [r.digests[32 * k : 32 * k + 32] for k in range(len(ids))], "keep_id": ids, "group_size": np.frombuffer(r.sizes, np.int64)})
-
-    out = index.select("digests", "keep_ids", "sizes").mapInPandas(unpack, "digest binary, keep_id long, group_size long")
-    return out.withColumn("keep_id", F.nullif("keep_id", F.lit(-(2**63))))
+    each = index.select(F.explode(F.arrays_zip("digests", "keep_ids", "sizes")).alias("e"))
+    return each.select(F.col("e.digests").alias("digest"), F.nullif(F.col("e.keep_ids"), F.lit(-(2**63))).alias("keep_id"), F.col("e.sizes").alias("group_size"))
 
 
 def duplicates(docs: DataFrame) -> DataFrame:

@@ -32,6 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.llm.shared import sliced
+
 #: A template token must occur on this share of a host's pages, and on two of them at least.
 SUPPORT = 0.02
 LEAST_PAGES = 2
@@ -164,7 +166,7 @@ def tokens(pages: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 3, 8 << 20):
             sums: dict[tuple, list] = {}
 
             def add(host: str, token: int, kind: int, page: str, count: int, chars: int, parent: int, furniture: bool, article: bool) -> None:
@@ -276,7 +278,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[str, tuple[frozenset, frozenset]] = {}
-        for batch in batches:
+        for batch in sliced(batches, 3):
             texts = []
             for host, html, slots, constant in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4, 5))):
                 if host not in sets:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarryline.llm.shared import cut, shuffle_partitions
+from quarryline.llm.shared import cut, shuffle_partitions, sliced
 from quarryline.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
-        for batch in batches:
+        for batch in sliced(batches, 1):
             owner, start, length, crc, total, salt = [], [], [], [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
                 ids = np.array([*encode(text or ""), END_ID], "<u4").tobytes()

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.rolling import anchors, window_hashes, word_hashes
-from quarryline.llm.shared import shuffle_partitions, text_bytes
+from quarryline.llm.shared import shuffle_partitions, sliced, text_bytes
 
 LENGTH = 20
 #: Words of the runs that anchors are taken from.
@@ -137,7 +137,7 @@ def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int) ->
             if len(stop):
                 yield from _scatter(n_buckets, _document_bucket(names, n_buckets)[document[stop]], None, names, document[stop], position[stop])
 
-        for batch in batches:
+        for batch in sliced(batches, 2):
             for key, tag, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 raw = (text or "").encode()
                 keys.append((key, tag))
@@ -225,7 +225,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **sizes) -> DataFrame:
     joined = _named(docs).join(spans, ["id", "tag"], "left").select("doc_id", "text", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 1):
             counts, removed, texts = [], [], []
             for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 kept, n = kept_words((text or "").encode(), found)

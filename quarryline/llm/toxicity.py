@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from quarryline.llm.shared import sliced
+
 #: Labelled rows of each class that the classifier is fitted on, at most.
 PER_CLASS = 8_000
 SIZES = (3, 4, 5, 6)
@@ -104,12 +106,14 @@ def _log_ratios(rows: DataFrame, totals: tuple[int, int]) -> tuple[np.ndarray, n
     """The features that stand out most and their naive Bayes log-count ratios."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sums = np.zeros((2, 1 << BITS), np.int64)
+        sums = np.zeros((2, 1 << BITS), np.int64)
+        for batch in sliced(batches, 0):
             for text, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 sums[y, present(text)] += 1
-            used = np.flatnonzero(sums.any(axis=0))
-            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(sums[0, used]), pa.array(sums[1, used])], names=["feature", "no", "yes"])
+        used = np.flatnonzero(sums.any(axis=0))
+        for at in range(0, len(used), 1 << 16):
+            part = used[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(sums[0, part]), pa.array(sums[1, part])], names=["feature", "no", "yes"])
 
     n0, n1 = totals
     counted = rows.mapInArrow(count, "feature int, no long, yes long").groupBy("feature").agg(F.sum("no").alias("no"), F.sum("yes").alias("yes"))
@@ -160,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
     place = _places(features)
 
     def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, 0):
             sets = [present(t, place).astype(np.int32) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([s.tobytes() for s in sets], pa.binary()), batch.column(1)], names=["set", "y"])
 
@@ -186,7 +190,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = place.value[0]
         table = _places(held.features)
-        for batch in batches:
+        for batch in sliced(batches, at):
             scores = [held.score(present(t, table)) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
