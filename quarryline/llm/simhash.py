@@ -252,15 +252,21 @@ def links(nodes: DataFrame, radius: int = 2, block: int = BLOCK) -> DataFrame:
     return found.distinct()
 
 
+def fingerprint_links(fps: DataFrame, radius: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Nodes (fp, node: the smallest doc_id of each fingerprint) and links (a, b) between doc_ids."""
+    known = fps.where("doc_id is not null")
+    nodes = known.groupBy("fp").agg(F.min("doc_id").alias("node"))
+    # a doc_id that occurs with several texts joins their fingerprints
+    same = known.groupBy("doc_id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y").select("doc_id")
+    repeated = known.join(same, "doc_id").join(nodes, "fp").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    return nodes, links(nodes, radius, block).union(repeated)
+
+
 def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, block: int = BLOCK) -> DataFrame:
     """doc_id, fp, component_id (the smallest doc_id that links reach) for every row of ``docs``."""
     fps = cut(fingerprints(docs, width), "fingerprints")
-    nodes = fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
-    # a doc_id that occurs with several texts joins their fingerprints
-    same = fps.where("doc_id is not null").groupBy("doc_id").agg(F.min("fp").alias("x"), F.max("fp").alias("y")).where("x <> y").select("doc_id")
-    repeated = fps.join(same, "doc_id").join(nodes, "fp").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    groups = components(links(nodes, radius, block).union(repeated))
-    named = nodes.join(groups, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    nodes, linked = fingerprint_links(fps, radius, block)
+    named = nodes.join(components(linked), "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return fps.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
@@ -324,9 +330,11 @@ def similar_links(docs: DataFrame, width: int = WIDE_WIDTH, radius: int = WIDE_R
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those whose group has a smaller doc_id; null ids stay.
 
-    A group is what the links of ``near_duplicates`` and of ``similar_links`` connect.
+    A group is what the links of both kinds of fingerprints connect.
     """
-    near = near_duplicates(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("a"), F.col("component_id").alias("b"))
-    groups = components(near.union(similar_links(docs)))
+    fps = cut(fingerprints(docs), "fingerprints")
+    nodes, linked = fingerprint_links(fps, 2, BLOCK)
+    members = fps.join(nodes, "fp").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    groups = components(linked.union(members).union(similar_links(docs)))
     dropped = groups.where("component <> node").select(F.col("node").alias("doc_id"))
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
