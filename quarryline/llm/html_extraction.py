@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.llm.shared import sliced
+from quarryline.llm.shared import cut, sliced
 
 #: A template token must occur on this share of a host's pages, and on two of them at least.
 SUPPORT = 0.02
@@ -208,7 +208,7 @@ def templates(pages: DataFrame) -> DataFrame:
     A host's tokens that reach the support are at most its tokens per page divided by SUPPORT,
     whatever its number of pages.
     """
-    found = tokens(pages)
+    found = cut(tokens(pages), "tokens")
     sizes = found.where("kind = 0").select("host", F.col("pages").alias("n_pages"), F.col("vector").alias("all_pages"), F.col("chars").alias("all_chars"))
     usable = found.where("kind > 0").join(sizes, "host").where((F.col("pages") >= LEAST_PAGES) & (F.col("pages") >= SUPPORT * F.col("n_pages")))
 
@@ -266,7 +266,7 @@ def page_text(html: str | None, slots: frozenset[int] = frozenset(), constant: f
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, host, text of every page."""
-    found = templates(pages)
+    found = cut(templates(pages), "templates")
     keyed = pages.select(host_of().alias("host"), "page_id", "url", "html")
     if found.count() <= BROADCAST_HOSTS:
         joined = keyed.join(F.broadcast(found), "host", "left")
