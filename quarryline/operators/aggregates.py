@@ -23,10 +23,13 @@ def with_total(df: DataFrame, key: str, total: str = "TOTAL") -> DataFrame:
     return df.rollup(key).agg(F.count(F.lit(1)).alias("n"), F.grouping(key).alias("_g")).select(F.when(F.col("_g") == 1, F.lit(total)).otherwise(F.col(key)).alias(key), "n")
 
 
-def document_frequency(pairs: DataFrame, document: str, key: str) -> DataFrame:
-    """key, df, idf = ln(N / df) from (document, key) pairs; N is the number of documents that have keys."""
-    n = pairs.agg(F.count_distinct(document).alias("total"))
-    df = pairs.groupBy(key).agg(F.count_distinct(document).alias("df"))
+def document_frequency(pairs: DataFrame, document: str, key: str, documents: DataFrame | None = None) -> DataFrame:
+    """key, df, idf = ln(N / df) from (document, key) pairs without repeats; N is the number of documents that have keys.
+
+    ``documents`` gives those documents where they are cheaper to count than the pairs (one row each).
+    """
+    n = documents.agg(F.count(F.lit(1)).alias("total")) if documents is not None else pairs.agg(F.count_distinct(document).alias("total"))
+    df = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("df"))
     return df.crossJoin(n).select(key, "df", F.log(F.col("total") / F.col("df")).alias("idf"))  # n is one row
 
 

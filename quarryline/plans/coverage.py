@@ -85,7 +85,8 @@ def refused_by_host(t: Tables) -> DataFrame:
  select token, count(*) df, ln((select count(distinct doc_id) from p) / count(*)) idf from p group by token having count(*) >= 2""")
 def idf(t: Tables) -> DataFrame:
     pairs = t.documents.select("doc_id", F.explode(T.tokens("text", 4)).alias("token"))
-    return A.document_frequency(pairs, "doc_id", "token").where("df >= 2")
+    some = t.documents.where(F.lower("text").rlike("[a-z0-9]{4}")).select("doc_id")
+    return A.document_frequency(pairs, "doc_id", "token", some).where("df >= 2")
 
 
 @R.add("q15_surprisal", r"""with p as (select distinct p_name, unnest(list_filter(string_split(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 1)) token from part),
