@@ -21,7 +21,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.components import components
@@ -34,8 +34,6 @@ SEED = 42
 WIDE_WIDTH, LANES, WIDE_RADIUS = 5, 4, 45
 BANDS, BAND_ROWS = 12, 3
 LANE_NAMES = [f"l{k}" for k in range(LANES)]
-#: Documents of a hot key that all of its blocks share.
-PIVOTS = 64
 #: Fingerprints that one group may hold before its key is refined.
 BLOCK = 4096
 #: Shingles hashed before their bits are added up, and queries that one bit-sliced pass compares.
@@ -305,25 +303,28 @@ def sketches(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def block_pairs(rows: DataFrame, parts: Column, dense: Column) -> DataFrame:
+    """The rows (key, node, ...) under new keys; those of a dense key are dealt over ``parts`` blocks, and each two blocks make a key.
+
+    Any two rows of a key share a new one, so that a key of any size is compared whole, by many tasks.
+    """
+    own = F.pmod(F.xxhash64("node", F.lit("block")), parts)
+    other = F.explode(F.when(dense, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(F.lit(-1).cast("long"))))
+    dealt = rows.withColumn("own", F.when(dense, own).otherwise(F.lit(-1).cast("long"))).withColumn("other", other)
+    return dealt.withColumn("key", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))).drop("own", "other")
+
+
 def similar_links(docs: DataFrame, width: int = WIDE_WIDTH, radius: int = WIDE_RADIUS, block: int = BLOCK) -> DataFrame:
     """Links (a, b) between documents of a shingle similarity of about 0.8 and more.
 
     Distances of 256-bit fingerprints estimate the similarity; bands of MinHash values say which
     documents to compare at all, as no pigeonhole holds at such a radius (BANDS bands of BAND_ROWS
-    values miss a pair of similarity 0.8 with a probability of 2e-4). A key with more documents than
-    a block holds is dealt over blocks, and some PIVOTS of its documents are put in each of them,
-    through which the blocks' groups connect.
+    values miss a pair of similarity 0.8 with a probability of 2e-4). Every two documents of a key meet.
     """
     rows = cut(sketches(docs, width).where("doc_id is not null"), "sketches")
-    each = rows.select("doc_id", *LANE_NAMES, F.explode(F.array_distinct("keys")).alias("key"))
+    each = rows.select(F.col("doc_id").alias("node"), *LANE_NAMES, F.explode(F.array_distinct("keys")).alias("key"))
     sizes = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    each = each.join(sizes, "key")
-    parts = F.ceil(F.col("n") / block)
-    spread = F.xxhash64("doc_id")
-    pivot = (parts > 1) & (F.pmod(spread, F.ceil(F.col("n") / PIVOTS)) == 0)
-    own = F.pmod(F.xxhash64("doc_id", F.lit("block")), parts)
-    dealt = each.select(F.explode(F.when(pivot, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(own))).alias("part"), "*")
-    keyed = dealt.select(F.xxhash64("key", "part").alias("key"), F.col("doc_id").alias("node"), *LANE_NAMES)
+    keyed = block_pairs(each.join(sizes, "key"), F.ceil(2 * F.col("n") / block), F.col("n") > block).select("key", "node", *LANE_NAMES)
     return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare_groups(radius), "a long, b long").distinct()
 
 

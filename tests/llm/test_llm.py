@@ -9,6 +9,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quarryline.llm import chat_format, components, decontamination, exact_dedup, html_extraction, packing, rolling, secret_scan, sharding, simhash, substring_dedup, toxicity
 from quarryline.llm.queries import tokenizer_path
@@ -533,6 +534,16 @@ def test_keep_one_hot_group(spark):
     assert {i for i in left if i >= 1000} == set(range(1000, 1040)) and len([i for i in left if i < 1000]) <= 3
 
 
+def test_block_pairs_meet(spark):
+    rows = spark.createDataFrame([(k, n) for k, size in ((1, 30), (2, 200)) for n in range(size)], "key long, node long")
+    n = F.when(F.col("key") == 1, F.lit(30)).otherwise(F.lit(200))
+    got = simhash.block_pairs(rows.withColumn("old", F.col("key")), F.ceil(2 * n / 40), n > 40).groupBy("old", "key").agg(F.collect_list("node").alias("nodes")).collect()
+    for old, size in ((1, 30), (2, 200)):
+        met = {(a, b) for r in got if r.old == old for a in r.nodes for b in r.nodes}
+        assert len(met) == size * size
+    assert max(len(r.nodes) for r in got) <= 80
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.integers(65, 400), st.integers(0, 60), st.integers(0, 10**6))
 def test_wide_bit_sliced_distances(n, radius, seed):
