@@ -20,6 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +30,17 @@ from quarryline.llm.rolling import mix, shingle_hashes
 from quarryline.llm.shared import cut, sliced
 
 SEED = 42
-# The wide sketch of similar_links: lanes of 64 bits, bands of MinHash values, and the radius that
-# stands for a similarity of 0.8 (39 bits expected there) with one deviation to spare.
-WIDE_WIDTH, LANES, WIDE_RADIUS = 5, 4, 45
+# The wide sketch of similar_links: lanes of 64 bits, bands of MinHash values, and the radius of candidates
+# (39 bits expected at a similarity of 0.8, and 3.7 deviations to spare).
+WIDE_WIDTH, LANES, WIDE_RADIUS = 5, 4, 60
+#: Least similarity of linked documents, as a fraction of whole numbers.
+SIMILAR = (4, 5)
 BANDS, BAND_ROWS = 12, 3
 LANE_NAMES = [f"l{k}" for k in range(LANES)]
 #: Fingerprints that one group may hold before its key is refined.
 BLOCK = 4096
+#: Shingles of the documents that one group verifies.
+GROUP_SHINGLES = 1 << 23
 #: Shingles hashed before their bits are added up, and queries that one bit-sliced pass compares.
 SHINGLES = 1 << 15
 QUERIES = 256
@@ -268,41 +273,134 @@ def near_duplicates(docs: DataFrame, width: int = 3, radius: int = 2, block: int
     return fps.join(named, "fp", "left").select("doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
+def distinct_shingles(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of each text, one text after the other, and their counts."""
+    hashes, offsets = shingle_hashes([(t or "").encode().lower() for t in texts], width)
+    document = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    order = np.lexsort((hashes, document))
+    hashes, document = hashes[order], document[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (document[1:] != document[:-1])
+    return hashes[new], np.bincount(document[new], minlength=len(texts))
+
+
+def sketch_lanes(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """256-bit SimHash of each text's set of shingles."""
+    seeds = np.random.default_rng(SEED).integers(1, 2**63, LANES, dtype=np.uint64)
+    if not len(hashes):
+        return np.zeros((len(counts), LANES), np.uint64)
+    votes = bit_sums(np.stack([mix(hashes ^ s) for s in seeds], axis=1), np.repeat(np.arange(len(counts)), counts), len(counts))
+    return np.packbits(2 * votes > counts[:, None], axis=1, bitorder="little").view(np.uint64)
+
+
 def sketches(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
-    """doc_id, l0..l3 (a 256-bit SimHash over ``width``-word shingles), keys (hashes of MinHash bands)."""
-    rng = np.random.default_rng(SEED)
-    seeds = rng.integers(1, 2**63, LANES, dtype=np.uint64)
-    odd = rng.integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def sketch(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        hashes, offsets = shingle_hashes([(t or "").encode().lower() for t in texts], width)
-        counts = np.diff(offsets)
+    """doc_id, l0..l3 (a 256-bit SimHash over the set of ``width``-word shingles), same (a digest of the set), keys (hashes of MinHash bands)."""
+    odd = np.random.default_rng(SEED + 1).integers(1, 2**63, BANDS * BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def sketch(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes, counts = distinct_shingles(texts, width)
         some = np.flatnonzero(counts)
-        lanes = np.zeros((len(texts), LANES), np.uint64)
+        same = np.zeros(len(texts), np.uint64)
         keys = np.zeros((len(texts), BANDS), np.int64)
         if not len(some):
-            return lanes, keys
-        document = np.repeat(np.arange(len(texts)), counts)
-        votes = bit_sums(np.stack([mix(hashes ^ s) for s in seeds], axis=1), document, len(texts))
-        lanes[:] = np.packbits(2 * votes > counts[:, None], axis=1, bitorder="little").view(np.uint64)
-        starts = offsets[:-1][some]
+            return sketch_lanes(hashes, counts), same, keys
+        starts = (np.cumsum(counts) - counts)[some]
+        same[some] = mix(np.add.reduceat(mix(hashes ^ np.uint64(SEED)), starts) ^ counts[some].astype(np.uint64))
         minima = np.stack([np.minimum.reduceat(hashes * a, starts) for a in odd], axis=1).reshape(len(some), BANDS, BAND_ROWS)
         folded = np.tile(np.arange(BANDS, dtype=np.uint64), (len(some), 1))
         for k in range(BAND_ROWS):
             folded = mix(folded * np.uint64(0x9E3779B97F4A7C15) ^ minima[:, :, k])
         keys[some] = folded.view(np.int64)
-        return lanes, keys
+        return sketch_lanes(hashes, counts), same, keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in sliced(batches, 1):
-            lanes, keys = sketch(rows.column(1).to_pylist())
-            columns = [rows.column(0), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), pa.array(list(keys), pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *LANE_NAMES, "keys"])
+            lanes, same, keys = sketch(rows.column(1).to_pylist())
+            columns = [rows.column(0), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), pa.array(same.view(np.int64)), pa.array(list(keys), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *LANE_NAMES, "same", "keys"])
 
-    schema = f"doc_id long, {', '.join(f'{n} long' for n in LANE_NAMES)}, keys array<long>"
+    schema = f"doc_id long, {', '.join(f'{n} long' for n in LANE_NAMES)}, same long, keys array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
+def shingle_sets(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
+    """key, node, l0..l3, shingles (the sorted distinct hashes) of rows (key, node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in sliced(batches, 2):
+            hashes, counts = distinct_shingles(rows.column(2).to_pylist(), width)
+            lanes = sketch_lanes(hashes, counts)
+            sets = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(hashes.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), sets], names=["key", "node", *LANE_NAMES, "shingles"])
+
+    schema = f"key long, node long, {', '.join(f'{n} long' for n in LANE_NAMES)}, shingles array<long>"
+    return docs.select("key", "node", "text").mapInArrow(run, schema)
+
+
+def verified_links(ids: np.ndarray, values: np.ndarray, sets: list[np.ndarray], radius: int, least: tuple[int, int] = SIMILAR) -> tuple[list[int], list[int]]:
+    """Links of exact similarity ``least`` or more that connect whatever such pairs within ``radius`` connect."""
+    left, right = close_pairs(values, radius)
+    a: list[int] = []
+    b: list[int] = []
+    if not len(left):
+        return a, b
+    order = np.argsort(left, kind="stable")
+    left, right = left[order], right[order]
+    size = np.array([len(s) for s in sets], np.int64)
+    dense = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    dense = np.split(dense, np.cumsum(size)[:-1])
+    mark = np.zeros(int(size.sum()) + 1, bool)
+    label = np.arange(len(ids))
+    edge = np.flatnonzero(np.r_[True, left[1:] != left[:-1], True])
+    for at, to in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        i, others = int(left[at]), right[at:to]
+        others = others[(label[others] != label[i]) & (np.minimum(size[others], size[i]) * least[1] >= np.maximum(size[others], size[i]) * least[0])]
+        if not len(others):
+            continue
+        mark[dense[i]] = True
+        for j in others.tolist():
+            if label[j] == label[i]:  # joined by an earlier one
+                continue
+            common = int(np.count_nonzero(mark[dense[j]]))
+            if common * least[1] >= least[0] * int(size[i] + size[j] - common):
+                a.append(int(ids[i]))
+                b.append(int(ids[j]))
+                label[label == label[j]] = label[i]
+        mark[dense[i]] = False
+    return a, b
+
+
+def verify_groups(radius: int):
+    """For rows (key, node, lanes..., shingles) sorted by key: the verified links of each group."""
+
+    def linked(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        ids = np.concatenate([r.column(1).to_numpy() for r in rows])
+        values = np.concatenate([np.stack([r.column(2 + x).to_numpy() for x in range(LANES)], axis=1) for r in rows]).view(np.uint64)
+        sets = [s for r in rows for s in np.split(r.column(2 + LANES).flatten().to_numpy(), np.cumsum(pc.list_value_length(r.column(2 + LANES)).to_numpy())[:-1])]
+        a, b = verified_links(ids, values, sets, radius)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The last group of a batch may go on in the next."""
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column(0).to_numpy()
+            edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True]).tolist()
+            for at, to in zip(edge, edge[1:]):
+                if held and key[at] != last:
+                    yield linked(held)
+                    held = []
+                held.append(batch.slice(at, to - at))
+                last = key[at]
+        if held:
+            yield linked(held)
+
+    return run
+
+
 def block_pairs(rows: DataFrame, parts: Column, dense: Column) -> DataFrame:
     """The rows (key, node, ...) under new keys; those of a dense key are dealt over ``parts`` blocks, and each two blocks make a key.
 
@@ -315,17 +413,30 @@ def block_pairs(rows: DataFrame, parts: Column, dense: Column) -> DataFrame:
 
 
 def similar_links(docs: DataFrame, width: int = WIDE_WIDTH, radius: int = WIDE_RADIUS, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) between documents of a shingle similarity of about 0.8 and more.
-
-    Distances of 256-bit fingerprints estimate the similarity; bands of MinHash values say which
-    documents to compare at all, as no pigeonhole holds at such a radius (BANDS bands of BAND_ROWS
-    values miss a pair of similarity 0.8 with a probability of 2e-4). Every two documents of a key meet.
+    """Links (a, b) between documents whose sets of shingles have a similarity of ``SIMILAR`` or more, each verified.
+
+    Documents of equal sets link to the first of them, and only that goes on. Bands of MinHash values
+    say which documents to compare at all, as no pigeonhole holds at such a radius (BANDS bands of
+    BAND_ROWS values miss a pair of similarity 0.8 with a probability of 2e-4), and distances of
+    256-bit fingerprints which of them are candidates (1e-4 are missed at 0.8). Every two documents of
+    a key meet. What candidates connect is then compared by its sets of shingles, so that a set is
+    shuffled once and not for each band.
     """
     rows = cut(sketches(docs, width).where("doc_id is not null"), "sketches")
-    each = rows.select(F.col("doc_id").alias("node"), *LANE_NAMES, F.explode(F.array_distinct("keys")).alias("key"))
+    firsts = rows.groupBy("same").agg(F.min("doc_id").alias("node"))
+    named = rows.join(firsts, "same")
+    equal = named.where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    each = named.where("doc_id = node").select("node", *LANE_NAMES, F.explode(F.array_distinct("keys")).alias("key"))
     sizes = each.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     keyed = block_pairs(each.join(sizes, "key"), F.ceil(2 * F.col("n") / block), F.col("n") > block).select("key", "node", *LANE_NAMES)
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare_groups(radius), "a long, b long").distinct()
+    candidates = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare_groups(radius), "a long, b long").distinct()
+    clusters = components(candidates).select("node", F.col("component").alias("key"))
+    sets = cut(shingle_sets(docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(clusters, "node"), width), "sets")
+    sizes = sets.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("shingles")).alias("m"))
+    parts = F.greatest(F.ceil(2 * F.col("n") / block), F.ceil(2 * F.col("m") / GROUP_SHINGLES))
+    met = block_pairs(sets.join(sizes, "key"), parts, (F.col("n") > block) | (F.col("m") > GROUP_SHINGLES)).select("key", "node", *LANE_NAMES, "shingles")
+    verified = met.repartition("key").sortWithinPartitions("key").mapInArrow(verify_groups(radius), "a long, b long")
+    return equal.union(verified).distinct()
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -534,6 +534,58 @@ def test_keep_one_hot_group(spark):
     assert {i for i in left if i >= 1000} == set(range(1000, 1040)) and len([i for i in left if i < 1000]) <= 3
 
 
+def brute_groups(text, least=0.8):
+    """Smallest id that pairs of the least similarity reach."""
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, t in text.items() for w in [t.lower().split()]}
+    owners = {}
+    for i, s in sets.items():
+        for x in s:
+            owners.setdefault(x, []).append(i)
+    label = {i: i for i in text}
+    for i, s in sets.items():
+        for j in {j for x in s for j in owners[x] if j < i}:
+            if label[i] != label[j] and len(s & sets[j]) >= least * len(s | sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = {k: low if v == high else v for k, v in label.items()}
+    return label
+
+
+def found_groups(spark, rows, block=4096):
+    got = {r.node: r.component for r in components.components(simhash.similar_links(frame(spark, rows), block=block)).collect()}
+    return {i: got.get(i, i) for i, *_ in rows}
+
+
+def test_similar_links_exact_at_threshold(spark):
+    """Pairs of all similarities from 0.5 up: those of 0.8 or more are linked and no others; repeats do not count."""
+    rng = np.random.default_rng(15)
+    rows = []
+    for k in range(240):
+        w = [f"w{int(x)}" for x in rng.integers(0, 10**6, 300)]
+        v = list(w)
+        for at in rng.choice(300, 1 + k // 16, replace=False):
+            v[int(at)] = "edit"
+        rows += [(2 * k, " ".join(w), "", "", 0), (2 * k + 1, " ".join(v if k % 8 else v + v[:60] * 12), "", "", 0)]
+    expected = brute_groups({i: t for i, t, *_ in rows})
+    assert 60 < sum(expected[2 * k + 1] == 2 * k for k in range(240)) < 200
+    assert found_groups(spark, rows) == expected
+
+
+def test_similar_links_hot_passage(spark):
+    """A passage of some 70 % of each document makes most bands hot: copies are found, and documents of the passage alone stay apart."""
+    rng = np.random.default_rng(12)
+    shared = [f"s{k}" for k in range(260)]
+    rows = []
+    for k in range(200):
+        own = [f"d{int(x)}" for x in rng.integers(0, 10**9, 110)]
+        other = list(own)
+        for at in rng.choice(110, 6, replace=False):
+            other[int(at)] = f"e{int(rng.integers(10**9))}"
+        rows += [(2 * k, " ".join(shared + own), "", "", 0), (2 * k + 1, " ".join(shared + other), "", "", 0)]
+    expected = brute_groups({i: t for i, t, *_ in rows})
+    assert sum(expected[2 * k + 1] == 2 * k for k in range(200)) > 150 and len(set(expected.values())) >= 200
+    assert found_groups(spark, rows, block=40) == expected
+
+
 def test_block_pairs_meet(spark):
     rows = spark.createDataFrame([(k, n) for k, size in ((1, 30), (2, 200)) for n in range(size)], "key long, node long")
     n = F.when(F.col("key") == 1, F.lit(30)).otherwise(F.lit(200))
