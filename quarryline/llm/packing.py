@@ -53,13 +53,13 @@ def cuts(n: int, capacity: int = CAPACITY, unit: int = UNIT) -> list[tuple[int,
     return out
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: int = UNIT, special: bool = False) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, salt of every piece."""
     n_salts = max(shuffle_partitions(docs.sparkSession), -(-3 * docs.count() // RANGE_PIECES))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, special)
         for batch in sliced(batches, 1):
             owner, start, length, crc, total, salt = [], [], [], [], [], []
             for k, text in enumerate(batch.column(1).to_pylist()):
@@ -167,10 +167,13 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return rows
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: int = UNIT, special: bool = False) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece.
+
+    ``special``: added tokens such as ``<|endoftext|>`` in a text have their own id (see ``encoder``).
+    """
     spark = docs.sparkSession
-    cut_up = cut(pieces(docs, tokenizer_path, capacity, unit), "pieces")
+    cut_up = cut(pieces(docs, tokenizer_path, capacity, unit, special), "pieces")
     counts = cut_up.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = spark.createDataFrame(plan(histogram, capacity), "length int, low long, high long, each long, first long, at int")

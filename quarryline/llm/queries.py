@@ -57,7 +57,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path(), special=True)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,14 +21,21 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(rest)}
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Callable[[str], list[int]]:
-    """A function from a text to its ids; strings of special tokens are ordinary text."""
+@lru_cache(maxsize=4)
+def encoder(path: str, special: bool = False) -> Callable[[str], list[int]]:
+    """A function from a text to its ids.
+
+    With ``special``, the file's added tokens have their own id where they occur in a text, as by
+    default in ``tokenizers``; without it they are ordinary text (its ``encode_special_tokens``).
+    """
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
     letters = _byte_letters()
-    special = {t["content"] for t in model.get("added_tokens", [])}
-    ranks = {bytes(letters[c] for c in token): k for token, k in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    added = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
+    ranks = {bytes(letters[c] for c in token): k for token, k in model["model"]["vocab"].items() if token not in added}
+    if not special:
+        return tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return lambda text: encoding.encode(text, allowed_special="all")

@@ -284,6 +284,24 @@ def test_packing_edges(spark):
     assert packing.pack(frame(spark, []), tokenizer_path()).count() == 0
 
 
+def test_packing_queries_special_tokens(spark, tmp_path):
+    """op9 and the pipeline's stage give the ids of ``tokenizers`` in its default setting."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    from quarryline.llm import queries
+
+    docs = [(20, "<|endoftext|> x", "", "", 0), (21, "a <|endoftext|> b<|endoftext|><|endoftext|>", "", "", 0), (22, "<|endoftext", "", "", 0), *EDGE]
+    frame(spark, docs, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tokenizer.from_file(tokenizer_path())
+    expected = []
+    for i, text in texts(docs):
+        ids = [*t.encode(text, add_special_tokens=False).ids, 1]
+        expected += [(i, s, n, zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()), len(ids)) for s, n in packing.cuts(len(ids))]
+    for got in (queries.op9_packing(spark, str(tmp_path)), corpus_pipeline.STAGES[-1][1](spark, frame(spark, docs), "")):
+        assert key([(r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got.collect()]) == key(expected)
+
+
 @settings(max_examples=25, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 60), min_size=1, max_size=12))
 def test_plan_places_every_piece(histogram):
