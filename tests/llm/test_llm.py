@@ -386,7 +386,7 @@ def test_toxicity_edges(spark):
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><script>var a="</p><p>no";</script><style>p{{}}</style></head><body class="b{k}">
 <header><h2>Site</h2></header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We use cookies {k}</div>
 {open}<h1>Title&nbsp;{k}</h1><p><b>First</b> &lt;para&gt;<br>goes {k}<p>Second &eacute; &#233; {k}<!-- no --><aside>Side {k}</aside><form><input>Form</form>
-<ul><li>One<li>Two {k}</ul><table><tr><td>Cell</td></tr></table><section class="comments"><p>Reader {k}</p></section>{close}
+<ul><li>One {k}<li>Two {k}</ul><table><tr><td>Cell {k}</td></tr></table><section class="comments"><p>Reader {k}</p></section>{close}
 <div class="sidebar">More</div><p>All rights reserved by us</p><footer>&copy; F</footer></body></html>"""
 
 
@@ -394,7 +394,80 @@ PAGE = """<!DOCTYPE html><html><head><title>T &amp; x</title><script>var a="</p>
 def test_html_templates(spark, tags):
     pages = [(k, f"https://h.example/{k}", PAGE.format(k=k, open=tags[0], close=tags[1])) for k in range(6)]
     got = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
-    assert got == {k: f"Title {k}\nFirst <para> goes {k}\nSecond é é {k}\nOne\nTwo {k}\nCell" for k in range(6)}
+    assert got == {k: f"Title {k}\nFirst <para> goes {k}\nSecond é é {k}\nOne {k}\nTwo {k}\nCell {k}" for k in range(6)}
+
+
+def words(rng, n):
+    return " ".join(f"w{int(x)}" for x in rng.integers(0, 5000, n))
+
+
+def site(rng, n, layout):
+    """Pages of one host: (html, main text) by ``layout(k, title, paragraphs)``."""
+    out = []
+    for k in range(n):
+        paragraphs = [words(rng, int(rng.integers(8, 60))) for _ in range(int(rng.integers(2, 6)))]
+        title = words(rng, 5)
+        out.append(layout(k, title, paragraphs))
+    return out
+
+
+def _p(paragraphs):
+    return "".join(f"<p>{p}</p>" for p in paragraphs)
+
+
+LAYOUTS = {
+    "with-sidebar": lambda k, t, ps: (f'<body><div class="layout with-sidebar"><article><h1>{t}</h1>{_p(ps)}</article><div class="sidebar">{words(np.random.default_rng(k), 30)}</div></div></body>', [t, *ps]),
+    "related-work": lambda k, t, ps: (f'<body><article><h1>{t}</h1><section class="related-work">{_p(ps)}</section><section class="related-posts"><p>Other {k}</p></section></article></body>', [t, *ps]),
+    "inline": lambda k, t, ps: (f'<body><article><h1>{t}</h1><p>{ps[0]} <span class="advert">Buy now {k}</span><a class="share-button" href="#">Tell {k}</a></p>{_p(ps[1:])}</article></body>', [t, *ps]),
+    "notice on 90 %": lambda k, t, ps: (f"<body><article><h1>{t}</h1>{'<p>This site closes on Sunday</p>' * (k % 10 != 0)}{_p(ps)}<div>Read our rules</div></article></body>", [t, *ps]),
+    "notice on some": lambda k, t, ps: (f"<body><div class='c'><h1>{t}</h1>{_p(ps)}{'<div class=strip>Prices are without tax</div>' * (k % 3 == 0)}</div></body>", [t, *ps]),
+    "form around all": lambda k, t, ps: (f'<body><form id="aspnetForm"><div class="top"><a href="/">Home</a></div><div class="c"><h1>{t}</h1>{_p(ps)}</div><div class="bottom">Rights {2000 + k % 2}</div></form></body>', [t, *ps]),
+    "plain divs": lambda k, t, ps: (f"<body><div class='a'>Welcome to us</div><div class='b'><h1>{t}</h1><div class='c{k}'>{_p(ps)}</div></div><div class='d'>{words(np.random.default_rng(k), 4)}</div></body>", [t, *ps]),
+    "title outside": lambda k, t, ps: (f"<body><h1>{t}</h1><div class='meta'>No. {k}</div><div class='c'>{_p(ps)}</div></body>", [t, *ps]),
+    "main and article": lambda k, t, ps: (f"<body><main><article><h1>{t}</h1>{_p(ps)}</article><div class='x'>More {k}</div></main></body>", [t, *ps]),
+    "list of links in the article": lambda k, t, ps: (f"<body><article><h1>{t}</h1>{_p(ps)}<ul><li><a href=1>r{k}</a><li><a href=2>s{k}</a><li><a href=3>t{k}</a></ul></article></body>", [t, *ps, f"r{k}", f"s{k}", f"t{k}"]),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_html_layouts(spark, name):
+    rows = site(np.random.default_rng(4), 20, LAYOUTS[name])
+    pages = [(k, f"http://h.example/{k}", html) for k, (html, _) in enumerate(rows)]
+    got = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {k: "\n".join(text) for k, (_, text) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("name", ["notice on 90 %", "notice on some", "plain divs", "title outside"])
+def test_html_template_decides(name):
+    """Without their host's template these pages come out otherwise."""
+    rows = site(np.random.default_rng(4), 20, LAYOUTS[name])
+    assert sum(html_extraction.page_text(html) != "\n".join(text) for html, text in rows) >= 5
+
+
+def test_html_repeated_articles_stay(spark):
+    """Copies of an article on a host are no template, and lone pages keep all."""
+    rng = np.random.default_rng(6)
+    html, text = LAYOUTS["notice on 90 %"](1, words(rng, 5), [words(rng, 30) for _ in range(4)])
+    near = html.replace("</article>", "<p>One more</p></article>")
+    pages = [(k, "http://one.example/", html) for k in range(6)] + [(k, "http://two.example/", near if k % 2 else html) for k in range(10, 16)] + [(20, "http://three.example/", html)]
+    got = {r.page_id: r.text.split("\n") for r in html_extraction.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(set(text) <= set(t) for t in got.values()) and len(got) == 13
+
+
+def test_html_classes_brute(spark):
+    """Tokens have equal sums exactly if their occurrence vectors, written out, are equal."""
+    pages = [(k, f"http://h.example/{k}", LAYOUTS[name](k, words(np.random.default_rng(k), 4), [words(np.random.default_rng(k + 1), 9)])[0]) for k, name in enumerate([*LAYOUTS, *LAYOUTS])]
+    vectors = {}
+    for k, _, html in pages:
+        for token, _, _, count, *_ in html_extraction.page_tokens(html):
+            vectors.setdefault(token, {})[k] = count
+    classes = {}
+    for token, v in vectors.items():
+        classes.setdefault(tuple(sorted(v.items())), set()).add(token)
+    got = {}
+    for r in html_extraction.tokens(spark.createDataFrame(pages, "page_id long, url string, html string")).collect():
+        got.setdefault((r.v1, r.v2), set()).add(r.token)
+    assert key(map(sorted, got.values())) == key(map(sorted, classes.values()))
 
 
 def test_html_edges(spark):
@@ -409,7 +482,7 @@ def test_html_edges(spark):
 def test_html_joined_by_host(spark, monkeypatch):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     one = key([tuple(r) for r in html_extraction.extract(pages).collect()])
-    monkeypatch.setattr(html_extraction, "BROADCAST_HOSTS", 0)
+    monkeypatch.setattr(html_extraction, "BROADCAST_BYTES", -1)
     monkeypatch.setattr(html_extraction, "SALT_PAGES", 2)
     assert key([tuple(r) for r in html_extraction.extract(pages).collect()]) == one
 
