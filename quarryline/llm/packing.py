@@ -53,16 +53,18 @@ def cuts(n: int, capacity: int = CAPACITY, unit: int = UNIT) -> list[tuple[int,
     return out
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: int = UNIT, special: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, salt of every piece."""
     n_salts = max(shuffle_partitions(docs.sparkSession), -(-3 * docs.count() // RANGE_PIECES))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path, special)
+        encode = encoder(tokenizer_path)
+        row = 0
         for batch in sliced(batches, 1):
             owner, start, length, crc, total, salt = [], [], [], [], [], []
-            for k, text in enumerate(batch.column(1).to_pylist()):
+            for k, (doc_id, text) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
+                row += 1
                 ids = np.array([*encode(text or ""), END_ID], "<u4").tobytes()
                 n = len(ids) // 4
                 for s, m in cuts(n, capacity, unit):
@@ -71,7 +73,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit:
                     length.append(m)
                     crc.append(zlib.crc32(ids[4 * s : 4 * (s + m)]))
                     total.append(n)
-                    salt.append(zlib.crc32(b"%d" % (crc[-1] + s)) % n_salts)
+                    salt.append(zlib.crc32(f"{doc_id} {row} {s}".encode()) % n_salts)  # copies are spread too
             columns = [batch.column(0).take(pa.array(owner, pa.int32())), pa.array(start, pa.int64()), pa.array(length, pa.int32()), pa.array(crc, pa.int64()), pa.array(total, pa.int64()), pa.array(salt, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"])
 
@@ -167,13 +169,10 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
     return rows
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: int = UNIT, special: bool = False) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece.
-
-    ``special``: added tokens such as ``<|endoftext|>`` in a text have their own id (see ``encoder``).
-    """
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit: int = UNIT) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
     spark = docs.sparkSession
-    cut_up = cut(pieces(docs, tokenizer_path, capacity, unit, special), "pieces")
+    cut_up = cut(pieces(docs, tokenizer_path, capacity, unit), "pieces")
     counts = cut_up.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = spark.createDataFrame(plan(histogram, capacity), "length int, low long, high long, each long, first long, at int")

@@ -252,7 +252,6 @@ def check_packing(rows, docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokenizer_path())
-    t.encode_special_tokens = True
     expected = []
     for i, text in docs:
         ids = [*t.encode(text, add_special_tokens=False).ids, 1]
@@ -279,11 +278,23 @@ def test_packing_round_trip(spark):
 
 
 def test_packing_edges(spark):
-    docs = [*EDGE, (20, "<|endoftext|> x", "", "", 0), (21, " " * 3000 + "a", "", "", 0), (22, "é​\U0001f600" * 50, "", "", 0)]
+    docs = [*EDGE, (20, "<|endoftext|> x", "", "", 0), (21, " " * 3000 + "a", "", "", 0), (22, "é​\U0001f600" * 50, "", "", 0), (23, "a" + " " * 1_000_000 + "b", "", "", 0), (24, "\n" * 1_000_000, "", "", 0), (25, "ab" * 500_000, "", "", 0), (26, " " * 1999 + "x<|endoftext|>" + "\t" * 2001 + "y", "", "", 0)]
     check_packing(packing.pack(frame(spark, docs), tokenizer_path()).collect(), texts(docs))
     assert packing.pack(frame(spark, []), tokenizer_path()).count() == 0
 
 
+def test_encoder_equals_tokenizers_on_every_code_point():
+    from tokenizers import Tokenizer
+
+    from quarryline.llm.tokens import encoder
+
+    t, encode = Tokenizer.from_file(tokenizer_path()), encoder(tokenizer_path())
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 400):
+        text = "".join(f"a{c}b 1{c}2 {c} !{c}? {c}{c}  x'{c}s\n{c} z" for c in points[at : at + 400])
+        assert t.encode(text, add_special_tokens=False).ids == encode(text), f"near U+{ord(points[at]):04X}"
+
+
 def test_packing_queries_special_tokens(spark, tmp_path):
     """op9 and the pipeline's stage give the ids of ``tokenizers`` in its default setting."""
     import corpus_pipeline
