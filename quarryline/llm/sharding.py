@@ -11,8 +11,9 @@ as there are old shards. A shard's blocks are in proportion to its bytes, so a s
 third of all rows is split into as many blocks as it needs; no task holds a whole shard.
 
 Defined cases: a null text has the size of the row overhead; a null ``doc_id`` or source hashes like
-a value of its own; repeated rows are placed each; an empty table gives an empty result; columns
-other than those named are ignored.
+a value of its own; repeated rows are dealt over the blocks like any others and placed each; an empty
+table gives an empty result; columns other than those named are ignored. A plan depends on how the input
+was partitioned, as rows are dealt by their place in it; it is written once, so that all jobs see the same.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.llm.shared import cut
+
 ROW_BYTES = 16
 #: Blocks that a new shard consists of, about.
 BLOCKS = 256
@@ -144,7 +147,7 @@ def reshard(docs: DataFrame, old_shard: Column, n_new: int, kept: dict[int, int]
     same number). ``slot`` counts from 0 in each shard without gaps.
     """
     spark = docs.sparkSession
-    rows = sized(docs, old_shard)
+    rows = cut(sized(docs, old_shard).withColumn("row", F.monotonically_increasing_id()), "sized")
     old_bytes = {r.old: r.b for r in rows.groupBy("old").agg(F.sum("size").alias("b")).collect()}
     schema = "old int, block int, shard int, before long"
     if not old_bytes:
@@ -154,7 +157,7 @@ def reshard(docs: DataFrame, old_shard: Column, n_new: int, kept: dict[int, int]
     per_block = max(1, total // (n_new * blocks))
     counts = spark.createDataFrame([(i, max(1, -(-b // per_block))) for i, b in old_bytes.items()], "old int, n long")
     rows = rows.join(F.broadcast(counts), rows["old"].eqNullSafe(counts["old"])).drop(counts["old"])
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), "n").cast("int")).drop("n")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32", "row"), "n").cast("int")).drop("n")
     totals = rows.groupBy("old", "block").agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).collect()
     capacity = capacities(total, n_new)
     own: dict[int, list[tuple[int, int]]] = defaultdict(list)
@@ -171,7 +174,7 @@ def reshard(docs: DataFrame, old_shard: Column, n_new: int, kept: dict[int, int]
 
 
 def _placed(rows: DataFrame, places: DataFrame, kept: dict[int, int] | None) -> DataFrame:
-    own = Window.partitionBy("old", "block").orderBy("doc_id", "text_crc32", "size")
+    own = Window.partitionBy("old", "block").orderBy("doc_id", "text_crc32", "row")
     rows = rows.withColumn("own", F.row_number().over(own) - 1)
     both = rows.join(F.broadcast(places), rows["old"].eqNullSafe(places["old"]) & (rows["block"] == places["block"])).drop(places["old"]).drop(places["block"])
     stays = F.lit(False)
@@ -187,11 +190,46 @@ def affected(plan: DataFrame) -> list[int]:
     return sorted(r.k for r in gains.union(losses).where("k is not null").distinct().collect())
 
 
-def rewrite(docs: DataFrame, plan: DataFrame, folder: str) -> list[int]:
-    """Writes the documents of the affected new shards, one folder ``shard=N`` each; the others keep their files."""
+def rewrite(docs: DataFrame, old_shard: Column, plan: DataFrame, folder: str) -> list[int]:
+    """Writes the affected shards of ``folder``, one folder ``shard=N`` each, and returns their numbers.
+
+    The files of all other shards stay as they are, and shards that end empty are emptied. ``plan`` is
+    what ``reshard`` gave for these ``docs`` and ``old_shard``. Each row of ``docs`` is written at most
+    once: rows of equal id, text and old shard share the places that the plan has for them. ``docs`` may
+    be read from ``folder`` itself; a column ``shard`` of its own is replaced by the new number.
+    """
+    spark = docs.sparkSession
+    plan = cut(plan.select("doc_id", "text_crc32", "old", "shard", "moved"), "plan")
     changed = affected(plan)
-    wanted = plan.where(F.col("shard").isin(changed)).select(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"), "shard").distinct()
-    keyed = docs.withColumn("_crc", F.crc32(F.coalesce(F.col("text"), F.lit(""))))
-    joined = keyed.join(wanted, keyed["doc_id"].eqNullSafe(wanted["_id"]) & (keyed["_crc"] == wanted["_crc"])).drop("_id", "_crc")
-    joined.repartition("shard", F.pmod(F.xxhash64("doc_id"), F.lit(8))).write.partitionBy("shard").mode("overwrite").parquet(folder)
+    if not changed:
+        return changed
+    kept = [c for c in docs.columns if c != "shard"]
+    names = ["id", "crc", "from", "to", "task", "place", "before"]
+    while any(n in docs.columns for n in names):
+        names = [f"_{n}" for n in names]
+    id_, crc, old, to, task, place, before = names
+    # a key's places: for each shard the number of its last row; at most one entry a shard
+    each = plan.groupBy(F.col("doc_id").alias(id_), F.col("text_crc32").alias(crc), F.col("old").alias(old), "shard").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(id_, crc, old).orderBy("shard"))
+    places = each.select(id_, crc, old, "shard", upto.alias("upto")).groupBy(id_, crc, old).agg(F.sort_array(F.collect_list(F.struct("upto", "shard"))).alias(to))
+    places = places.where(F.exists(to, lambda x: x["shard"].isin(changed)))
+    keyed = docs.withColumns({id_: F.col("doc_id"), crc: F.crc32(F.coalesce(F.col("text"), F.lit(""))), old: old_shard.cast("int")}).drop("shard")
+    on = keyed[id_].eqNullSafe(places[id_]) & (keyed[crc] == places[crc]) & keyed[old].eqNullSafe(places[old])
+    joined = keyed.join(places, on).select(*[keyed[c] for c in [*kept, *names[:3]]], to)
+    one = joined.where(F.size(to) == 1).select(*kept, F.col(to)[0]["shard"].alias("shard"))
+    # rows that repeat and part are numbered: by task first, so that no key is numbered in one place
+    several = cut(joined.where(F.size(to) > 1).withColumn(task, F.spark_partition_id()), "several")
+    counts = several.groupBy(id_, crc, old, task).agg(F.count(F.lit(1)).alias("n"))
+    by_task = Window.partitionBy(id_, crc, old).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(id_, crc, old, task, F.coalesce(F.sum("n").over(by_task), F.lit(0)).alias(before))
+    numbered = several.withColumn(place, F.row_number().over(Window.partitionBy(id_, crc, old, task).orderBy(F.lit(1))))
+    on = numbered[id_].eqNullSafe(counts[id_]) & (numbered[crc] == counts[crc]) & numbered[old].eqNullSafe(counts[old]) & (numbered[task] == counts[task])
+    number = F.col(place) + F.col(before)
+    dealt = numbered.join(counts, on).select(*[numbered[c] for c in kept], F.filter(to, lambda x: x["upto"] >= number)[0]["shard"].alias("shard"))
+    rows = cut(one.unionByName(dealt).where(F.col("shard").isin(changed)), "rows")
+    full = [r.shard for r in rows.select("shard").distinct().collect()]
+    spread = F.pmod(F.xxhash64("doc_id", F.col("text")), F.lit(8))
+    rows.repartition("shard", spread).write.partitionBy("shard").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(folder)
+    for k in sorted(set(changed) - set(full)):
+        spark.createDataFrame([], rows.drop("shard").schema).write.mode("overwrite").parquet(f"{folder}/shard={k}")
     return changed
