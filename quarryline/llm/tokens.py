@@ -33,7 +33,6 @@ _LONG_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
 def encoder(path: str) -> Callable[[str], list[int]]:
     """A function from a text to its ids; added tokens in a text, such as ``<|endoftext|>``, have their own id."""
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
@@ -41,13 +40,17 @@ def encoder(path: str) -> Callable[[str], list[int]]:
     added = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
     ranks = {bytes(letters[c] for c in token): k for token, k in model["model"]["vocab"].items() if token not in added}
     quick = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
-    whole: list[Tokenizer] = []
 
     def encode(text: str) -> list[int]:
         if len(text) < LONG_RUN or not _LONG_RUN.search(text):
             return quick.encode(text, allowed_special="all")
-        if not whole:
-            whole.append(Tokenizer.from_file(path))
-        return whole[0].encode(text, add_special_tokens=False).ids
+        return _tokenizer(path).encode(text, add_special_tokens=False).ids
 
     return encode
+
+
+@lru_cache(maxsize=4)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
