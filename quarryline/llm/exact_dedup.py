@@ -1,34 +1,36 @@
 """Exact dedup through a cuckoo-filter index of live digests.
 
-The index is a table with one row per bucket of digests: a cuckoo filter (four-slot buckets of
-16-bit fingerprints) and the bucket's stored keys. A lookup asks the filter first; only a hit is
-verified against the bucketed keys, so a fingerprint collision never merges two texts. When an
-insertion finds no place, the filter doubles and is refilled from the stored keys. Digests can be
-inserted and deleted in batches; each batch is shuffled to the buckets once.
+The index has two tables. ``buckets``: one row per bucket of digests with a cuckoo filter (four-slot
+buckets of 16-bit fingerprints) and the bucket's content, one entry for each live text: its 64-bit
+digest, the SHA-256 of the whole text, the id that stays and the number of copies. A lookup asks
+the filter first; a miss never looks at the content, a hit is verified against it by SHA-256, so that
+neither a fingerprint nor a digest that two texts share ever merges them. When an insertion finds no
+place, the filter doubles and is refilled from the stored digests. ``members``: the rows that each
+text has under each id, from which a deletion restores the next largest id. Copies of one text
+are added up before any shuffle, and no task ever holds the ids of a text.
 
 Defined cases: a null text counts as the empty text; a null ``doc_id`` loses against any other id;
-rows that repeat id and text are counted one by one; an empty table gives an empty result; columns
-beside ``doc_id`` and ``text`` are ignored and may have any name.
+rows that repeat id and text are counted one by one; deleting a row that is not there changes nothing;
+an empty table gives an empty result; columns beside ``doc_id`` and ``text`` are ignored and may have
+any name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarryline.llm.shared import shuffle_partitions
+from quarryline.llm.shared import cut, shuffle_partitions
 
-#: Stored keys that one bucket should hold, and rows that a task combines before it sends them on.
+#: Stored keys that one bucket should hold.
 BUCKET_KEYS = 50_000
-COMBINE_ROWS = 200_000
 SLOTS = 4
 
-INDEX_SCHEMA = "bucket int, filter binary, digests array<binary>, keep_ids array<long>, sizes array<long>"
-_EVENT = "bucket int, digest binary, doc_id long, n long, op int"
+_BUCKETS = "bucket int, filter binary, digests array<long>, contents array<binary>, keep_ids array<{kind}>, sizes array<long>"
 
 
 class CuckooFilter:
@@ -36,24 +38,22 @@ class CuckooFilter:
 
     def __init__(self, n_buckets: int) -> None:
         self.mask = n_buckets - 1
-        self.table = np.zeros((n_buckets, SLOTS), np.uint16)
         self.rows = [[0] * SLOTS for _ in range(n_buckets)]
-        self.kicks = 0
 
     @staticmethod
-    def parts(digest: bytes) -> tuple[int, int]:
-        """A fingerprint that is never 0, and a hash for the first bucket; both from the digest's tail."""
-        return int.from_bytes(digest[-2:], "little") or 1, int.from_bytes(digest[-10:-2], "little")
+    def parts(digest: int) -> tuple[int, int]:
+        """A fingerprint that is never 0, and a hash for the first bucket."""
+        return digest & 0xFFFF or 1, digest >> 16
 
     def other(self, at: int, mark: int) -> int:
         return (at ^ (mark * 0x5BD1E995)) & self.mask
 
-    def contains(self, digest: bytes) -> bool:
+    def contains(self, digest: int) -> bool:
         mark, h = self.parts(digest)
         at = h & self.mask
         return mark in self.rows[at] or mark in self.rows[self.other(at, mark)]
 
-    def insert(self, digest: bytes) -> bool:
+    def insert(self, digest: int) -> bool:
         """False if the digest found no place: the caller must then resize."""
         mark, h = self.parts(digest)
         at = h & self.mask
@@ -71,7 +71,7 @@ class CuckooFilter:
                 return True
         return False
 
-    def delete(self, digest: bytes) -> bool:
+    def delete(self, digest: int) -> bool:
         mark, h = self.parts(digest)
         at = h & self.mask
         for row in (self.rows[at], self.rows[self.other(at, mark)]):
@@ -92,148 +92,172 @@ class CuckooFilter:
 
 
 class LiveDigests:
-    """One bucket of the index: its filter and its stored keys with id and count."""
+    """One bucket of the index: its filter, and its content by digest."""
 
     def __init__(self) -> None:
         self.filter = CuckooFilter(64)
-        self.keys: dict[bytes, list[int]] = {}
-        self.resizes = 0
+        #: digest -> entries [SHA-256, id that stays, copies]; two texts of one digest are two entries
+        self.keys: dict[int, list[list]] = {}
+        self.resizes = self.looked_up = 0
 
-    def _place(self, digest: bytes) -> None:
+    def _place(self, digest: int) -> None:
         if self.filter.insert(digest):
             return
-        while True:  # overflow: a larger filter, filled from the stored keys
+        while True:  # overflow: a larger filter, filled from the stored digests
             self.resizes += 1
             self.filter = CuckooFilter(2 * (self.filter.mask + 1))
-            if all(self.filter.insert(k) for k in self.keys) and (digest in self.keys or self.filter.insert(digest)):
+            if all(self.filter.insert(k) for k, held in self.keys.items() for _ in held) and self.filter.insert(digest):
                 return
 
-    def add(self, digest: bytes, doc_id: int, n: int) -> None:
-        if self.filter.contains(digest) and (held := self.keys.get(digest)) is not None:
-            held[0] = max(held[0], doc_id)
-            held[1] += n
-            return
-        self._place(digest)
-        self.keys[digest] = [doc_id, n]
-
-    def remove(self, digest: bytes, n: int) -> None:
-        """Takes ``n`` copies away; the digest dies with its last copy."""
-        if not self.filter.contains(digest) or (held := self.keys.get(digest)) is None:
-            return
-        held[1] -= n
-        if held[1] <= 0:
-            del self.keys[digest]
+    def _find(self, digest: int, content: bytes) -> list | None:
+        """The entry of this very text; the content is only looked at after a hit of the filter."""
+        if not self.filter.contains(digest):
+            return None
+        self.looked_up += 1
+        return next((e for e in self.keys.get(digest, ()) if e[0] == content), None)
+
+    def put(self, digest: int, content: bytes, keep_id, size: int) -> None:
+        """States a text's id and copies; without copies it dies."""
+        entry = self._find(digest, content)
+        if entry is None:
+            if size:
+                self._place(digest)
+                self.keys.setdefault(digest, []).append([content, keep_id, size])
+        elif size:
+            entry[1:] = keep_id, size
+        else:
+            self.keys[digest].remove(entry)
+            if not self.keys[digest]:
+                del self.keys[digest]
             self.filter.delete(digest)
 
     def row(self, bucket: int) -> pd.DataFrame:
-        ids, sizes = [v[0] for v in self.keys.values()], [v[1] for v in self.keys.values()]
-        return pd.DataFrame({"bucket": [bucket], "filter": [self.filter.tobytes()], "digests": [list(self.keys)], "keep_ids": [ids], "sizes": [sizes]})
+        flat = [(k, *e) for k, held in self.keys.items() for e in held]
+        digests, contents, ids, sizes = (list(c) for c in zip(*flat)) if flat else ([], [], [], [])
+        return pd.DataFrame({"bucket": [bucket], "filter": [self.filter.tobytes()], "digests": [[_signed(k) for k in digests]], "contents": [contents], "keep_ids": [ids], "sizes": [sizes]})
 
     @classmethod
-    def load(cls, index: pd.DataFrame) -> LiveDigests:
+    def load(cls, buckets: pd.DataFrame) -> LiveDigests:
         out = cls()
-        for r in index.itertuples(index=False):
+        for r in buckets.itertuples(index=False):
             out.filter = CuckooFilter.frombytes(r.filter)
-            out.keys = {bytes(k): [int(i), int(n)] for k, i, n in zip(r.digests, r.keep_ids, r.sizes)}
+            for k, c, i, n in zip(r.digests, r.contents, r.keep_ids, r.sizes):
+                out.keys.setdefault(int(k) & _MASK, []).append([bytes(c), None if pd.isna(i) else i, int(n)])
         return out
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, digest (32 bytes) of each row's whole text."""
-    return docs.select(F.col("doc_id"), F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("digest"))
+_MASK = (1 << 64) - 1
 
 
-def bucket_count(n_rows: int, spark) -> int:
-    return max(shuffle_partitions(spark), -(-n_rows // BUCKET_KEYS))
+def _signed(digest: int) -> int:
+    return digest - (1 << 64) if digest >> 63 else digest
+
+
+@dataclass
+class Index:
+    """``buckets`` and ``members`` (digest, content, doc_id, n) of an index of ``n_buckets`` buckets."""
+
+    buckets: DataFrame
+    members: DataFrame
+    n_buckets: int
 
 
-def _events(docs: DataFrame, n_buckets: int, op: int) -> DataFrame:
-    """Copies within a task are combined before the shuffle: one row per digest and COMBINE_ROWS rows."""
+def digests(docs: DataFrame) -> DataFrame:
+    """doc_id, digest (64 bits), content (SHA-256) of each row's whole text."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select("doc_id", F.xxhash64(text).alias("digest"), F.unhex(F.sha2(text, 256)).alias("content"))
 
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: dict[bytes, list[int]] = {}
-        seen = 0
 
-        def rows() -> pd.DataFrame:
-            keys = list(held)
-            buckets = [int.from_bytes(k[:8], "big") % n_buckets for k in keys]
-            return pd.DataFrame({"bucket": pd.Series(buckets, dtype="int32"), "digest": keys, "doc_id": pd.Series([held[k][0] for k in keys], dtype="int64"), "n": pd.Series([held[k][1] for k in keys], dtype="int64"), "op": pd.Series([op] * len(keys), dtype="int32")})
+def bucket_count(n_rows: int, spark) -> int:
+    return max(shuffle_partitions(spark), -(-n_rows // BUCKET_KEYS))
 
-        for batch in batches:
-            for digest, doc_id in zip(batch["digest"], batch["doc_id"]):
-                if (have := held.get(digest)) is None:
-                    held[digest] = [doc_id, 1]
-                else:
-                    have[0] = max(have[0], doc_id)
-                    have[1] += 1
-            seen += len(batch)
-            if seen >= COMBINE_ROWS:
-                yield rows()
-                held.clear()
-                seen = 0
-        if held:
-            yield rows()
 
-    return digests(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(-(2**63)))).mapInPandas(combine, _EVENT)
+def _states(rows: DataFrame, size, n_buckets: int) -> DataFrame:
+    """bucket, digest, content, keep_id, size of each text; copies are added up before the shuffle."""
+    states = rows.groupBy("digest", "content").agg(F.max("doc_id").alias("keep_id"), size.alias("size"))
+    return states.withColumn("bucket", F.pmod(F.xxhash64(F.lit("bucket"), "digest"), F.lit(n_buckets)).cast("int"))
 
 
-def build_index(docs: DataFrame, n_buckets: int | None = None) -> DataFrame:
-    """A new index of the digests of ``docs``."""
-    n_buckets = n_buckets or bucket_count(docs.count(), docs.sparkSession)
+def _apply(key: tuple, old: pd.DataFrame | None, states: pd.DataFrame) -> pd.DataFrame:
+    live = LiveDigests() if old is None else LiveDigests.load(old)
+    keep = states["keep_id"].astype(object).where(states["keep_id"].notna(), None)
+    for digest, content, keep_id, size in zip(states["digest"], states["content"], keep, states["size"]):
+        live.put(int(digest) & _MASK, bytes(content), keep_id, int(size))
+    return live.row(key[0])
 
-    def build(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        live = LiveDigests()
-        for digest, doc_id, n in zip(rows["digest"], rows["doc_id"], rows["n"]):
-            live.add(digest, doc_id, n)
-        return live.row(key[0])
 
-    return _events(docs, n_buckets, 1).groupBy("bucket").applyInPandas(build, INDEX_SCHEMA)
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
 
 
-def update_index(index: DataFrame, n_buckets: int, insert: DataFrame | None = None, delete: DataFrame | None = None) -> DataFrame:
-    """The index after deleting and inserting batches of documents; ``n_buckets`` is that of the index.
+def _built(docs: DataFrame, n_buckets: int) -> DataFrame:
+    states = _states(digests(docs), F.count(F.lit(1)), n_buckets)
+    return states.groupBy("bucket").applyInPandas(lambda key, rows: _apply(key, None, rows), _BUCKETS.format(kind=_kind(docs)))
 
-    Deleting a document takes one copy of its text away. The id that an entry keeps is the largest
-    ever inserted under its digest while the digest lived.
-    """
-    batches = [_events(d, n_buckets, op) for d, op in ((delete, 0), (insert, 1)) if d is not None]
-    events = batches[0] if len(batches) == 1 else batches[0].unionByName(batches[1])
 
-    def apply(key: tuple, old: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        live = LiveDigests.load(old)
-        for digest, doc_id, n, op in rows.sort_values("op", kind="stable")[["digest", "doc_id", "n", "op"]].itertuples(index=False):
-            live.add(digest, doc_id, n) if op else live.remove(digest, n)
-        return live.row(key[0])
+def build_index(docs: DataFrame, n_buckets: int | None = None) -> Index:
+    """A new index of ``docs``; its tables are written to the shared folder."""
+    n_buckets = n_buckets or bucket_count(docs.count(), docs.sparkSession)
+    members = digests(docs).groupBy("digest", "content", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return Index(cut(_built(docs, n_buckets), "buckets"), cut(members, "members"), n_buckets)
 
-    return index.groupBy("bucket").cogroup(events.groupBy("bucket")).applyInPandas(apply, INDEX_SCHEMA)
 
+def update_index(index: Index, insert: DataFrame | None = None, delete: DataFrame | None = None) -> Index:
+    """The index after deleting, then inserting batches of documents (doc_id, text).
 
-def entries(index: DataFrame) -> DataFrame:
-    """digest, keep_id, group_size of each live digest."""
-    each = index.select(F.explode(F.arrays_zip("digests", "keep_ids", "sizes")).alias("e"))
-    return each.select(F.col("e.digests").alias("digest"), F.nullif(F.col("e.keep_ids"), F.lit(-(2**63))).alias("keep_id"), F.col("e.sizes").alias("group_size"))
+    Only the texts of a batch are stated anew: their largest id that is left and their copies.
+    """
+    changes = None
+    for docs, name in ((delete, "gone"), (insert, "new")):
+        if docs is not None:
+            some = digests(docs).groupBy("digest", "content", "doc_id").agg(F.count(F.lit(1)).alias(name))
+            changes = some if changes is None else changes.unionByName(some, allowMissingColumns=True)
+    if changes is None:
+        return index
+    for name in ("gone", "new"):
+        changes = changes if name in changes.columns else changes.withColumn(name, F.lit(0).cast("long"))
+    merged = index.members.withColumnRenamed("n", "old").unionByName(changes, allowMissingColumns=True)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    left = merged.groupBy("digest", "content", "doc_id").agg((F.greatest(total("old") - total("gone"), F.lit(0)) + total("new")).alias("n"))
+    members = cut(left.where("n > 0"), "members")
+    touched = changes.select("digest", "content").distinct()
+    found = members.join(touched, ["digest", "content"], "left_semi")
+    none = touched.select("digest", "content", F.lit(None).cast(_kind(members)).alias("doc_id"), F.lit(0).cast("long").alias("n"))
+    states = _states(found.unionByName(none), F.sum("n"), index.n_buckets)
+    buckets = index.buckets.groupBy("bucket").cogroup(states.groupBy("bucket")).applyInPandas(_apply, _BUCKETS.format(kind=_kind(members)))
+    return Index(cut(buckets, "buckets"), members, index.n_buckets)
+
+
+def entries(buckets: DataFrame) -> DataFrame:
+    """content, keep_id, group_size of each live text."""
+    each = buckets.select(F.explode(F.arrays_zip("contents", "keep_ids", "sizes")).alias("e"))
+    return each.select(F.col("e.contents").alias("content"), F.col("e.keep_ids").alias("keep_id"), F.col("e.sizes").alias("group_size"))
 
 
 def duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``.
 
     Of equal texts the largest doc_id stays (``kept``); rows that repeat that id are all marked kept.
-    The join's hot digests are split by Spark's adaptive skew join.
+    The join's hot texts are split by Spark's adaptive skew join.
     """
-    groups = entries(build_index(docs))
-    joined = digests(docs).join(groups, "digest")
-    return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    groups = entries(_built(docs, bucket_count(docs.count(), docs.sparkSession)))
+    joined = digests(docs).join(groups, "content")
+    return joined.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("content")).alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` per text, with all its columns: that of the largest doc_id."""
-    names = [f"_{n}" for n in ("digest", "place")]
+    """One row of ``docs`` per text, with all its columns: that of the largest doc_id.
+
+    Whole rows are shuffled once, by text and id; the ids that stay come from the index of digests.
+    """
+    names = ["content", "of", "place"]
     while any(n in docs.columns for n in names):
         names = [f"_{n}" for n in names]
-    digest, place = names
-    groups = entries(build_index(docs)).select(F.col("digest").alias(digest), F.col("keep_id"))
-    keyed = docs.withColumn(digest, F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)))
-    kept = keyed.join(groups, (keyed[digest] == groups[digest]) & keyed["doc_id"].eqNullSafe(groups["keep_id"]), "left_semi")
-    # the join left the rows dealt by digest and id; of rows that repeat both, one stays
-    first = Window.partitionBy(digest, "doc_id").orderBy(digest)
-    return kept.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(*docs.columns)
+    content, of, place = names
+    name_of = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    groups = entries(_built(docs, bucket_count(docs.count(), docs.sparkSession))).select(F.col("content").alias(content), name_of("keep_id").alias(of))
+    keyed = docs.withColumns({content: F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)), of: name_of("doc_id")})
+    # the join leaves the rows dealt by text and id; of rows that repeat both, one stays
+    first = Window.partitionBy(content, of).orderBy(content)
+    kept = keyed.join(groups, [content, of], "left_semi").withColumn(place, F.row_number().over(first))
+    return kept.where(F.col(place) == 1).select(*docs.columns)

@@ -189,24 +189,64 @@ def test_exact_dedup_edges(spark):
 
 def test_cuckoo_insert_delete_resize():
     live = exact_dedup.LiveDigests()
-    keys = [hashlib.sha256(b"%d" % k).digest() for k in range(3000)]
+    keys = [(xxhash.xxh64_intdigest(b"%d" % k), hashlib.sha256(b"%d" % k).digest()) for k in range(3000)]
     for k, d in enumerate(keys):
-        live.add(d, k, 1)
-    assert live.resizes > 0 and all(live.filter.contains(d) for d in keys)
+        live.put(*d, k, 1)
+    assert live.resizes > 0 and all(live.filter.contains(d) for d, _ in keys)
+    assert live.looked_up < 30  # new texts miss the filter, and then no content is looked at
     for d in keys[::2]:
-        live.remove(d, 1)
-    assert set(live.keys) == set(keys[1::2]) and all(live.filter.contains(d) for d in keys[1::2])
-    assert sum(live.filter.contains(d) for d in keys[::2]) < 20
+        live.put(*d, None, 0)
+    assert {(d, e[0]) for d, held in live.keys.items() for e in held} == set(keys[1::2]) and all(live.filter.contains(d) for d, _ in keys[1::2])
+    assert sum(live.filter.contains(d) for d, _ in keys[::2]) < 20
     again = exact_dedup.LiveDigests.load(live.row(3))
     assert again.keys == live.keys and all(again.filter.contains(d) for d in again.keys)
 
 
+def test_equal_digests_are_verified():
+    """Two texts of one digest stay apart, and one can die without the other."""
+    live = exact_dedup.LiveDigests()
+    live.put(5, b"a", 1, 2)
+    live.put(5, b"b", 7, 1)
+    assert live.keys == {5: [[b"a", 1, 2], [b"b", 7, 1]]}
+    live.put(5, b"a", None, 0)
+    assert live.keys == {5: [[b"b", 7, 1]]} and live.filter.contains(5)
+    live.put(5, b"b", None, 0)
+    assert not live.keys and not live.filter.contains(5)
+
+
+def live_entries(index):
+    return {bytes(r.content): (r.keep_id, r.group_size) for r in exact_dedup.entries(index.buckets).collect()}
+
+
 def test_index_updates(spark):
     rows = lambda *x: frame(spark, [(i, t, "", "", 0) for i, t in x])
+    sha = lambda t: hashlib.sha256(t).digest()
     index = exact_dedup.build_index(rows((1, "a"), (2, "a"), (3, "b")), 3)
-    index = exact_dedup.update_index(index, 3, insert=rows((9, "c"), (4, "b")), delete=rows((1, "a"), (2, "a"), (7, "zzz")))
-    got = {bytes(r.digest): (r.keep_id, r.group_size) for r in exact_dedup.entries(index).collect()}
-    assert got == {hashlib.sha256(t).digest(): v for t, v in ((b"b", (4, 2)), (b"c", (9, 1)))}
+    index = exact_dedup.update_index(index, insert=rows((9, "c"), (4, "b")), delete=rows((1, "a"), (2, "a"), (7, "zzz")))
+    assert live_entries(index) == {sha(t): v for t, v in ((b"b", (4, 2)), (b"c", (9, 1)))}
+    index = exact_dedup.update_index(index, delete=rows((4, "b"), (8, "b")), insert=rows((None, "c"), (8, "d"), (8, "d"), (6, "a")))
+    assert live_entries(index) == {sha(t): v for t, v in ((b"b", (3, 1)), (b"c", (9, 2)), (b"d", (8, 2)), (b"a", (6, 1)))}
+    index = exact_dedup.update_index(index, delete=rows((9, "c"), (8, "d")))
+    assert live_entries(index) == {sha(t): v for t, v in ((b"b", (3, 1)), (b"c", (None, 1)), (b"d", (8, 1)), (b"a", (6, 1)))}
+    assert live_entries(exact_dedup.update_index(index, delete=rows((6, "a"), (3, "b"), (8, "d"), (None, "c")))) == {}
+
+
+def test_index_random_updates(spark):
+    rng = np.random.default_rng(11)
+    held, index = [], exact_dedup.build_index(frame(spark, []), 4)
+    for _ in range(3):
+        gone = [held[int(k)] for k in rng.choice(len(held), len(held) // 2, replace=False)] if held else []
+        new = [(int(rng.integers(40)), str(int(rng.integers(12)))) for _ in range(60)]
+        for x in gone:
+            held.remove(x)
+        held += new
+        index = exact_dedup.update_index(index, insert=frame(spark, [(i, t, "", "", 0) for i, t in new]), delete=frame(spark, [(i, t, "", "", 0) for i, t in gone]))
+        expected = {}
+        for i, t in held:
+            at = hashlib.sha256(t.encode()).digest()
+            k, n = expected.get(at, (i, 0))
+            expected[at] = (max(i, k), n + 1)
+        assert live_entries(index) == expected
 
 
 # --- 6: decontamination
