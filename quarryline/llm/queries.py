@@ -118,7 +118,7 @@ from sd join si using (s) join n on n.id = si.id group by sd.id, si.id having co
 """,
     "op8_chat_format": """
 with c as (select conv_id, list(struct_pack(r := coalesce(role, 'unknown'), t := coalesce(text, '')) order by turn nulls first, role nulls first, text nulls first) l from conversations group by conv_id)
-select conv_id, 0 part, len(l) n_turns, array_to_string(list_transform(l, lambda x: '<|' || x.r || E'|>\\n' || x.t || E'\\n<|end|>'), E'\\n') text
+select conv_id, len(l) n_turns, array_to_string(list_transform(l, lambda x: '<|' || x.r || E'|>\\n' || x.t || E'\\n<|end|>'), E'\\n') text
 from c where not exists (select 1 from c d where len(d.l) > len(c.l) and d.l[1:len(c.l)] = c.l)
 """,
 }

@@ -630,22 +630,34 @@ def test_candidates_brute(spark):
 
 def test_collapse_and_render(spark):
     say = [("user", "a"), ("assistant", "b"), ("user", "c"), (None, None), ("user", "e")]
-    rows = [(1, k, *say[k]) for k in range(2)] + [(2, k, *say[k]) for k in range(5)] + [(3, k, *say[k]) for k in range(5)] + [(4, 0, "user", "b"), (None, 0, "user", "z"), (5, None, "user", "a"), (6, 7, "user", "a"), (6, 7, "user", "q")]
+    rows = [(1, k, *say[k]) for k in range(2)] + [(2, k, *say[k]) for k in range(5)] + [(3, k, *say[k]) for k in range(5)] + [(4, 0, "user", "b"), (None, 0, "user", "z"), (5, None, "user", "a"), (6, 7, "user", "a"), (6, 7, "user", "q"), (6, 7, "user", "q")]
     schema = "conv_id long, turn long, role string, text string"
-    df = spark.createDataFrame(rows, schema).selectExpr("*", "1 as block", "2 as pos", "'x' as h1")
-    for block in (2048, 2):
-        got = {(r.conv_id, r.part): (r.n_turns, r.text) for r in chat_format.render(df, block).collect()}
-        assert {k for k, _ in got} == {2, 3, 4, None, 6}
-        whole = "\n".join(got[k][1] for k in sorted(x for x in got if x[0] == 2))
-        assert whole == "\n".join(f"<|{r or 'unknown'}|>\n{t or ''}\n<|end|>" for r, t in say) and got[2, 0][0] == 5
+    df = spark.createDataFrame(rows, schema).selectExpr("*", "1 as block", "2 as pos", "'x' as h1", "0 as n_turns", "1 as tie", "1 as seq")
+    shown = lambda turns: "\n".join(f"<|{r or 'unknown'}|>\n{t or ''}\n<|end|>" for r, t in turns)
+    for ranges in (1, 7):
+        got = {r.conv_id: (r.n_turns, r.text) for r in chat_format.render(df, ranges).collect()}
+        assert got == {2: (5, shown(say)), 3: (5, shown(say)), 4: (1, shown([("user", "b")])), None: (1, shown([("user", "z")])), 6: (3, shown([("user", "a"), ("user", "q"), ("user", "q")]))}
     assert chat_format.render(df.limit(0)).count() == 0
 
 
-def test_collapse_brute(spark):
+def test_long_conversations_are_one_row(spark):
+    """Thousands of turns, turns without a number, and turns of one number: one row each, in order, and prefixes are found."""
+    schema = "conv_id long, turn long, role string, text string"
+    long = [(1, k, "user", f"t{k}") for k in range(5000)]
+    rows = long + [(2, *r[1:]) for r in long[:4000]] + [(3, None, "user", f"n{k:04}") for k in range(3000)] + [(4, 9, "user", "same")] * 3000
+    for ranges in (2, 13):
+        got = {r.conv_id: r for r in chat_format.render(spark.createDataFrame(rows, schema), ranges).collect()}
+        assert {k: r.n_turns for k, r in got.items()} == {1: 5000, 3: 3000, 4: 3000}
+        assert got[1].text == "\n".join(f"<|user|>\nt{k}\n<|end|>" for k in range(5000))
+        assert got[3].text == "\n".join(f"<|user|>\nn{k:04}\n<|end|>" for k in range(3000))
+
+
+@pytest.mark.parametrize("ranges", [1, 5])
+def test_collapse_brute(spark, ranges):
     rng = np.random.default_rng(9)
     convs = [tuple(("user", str(x)) for x in rng.integers(0, 2, rng.integers(1, 6))) for _ in range(80)]
     rows = [(c, t, r, x) for c, conv in enumerate(convs) for t, (r, x) in enumerate(conv)]
-    got = {r.conv_id for r in chat_format.maximal(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), 3).collect()}
+    got = {r.conv_id for r in chat_format.maximal(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), ranges).collect()}
     assert got == {c for c, conv in enumerate(convs) if not any(len(o) > len(conv) and o[: len(conv)] == conv for o in convs)}
 
 
