@@ -62,7 +62,7 @@ def coin_names(df: DataFrame, tries: int = 6) -> DataFrame:
     All tries are made at once and competed for by one aggregation a round, so that no name depends on
     the order in which rows arrive.
     """
-    from quarryline.operators.graph import snapshot
+    from quarryline.operators.snapshots import snapshot
 
     left = snapshot(df.select("id", "seed"))
     done = None

@@ -2,28 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def snapshot(df: DataFrame) -> DataFrame:
-    """Writes an iteration's table to the shared folder and reads it back, which cuts the lineage.
-
-    The folder is ``spark.checkpoint.dir``; a temporary one is used only where that is unset.
-    """
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = getattr(spark, "_quarryline_snapshots", None) or f"file://{tempfile.mkdtemp(prefix='quarryline-')}"
-        spark._quarryline_snapshots = folder
-    path = f"{folder.rstrip('/')}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from quarryline.operators.snapshots import snapshot
 
 
 def both_ways(edges: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.operators.snapshots import snapshot
 from quarryline.operators.windows import average_rank
 
 
@@ -74,8 +75,6 @@ def bradley_terry(contests: DataFrame, rounds: int = 200, tolerance: float = 1e-
     Each round is a join and an aggregation over the distinct pairs; the driver sees one number. Pairs
     must connect, and every player must have won and lost, or strengths would diverge (refused).
     """
-    from quarryline.operators.graph import snapshot
-
     pairs = contests.where("winner <> loser").groupBy("winner", "loser").agg(F.sum("n").alias("n"))
     both = snapshot(pairs.select(F.col("winner").alias("a"), F.col("loser").alias("b"), F.col("n").alias("won"), "n").union(pairs.select(F.col("loser").alias("a"), F.col("winner").alias("b"), F.lit(0).cast("long").alias("won"), "n")).groupBy("a", "b").agg(F.sum("won").alias("won"), F.sum("n").alias("n")))
     record = both.groupBy("a").agg(F.sum("won").alias("wins"), F.sum("n").alias("games"))
@@ -98,8 +97,6 @@ def gradient_share(edges: DataFrame, rounds: int = 300, tolerance: float = 1e-9)
 
     Least-squares potentials by damped Jacobi sweeps, each a join and an average.
     """
-    from quarryline.operators.graph import snapshot
-
     both = snapshot(edges.select("a", "b", "y").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), -F.col("y"))))
     p = snapshot(both.select(F.col("a").alias("v")).distinct().withColumn("p", F.lit(0.0)))
     for _ in range(rounds):

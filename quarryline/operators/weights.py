@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.operators.graph import snapshot
+from quarryline.operators.snapshots import snapshot
 
 #: Mean consistency index of random matrices by size (fixed values).
 RANDOM_INDEX = [0.0, 0.0, 0.0, 0.58, 0.90, 1.12, 1.24, 1.32, 1.41, 1.45, 1.49]
