@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.rolling import PUNCTUATION, shingle_hashes
-from quarryline.llm.shared import sliced
+from quarryline.llm.shared import bounded, sliced
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -171,7 +171,7 @@ def contained(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold:
             return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=_COLUMNS)
 
         types = [pa.string() if k == "string" else pa.int32() if k == "int" else pa.int64() for k in kind]
-        part = docs.select("doc_id", "text").mapInArrow(run, schema)
+        part = bounded(docs).select("doc_id", "text").mapInArrow(run, schema)
         out = part if out is None else out.union(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
@@ -189,5 +189,5 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: floa
                 leaks = {d for d, *_ in searcher.search(range(len(texts)), texts)}
                 yield batch.filter(pa.array([k not in leaks for k in range(len(texts))], pa.bool_())) if leaks else batch
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = bounded(docs).mapInArrow(run, docs.schema)
     return docs

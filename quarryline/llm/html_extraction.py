@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarryline.llm.shared import cut, sliced
+from quarryline.llm.shared import bounded, cut, sliced
 
 #: A class must occur on this many pages of a host, and on this share of them (which bounds a host's classes).
 LEAST_PAGES = 3
@@ -432,7 +432,7 @@ def tokens(pages: DataFrame) -> DataFrame:
             kinds = [pa.string(), pa.int64(), pa.int32(), *[pa.int64()] * 11]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * len(names), kinds)], names=names)
 
-    counted = pages.select(host_of().alias("host"), "page_id", "url", "html").mapInArrow(run, _TOKENS)
+    counted = bounded(pages).select(host_of().alias("host"), "page_id", "url", "html").mapInArrow(run, _TOKENS)
     sums = [F.sum(c).alias(c) for c in ("core", "main", "out", "wraps", "pages", "chars", "total", "v1", "v2")]
     return counted.groupBy("host", "token", "kind").agg(F.max("parent").alias("parent"), F.max("words").alias("words"), *sums)
 
@@ -528,4 +528,4 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(texts, pa.string())], names=["page_id", "url", "host", "text"])
 
     kind = pages.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "host", "html", *parts).mapInArrow(run, f"page_id {kind}, url string, host string, text string")
+    return bounded(joined).select("page_id", "url", "host", "html", *parts).mapInArrow(run, f"page_id {kind}, url string, host string, text string")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,25 +10,25 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarryline.operators.snapshots import snapshot
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = getattr(spark, "_quarryline_shared", None) or f"file://{tempfile.mkdtemp(prefix='quarryline-')}"
-        spark._quarryline_shared = folder
-    return folder.rstrip("/")
 
+#: Bytes of an Arrow batch on its way to Python, where the session leaves Spark's default.
+BATCH_BYTES = 4 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
 
-    Later jobs start from the files, so a lost executor costs a task, not the lineage.
-    """
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, after its session's Arrow batches are bounded: whole texts at 64 MB a batch would hold several times that in each task."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if spark.conf.get(_BATCHES) == "67108864b":
+        spark.conf.set(_BATCHES, str(BATCH_BYTES))
+    return df
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """A snapshot of ``df`` in the shared folder."""
+    return snapshot(df, name)
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quarryline.llm.components import components
 from quarryline.llm.rolling import mix, shingle_hashes
-from quarryline.llm.shared import cut, sliced
+from quarryline.llm.shared import bounded, cut, sliced
 
 SEED = 42
 # The wide sketch of similar_links: lanes of 64 bits, bands of MinHash values, and the radius of candidates
@@ -40,7 +40,7 @@ LANE_NAMES = [f"l{k}" for k in range(LANES)]
 #: Fingerprints that one group may hold before its key is refined.
 BLOCK = 4096
 #: Shingles of the documents that one group verifies.
-GROUP_SHINGLES = 1 << 23
+GROUP_SHINGLES = 1 << 22
 #: Shingles hashed before their bits are added up, and queries that one bit-sliced pass compares.
 SHINGLES = 1 << 15
 QUERIES = 256
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             fps = np.array([fingerprint(t, width) for t in rows.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(batch, "doc_id long, fp long")
+    return bounded(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(batch, "doc_id long, fp long")
 
 
 def bit_planes(values: np.ndarray) -> np.ndarray:
@@ -320,7 +320,7 @@ def sketches(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *LANE_NAMES, "same", "keys"])
 
     schema = f"doc_id long, {', '.join(f'{n} long' for n in LANE_NAMES)}, same long, keys array<long>"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return bounded(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
 
 
 def shingle_sets(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
@@ -334,7 +334,7 @@ def shingle_sets(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), sets], names=["key", "node", *LANE_NAMES, "shingles"])
 
     schema = f"key long, node long, {', '.join(f'{n} long' for n in LANE_NAMES)}, shingles array<long>"
-    return docs.select("key", "node", "text").mapInArrow(run, schema)
+    return bounded(docs).select("key", "node", "text").mapInArrow(run, schema)
 
 
 def verified_links(ids: np.ndarray, values: np.ndarray, sets: list[np.ndarray], radius: int, least: tuple[int, int] = SIMILAR) -> tuple[list[int], list[int]]:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.rolling import anchors, window_hashes, word_hashes
-from quarryline.llm.shared import shuffle_partitions, sliced, text_bytes
+from quarryline.llm.shared import bounded, shuffle_partitions, sliced, text_bytes
 
 LENGTH = 20
 #: Words of the runs that anchors are taken from.
@@ -149,7 +149,7 @@ def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int) ->
         if keys:
             yield from flush()
 
-    return _named(docs).select("id", "tag", "text").mapInArrow(run, _PACKED)
+    return _named(bounded(docs)).select("id", "tag", "text").mapInArrow(run, _PACKED)
 
 
 def _earlier(n_buckets: int):
@@ -235,4 +235,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **sizes) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_text string")
+    return bounded(joined).mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_text string")

@@ -1,37 +1,43 @@
 """Toxicity: a character n-gram linear classifier with naive Bayes log-count ratios (NB-SVM style).
 
 Features are the presence of hashed character n-grams of the whole lower-cased text. Counts of
-n-grams by label are added up in Spark and give the log-count ratio of each feature; a logistic
-regression is trained on the ratios of the features present, over the features whose ratio stands
-out most. Scoring reads each text once, with numpy on code points inside Arrow batches.
-
-The classifier is fitted on a bounded sample of labelled rows (``PER_CLASS`` of each label, chosen
-by a hash of the id); the held-out fold is never read for it. Defined cases: a null or empty text
+n-grams by label are added up in Spark and give the log-count ratio of each feature. Every feature
+whose ratio differs from zero by ``SIGNIFICANT`` standard errors takes part, scaled by its ratio, in a logistic
+regression; the others carry nothing but noise. Its loss and gradient are added up in Spark tasks over
+the sample's feature sets, and the driver takes L-BFGS steps. Scoring reads each text once, with
+numpy on code points inside Arrow batches.
+
+The classifier is fitted on a bounded sample of labelled rows (at most ``PER_CLASS`` rows of each label,
+chosen by a hash of the id); the held-out fold is never read for it. Defined cases: a null or empty text
 has no features and gets the intercept's score; a null ``doc_id`` is scored and not held out; labels
 that are null or without a document are left out; a document labelled twice counts as toxic if any
-label says so; with no usable labels every score is 0; further columns are ignored.
+label says so; rows that repeat an id count as rows of the sample; with no usable labels every score is
+0; further columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quarryline.llm.shared import sliced
+from quarryline.llm.shared import bounded, cut, sliced
 
 #: Labelled rows of each class that the classifier is fitted on, at most.
 PER_CLASS = 8_000
 SIZES = (3, 4, 5, 6)
 BITS = 20
-#: Features that the linear model uses, and the documents in which each must occur.
-FEATURES = 2_500
-LEAST_DOCS = 4
+#: Standard errors by which a feature's log-count ratio differs from zero.
+SIGNIFICANT = 3.0
+#: Tasks that a step of the fit runs in, and the steps at most.
+FIT_TASKS = 6
+STEPS = 40
 #: Characters worked on at a time.
 PIECE = 1 << 20
 HELD_OUT = 5
@@ -97,13 +103,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_
     """text, y of the sample; at most ``per_class`` rows of each class, so the id list may be broadcast."""
     usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~in_fold())
     usable = usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
-    parts = [usable.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in (0, 1)]
+    counted = usable.join(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "doc_id")
+    parts = []
+    for y in (0, 1):
+        first = counted.where(F.col("y") == y).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(per_class)
+        rows = F.sum("n").over(Window.partitionBy("y").orderBy("h", "doc_id"))  # over per_class rows at most
+        parts.append(first.withColumn("rows", rows).where(F.col("rows") <= per_class).select("doc_id", "y"))
     sample = parts[0].union(parts[1])
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "y")
 
 
 def _log_ratios(rows: DataFrame, totals: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """The features that stand out most and their naive Bayes log-count ratios."""
+    """The features that stand out and their naive Bayes log-count ratios; at most 2 ** BITS."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, 1 << BITS), np.int64)
@@ -120,43 +131,84 @@ def _log_ratios(rows: DataFrame, totals: tuple[int, int]) -> tuple[np.ndarray, n
     p, q = (F.col("yes") + 1) / F.lit(n1 + 2.0), (F.col("no") + 1) / F.lit(n0 + 2.0)
     ratio = F.log(p) - F.log(q)
     spread = F.sqrt(1 / (F.col("yes") + 1.0) + 1 / (F.col("no") + 1.0))
-    best = counted.where(F.col("yes") + F.col("no") >= LEAST_DOCS).select("feature", ratio.alias("r"), F.abs(ratio / spread).alias("z"))
-    got = sorted((r.feature, r.r) for r in best.orderBy(F.desc("z"), "feature").limit(FEATURES).collect())
-    return np.array([g[0] for g in got], np.int64), np.array([g[1] for g in got])
+    stands_out = counted.select("feature", ratio.alias("r")).where(F.abs(ratio / spread) >= SIGNIFICANT)
+    got = stands_out.orderBy("feature").toArrow()
+    return got.column("feature").to_numpy().astype(np.int64), got.column("r").to_numpy()
+
 
+def _loss(sets: DataFrame, w: np.ndarray, b: float, weights: tuple[float, float]) -> tuple[float, np.ndarray]:
+    """The weighted logistic loss summed over the sample, and its gradient by ``w`` and ``b`` (the last entry)."""
+    sent = sets.sparkSession.sparkContext.broadcast((w, b))
 
-def _fit(groups: list[np.ndarray], y: np.ndarray, ratios: np.ndarray, rounds: int = 300, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
-    """Logistic regression on the ratios of present features, by accelerated gradient steps.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, b = sent.value
+        loss, gradient = 0.0, np.zeros(len(w) + 1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            y = batch.column(1).to_numpy().astype(float)
+            found = [np.frombuffer(x, np.int32) for x in batch.column(0).to_pylist()]
+            size = np.array([len(x) for x in found])
+            feature, at = np.concatenate(found), np.repeat(np.arange(len(found)), size)
+            z = np.bincount(at, w[feature], len(found)) + b
+            cost = np.where(y == 1, weights[1], weights[0])
+            loss += float(cost @ (np.logaddexp(0, z) - y * z))
+            error = cost * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
+            gradient[:-1] += np.bincount(feature, error[at], len(w))
+            gradient[-1] += error.sum()
+        yield pa.RecordBatch.from_arrays([pa.array([loss]), pa.array([gradient.tobytes()], pa.binary())], names=["loss", "gradient"])
+
+    rows = sets.mapInArrow(run, "loss double, gradient binary").collect()  # one row a task
+    sent.destroy()
+    return sum(r.loss for r in rows), reduce(np.add, (np.frombuffer(r.gradient) for r in rows), np.zeros(len(w) + 1))
+
+
+def _fit(sets: DataFrame, totals: tuple[int, int], ratios: np.ndarray, ridge: float = RIDGE) -> tuple[np.ndarray, float]:
+    """Coefficients of the scaled features and the intercept, by L-BFGS steps.
 
     The rarer class weighs more, by the square root of the classes' ratio.
     """
-    sizes = np.array([len(g) for g in groups])
-    at, feature = np.repeat(np.arange(len(groups), dtype=np.int32), sizes), np.concatenate(groups).astype(np.int32)
-    value = ratios[feature].astype(np.float32)
-    weight = np.where(y == 1, ((y == 0).sum() / max(1, (y == 1).sum())) ** 0.5, 1.0)
-    weight /= weight.mean()
-    norms = np.bincount(at, value * value, len(y))
-    step = 4.0 * len(y) ** 0.5 / (float(np.percentile(norms, 95)) + 1)
-    w, b = np.zeros(len(ratios)), float(np.log((y @ weight) / (weight.sum() - y @ weight)))
-    u, c, t, best = w.copy(), b, 1.0, np.inf
-    for _ in range(rounds):
-        z = np.bincount(at, value * u[feature], len(y)) + c
-        loss = float(np.mean(weight * (np.logaddexp(0, z) - y * z))) + ridge / 2 * float(u @ u)
-        if loss > best + 1e-3:  # too long a step
-            step, u, c, t = step / 2, w.copy(), b, 1.0
-            continue
-        best = min(best, loss)
-        g = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / len(y)
-        w_next = u - step * (np.bincount(feature, value * g[at], len(ratios)) + ridge * u)
-        b_next = c - step * float(g.sum()) / len(y) ** 0.5
-        t_next = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        u, c = w_next + (t - 1) / t_next * (w_next - w), b_next + (t - 1) / t_next * (b_next - b)
-        w, b, t = w_next, b_next, t_next
-    return w, b
+    n = sum(totals)
+    weights = np.array([1.0, (totals[0] / totals[1]) ** 0.5])
+    weights *= n / (weights @ totals)
+
+    def value(v: np.ndarray) -> tuple[float, np.ndarray]:
+        loss, gradient = _loss(sets, ratios * v[:-1], v[-1], (weights[0], weights[1]))
+        gradient = gradient / n
+        gradient[:-1] = gradient[:-1] * ratios + ridge * v[:-1]
+        return loss / n + ridge / 2 * float(v[:-1] @ v[:-1]), gradient
+
+    v = np.zeros(len(ratios) + 1)
+    v[-1] = np.log(weights[1] * totals[1] / (weights[0] * totals[0]))
+    loss, gradient = value(v)
+    pairs: list[tuple[np.ndarray, np.ndarray]] = []  # of the last steps: the step and the gradient's change
+    for _ in range(STEPS):
+        way = gradient.copy()
+        used = []
+        for s, y in reversed(pairs):
+            used.append((s @ way) / (s @ y))
+            way -= used[-1] * y
+        way *= (pairs[-1][0] @ pairs[-1][1]) / (pairs[-1][1] @ pairs[-1][1]) if pairs else 1 / max(1e-12, float(np.linalg.norm(gradient)))
+        for (s, y), a in zip(pairs, reversed(used)):
+            way += (a - (y @ way) / (s @ y)) * s
+        length = 1.0
+        while True:
+            new = v - length * way
+            new_loss, new_gradient = value(new)
+            if new_loss <= loss - 1e-4 * length * float(gradient @ way) or length < 1e-6:
+                break
+            length /= 2
+        if (new_gradient - gradient) @ (new - v) > 1e-12:
+            pairs = [*pairs[-9:], (new - v, new_gradient - gradient)]
+        small = loss - new_loss < 1e-3 * max(loss, 1e-2)
+        v, loss, gradient = new, new_loss, new_gradient
+        if small:
+            break
+    return v[:-1], float(v[-1])
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> Model:
-    rows = training_rows(docs, labels, label, per_class)
+    rows = training_rows(bounded(docs), labels, label, per_class)
     totals = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals.get(1) or not totals.get(0):
         return Model(np.zeros(0, np.int64), np.zeros(0), 0.0 if totals.get(1) else -50.0)
@@ -168,9 +220,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: i
             sets = [present(t, place).astype(np.int32) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([s.tobytes() for s in sets], pa.binary()), batch.column(1)], names=["set", "y"])
 
-    got = rows.mapInArrow(chosen, "set binary, y int").toArrow()
-    groups = [np.frombuffer(s, np.int32) for s in got.column("set").to_pylist()]
-    w, b = _fit(groups, got.column("y").to_numpy().astype(float), ratios)
+    sets = cut(rows.mapInArrow(chosen, "set binary, y int").repartition(FIT_TASKS), "sets")
+    w, b = _fit(sets, (totals[0], totals[1]), ratios)
     return Model(features, w * ratios, b)
 
 
@@ -194,7 +245,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores = [held.score(present(t, table)) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
+    return bounded(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
