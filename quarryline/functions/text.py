@@ -2,24 +2,50 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Sentence pieces shorter or longer than this are tallied and dropped.
 UNIT_SHORT, UNIT_LONG = 20, 400
-#: Letters with diacritics of the Latin-1 range and their base letters (fixed values).
-ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿñç"
-PLAIN = "aaaaaaeeeeiiiiooooouuuuyync"
+
+
+@lru_cache(maxsize=1)
+def _decompositions() -> tuple[str, str, list[tuple[str, str]]]:
+    """Characters whose compatibility decomposition without marks is one other character, those characters, and the ligatures of letters.
+
+    Made from Unicode's own rule (NFKD), so that folding runs inside Spark's expressions.
+    """
+    one, to, more = [], [], []
+    for code in range(0x80, 0x30000):
+        c = chr(code)
+        if 0xD800 <= code < 0xE000 or 0xAC00 <= code < 0xD7A4:
+            continue
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower()
+        if len(plain) == 1 and plain != c:
+            one.append(c)
+            to.append(plain)
+        elif len(plain) > 1 and plain.isascii() and plain.isalpha() and c.isalpha():
+            more.append((c, plain))
+    return "".join(one), "".join(to), more
 
 
 def fold(c: Column | str) -> Column:
-    """Lower case without Latin-1 diacritics."""
-    return F.translate(F.lower(_col(c)), ACCENTED, PLAIN)
+    """Lower case without diacritics: NFKD without combining marks, for all scripts."""
+    one, to, more = _decompositions()
+    c = F.regexp_replace(F.translate(F.lower(_col(c)), one, to), r"\p{M}+", "")
+    ligature = "[" + "".join(x for x, _ in more) + "]"
+    apart = c
+    for x, plain in more:
+        apart = F.replace(apart, F.lit(x), F.lit(plain))
+    return F.when(c.rlike(ligature), apart).otherwise(c)
 
 
 def name_key(c: Column | str) -> Column:
-    """Join key of a name: trailing parentheses off, folded, letters and digits only."""
-    return F.regexp_replace(fold(F.regexp_replace(_col(c), r"\s*\([^)]*\)\s*$", "")), "[^a-z0-9]", "")
+    """Join key of a name: trailing parentheses off, folded, letters and digits of any script only."""
+    return F.regexp_replace(fold(F.regexp_replace(_col(c), r"\s*\([^)]*\)\s*$", "")), r"[^\p{L}\p{N}]", "")
 
 
 def letters_key(c: Column | str) -> Column:
@@ -35,8 +61,8 @@ def split_qualifier(c: Column | str) -> Column:
 
 
 def tokens(c: Column | str, least: int = 1) -> Column:
-    """Distinct lower-case ASCII words of at least ``least`` letters."""
-    words = F.split(F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]+", " "), " ")
+    """Distinct lower-case words, of letters and digits of any script, of at least ``least`` characters."""
+    words = F.split(F.regexp_replace(F.lower(_col(c)), r"[^\p{L}\p{N}]+", " "), " ")
     return F.array_distinct(F.filter(words, lambda w: F.length(w) >= least))
 
 

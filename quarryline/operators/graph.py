@@ -16,7 +16,7 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return one.select("a", "b", "w").union(one.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")).groupBy("a", "b").agg(F.max("w").alias("w"))
 
 
-def components(edges: DataFrame, threshold: float, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, threshold: float, rounds: int = 100) -> DataFrame:
     """node, component (its smallest member) over edges of at least ``threshold``; isolates are absent.
 
     Labels jump along labels (pointer doubling), so rounds grow with the logarithm of the diameter.
@@ -30,12 +30,15 @@ def components(edges: DataFrame, threshold: float, rounds: int = 50) -> DataFram
         new = snapshot(new.select("node", F.least("low", F.coalesce("jump", "low")).alias("component"), (F.least("low", F.coalesce("jump", "low")) != F.col("component")).alias("changed")))
         label = new.select("node", "component")
         if new.where("changed").isEmpty():
-            break
-    return label
+            return label
+    raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def distances(edges: DataFrame, start: DataFrame, rounds: int = 30) -> DataFrame:
-    """node, origin, distance: least sum of 1 / w from each start node, by rounds of relaxation."""
+def distances(edges: DataFrame, start: DataFrame, rounds: int = 10_000) -> DataFrame:
+    """node, origin, distance: least sum of 1 / w from each start node, by rounds of relaxation until none changes.
+
+    There are as many rounds as the longest least path has edges; beyond ``rounds`` it is refused.
+    """
     links = snapshot(both_ways(edges).select("a", "b", (1.0 / F.col("w")).alias("d")))
     best = snapshot(start.select(F.col("node"), F.col("node").alias("origin"), F.lit(0.0).alias("distance")))
     for _ in range(rounds):
@@ -43,11 +46,11 @@ def distances(edges: DataFrame, start: DataFrame, rounds: int = 30) -> DataFrame
         new = snapshot(best.select("*", F.col("distance").alias("old")).unionByName(reach.withColumn("old", F.lit(None).cast("double"))).groupBy("node", "origin").agg(F.min("distance").alias("distance"), F.min("old").alias("old")))
         best = new.select("node", "origin", "distance")
         if new.where("old is null or distance < old - 1e-12").isEmpty():
-            break
-    return best
+            return best
+    raise RuntimeError(f"distances did not settle in {rounds} rounds")
 
 
-def eccentricity(edges: DataFrame, rounds: int = 30) -> DataFrame:
+def eccentricity(edges: DataFrame, rounds: int = 10_000) -> DataFrame:
     """node, eccentricity (most hops to any node it reaches), reached (how many), by multi-source search."""
     hops = both_ways(edges).select("a", "b", F.lit(1.0).alias("w"))
     nodes = hops.select(F.col("a").alias("node")).distinct()
@@ -55,15 +58,19 @@ def eccentricity(edges: DataFrame, rounds: int = 30) -> DataFrame:
     return d.groupBy(F.col("origin").alias("node")).agg(F.max("distance").cast("int").alias("eccentricity"), (F.count(F.lit(1)) - 1).alias("reached"))
 
 
-def complete_linkage(edges: DataFrame, threshold: float) -> DataFrame:
+def complete_linkage(edges: DataFrame, threshold: float, most: int = 5_000) -> DataFrame:
     """node, cluster: merges the pair of clusters whose weakest cross link is strongest, down to ``threshold``.
 
-    Clusters never cross connected components, so each component is one bounded group (of sources).
+    Clusters never cross connected components. A component is one dense matrix, so one of more than
+    ``most`` nodes is refused: the nodes are sources, a small dimension, and not rows.
     """
     if threshold <= 0:
         raise ValueError("the threshold must be positive")
     strong = both_ways(edges.where(F.col("w") >= threshold))
     label = components(edges, threshold)
+    largest = label.groupBy("component").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > most:
+        raise ValueError(f"a component has {largest} nodes, and linkage takes {most}; raise the threshold")
     grouped = strong.join(label.select(F.col("node").alias("a"), "component"), "a").where("a < b")
     kind = label.schema["node"].dataType.simpleString()
 

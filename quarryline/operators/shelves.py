@@ -39,12 +39,15 @@ def _cut(bonds: np.ndarray, span: int) -> list[int]:
     return sorted(chosen)
 
 
-def shelve(edges: DataFrame, members: DataFrame, group: str, span: int = 7, depth: int = 3) -> DataFrame:
+def shelve(edges: DataFrame, members: DataFrame, group: str, span: int = 7, depth: int = 3, most: int = 5_000) -> DataFrame:
     """member, path (``depth`` branch numbers, each below ``span``) for the members of each group.
 
-    ``members`` is (group, member); edges (a, b, w) count inside a group. A group is a bounded set of
-    sources: the walk is sequential.
+    ``members`` is (group, member); edges (a, b, w) count inside a group. The walk is sequential on a
+    dense matrix, so a group of more than ``most`` members (sources, a small dimension) is refused.
     """
+    largest = members.groupBy(group).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > most:
+        raise ValueError(f"a group has {largest} members, and shelving takes {most}")
     kind = members.schema[group].dataType.simpleString()
     inside = both_ways(edges).join(members.select(F.col("member").alias("a"), group), "a").join(members.select(F.col("member").alias("b"), F.col(group).alias("_g")), "b").where(F.col(group).eqNullSafe(F.col("_g")))
     linked = inside.select(group, "a", "b", "w").unionByName(members.select(group, F.col("member").alias("a"), F.col("member").alias("b"), F.lit(0.0).alias("w")))

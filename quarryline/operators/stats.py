@@ -6,7 +6,7 @@ import math
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarryline.operators.snapshots import snapshot
@@ -61,7 +61,7 @@ def dominance(vectors: DataFrame, ident: str, columns: Sequence[str]) -> DataFra
     """
     a = vectors.select(F.col(ident).alias("a"), F.struct(*columns).alias("x"))
     b = vectors.select(F.col(ident).alias("b"), F.struct(*columns).alias("y"))
-    pairs = a.join(F.broadcast(b), F.col("a") != F.col("b"))
+    pairs = a.join(b, F.col("a") != F.col("b"))
     ge = F.lit(True)
     le = F.lit(True)
     for c in columns:
@@ -69,7 +69,7 @@ def dominance(vectors: DataFrame, ident: str, columns: Sequence[str]) -> DataFra
     return pairs.groupBy(F.col("a").alias(ident)).agg(F.count_if(ge & ~le).alias("dominates"), F.count_if(le & ~ge).alias("dominated"), F.count_if(ge & le).alias("tied"), F.count_if(~ge & ~le).alias("incomparable"))
 
 
-def bradley_terry(contests: DataFrame, rounds: int = 200, tolerance: float = 1e-10) -> DataFrame:
+def bradley_terry(contests: DataFrame, rounds: int = 2000, tolerance: float = 1e-10) -> DataFrame:
     """player, strength (mean log 0) from (winner, loser, n) by minorise-maximise steps.
 
     Each round is a join and an aggregation over the distinct pairs; the driver sees one number. Pairs
@@ -88,11 +88,11 @@ def bradley_terry(contests: DataFrame, rounds: int = 200, tolerance: float = 1e-
         new = snapshot(new.crossJoin(F.broadcast(scale)).select(F.col("a").alias("player"), (F.col("raw") / F.col("g")).alias("s"), F.abs(F.log(F.col("raw") / F.col("g")) - F.log("sa")).alias("moved")))  # scale is one row
         strength = new.select("player", "s")
         if new.agg(F.max("moved")).first()[0] < tolerance:
-            break
-    return strength.select("player", F.log("s").alias("strength"))
+            return strength.select("player", F.log("s").alias("strength"))
+    raise RuntimeError(f"strengths did not settle in {rounds} rounds")
 
 
-def gradient_share(edges: DataFrame, rounds: int = 300, tolerance: float = 1e-9) -> DataFrame:
+def gradient_share(edges: DataFrame, rounds: int = 2000, tolerance: float = 1e-9) -> DataFrame:
     """eta: the share of an antisymmetric flow (a, b, y) that a potential explains; the rest is cyclic.
 
     Least-squares potentials by damped Jacobi sweeps, each a join and an average.
@@ -105,26 +105,42 @@ def gradient_share(edges: DataFrame, rounds: int = 300, tolerance: float = 1e-9)
         p = new.select("v", "p")
         if new.agg(F.max("moved")).first()[0] < tolerance:
             break
+    else:
+        raise RuntimeError(f"potentials did not settle in {rounds} rounds")
     fitted = edges.join(p.select(F.col("v").alias("a"), F.col("p").alias("pa")), "a").join(p.select(F.col("v").alias("b"), F.col("p").alias("pb")), "b")
     explained, total = F.sum(F.pow(F.col("pb") - F.col("pa"), 2)), F.sum(F.col("y") * F.col("y"))
     return fitted.agg(F.count(F.lit(1)).alias("edges"), F.try_divide(explained, total).alias("eta"))
 
 
-def null_threshold(occurrences: DataFrame, member: str, key: str, trials: int = 8, share: float = 0.99, seed: int = 20) -> DataFrame:
-    """trial, threshold: the ``share`` quantile of pair counts when each key's members are drawn at random.
+def null_threshold(occurrences: DataFrame, member: str, key: str, weight: str, trials: int = 40, share: float = 0.999, seed: int = 20) -> DataFrame:
+    """trial, threshold: what pair weights arise by chance, as the ``share`` quantile (nearest rank) of each trial.
 
-    Members are replaced by a hash of (trial, key, slot) over the member list's size, so every trial is
-    a projection of the same rows and all trials run as one job.
+    Every key keeps the number of its members and its weight, and its members are drawn anew without
+    repeats: of all members, those with the least hashes of (trial, key, member). Members are the bounded
+    side (sources), so a key's draw is one small sort. ``occurrences`` is (member, key, weight) without
+    repeats; keys of one member make no pair and are left out. The median of the trials is the threshold.
     """
-    members = occurrences.select(member).distinct().count()
-    drawn = occurrences.select(key, member).withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))
-    drawn = drawn.select("trial", key, F.pmod(F.xxhash64(F.lit(seed), F.col("trial"), F.col(key), F.col(member)), F.lit(members)).alias("m")).distinct()
-    pairs = drawn.alias("x").join(drawn.alias("y"), ["trial", key]).where("x.m < y.m").groupBy("trial", F.col("x.m").alias("a"), F.col("y.m").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    return pairs.groupBy("trial").agg(F.percentile("n", F.lit(share)).alias("threshold"))
+    every = occurrences.select(member).distinct().agg(F.sort_array(F.collect_set(member)).alias("every"))
+    sizes = occurrences.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("n"), F.max(weight).alias("w")).where("n > 1")
+    trial = sizes.crossJoin(every).withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))  # every is one row of members
+    scored = F.transform("every", lambda m: F.struct(F.xxhash64(F.lit(seed), F.col("trial"), F.col(key), m).alias("h"), m.alias("m")))
+    drawn = F.array_sort(F.transform(F.slice(F.array_sort(scored), F.lit(1), F.col("n")), lambda s: s["m"]))
+    pairs = F.flatten(F.transform("drawn", lambda a, i: F.transform(F.slice("drawn", i + 2, F.size("drawn")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    each = trial.select("trial", "w", drawn.alias("drawn")).select("trial", "w", F.explode(pairs).alias("p"))
+    totals = each.groupBy("trial", "p.a", "p.b").agg(F.sum("w").alias("w"))
+    by = Window.partitionBy("trial")
+    ranked = totals.select("trial", "w", F.row_number().over(by.orderBy("w")).alias("r"), F.count(F.lit(1)).over(by).alias("n"))  # one row a pair of members
+    return ranked.where(F.col("r") == F.least(F.col("n"), F.floor(F.col("n") * share) + 1)).select("trial", F.col("w").alias("threshold"))
 
 
 def at_least_one(spark, log10_median: float, sigma: float, samples: int = 200_000, seed: int = 20) -> DataFrame:
-    """Monte-Carlo mean of 1 - exp(-x) for a log-normal x, beside the value at its median."""
-    x = F.pow(F.lit(10.0), F.lit(log10_median) + F.randn(seed) * sigma)
+    """Monte-Carlo mean of 1 - exp(-x) for a log-normal x, beside the value at its median.
+
+    Normal deviates come from two hashes of the sample's number (Box and Muller), so that the result
+    does not depend on how the samples are partitioned.
+    """
+    uniform = lambda salt: (F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.col("id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    normal = F.sqrt(-2 * F.ln(uniform("radius"))) * F.cos(2 * math.pi * uniform("angle"))
+    x = F.pow(F.lit(10.0), F.lit(log10_median) + normal * sigma)
     drawn = spark.range(samples).select((1 - F.exp(-x)).alias("p"))
     return drawn.agg(F.avg("p").alias("mean"), F.lit(1 - math.exp(-(10.0**log10_median))).alias("point"))

@@ -42,26 +42,31 @@ def principal_weights(pairs: DataFrame, group: str) -> DataFrame:
     return pairs.groupBy(group).applyInPandas(solve, f"{group} {kind}, i long, principal double, log_mean double, consistency double")
 
 
-def strong_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+def strong_components(edges: DataFrame, rounds: int = 10_000) -> DataFrame:
     """node, component (its smallest member) over directed edges (a, b): forward and backward reachability by colour.
 
-    Every node takes the smallest node that reaches it as its colour; within a colour, what reaches the
-    colour's own node is its component. Settled nodes leave, and the rest is coloured anew.
+    Nodes without a way in or a way out are components of their own and leave first, round by round.
+    Of the rest, every node takes the smallest node that reaches it as its colour; within a colour, what
+    reaches the colour's own node is its component. Settled nodes leave, and the rest is coloured anew.
     """
     links = snapshot(edges.select("a", "b").distinct())
     left = snapshot(links.select(F.col("a").alias("node")).union(links.select("b")).distinct())
+    links = snapshot(links.where("a <> b"))
     done = None
     for _ in range(rounds):
-        colour = _spread(links, left.select("node", F.col("node").alias("c")), "a", "b", rounds)
-        inside = links.join(colour.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(colour.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b").where("ca = cb").select("a", "b")
-        reach = _reach(inside, colour.where("node = c").select("node", "c"), rounds)
-        part = reach.select("node", F.col("c").alias("component"))
+        within = links.select(F.col("a").alias("node")).intersect(links.select(F.col("b").alias("node")))
+        lone = snapshot(left.join(within, "node", "left_anti"))
+        part = lone.select("node", F.col("node").alias("component"))
+        if lone.isEmpty():
+            colour = _spread(links, left.select("node", F.col("node").alias("c")), "a", "b", rounds)
+            inside = links.join(colour.select(F.col("node").alias("a"), F.col("c").alias("ca")), "a").join(colour.select(F.col("node").alias("b"), F.col("c").alias("cb")), "b").where("ca = cb").select("a", "b")
+            part = _reach(inside, colour.where("node = c").select("node", "c"), rounds).select("node", F.col("c").alias("component"))
         done = snapshot(part if done is None else done.union(part))
         left = snapshot(left.join(part.select("node"), "node", "left_anti"))
         if left.isEmpty():
-            break
+            return done
         links = snapshot(links.join(left.select(F.col("node").alias("a")), "a", "left_semi").join(left.select(F.col("node").alias("b")), "b", "left_semi"))
-    return done
+    raise RuntimeError(f"strong components did not settle in {rounds} rounds")
 
 
 def _spread(links: DataFrame, start: DataFrame, source: str, target: str, rounds: int) -> DataFrame:
@@ -71,8 +76,8 @@ def _spread(links: DataFrame, start: DataFrame, source: str, target: str, rounds
         new = snapshot(state.join(seen, "node", "left").select("node", F.least("c", F.coalesce("s", "c")).alias("c"), (F.col("s") < F.col("c")).alias("moved")))
         state = new.select("node", "c")
         if new.where("moved").isEmpty():
-            break
-    return state
+            return state
+    raise RuntimeError(f"colours did not settle in {rounds} rounds")
 
 
 def _reach(links: DataFrame, start: DataFrame, rounds: int) -> DataFrame:
@@ -81,6 +86,6 @@ def _reach(links: DataFrame, start: DataFrame, rounds: int) -> DataFrame:
     for _ in range(rounds):
         more = snapshot(links.join(state, F.col("b") == F.col("node")).select(F.col("a").alias("node"), "c").distinct().join(state.select("node"), "node", "left_anti"))
         if more.isEmpty():
-            break
+            return state
         state = snapshot(state.union(more))
-    return state
+    raise RuntimeError(f"reachability did not settle in {rounds} rounds")

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarryline.operators.snapshots import snapshot
+
+#: Rows that one task packs at a time.
+PIECE_ROWS = 50_000
+
 
 def average_rank(value: Column, group: Sequence[str]) -> Column:
     """Rank from 1 in which ties share the mean of their places."""
@@ -38,32 +44,105 @@ def movement(samples: DataFrame, key: str, at: str, value: str, window_s: int) -
     return samples.withColumn("before", before).withColumn("delta", F.col(value) - F.col("before")).withColumn("reset", F.col("delta") < 0).withColumn("stalled", F.col("delta") == 0)
 
 
-def pack_budget(df: DataFrame, group: str, order: str, size: str, budget: int) -> DataFrame:
+def pack_budget(df: DataFrame, group: str, order: str, size: str, budget: int, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Greedy blocks in order: a row starts a new block when it would exceed the budget; a larger row stands alone.
 
-    The running total resets at each block, which no window frame expresses; groups are bounded
-    by the caller (one source's rows), and only the three narrow columns are sent to Python.
+    The running total resets at each block, which no window frame expresses. Rows are sorted into
+    ranges and cut into pieces of bounded size. A piece sums up what it does to any total that it is
+    entered with: for each row that can be the first to start a block, the total and the blocks at its
+    end. A group's pieces are then chained by their summaries, and each piece deals its own rows out.
+    Rows of equal order are taken by size.
     """
-
-    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(order, kind="stable")
-        block, held, out = 0, 0, []
-        for n in rows[size]:
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    keys = [group, order, size]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.select(*keys).withColumn("_t", F.monotonically_increasing_id()).repartitionByRange(n, *keys, "_t").sortWithinPartitions(*keys, "_t")
+    rows = snapshot(ranged.select(*keys, F.monotonically_increasing_id().alias("_seq")), "ranged")
+    place = F.row_number().over(Window.partitionBy(group, F.shiftright("_seq", 33)).orderBy("_seq")) - 1
+    rows = snapshot(rows.withColumn("_piece", F.shiftright("_seq", 33) * 1_000_000 + F.floor(place / piece_rows)), "pieces")
+
+    def starts(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sums before each row, and for a block that starts at the row: the total and further blocks at the end."""
+        before = np.r_[0, np.cumsum(sizes)]
+        after = np.maximum(np.searchsorted(before[1:], before[:-1] + budget, "right"), np.arange(1, len(sizes) + 1))
+        total, blocks = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        for k in range(len(sizes) - 1, -1, -1):
+            j = after[k]
+            total[k], blocks[k] = (before[-1] - before[k], 0) if j == len(sizes) else (total[j], blocks[j] + 1)
+        return before, total, blocks
+
+    def summary(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        before, total, blocks = starts(part.sort_values("_seq")[size].to_numpy(np.int64))
+        m = min(len(total), int(np.searchsorted(before[1:], budget, "right")) + 1)
+        return pd.DataFrame({group: [key[0]], "_piece": [key[1]], "sums": [before[1 : m + 1]], "total": [total[:m]], "blocks": [blocks[:m]], "whole": [before[-1]], "first": [total[0]], "first_blocks": [blocks[0]]})
+
+    def chain(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        held, block, out = 0, 0, []
+        for r in part.sort_values("_piece").itertuples(index=False):
+            out.append((key[0], r[1], held, block))
+            if held == 0:  # rows of size 0 so far: the piece starts the block
+                held, block = r.first, block + r.first_blocks
+                continue
+            k = int(np.searchsorted(r.sums, budget - held, "right"))
+            held, block = (held + r.whole, block) if k >= len(r.sums) else (r.total[k], block + 1 + r.blocks[k])
+        return pd.DataFrame(out, columns=[group, "_piece", "held", "block"])
+
+    def deal(key: tuple, part: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_seq")
+        held, block, out = int(state["held"].iloc[0]), int(state["block"].iloc[0]), []
+        for n in part[size].tolist():
             if held and held + n > budget:
                 block, held = block + 1, 0
             held += n
             out.append(block)
-        return rows.assign(block=out)
+        return part[keys].assign(block=out)
 
-    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return df.select(group, order, size).groupBy(group).applyInPandas(pack, f"{group} {kinds[group]}, {order} {kinds[order]}, {size} {kinds[size]}, block long")
+    pieces = rows.groupBy(group, "_piece").applyInPandas(summary, f"{group} {kinds[group]}, _piece long, sums array<long>, total array<long>, blocks array<long>, whole long, first long, first_blocks long")
+    state = pieces.groupBy(group).applyInPandas(chain, f"{group} {kinds[group]}, _piece long, held long, block long")
+    dealt = rows.groupBy(group, "_piece").cogroup(state.groupBy(group, "_piece"))
+    return dealt.applyInPandas(deal, f"{group} {kinds[group]}, {order} {kinds[order]}, {size} {kinds[size]}, block long")
 
 
 def bin_pack(df: DataFrame, group: str, ident: str, size: str, bins: int) -> DataFrame:
-    """Longest-first balancing of each group by the serpentine rule on ranks: 0..n-1, n-1..0, and so on."""
-    n = F.row_number().over(Window.partitionBy(group).orderBy(F.desc(size), ident)) - 1
-    lap, place = F.floor(n / bins), n % bins
-    return df.select(group, ident, size, F.when(lap % 2 == 0, place).otherwise(bins - 1 - place).cast("int").alias("bin"))
+    """Greedy longest-first balancing: each row, largest first, goes to the least loaded bin, the first of equals.
+
+    Rows of one size are told apart only by their rank, so the walk is over a group's distinct sizes
+    (whole numbers) with their counts, and the rows look their bin up by size and rank.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    sizes = df.groupBy(group, size).agg(F.count(F.lit(1)).alias("_n"))
+
+    def deal(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        """For each size: the bins of its first rows (``head``), and the order in which the bins go on to repeat."""
+        loads = [0] * bins
+        out = []
+        for units, n in rows.sort_values(size, ascending=False)[[size, "_n"]].itertuples(index=False):
+            head: list[int] = []
+            least = lambda: min(range(bins), key=lambda b: (loads[b], b))
+            while len(head) < n and (units == 0 or max(loads) - min(loads) >= units):
+                head.append(least())
+                loads[head[-1]] += units
+                if units == 0:
+                    break
+            lap: list[int] = []
+            if units and len(head) < n:  # level: from here on each lap gives every bin one row
+                laps, rest = divmod(n - len(head), bins)
+                level = list(loads)
+                for _ in range(bins):
+                    lap.append(min(range(bins), key=lambda b: (level[b], b)))
+                    level[lap[-1]] += units
+                for b in range(bins):
+                    loads[b] += laps * units
+                for b in lap[:rest]:
+                    loads[b] += units
+            out.append((key[0], units, head, lap or head))
+        return pd.DataFrame(out, columns=[group, size, "head", "lap"])
+
+    plan = sizes.groupBy(group).applyInPandas(deal, f"{group} {kinds[group]}, {size} {kinds[size]}, head array<int>, lap array<int>")
+    rank = F.row_number().over(Window.partitionBy(group, size).orderBy(ident)) - 1
+    placed = df.select(group, ident, size, rank.alias("_r")).join(plan, [group, size])
+    late = F.get("lap", F.pmod(F.col("_r") - F.size("head"), F.size("lap")))
+    return placed.select(group, ident, size, F.when(F.col("_r") < F.size("head"), F.get("head", F.col("_r"))).otherwise(late).alias("bin"))
 
 
 def even_spread(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], want: int) -> DataFrame:

@@ -193,7 +193,7 @@ def _defeats(t: Tables) -> DataFrame:
 @R.add("q125_pairwise_weights")
 def pairwise_weights(t: Tables) -> DataFrame:
     """Weights of criteria from a reciprocal comparison matrix a customer segment: principal vector, its consistency, log means."""
-    price = t.customer.where("c_nationkey < 6").groupBy("c_mktsegment", F.col("c_nationkey").alias("i")).agg(F.avg("c_acctbal").alias("v"))
+    price = t.customer.groupBy("c_mktsegment", F.col("c_nationkey").alias("i")).agg(F.avg("c_acctbal").alias("v"))
     pairs = price.alias("x").join(price.alias("y"), "c_mktsegment").select("c_mktsegment", F.col("x.i").alias("i"), F.col("y.i").alias("j"), (F.col("x.v") / F.col("y.v")).alias("ratio")).where("ratio > 0")
     return WT.principal_weights(pairs, "c_mktsegment")
 
@@ -201,12 +201,12 @@ def pairwise_weights(t: Tables) -> DataFrame:
 @R.add("q126_nested_cuts")
 def nested_cuts(t: Tables) -> DataFrame:
     """Components of one graph at several thresholds; a finer cut refines a coarser one."""
-    from quarryline.plans.measures import _graph
+    from quarryline.plans.measures import LINK, _graph
 
-    g = GR.snapshot(_graph(t))
+    g = _graph(t)
     out = None
-    for cut in (3, 6, 8):
-        one = GR.components(g, cut).withColumn("cut", F.lit(cut))
+    for k, share in enumerate((0.8, 1.0, 1.2)):
+        one = GR.components(g, LINK * share).withColumn("cut", F.lit(k))
         out = one if out is None else out.union(one)
     return out
 
@@ -299,8 +299,8 @@ def search(t: Tables) -> DataFrame:
     return t.documents.where(F.contains(F.lower("text"), F.lit("idiot"))).select("doc_id", "source", F.instr(F.lower("text"), "idiot").cast("long").alias("place"))
 
 
-@R.add("q137_saturated", "select vec_id, len(list_filter(embedding[1:11], lambda x: x is not null)) >= 6 and list_min(embedding[1:11]) >= -0.15::float saturated from embeddings")
+@R.add("q137_saturated", "select vec_id, len(list_filter(embedding, lambda x: x is not null)) >= 6 and list_min(embedding) >= -0.3::float saturated from embeddings")
 def saturated(t: Tables) -> DataFrame:
     """Enough axes are numeric and the least of them is high."""
-    axes = F.slice("embedding", 1, 11)
-    return t.embeddings.select("vec_id", ((F.size(F.filter(axes, lambda x: x.isNotNull())) >= 6) & (F.array_min(axes) >= F.lit(-0.15).cast("float"))).alias("saturated"))
+    axes = F.col("embedding")
+    return t.embeddings.select("vec_id", ((F.size(F.filter(axes, lambda x: x.isNotNull())) >= 6) & (F.array_min(axes) >= F.lit(-0.3).cast("float"))).alias("saturated"))

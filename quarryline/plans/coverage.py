@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarryline.functions import text as T
 from quarryline.operators import aggregates as A
 from quarryline.operators import joins as J
+from quarryline.operators.snapshots import snapshot
 from quarryline.plans.base import Registry, Tables
 
 R = Registry()
@@ -81,28 +82,28 @@ def refused_by_host(t: Tables) -> DataFrame:
     return t.pages.select(T.url_host("url").alias("host"), ok.alias("ok"), reason.alias("reason")).where("not ok").groupBy("host").agg(F.count(F.lit(1)).alias("refused"), F.count_if(F.col("reason") == "short").alias("short"))
 
 
-@R.add("q14_idf", r"""with p as (select distinct doc_id, unnest(list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 4)) token from documents)
+@R.add("q14_idf", r"""with p as (select distinct doc_id, unnest(list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 4)) token from documents)
  select token, count(*) df, ln((select count(distinct doc_id) from p) / count(*)) idf from p group by token having count(*) >= 2""")
 def idf(t: Tables) -> DataFrame:
     pairs = t.documents.select("doc_id", F.explode(T.tokens("text", 4)).alias("token"))
-    some = t.documents.where(F.lower("text").rlike("[a-z0-9]{4}")).select("doc_id")
+    some = t.documents.where(F.lower("text").rlike(r"[\p{L}\p{N}]{4}")).select("doc_id")
     return A.document_frequency(pairs, "doc_id", "token", some).where("df >= 2")
 
 
-@R.add("q15_surprisal", r"""with p as (select distinct p_name, unnest(list_filter(string_split(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 1)) token from part),
+@R.add("q15_surprisal", r"""with p as (select distinct p_name, unnest(list_filter(string_split(regexp_replace(lower(p_name), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 1)) token from part),
  d as (select token, count(*) df from p group by token)
  select p_name, sum(log2((select count(distinct p_name) from p) / df)) bits from p join d using (token) group by p_name""")
 def surprisal(t: Tables) -> DataFrame:
     return A.surprisal(t.part.select("p_name", F.explode(T.tokens("p_name")).alias("token")), "p_name", "token")
 
 
-_OCC_SQL = r"""with o as (select distinct source, unnest(list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 6)) token from documents),
+_OCC_SQL = r"""with o as (select distinct source, unnest(list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 6)) token from documents),
  d as (select token, count(*) n from o group by token)"""
 
 
 def _occurrences(t: Tables) -> DataFrame:
-    """Distinct (source, token) with n, the sources that have the token."""
-    o = t.documents.select("source", F.explode(T.tokens("text", 6)).alias("token")).distinct()
+    """Distinct (source, token) with n, the sources that have the token; written once, as several joins read it."""
+    o = snapshot(t.documents.select("source", F.explode(T.tokens("text", 6)).alias("token")).distinct(), "occurrences")
     return o.join(o.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token")
 
 
@@ -229,7 +230,7 @@ def why_unbound(t: Tables) -> DataFrame:
 def state_precedence(t: Tables) -> DataFrame:
     from quarryline.operators.passages import passages_in
 
-    cited = passages_in(t.documents, t.benchmark, exact=True).select("doc_id").distinct().withColumn("cited", F.lit(True))
+    cited = passages_in(t.documents, t.benchmark).select("doc_id").distinct().withColumn("cited", F.lit(True))
     rows = _judged(t).join(cited, "doc_id", "left")
     state = F.when(F.col("cited"), "CITED").when(F.col("quality") == 1, "READ").when(F.col("quality") == 0, "NO PAGE").otherwise("NOT ATTEMPTED")
     return rows.groupBy("source", state.alias("state")).agg(F.count(F.lit(1)).alias("n"))

@@ -111,13 +111,13 @@ def partial_names(t: Tables) -> DataFrame:
 
 
 @R.add("q96_expiring_rules", """with r(detector, pat, expires) as (values ('dup', 'src1*', timestamp '2024-02-01'), ('short', 'src2', timestamp '2024-01-02'), ('short', '*', null)), n as (select max(ts) now from events)
- select d.doc_id, r.detector, case when expires is null then 'UNBOUNDED' when expires <= now then 'EXPIRED' else 'active' end state from documents d join r on regexp_matches(d.source, '^' || replace(pat, '*', '.*') || '$'), n where r.pat <> '*' or d.doc_id % 50 = 0""")
+ select d.doc_id, r.detector, case when expires is null then 'UNBOUNDED' when expires <= now then 'EXPIRED' else 'active' end state from documents d join r on regexp_matches(d.source, '^' || replace(pat, '*', '.*') || '$'), n""")
 def expiring_rules(t: Tables) -> DataFrame:
     """Exceptions by glob with a time to live; the rule table is a fixed list."""
     rules = [("dup", "src1*", "2024-02-01"), ("short", "src2", "2024-01-02"), ("short", "*", None)]
     now = t.events.agg(F.max("ts").alias("now"))
     hits = F.array_compact(
-        F.array(*[F.when(F.col("source").rlike("^" + g.replace("*", ".*") + "$") & (F.lit(g != "*") | (F.col("doc_id") % 50 == 0)), F.struct(F.lit(d).alias("detector"), F.lit(e).cast("timestamp_ntz").alias("expires"))) for d, g, e in rules])
+        F.array(*[F.when(F.col("source").rlike("^" + g.replace("*", ".*") + "$"), F.struct(F.lit(d).alias("detector"), F.lit(e).cast("timestamp_ntz").alias("expires"))) for d, g, e in rules])
     )
     rows = t.documents.select("doc_id", F.explode(hits).alias("r")).crossJoin(now)  # now is one row
     state = F.when(F.col("r.expires").isNull(), "UNBOUNDED").when(F.col("r.expires") <= F.col("now"), "EXPIRED").otherwise("active")

@@ -10,6 +10,7 @@ from quarryline.functions import text as T
 from quarryline.operators import aggregates as A
 from quarryline.operators import graph as G
 from quarryline.operators import joins as J
+from quarryline.operators.snapshots import snapshot
 from quarryline.operators import stats as S
 from quarryline.operators import windows as W
 from quarryline.plans.base import Registry, Tables
@@ -56,12 +57,12 @@ def weave_order(t: Tables) -> DataFrame:
     return W.weave(rows, "lane", [F.desc("o_totalprice"), "o_orderkey"], 4, ["o_custkey"]).select("o_orderkey", "lane", F.col("position"))
 
 
-@R.add("q49_rank_in_group", """with r as (select p_partkey, p_brand, p_type, row_number() over (partition by p_brand, p_type order by p_retailprice desc, p_partkey) i, count(*) over (partition by p_brand, p_type) n from part), b as (select *, row_number() over (partition by p_brand order by n desc, p_type, i) k from r) select p_partkey, p_brand, p_type, i "rank" from b where k <= 3""")
+@R.add("q49_rank_in_group", """with r as (select p_partkey, p_brand, p_type, row_number() over (partition by p_brand, p_type order by p_retailprice desc, p_partkey) i, count(*) over (partition by p_brand, p_type) n from part), b as (select *, row_number() over (partition by p_brand order by n desc, p_type, i) place from r) select p_partkey, p_brand, p_type, i "rank", place from b""")
 def rank_in_group(t: Tables) -> DataFrame:
     scale = Window.partitionBy("p_brand", "p_type")
     rows = t.part.select("p_partkey", "p_brand", "p_type", F.row_number().over(scale.orderBy(F.desc("p_retailprice"), "p_partkey")).alias("rank"), F.count(F.lit(1)).over(scale).alias("n"))
     k = F.row_number().over(Window.partitionBy("p_brand").orderBy(F.desc("n"), "p_type", "rank"))
-    return rows.withColumn("k", k).where("k <= 3").select("p_partkey", "p_brand", "p_type", "rank")
+    return rows.select("p_partkey", "p_brand", "p_type", "rank", k.alias("place"))
 
 
 @R.add("q50_nearest_rank", """with r as (select event_type, value, row_number() over (partition by event_type order by value) - 1 i, count(*) over (partition by event_type) n from events where value is not null)
@@ -139,22 +140,37 @@ def gradient_share(t: Tables) -> DataFrame:
     return S.gradient_share(y.select(F.col("x.winner").alias("a"), F.col("x.loser").alias("b"), (F.log("z.n") - F.log("x.n")).alias("y")))
 
 
-def _graph(t: Tables) -> DataFrame:
-    """Sources linked by shared rare words (four letters and more)."""
-    o = t.documents.where("source is not null").select("source", F.explode(T.tokens("text", 9)).alias("token")).distinct()
-    w = J.pair_weights(o.withColumn("w", F.lit(1)), "source", "token", "w", most=3)
-    return w.select("a", "b", F.col("shared").cast("double").alias("w"))
+#: Share of the smaller source's idf from which two sources count as linked.
+LINK = 0.07
+
 
+def _source_words(t: Tables) -> DataFrame:
+    """(source, token, weight) without repeats: words of nine letters and more by idf over sources; written once."""
+    o = snapshot(t.documents.where("source is not null").select("source", F.explode(T.tokens("text", 9)).alias("token")).distinct(), "source-words")
+    n = o.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    total = o.agg(F.count_distinct("source").alias("total"))
+    return o.join(n, "token").crossJoin(total).select("source", "token", F.log(F.col("total") / F.col("n")).alias("weight"))  # total is one row
 
-@R.add("q61_components", r"""with recursive o as (select distinct source, unnest(list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 9)) token from documents where source is not null),
- k as (select token from o group by token having count(*) between 2 and 3), e as (select a.source a, b.source b from o a join o b using (token) semi join k using (token) where a.source < b.source group by 1, 2 having count(*) >= 6),
- u as (select a, b from e union select b, a from e), r(node, seen) as (select a, a from u union select r.node, u.b from r join u on r.seen = u.a) select node, min(seen) component from r group by node""")
+
+def _graph(t: Tables) -> DataFrame:
+    """Sources linked by the words that they share, however many share them: the shared idf over the smaller source's whole idf."""
+    o = snapshot(_source_words(t), "weighted-words")
+    own = o.groupBy("source").agg(F.sum("weight").alias("own"))
+    shared = J.pair_weights(o.where("weight > 0"), "source", "token", "weight")
+    rows = shared.join(own.select(F.col("source").alias("a"), F.col("own").alias("wa")), "a").join(own.select(F.col("source").alias("b"), F.col("own").alias("wb")), "b")
+    return snapshot(rows.select("a", "b", (F.col("weight") / F.least("wa", "wb")).alias("w")), "graph")
+
+
+@R.add("q61_components", r"""with recursive o as (select distinct source, unnest(list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 9)) token from documents where source is not null),
+ w as (select source, token, ln((select count(distinct source) from o) / count(*) over (partition by token)) w from o), s as (select source, sum(w) own from w group by 1),
+ e as (select a.source a, b.source b from w a join w b using (token) join s x on x.source = a.source join s y on y.source = b.source where a.source < b.source and a.w > 0 group by 1, 2 having sum(a.w) / least(any_value(x.own), any_value(y.own)) >= LINK),
+ u as (select a, b from e union select b, a from e), r(node, seen) as (select a, a from u union select r.node, u.b from r join u on r.seen = u.a) select node, min(seen) component from r group by node""".replace("LINK", str(LINK)))
 def components(t: Tables) -> DataFrame:
-    return G.components(_graph(t), 6)
+    return G.components(_graph(t), LINK)
 
 
-R.add("q62_linkage")(lambda t: G.complete_linkage(_graph(t), 3))
-R.add("q63_eccentricity")(lambda t: G.eccentricity(_graph(t).where("w >= 5")))
+R.add("q62_linkage")(lambda t: G.complete_linkage(_graph(t), LINK))
+R.add("q63_eccentricity")(lambda t: G.eccentricity(_graph(t).where(F.col("w") >= LINK)))
 
 
 @R.add("q64_shortest")
@@ -180,8 +196,7 @@ def prefix_tree(t: Tables) -> DataFrame:
 
 @R.add("q67_null_threshold")
 def null_threshold(t: Tables) -> DataFrame:
-    o = t.documents.where("source is not null").select("source", F.explode(T.tokens("text", 9)).alias("token")).distinct()
-    return S.null_threshold(o, "source", "token")
+    return S.null_threshold(_source_words(t), "source", "token", "weight")
 
 
 R.add("q68_montecarlo")(lambda t: S.at_least_one(t.spark, 0.2, 0.5))
@@ -277,6 +292,10 @@ def even_spread(t: Tables) -> DataFrame:
     return W.even_spread(t.supplier.select("s_nationkey", "s_suppkey"), ["s_nationkey"], ["s_suppkey"], 3)
 
 
-@R.add("q87_bin_pack", """with r as (select s_nationkey, c_custkey, c_acctbal, row_number() over (partition by s_nationkey order by c_acctbal desc, c_custkey) - 1 n from (select c_nationkey s_nationkey, c_custkey, c_acctbal from customer)) select s_nationkey, c_custkey, c_acctbal, (case when (n // 4) % 2 = 0 then n % 4 else 3 - n % 4 end)::int bin from r""")
+@R.add("q87_bin_pack", """with recursive d as (select source, doc_id, n_chars // 100 units, row_number() over (partition by source order by n_chars // 100 desc, doc_id) i from documents where source is not null),
+ r as (select source, 0::bigint i, null::bigint doc_id, null::bigint units, [0, 0, 0, 0]::bigint[] loads, null::bigint bin from (select distinct source from d) union all
+ select d.source, d.i, d.doc_id, d.units, [loads[k] + case when k = list_position(loads, list_min(loads)) then d.units else 0 end for k in [1, 2, 3, 4]], list_position(loads, list_min(loads)) - 1 from r join d on d.source = r.source and d.i = r.i + 1)
+ select source, doc_id, units, bin::int bin from r where i > 0""")
 def bin_pack(t: Tables) -> DataFrame:
-    return W.bin_pack(t.customer.select(F.col("c_nationkey").alias("s_nationkey"), "c_custkey", "c_acctbal"), "s_nationkey", "c_custkey", "c_acctbal", 4)
+    """Longest first to the least loaded of four bins, by hundreds of characters."""
+    return W.bin_pack(t.documents.where("source is not null").select("source", "doc_id", F.floor(F.col("n_chars") / 100).alias("units")), "source", "doc_id", "units", 4)

@@ -18,8 +18,8 @@ R = Registry()
 R.add("q33_verbatim", "select d.doc_id, b.item_id from documents d join benchmark b on contains(d.text, b.text)")(lambda t: passages_in(t.documents, t.benchmark))
 
 
-@R.add("q34_token_overlap", r"""with d as (select doc_id, list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 8)) a from documents),
- i as (select item_id, list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 8)) b from benchmark)
+@R.add("q34_token_overlap", r"""with d as (select doc_id, list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 8)) a from documents),
+ i as (select item_id, list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 8)) b from benchmark)
  select doc_id, item_id, len(list_intersect(a, b)) / least(len(a), len(b)) overlap from d, i where len(list_intersect(a, b)) > 0 and len(list_intersect(a, b)) / least(len(a), len(b)) > 0.6""")
 def token_overlap(t: Tables) -> DataFrame:
     """Pairs meet through shared tokens, so that texts with none in common are never compared."""
@@ -111,20 +111,25 @@ def secret_lines(t: Tables) -> DataFrame:
     return lines.select("doc_id", (F.col("n") + 1).cast("long").alias("line"), F.explode(kinds).alias("kind")).distinct()
 
 
-@R.add("q43_entropy", """with c as (select doc_id, unnest(string_split(left(text, 400), '')) ch from documents), n as (select doc_id, ch, count(*) n from c group by 1, 2), s as (select *, sum(n) over (partition by doc_id) total from n)
+@R.add("q43_entropy", """with c as (select doc_id, unnest(string_split(text, '')) ch from documents), n as (select doc_id, ch, count(*) n from c group by 1, 2), s as (select *, sum(n) over (partition by doc_id) total from n)
  select doc_id, -sum(n / total * log2(n / total)) bits from s group by doc_id""")
 def entropy(t: Tables) -> DataFrame:
-    """Of the first 400 characters, the part that the detector looks at; counted by letters, which adds up map-side."""
-    letters = t.documents.select("doc_id", F.explode(F.split(F.left("text", F.lit(400)), "")).alias("ch")).where("ch <> ''").groupBy("doc_id", "ch").agg(F.count(F.lit(1)).alias("n"))
+    """Of the whole text; counted by letters, which adds up map-side."""
+    letters = t.documents.select("doc_id", F.explode(F.split("text", "")).alias("ch")).where("ch <> ''").groupBy("doc_id", "ch").agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy("doc_id"))
     return letters.withColumn("p", F.col("n") / total).groupBy("doc_id").agg((-F.sum(F.col("p") * F.log2("p"))).alias("bits"))
 
 
-@R.add("q44_digest", """select source, count(*) docs, sha256(string_agg(sha256(text), '' order by sha256(text))) rolled from documents group by source""")
+_PARTS = [(1 + 16 * k, 15) for k in range(4)]
+
+
+@R.add("q44_digest", "with d as (select source, sha256(text) d from documents) select source, count(*) docs, sha256(concat_ws('/', count(*), " + ", ".join(f"coalesce(sum(('0x' || substr(d, {a}, {n}))::bigint), 0)" for a, n in _PARTS) + ")) rolled from d group by source")
 def digest(t: Tables) -> DataFrame:
-    """Roll-up digest: the sorted digests of a source, digested; 64 letters a document are gathered."""
+    """Roll-up digest of a source's texts in any order: four sums of 60-bit pieces of their digests, digested; sums add up map-side."""
     d = t.documents.select("source", F.sha2("text", 256).alias("d"))
-    return d.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sha2(F.array_join(F.array_sort(F.collect_list("d")), ""), 256).alias("rolled"))
+    number = lambda a, n: F.conv(F.substring("d", a, n), 16, 10).cast("decimal(38,0)")
+    sums = [F.coalesce(F.sum(number(a, n)), F.lit(0).cast("decimal(38,0)")).cast("string") for a, n in _PARTS]
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sha2(F.concat_ws("/", F.count(F.lit(1)).cast("string"), *sums), 256).alias("rolled"))
 
 
 @R.add("q45_seed", "select p_partkey, ('0x' || substr(sha256(p_name || '/' || p_partkey), 1, 8))::bigint seed, ('0x' || substr(sha256(p_name || '/' || p_partkey), 1, 8))::bigint % 7 choice from part")
@@ -133,7 +138,12 @@ def seed(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", s.alias("seed"), (s % 7).alias("choice"))
 
 
-R.add("q46_pack_budget")(lambda t: W.pack_budget(t.documents.where("source is not null"), "source", "doc_id", "n_chars", 20_000))
+@R.add("q46_pack_budget", """with recursive d as (select source, doc_id, n_chars, row_number() over (partition by source order by doc_id) i from documents where source is not null),
+ r as (select source, 0::bigint i, null::bigint doc_id, null::bigint n_chars, 0::bigint held, 0::bigint block from (select distinct source from d) union all
+ select d.source, d.i, d.doc_id, d.n_chars, case when held > 0 and held + d.n_chars > 20000 then d.n_chars else held + d.n_chars end, case when held > 0 and held + d.n_chars > 20000 then block + 1 else block end from r join d on d.source = r.source and d.i = r.i + 1)
+ select source, doc_id, n_chars, block from r where i > 0""")
+def pack_budget(t: Tables) -> DataFrame:
+    return W.pack_budget(t.documents.where("source is not null"), "source", "doc_id", "n_chars", 20_000)
 
 
 @R.add("q47_chunks", """with r as (select source, doc_id, row_number() over (partition by source order by n_chars desc, doc_id) n from documents) select source, (n - 1) // 14 block, min(n) "first", max(n) "last", count(*) "rows" from r group by 1, 2""")
@@ -213,7 +223,7 @@ def dice(t: Tables) -> DataFrame:
     return a.join(b, "block").where("a < b").select("a", "b", T.dice(T.name_key("a"), T.name_key("b")).alias("dice")).where("dice > 0")
 
 
-@R.add("q85_first_text_wins", """with k as (select doc_id, source, regexp_replace(lower(left(text, 40)), '[^a-z0-9]', '', 'g') key, n_chars from documents), r as (select *, row_number() over (partition by source, key order by n_chars > 0 desc, doc_id) i from k) select doc_id, source, key from r where i = 1""")
+@R.add("q85_first_text_wins", r"""with k as (select doc_id, source, sha256(regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g')) key, n_chars from documents), r as (select *, row_number() over (partition by source, key order by n_chars > 0 desc, doc_id) i from k) select doc_id, source, key from r where i = 1""")
 def first_text_wins(t: Tables) -> DataFrame:
-    keyed = t.documents.select("doc_id", "source", F.regexp_replace(F.lower(F.left("text", F.lit(40))), "[^a-z0-9]", "").alias("key"), "n_chars")
+    keyed = t.documents.select("doc_id", "source", F.sha2(T.letters_key("text"), 256).alias("key"), "n_chars")
     return J.first_wins(keyed, ["source", "key"], [F.desc(F.col("n_chars") > 0), "doc_id"]).select("doc_id", "source", "key")

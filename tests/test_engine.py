@@ -51,7 +51,7 @@ def test_parity(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(set(registry.queries()) - set(registry.oracles())))
 def test_runs(spark, name):
-    assert registry.queries()[name](spark, SF).columns
+    assert registry.queries()[name](spark, SF).collect() is not None
 
 
 def values(spark, rows, expression):
