@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarryline.plans import catalogue, coverage, evidence, measures, shelving, texts
+from quarryline.plans import catalogue, coverage, evidence, lifecycle, measures, shelving, texts
 
-MODULES = [coverage, texts, measures, evidence, catalogue, shelving]
+MODULES = [coverage, texts, measures, evidence, catalogue, shelving, lifecycle]
 
 
 def queries() -> dict:
