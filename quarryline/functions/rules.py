@@ -68,3 +68,24 @@ TIERS = [("volume", 0), ("series", 400), ("grand", 900), ("set", 3000)]
 
 # Shortest and longest pronounceable name.
 NAME_LETTERS = (4, 11)
+
+# Settlement classes by least population, and the law by which population falls with rank (fixed values).
+SETTLEMENTS = [("hamlet", 0), ("village", 100), ("town", 1000), ("city", 10000)]
+
+# Patterns of the sentence's actor (fixed values).
+PROPER = r"\b[A-Z][a-z]{2,}(?:[ -][A-Z][a-z]{2,})*\b"
+BY_AGENT = r"\bby\s+(?:the\s+|a\s+|an\s+)?((?:[A-Z][a-z]{2,})(?:[ -][A-Z][a-z]{2,})*)"
+HANDOFF = (
+    r"\b(?:summon(?:ed|s)?|call(?:ed|s)? (?:in|upon|forth)|order(?:ed|s)?|command(?:ed|s)?|had|let|allow(?:ed|s)?|ask(?:ed|s)?)\b.{0,60}?"
+    r"\b[A-Z][a-z]+\b.{0,20}?\b(?:who|which|then)\b"
+)
+NAME_STOP = ("the", "and", "for", "with", "from", "that", "this", "then", "when", "though", "after", "before", "while", "his", "her", "its", "their", "they", "she", "who", "which")
+
+# Grades of labelled parameter blocks, and what a link target must not be (fixed values).
+PARAMETER = r"(?i)\b(power|speed|range|durability|precision|potential)\s*[:=|!]+\s*([A-E])\b"
+NOT_A_NAME = r"(?i)^(list|saga|arc|chapter|episode|volume|movie|film|game|manga|anime|the [a-z]|[a-z ]*(?:pirates|crew|powers|bounties|characters|references|contents))\b|#|/"
+PARAMETER_LEAST, PARAMETER_WINDOW, TIER_WINDOW = 3, 400, 160
+
+# Second-person rules text and the terms that confirm it (fixed values).
+RULES_TERM = r"(?i)([+-]\d+ (?:bonus|penalty)|\d+d\d+|\bDC \d+|attack rolls?|saving throws?|ability (?:check|score)s?|hit points?|proficien\w+|advantage on|disadvantage on|spell slots?|bonus action|short or long rest|attack action|attack twice)"
+STUB_LINE = r"(?i)you can help out by providing[^.]*\.?"

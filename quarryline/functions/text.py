@@ -48,6 +48,31 @@ def name_key(c: Column | str) -> Column:
     return F.regexp_replace(fold(F.regexp_replace(_col(c), r"\s*\([^)]*\)\s*$", "")), r"[^\p{L}\p{N}]", "")
 
 
+def plain(c: Column | str) -> Column:
+    """Lower case, everything but ASCII letters, digits and spaces a space."""
+    return F.regexp_replace(F.lower(_col(c)), "[^a-z0-9 ]", " ")
+
+
+def plain_joined(c: Column | str) -> Column:
+    return F.trim(F.regexp_replace(plain(c), " +", " "))
+
+
+def plain_quotes(c: Column | str) -> Column:
+    """Typographic quotes, dashes and ellipses as plain ones, white space joined."""
+    c = F.translate(_col(c), "‘’‚“”„–—−\u00a0", "''\'\"\"\"--- ")
+    return F.trim(F.regexp_replace(c, r"\s+", " "))
+
+
+def clean_description(c: Column | str) -> Column:
+    """Markup off: comments, references, templates, link targets, emphasis, tags; brackets that explain a foreign spelling."""
+    c = F.regexp_replace(_col(c), r"(?s)<!--.*?-->|<ref[^>]*/>|<ref[^>]*>.*?</ref>", "")
+    c = F.regexp_replace(c, r"\{\{[^{}]*\}\}", "")
+    c = F.regexp_replace(c, r"\[\[(?:[^\]|]*\|)?([^\]|]*)\]\]", "$1")
+    c = F.regexp_replace(c, r"'{2,}|<[^>]+>", "")
+    c = F.regexp_replace(c, r"\((?=[^()]*[^\x00-\x7F])[^()]*\?\s*\)", "")
+    return F.trim(F.regexp_replace(c, "[ \t]+", " "))
+
+
 def letters_key(c: Column | str) -> Column:
     """Lower case, all but letters and digits of any script removed."""
     return F.regexp_replace(F.lower(_col(c)), r"[^\p{L}\p{N}]", "")

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from quarryline.functions import rules as K
 from quarryline.functions.gates import sentence_like
 
 
@@ -79,3 +85,53 @@ def strip_wikitext(c: Column, depth: int = 6) -> Column:
     c = F.regexp_replace(c, r"'{2,}|<[^>]+>", "")
     c = F.regexp_replace(c, r"(?m)^=+ *(.*?) *=+$", "$1")
     return F.trim(F.regexp_replace(c, r"[ \t]+", " "))
+
+
+_LINK = re.compile(r"\[\[([^\]|#]{3,40})(?:\|[^\]]*)?\]\]")
+_NOT_A_NAME = re.compile(K.NOT_A_NAME)
+_PARAMETER = re.compile(K.PARAMETER)
+_GRADED = ArrayType(StructType([StructField("name", StringType()), StructField("parameter", StringType()), StructField("grade", IntegerType())]))
+
+
+def _names_before(text: str, at: int, window: int) -> list[str]:
+    found = (m.group(1).strip() for m in _LINK.finditer(text[max(0, at - window) : at]))
+    return [n for n in found if not _NOT_A_NAME.search(n)]
+
+
+def ordinal_rows(texts: DataFrame, ladder: list[str], key: str = "file") -> DataFrame:
+    """key, name, rank of the links that stand before a word of the ladder; a name's highest rank counts.
+
+    The windows are positions in the text, so they are found in vectorised batches and grouped by Spark.
+    """
+    tiers = [re.compile(rf"\b{re.escape(t)}", re.I) for t in ladder]
+
+    @pandas_udf(_GRADED)
+    def ranked(texts: pd.Series) -> pd.Series:
+        return pd.Series([[(n, ladder[k], k) for k, tier in enumerate(tiers) for m in tier.finditer(t or "") for n in _names_before(t, m.start(), K.TIER_WINDOW)] for t in texts])
+
+    rows = texts.select(key, F.explode(ranked("text")).alias("g"))
+    return rows.groupBy(key, F.col("g.name").alias("name")).agg(F.max("g.grade").alias("rank"))
+
+
+def stand_rows(texts: DataFrame, key: str = "file") -> DataFrame:
+    """key, name, mean of the graded parameters (E is 0, A is 4) of the nearest name before each; three of them make a block."""
+
+    @pandas_udf(_GRADED)
+    def graded(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            found = [(_names_before(t, m.start(), K.PARAMETER_WINDOW), m) for m in _PARAMETER.finditer(t or "")]
+            out.append([(names[-1], m.group(1).lower(), "edcba".index(m.group(2).lower())) for names, m in found if names])
+        return pd.Series(out)
+
+    rows = texts.select(key, F.posexplode(graded("text")).alias("pos", "g"))
+    last = rows.groupBy(key, "g.name", "g.parameter").agg(F.max_by("g.grade", "pos").alias("grade"))
+    return last.groupBy(key, "name").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("grade"), 3).alias("mean")).where(F.col("n") >= K.PARAMETER_LEAST).select(key, "name", "mean")
+
+
+def declared_counts(sections_: DataFrame, key: str = "file") -> DataFrame:
+    """key, title, declared (a number in brackets at the title's end), parsed (list items of the body), agrees."""
+    declared = F.regexp_extract("title", r"\(([0-9]+)\)\s*$", 1)
+    parsed = F.regexp_count("body", F.lit(r"(?m)^\s*[-*] +\S")).cast("int")
+    rows = sections_.where(declared != "").select(key, "title", declared.cast("int").alias("declared"), parsed.alias("parsed"))
+    return rows.withColumn("agrees", F.col("declared") == F.col("parsed"))

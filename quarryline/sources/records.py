@@ -56,6 +56,39 @@ def evidence(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("_corrupt").isNull()).select("entity", "host", n("feats").alias("feats"), n("pages_read").alias("pages"), F.coalesce("chars_read", F.lit(0)).alias("chars"), n("gate_rejected").alias("refused"))
 
 
+def index_collisions(rows: DataFrame, key: str, order: str) -> tuple[DataFrame, DataFrame]:
+    """(the last row of each key by ``order``, key and n of each key that several rows claim)."""
+    columns = rows.columns
+    last = rows.groupBy(F.col(key).alias("_key")).agg(F.max_by(F.struct(*columns), F.struct(F.col(order), *columns)).alias("r")).select("r.*")
+    return last, rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def rebuild(spark: SparkSession, records_path: str, evidence_paths: list[str], folder: str) -> dict[str, int]:
+    """Scans all records and evidence trees and writes the four tables anew: source, entry, evidence, meta.
+
+    Never incremental: what is no longer in the files is no longer in the tables. Of an entity that two
+    trees have, the row of the later tree counts. Returns rows by table; ``meta`` says which files did not parse.
+    """
+    docs = read_json(spark, records_path, RECORD)
+    found = None
+    for k, path in enumerate(evidence_paths):
+        tree = read_json(spark, path, EVIDENCE)
+        rows = evidence(tree).withColumn("_tree", F.lit(k))
+        found = rows if found is None else found.unionByName(rows)
+    kept = None
+    if found is not None:
+        kept = found.groupBy("entity", "host").agg(F.max_by(F.struct("feats", "pages", "chars", "refused"), "_tree").alias("r")).select("entity", "host", "r.*")
+    bad = unreadable(docs).select(F.lit("unreadable").alias("key"), F.col("file").alias("value"))
+    bound = sources(docs)
+    tables = {"source": bound, "entry": entries(docs), "evidence": kept, "meta": bad}
+    out = {}
+    for name, rows in tables.items():
+        if rows is not None:
+            rows.write.mode("overwrite").parquet(f"{folder}/{name}")
+            out[name] = spark.read.parquet(f"{folder}/{name}").count()
+    return out
+
+
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType | str | None = None) -> DataFrame:
     """Elements of XML files as rows, by Spark's own XML source."""
     reader = spark.read.format("xml").option("rowTag", row_tag)

@@ -1,26 +1,64 @@
-"""Incremental ingest: new files of a folder merged by key into a versioned table."""
+"""Incremental ingest: new files of a folder become deltas of a table that is merged by key when it is read."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarryline.sources.sinks import digest, read_current, replace_if_unchanged
 
+_BATCH = "_batch"
+
+
+def _latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """One row a key: that of the largest ``order``, ties by the later batch, then by the row itself; added up map-side."""
+    columns = [c for c in rows.columns if c != _BATCH]
+    row = F.struct(*[F.col(c) for c in columns])
+    best = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.max_by(row, F.struct(F.col(order), F.col(_BATCH), row)).alias("r"))
+    return best.select("r.*")
+
 
 def merge_batch(folder: str, keys: list[str], order: str):
-    """A ``foreachBatch`` function: the latest row of each key stays, by ``order``; repeated batches change nothing."""
+    """A ``foreachBatch`` function that writes only the batch's own latest rows, as the delta of its number.
 
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        now = read_current(spark, folder)
-        rows = batch if now is None else now.unionByName(batch)
-        latest = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order), *[F.col(c) for c in batch.columns]))).where("_r = 1").drop("_r")
-        replace_if_unchanged(latest, folder, None if now is None else digest(now))
+    A batch that Spark repeats after a failure overwrites its own delta, so it changes nothing.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        rows = _latest(batch.withColumn(_BATCH, F.lit(batch_id).cast("long")), keys, order)
+        rows.write.mode("overwrite").parquet(f"{folder}/_deltas/{_BATCH}={batch_id}")
 
     return merge
 
 
+def _deltas(spark: SparkSession, folder: str) -> DataFrame | None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_deltas")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    rows = spark.read.parquet(f"{folder}/_deltas")
+    return rows.withColumn(_BATCH, F.col(_BATCH).cast("long"))
+
+
+def latest(spark: SparkSession, folder: str, keys: list[str], order: str) -> DataFrame | None:
+    """The table as of now: its compacted version and the deltas since, one row a key."""
+    base, deltas = read_current(spark, folder), _deltas(spark, folder)
+    base = None if base is None else base.withColumn(_BATCH, F.lit(-1).cast("long"))
+    if base is None and deltas is None:
+        return None
+    rows = deltas if base is None else base if deltas is None else base.unionByName(deltas)
+    return _latest(rows, keys, order)
+
+
+def compact(spark: SparkSession, folder: str, keys: list[str], order: str) -> None:
+    """Writes a new version of the table with all deltas in it, unless somebody else did meanwhile.
+
+    Deltas stay; they are older than or equal to what the version has, so reading them again is harmless.
+    """
+    now, rows = read_current(spark, folder), latest(spark, folder, keys, order)
+    if rows is not None:
+        replace_if_unchanged(rows, folder, None if now is None else digest(now))
+
+
 def ingest(spark: SparkSession, source: str, schema: str, folder: str, checkpoint: str, keys: list[str], order: str, files_a_batch: int = 1000):
     """Starts the query over what has arrived so far and returns it; the checkpoint remembers the files seen."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).json(source)

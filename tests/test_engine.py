@@ -263,14 +263,18 @@ def test_shelves(spark):
 
 
 def test_ingest_merges_new_files(spark, tmp_path):
-    from quarryline.streaming.ingest import ingest
+    from quarryline.streaming.ingest import compact, ingest, latest
 
     source, folder, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c")
     schema = "k long, v string, at long"
     for rows, expected in (([(1, "a", 1), (2, "b", 1)], {1: "a", 2: "b"}), ([(1, "c", 2), (2, "old", 0), (3, "d", 1)], {1: "c", 2: "b", 3: "d"})):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(source)
         ingest(spark, source, schema, folder, state, ["k"], "at").awaitTermination(120)
-        assert {r.k: r.v for r in sinks.read_current(spark, folder).collect()} == expected
+        assert {r.k: r.v for r in latest(spark, folder, ["k"], "at").collect()} == expected
+    assert len(list((tmp_path / "out" / "_deltas").glob("_batch=*"))) == 2  # each batch wrote its own rows only
+    compact(spark, folder, ["k"], "at")
+    assert {r.k: r.v for r in sinks.read_current(spark, folder).collect()} == expected
+    assert {r.k: r.v for r in latest(spark, folder, ["k"], "at").collect()} == expected
 
 
 def test_engine_facade(spark):
