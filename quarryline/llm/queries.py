@@ -37,8 +37,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = secret_scan.train(secret_scan.labelled_findings(spark))
-    return secret_scan.scan(_table(spark, sf_dir, "documents"), model, path="source")
+    docs = _table(spark, sf_dir, "documents")
+    words = secret_scan.language(docs)
+    model = secret_scan.train(secret_scan.labelled_findings(spark, common=words.common), words)
+    return secret_scan.scan(docs, model, words, path="source")
 
 
 def op3_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:

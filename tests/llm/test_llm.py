@@ -590,7 +590,23 @@ def test_html_joined_by_host(spark, monkeypatch):
 
 @pytest.fixture(scope="module")
 def forest(spark):
-    return secret_scan.train(secret_scan.labelled_findings(spark))
+    words = secret_scan.language(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    return secret_scan.train(secret_scan.labelled_findings(spark, common=words.common), words), words
+
+
+def test_language(spark):
+    words = secret_scan.language(spark.createDataFrame([("the cat sat",)] * 5 + [("the dog_x zebra été",)] * 4 + [(None,)], "text string"))
+    assert {r.word for r in words.dictionary.collect()} == {"the", "cat", "sat"} and words.common == []
+    got = {r.pair: r.logp for r in words.transitions.collect()}
+    assert abs(got["th"] - np.log((9 + 1) / (9 + 26))) < 1e-12 and abs(got["at"] - np.log((10 + 1) / (10 + 26))) < 1e-12
+
+
+def test_value_features(spark, forest):
+    _, words = forest
+    known = words.common[0]
+    rows = {r.value: (r.f_covered, r.f_pairs) for r in secret_scan.value_features(spark.createDataFrame([(f"{known}_99",), ("24be64439e3e",), ("1234",), ("",)], "value string"), words).collect()}
+    assert rows[f"{known}_99"][0] == len(known) / (len(known) + 3) and rows["24be64439e3e"][0] == 0 and rows["1234"] == (0, -9) and rows[""] == (0, -9)
+    assert rows[f"{known}_99"][1] > rows["24be64439e3e"][1]
 
 
 def test_secret_scan(spark, forest):
@@ -601,20 +617,42 @@ def test_secret_scan(spark, forest):
         (4, "password = changeme", "", "docs/readme.md", 0),
         *EDGE,
     ]
-    got = {(r.doc_id, r.n): (r.value, r.secret) for r in secret_scan.scan(frame(spark, rows), forest, "source").collect() if r.doc_id in (1, 2, 3, 4)}
+    got = {(r.doc_id, r.n): (r.value, r.secret) for r in secret_scan.scan(frame(spark, rows), *forest, "source").collect() if r.doc_id in (1, 2, 3, 4)}
     assert got[1, 0] == ("24be64439e3e49cf46b2d7c90f3602a3d0b907ff", True) and got[1, 1] == ("4785380592391139", False)
     assert not got[2, 0][1] and got[3, 0][1] and not got[4, 0][1]
-    assert secret_scan.scan(frame(spark, []), forest).count() == 0
+    assert secret_scan.scan(frame(spark, []), *forest).count() == 0
 
 
-def test_secret_forest_held_out(spark, forest):
-    from pyspark.sql import functions as F
+def rates(rows):
+    hit = sum(r.secret and r.label for r in rows)
+    return hit / max(1, sum(r.secret for r in rows)), hit / max(1, sum(r.label for r in rows))
 
-    fresh = secret_scan.labelled_findings(spark, 9000).where("value is not null")
-    seen = secret_scan.labelled_findings(spark).select("value", "left", "path").distinct()
-    fresh = fresh.join(seen, ["value", "left", "path"], "left_anti")
-    right = forest.transform(secret_scan.with_features(fresh)).agg(F.avg((F.col("prediction") == F.col("label")).cast("int")), F.count("*")).first()
-    assert right[1] > 1000 and right[0] > 0.95
+
+def test_secret_forest_on_fresh_findings(spark, forest):
+    """Precision and recall on another draw; no context decides, so neither can be perfect."""
+    model, words = forest
+    fresh = secret_scan.labelled_findings(spark, 3000, 1_000_000, words.common)
+    scored = model.transform(secret_scan.with_features(fresh, words)).select((F.col("prediction") == 1).alias("secret"), "label").collect()
+    precision, recall = rates(scored)
+    assert len(scored) == 3000 and precision > 0.9 and recall > 0.9
+
+
+def test_planted_secrets(spark, forest):
+    """The tokens and card numbers that the documents hold: all of the first are secrets, none of the second."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rows = secret_scan.scan(docs, *forest, "source").withColumn("label", F.col("value").rlike("^(?i:[0-9a-f]{40})$").cast("int")).collect()
+    precision, recall = rates(rows)
+    assert sum(r.label for r in rows) > 100 and sum(not r.label for r in rows) > 100 and precision >= 0.99 and recall >= 0.99
+
+
+def test_secret_features_matter(spark, forest):
+    """The same value in the same assignment is less likely a secret if it is made of the corpus's words."""
+    model, words = forest
+    a, b = words.common[1], words.common[2]
+    plain = f"{a}_{b.capitalize()}_{a}12"
+    rows = [(1, f"token = {plain} x", "", "", 0), (2, "token = 9f3Kq81ZtLw0BvXa72Ue x", "", "", 0)]
+    got = {r.doc_id: r.probability for r in secret_scan.scan(frame(spark, rows), *forest, "source").collect()}
+    assert got[1] < 0.5 < got[2]
 
 
 def test_candidates_brute(spark):
