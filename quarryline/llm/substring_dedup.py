@@ -9,8 +9,14 @@ however many ranges there are. In each range of anchors, windows whose hash also
 earlier document are marked. Marked windows go back by document, where they merge into maximal
 removal intervals.
 
-Hashes are sent in seven bytes; anchors are hashed independently, so that the bits that tell
-windows apart grow with the number of ranges.
+An anchor that many windows share in different contexts (a common run of words with a low hash)
+would fill its range. A sample of the documents tells the anchors that make up more than half of a range;
+their windows are dealt by their own hash instead. That only says where windows meet: equal ones
+still meet, so results do not depend on the sample.
+
+Windows are equal if their 64-bit hash and their range are; anchors are hashed independently, so with a
+range for each 1.5 million windows some 87 bits tell the windows of 100 TB apart, and less than one pair of
+different windows is expected to be taken for equal.
 
 Order: smaller ``doc_id`` first. Defined cases: a null text is empty; a null ``doc_id`` comes after
 all others; rows that repeat id and text are one document (each gets its result); rows with one id
@@ -37,6 +43,8 @@ ANCHOR = 6
 #: Words that a task counts by itself, and windows that one range should hold.
 FLUSH_WORDS = 1_000_000
 RANGE_WINDOWS = 1_500_000
+#: Text bytes that the sample for dense anchors should have, and its least share of all.
+SAMPLE_BYTES, SAMPLE_SHARE = 64 << 20, 1 / 4096
 _NULL_ID = 2**63 - 1
 _PACKED = "bucket int, marked boolean, hashes binary, ids binary, tags binary, counts binary, positions binary"
 _NAMES = [c.split()[0] for c in _PACKED.split(", ")]
@@ -66,7 +74,7 @@ def _pack(bucket: int, hashes: np.ndarray | None, keys: np.ndarray, document: np
     counts = np.diff(np.r_[edge, len(run)])
     pairs = np.stack([step, length], axis=1)
     narrow = pairs.max(initial=0) < 1 << 16
-    sent = b"" if hashes is None else np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+    sent = b"" if hashes is None else hashes.tobytes()
     return [bucket, hashes is None, sent, keys[owners, 0].tobytes(), keys[owners, 1].astype(np.uint32).tobytes(), counts.astype(np.uint32).tobytes(), (b"\x02" if narrow else b"\x04") + pairs.astype(np.uint16 if narrow else np.uint32).tobytes()]
 
 
@@ -81,9 +89,7 @@ def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     length = pairs[:, 1]
     position = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
     document = np.repeat(np.repeat(np.arange(len(keys)), counts), length)
-    hashes = np.zeros((len(row.hashes) // 7, 8), np.uint8)
-    hashes[:, :7] = np.frombuffer(row.hashes, np.uint8).reshape(-1, 7)
-    return hashes.view(np.uint64).reshape(-1), keys, document, position
+    return np.frombuffer(row.hashes, np.uint64), keys, document, position
 
 
 def _table(rows: list[list]) -> pa.RecordBatch:
@@ -110,7 +116,27 @@ def _document_bucket(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     return ((h >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int32)
 
 
-def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int) -> DataFrame:
+def dense_anchors(docs: DataFrame, length: int, n_buckets: int, total_bytes: int) -> np.ndarray:
+    """The anchors that more than half a range's windows share, by a sample of the documents; at most two a range."""
+    share = max(SAMPLE_SHARE, min(1.0, SAMPLE_BYTES / max(1, total_bytes)))
+    spread = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20))
+    sample = bounded(docs).where(spread & F.col("text").isNotNull()) if share < 1 else bounded(docs).where(F.col("text").isNotNull())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 0):
+            words, offsets = word_hashes([t.encode() for t in batch.column(0).to_pylist()])
+            found, n = np.unique(anchors(words, offsets, length, min(ANCHOR, length)), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(n.astype(np.int64))], names=["anchor", "n"])
+
+    counted = sample.select("text").mapInArrow(count, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
+    counted = counted.crossJoin(counted.agg(F.sum("n").alias("all")))  # one row
+    rows = counted.where(F.col("n") > F.greatest(F.lit(64), F.col("all") / (2 * n_buckets))).select("anchor").toArrow()
+    return np.sort(rows.column("anchor").to_numpy().astype(np.uint32))
+
+
+def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int, dense: np.ndarray) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(dense)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[tuple[int, int]] = []
         texts: list[bytes] = []
@@ -132,6 +158,10 @@ def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int) ->
             earliest[by] = first
             go, stop = np.flatnonzero(earliest), np.flatnonzero(~earliest)
             spread = (anchor[go] * np.uint32(0xC2B2AE35)).astype(np.uint64)  # anchors are minima, so mostly small
+            held = sent.value
+            if len(held):
+                near = np.minimum(np.searchsorted(held, anchor[go]), len(held) - 1)
+                spread = np.where(held[near] == anchor[go], value[go] >> np.uint64(32), spread)
             bucket = (spread * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int32)
             yield from _scatter(n_buckets, bucket, value[go], names, document[go], position[go])
             if len(stop):
@@ -201,8 +231,9 @@ def _intervals(length: int):
 
 def repeated_intervals(docs: DataFrame, length: int = LENGTH, flush_words: int = FLUSH_WORDS, range_windows: int = RANGE_WINDOWS) -> DataFrame:
     """id, tag, spans (pairs of int32 word offsets) of each document with something to remove."""
-    n_buckets = max(shuffle_partitions(docs.sparkSession), -(-text_bytes(docs) // (6 * range_windows)))
-    windows = _windows(docs, length, n_buckets, flush_words)
+    total = text_bytes(docs)
+    n_buckets = max(shuffle_partitions(docs.sparkSession), -(-total // (6 * range_windows)))
+    windows = _windows(docs, length, n_buckets, flush_words, dense_anchors(docs, length, n_buckets, total))
     marked = windows.groupBy("bucket").applyInPandas(_earlier(n_buckets), _PACKED)
     # a row that passes through or leaves a range names the document bucket in its own column
     return marked.groupBy("bucket").applyInPandas(_intervals(length), "id long, tag long, spans binary")

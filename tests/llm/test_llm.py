@@ -44,6 +44,10 @@ def texts(rows):
     return [(i, t or "") for i, t, *_ in rows]
 
 
+def words(rng, n):
+    return " ".join(f"w{int(x)}" for x in rng.integers(0, 5000, n))
+
+
 # --- rolling hashes
 
 
@@ -101,6 +105,21 @@ def test_substring_dedup_brute(spark, flush):
     assert key([tuple(r) for r in got]) == key(brute_substring(texts(rows), 4))
 
 
+def test_substring_dedup_dense_anchor(spark):
+    """A run of words that all documents have, each in its own context: its windows are spread, and results are the same."""
+    rng = np.random.default_rng(6)
+    for mark in "abcdefgh":  # a run is an anchor only where its hash is the least of some fifteen
+        shared = " ".join(f"{mark}{k}" for k in range(6))
+        rows = [(k, f"{words(rng, 22)} {shared} {words(rng, 22)}", "", "", 0) for k in range(300)] + [(900 + k, words(np.random.default_rng(k), 30), "", "", 0) for k in range(4)] * 2
+        docs = frame(spark, rows)
+        dense = substring_dedup.dense_anchors(docs, 20, 64, 1)
+        if len(dense):
+            break
+    assert 0 < len(dense) <= 128
+    got = substring_dedup.remove_repeats(docs, range_windows=200).collect()
+    assert key([tuple(r) for r in got]) == key(brute_substring(texts(rows), 20))
+
+
 def test_substring_dedup_edges(spark):
     got = substring_dedup.remove_repeats(frame(spark)).collect()
     assert key([tuple(r) for r in got]) == key(brute_substring(texts(EDGE), 20))
@@ -495,10 +514,6 @@ def test_html_templates(spark, tags):
     assert got == {k: f"Title {k}\nFirst <para> goes {k}\nSecond é é {k}\nOne {k}\nTwo {k}\nCell {k}" for k in range(6)}
 
 
-def words(rng, n):
-    return " ".join(f"w{int(x)}" for x in rng.integers(0, 5000, n))
-
-
 def site(rng, n, layout):
     """Pages of one host: (html, main text) by ``layout(k, title, paragraphs)``."""
     out = []
