@@ -108,14 +108,15 @@ def test_substring_dedup_brute(spark, flush):
 def test_substring_dedup_dense_anchor(spark):
     """A run of words that all documents have, each in its own context: its windows are spread, and results are the same."""
     rng = np.random.default_rng(6)
-    for mark in "abcdefgh":  # a run is an anchor only where its hash is the least of some fifteen
-        shared = " ".join(f"{mark}{k}" for k in range(6))
-        rows = [(k, f"{words(rng, 22)} {shared} {words(rng, 22)}", "", "", 0) for k in range(300)] + [(900 + k, words(np.random.default_rng(k), 30), "", "", 0) for k in range(4)] * 2
-        docs = frame(spark, rows)
-        dense = substring_dedup.dense_anchors(docs, 20, 64, 1)
-        if len(dense):
+    for mark in range(200):  # a run is an anchor only where its hash is the least of some fifteen
+        shared = " ".join(f"s{mark}_{k}" for k in range(6))
+        rows = [(k, f"{words(rng, 22)} {shared} {words(rng, 22)}", "", "", 0) for k in range(300)]
+        found = rolling.anchors(*rolling.word_hashes([t.encode() for _, t, *_ in rows]), 20, 6)
+        if np.unique(found, return_counts=True)[1].max() > 1000:
             break
-    assert 0 < len(dense) <= 128
+    rows += [(900 + k, words(np.random.default_rng(k), 30), "", "", 0) for k in range(4)] * 2
+    docs = frame(spark, rows)
+    assert 0 < len(substring_dedup.dense_anchors(docs, 20, 16, 1)) <= 32
     got = substring_dedup.remove_repeats(docs, range_windows=200).collect()
     assert key([tuple(r) for r in got]) == key(brute_substring(texts(rows), 20))
 
