@@ -31,4 +31,12 @@ def snapshot(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._quarryline_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the files of a snapshot that nothing reads any more, such as an iteration's last but one table."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._quarryline_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
