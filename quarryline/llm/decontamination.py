@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.rolling import PUNCTUATION, shingle_hashes
-from quarryline.llm.shared import bounded, sliced
+from quarryline.llm.shared import bounded, cut, sliced
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -140,15 +140,15 @@ class Searcher:
 _COLUMNS = ["doc_id", "item_id", "n_shared", "n_item", "containment"]
 
 
-def _slices(items: DataFrame, slice_bytes: int) -> Iterator[list[tuple]]:
-    """Item slices of bounded size; only one is on the driver at a time."""
+def _slices(items: DataFrame, slice_bytes: int) -> Iterator[tuple[list[tuple], bool]]:
+    """Item slices of bounded size, and whether there are several; only one is on the driver at a time."""
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = max(1, -(-total // slice_bytes))
     for k in range(n):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else items
         rows = [(r.item_id, r.text) for r in part.select("item_id", "text").collect()]
         if rows:
-            yield rows
+            yield rows, n > 1
 
 
 def contained(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, slice_bytes: int = SLICE_BYTES) -> DataFrame:
@@ -157,7 +157,7 @@ def contained(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold:
     kind = docs.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind[0]}, item_id {kind[1]}, n_shared long, n_item long, containment double"
     out = None
-    for rows in _slices(items, slice_bytes):
+    for rows, several in _slices(items, slice_bytes):
         sent = spark.sparkContext.broadcast(Searcher(rows, width, threshold))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -172,6 +172,9 @@ def contained(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold:
 
         types = [pa.string() if k == "string" else pa.int32() if k == "int" else pa.int64() for k in kind]
         part = bounded(docs).select("doc_id", "text").mapInArrow(run, schema)
+        if several:  # one slice's index is alive at a time
+            part = cut(part, "contained")
+            sent.destroy()
         out = part if out is None else out.union(part)
     return out if out is not None else spark.createDataFrame([], schema)
 
@@ -179,7 +182,7 @@ def contained(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold:
 def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, slice_bytes: int = SLICE_BYTES) -> DataFrame:
     """The rows of ``docs``, unchanged, that hold no item; tasks filter their own rows, nothing is shuffled."""
     at = docs.columns.index("text")
-    for rows in _slices(items, slice_bytes):
+    for rows, several in _slices(items, slice_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(Searcher(rows, width, threshold))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -190,4 +193,7 @@ def clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, threshold: floa
                 yield batch.filter(pa.array([k not in leaks for k in range(len(texts))], pa.bool_())) if leaks else batch
 
         docs = bounded(docs).mapInArrow(run, docs.schema)
+        if several:
+            docs = cut(docs, "clean")
+            sent.destroy()
     return docs

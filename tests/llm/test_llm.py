@@ -747,6 +747,31 @@ def test_pipeline_stages(spark):
         assert stage.columns == docs.columns
 
 
+@pytest.mark.parametrize("rows", [EDGE, [], [(1, "a b c d e f", "", "", 0)] * 3, [(None, None, None, None, None)]])
+def test_pipeline_edges(spark, tmp_path, rows):
+    """Nulls, empty and very long texts, repeated rows, empty tables and clashing columns, through every stage."""
+    import corpus_pipeline
+
+    labels = spark.createDataFrame([(1, 0), (5, 0), (3, None), (None, 1)], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "never in any of the texts at all"), (2, None), (None, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = frame(spark, rows)
+    stage = docs
+    for _, f in corpus_pipeline.STAGES[:-1]:
+        stage = f(spark, stage, str(tmp_path))
+        assert stage.columns == docs.columns
+    kept = [(r.doc_id, r.text) for r in stage.collect()]
+    by_text = {}
+    for i, t in texts(rows):
+        by_text.setdefault(t, []).append(-1 if i is None else i)
+    exact = {max(ids) for ids in by_text.values()}
+    near = {3, 4} & exact  # the blank texts are one group
+    assert sorted(-1 if i is None else i for i, _ in kept) == sorted((exact - near | {min(near)}) - {6} if near else exact)
+    check_packing(corpus_pipeline.STAGES[-1][1](spark, stage, str(tmp_path)).collect(), [(i, t or "") for i, t in kept])
+    frame(spark, rows, extra=False).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).where("start = 0").collect()) == sorted(-1 if i is None else i for i, _ in kept)
+
+
 # --- 5: the wide sketch that the pipeline's stage adds
 
 
