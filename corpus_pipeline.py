@@ -1,4 +1,13 @@
-"""The corpus pipeline: five operators of ``quarryline.llm``, one after the other, over ``documents``."""
+"""The corpus pipeline: five operators of ``quarryline.llm``, one after the other, over ``documents``.
+
+Each stage works on what its predecessor kept, and all but the last return the columns of ``documents``.
+Defined cases, for all stages: a null text counts as empty (its score is the classifier's intercept; it
+equals other empty texts; it holds no benchmark item; it is packed as its end token); rows of a null
+``doc_id`` are never near duplicates, and lose against any id among equal texts; rows that repeat
+id and text become one in exact dedup; of groups of near duplicates the smallest id stays; with no labels
+or no benchmark items nothing is toxic or contaminated; an empty table stays empty; columns beside the
+known ones pass through whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -10,22 +19,27 @@ from quarryline.llm.shared import cut
 
 
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what scores 0.5 or more; the classifier learns from the labels outside the held-out fold."""
     return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def _exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one row of each text, that of the largest doc_id."""
     return exact_dedup.keep_one(docs)
 
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest doc_id of each group that fingerprints or shared five-word shingles (0.8 or more) link."""
     return simhash.keep_one(docs)
 
 
 def _decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops what holds a benchmark item: 0.8 or more of its five-word shingles."""
     return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def _packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs the rest into sequences of 2048 tokens; a row a piece."""
     return packing.pack(docs, tokenizer_path())
 
 
