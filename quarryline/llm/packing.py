@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarryline.llm.shared import bounded, cut, shuffle_partitions, sliced
+from quarryline.llm.shared import bounded, cut, release, shuffle_partitions, sliced
 from quarryline.llm.tokens import encoder
 
 CAPACITY = 2048
@@ -76,6 +76,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, unit:
                     salt.append(zlib.crc32(f"{doc_id} {row} {s}".encode()) % n_salts)  # copies are spread too
             columns = [batch.column(0).take(pa.array(owner, pa.int32())), pa.array(start, pa.int64()), pa.array(length, pa.int32()), pa.array(crc, pa.int64()), pa.array(total, pa.int64()), pa.array(salt, pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"])
+        release()
 
     return bounded(docs).select("doc_id", "text").mapInArrow(run, _PIECES.format(kind=kind))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,12 @@ from pyspark.sql import functions as F
 from quarryline.operators.snapshots import snapshot
 
 
+try:  # glibc only
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim
+except (OSError, AttributeError):
+    _libc = None
+
 #: Bytes of an Arrow batch on its way to Python, where the session leaves Spark's default.
 BATCH_BYTES = 4 << 20
 _BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -44,6 +51,13 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20)
             yield batch.slice(a, b - a)
 
 
+def release() -> None:
+    """Gives freed memory back to the system: workers are used again by later stages, and would keep it until then."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quarryline.llm.components import components
 from quarryline.llm.rolling import mix, shingle_hashes
-from quarryline.llm.shared import bounded, cut, sliced
+from quarryline.llm.shared import bounded, cut, release, sliced
 
 SEED = 42
 # The wide sketch of similar_links: lanes of 64 bits, bands of MinHash values, and the radius of candidates
@@ -90,6 +90,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
         for rows in sliced(batches, 1):
             fps = np.array([fingerprint(t, width) for t in rows.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+        release()
 
     return bounded(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(batch, "doc_id long, fp long")
 
@@ -318,6 +319,7 @@ def sketches(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
             lanes, same, keys = sketch(rows.column(1).to_pylist())
             columns = [rows.column(0), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), pa.array(same.view(np.int64)), pa.array(list(keys), pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *LANE_NAMES, "same", "keys"])
+        release()
 
     schema = f"doc_id long, {', '.join(f'{n} long' for n in LANE_NAMES)}, same long, keys array<long>"
     return bounded(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
@@ -332,6 +334,7 @@ def shingle_sets(docs: DataFrame, width: int = WIDE_WIDTH) -> DataFrame:
             lanes = sketch_lanes(hashes, counts)
             sets = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()), pa.array(hashes.view(np.int64)))
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *(pa.array(lanes[:, x].view(np.int64)) for x in range(LANES)), sets], names=["key", "node", *LANE_NAMES, "shingles"])
+        release()
 
     schema = f"key long, node long, {', '.join(f'{n} long' for n in LANE_NAMES)}, shingles array<long>"
     return bounded(docs).select("key", "node", "text").mapInArrow(run, schema)

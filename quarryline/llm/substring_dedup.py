@@ -15,7 +15,7 @@ their windows are dealt by their own hash instead. That only says where windows
 still meet, so results do not depend on the sample.
 
 Windows are equal if their 64-bit hash and their range are; anchors are hashed independently, so with a
-range for each 1.5 million windows some 87 bits tell the windows of 100 TB apart, and less than one pair of
+range for each million windows some 87 bits tell the windows of 100 TB apart, and less than one pair of
 different windows is expected to be taken for equal.
 
 Order: smaller ``doc_id`` first. Defined cases: a null text is empty; a null ``doc_id`` comes after
@@ -35,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.llm.rolling import anchors, window_hashes, word_hashes
-from quarryline.llm.shared import bounded, shuffle_partitions, sliced, text_bytes
+from quarryline.llm.shared import bounded, release, shuffle_partitions, sliced, text_bytes
 
 LENGTH = 20
 #: Words of the runs that anchors are taken from.
 ANCHOR = 6
 #: Words that a task counts by itself, and windows that one range should hold.
 FLUSH_WORDS = 1_000_000
-RANGE_WINDOWS = 1_500_000
+RANGE_WINDOWS = 1_000_000
 #: Text bytes that the sample for dense anchors should have, and its least share of all.
 SAMPLE_BYTES, SAMPLE_SHARE = 64 << 20, 1 / 4096
 _NULL_ID = 2**63 - 1
@@ -87,8 +87,8 @@ def _unpack(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     edge = np.cumsum(counts) - counts
     start = upto - pairs[:, 1] - np.repeat(upto[edge] - pairs[edge].sum(axis=1), counts)
     length = pairs[:, 1]
-    position = np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-    document = np.repeat(np.repeat(np.arange(len(keys)), counts), length)
+    position = np.repeat((start - (np.cumsum(length) - length)).astype(np.int32), length) + np.arange(int(length.sum()), dtype=np.int32)
+    document = np.repeat(np.repeat(np.arange(len(keys), dtype=np.int32), counts), length)
     return np.frombuffer(row.hashes, np.uint64), keys, document, position
 
 
@@ -176,8 +176,10 @@ def _windows(docs: DataFrame, length: int, n_buckets: int, flush_words: int, den
                 if held >= flush_words * 6:
                     yield from flush()
                     keys, texts, held = [], [], 0
+                    release()
         if keys:
             yield from flush()
+        release()
 
     return _named(bounded(docs)).select("id", "tag", "text").mapInArrow(run, _PACKED)
 
@@ -192,8 +194,9 @@ def _earlier(n_buckets: int):
             value = np.concatenate([p[0] for p in parts])
             sizes = np.cumsum([0, *(len(p[1]) for p in parts)])
             names, document = np.unique(np.concatenate([p[1] for p in parts]), axis=0, return_inverse=True)
-            document = document.reshape(-1)[np.concatenate([p[2] + s for p, s in zip(parts, sizes)])]
+            document = document.reshape(-1).astype(np.int32)[np.concatenate([p[2] + np.int32(s) for p, s in zip(parts, sizes)])]
             position = np.concatenate([p[3] for p in parts])
+            del parts
             by = np.lexsort((document, value))
             ranked = value[by]
             start = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
@@ -203,6 +206,8 @@ def _earlier(n_buckets: int):
             bucket = _document_bucket(names, n_buckets)[document[late]]
             for table in _scatter(n_buckets, bucket, None, names, document[late], position[late]):
                 out += zip(*(c.to_pylist() for c in table.columns))
+            del value, document, position, by, ranked, least, late
+        release()
         return pd.DataFrame(out, columns=_NAMES)
 
     return run
@@ -264,6 +269,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **sizes) -> DataFrame:
                 removed.append(n - len(kept))
                 texts.append(b" ".join(kept).decode())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
+        release()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return bounded(joined).mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept_text string")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quarryline.llm.shared import bounded, cut, sliced
+from quarryline.llm.shared import bounded, cut, release, sliced
 
 #: Labelled rows of each class that the classifier is fitted on, at most.
 PER_CLASS = 8_000
@@ -244,6 +244,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in sliced(batches, at):
             scores = [held.score(present(t, table)) for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
+        release()
 
     return bounded(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, DoubleType())]))
 
