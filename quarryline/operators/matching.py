@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from quarryline.functions.text import dice, digits_differ, name_key, split_qualifier
+from quarryline.functions.text import bigrams, dice, digits_differ, name_key, split_qualifier
 
 STRONG, WEAK = 0.90, 0.72
 
@@ -21,21 +21,43 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b)])
 
 
-def candidates(names: DataFrame, pool: DataFrame, least: float = WEAK, block: int = 3) -> DataFrame:
-    """name, match, score, reason of pool names that share a key prefix and score at least ``least``.
+def dice_pairs(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """(a, b) of all keys of ``left`` (a) and ``right`` (b) whose Dice coefficient reaches ``least``, and of equal keys; no others are compared.
 
-    Equal keys score 1 and differing digits 0; the costly ratio runs only on pairs that pass the
-    digit and qualifier gates.
+    Prefix filter: bigrams are ordered from rare to frequent. Two keys of n and m bigrams that reach
+    the coefficient t share n * t / (2 - t) of them at least, so they share one among the first
+    n - n * t / (2 - t) + 1 of each. Pairs meet there and are then decided exactly.
+    """
+    keys = left.select(F.col("a").alias("k"), F.lit(0).alias("side")).union(right.select(F.col("b").alias("k"), F.lit(1).alias("side"))).distinct()
+    each = keys.select("k", "side", F.explode(bigrams("k")).alias("gram"), F.size(bigrams("k")).alias("n"))
+    each = each.join(each.groupBy("gram").agg(F.count(F.lit(1)).alias("df")), "gram")
+    ordered = each.groupBy("k", "side", "n").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("grams"))  # a name's own bigrams
+    length = F.col("n") - F.ceil(F.col("n") * (least / (2 - least)) - 1e-9) + 1
+    prefix = ordered.select("k", "side", "n", F.explode(F.slice("grams", F.lit(1), length.cast("int"))["gram"]).alias("gram"))
+    a = prefix.where("side = 0").select(F.col("k").alias("a"), "gram", F.col("n").alias("na"))
+    b = prefix.where("side = 1").select(F.col("k").alias("b"), "gram", F.col("n").alias("nb"))
+    near = F.least("na", "nb") >= F.greatest("na", "nb") * (least / (2 - least)) - 1e-9
+    met = a.join(b, "gram").where(near).select("a", "b").distinct().where(dice("a", "b") >= least)
+    equal = left.select("a").distinct().join(right.select("b").distinct(), F.col("a") == F.col("b")).select("a", "b")
+    return met.union(equal).distinct()
+
+
+def candidates(names: DataFrame, pool: DataFrame, least: float = WEAK) -> DataFrame:
+    """name, match, score, reason of pool names that score at least ``least``.
+
+    Equal keys score 1, and names of different digits or qualifiers do not match. Every pair whose Dice
+    coefficient reaches ``least`` is found, wherever the names differ; the score is the larger of that
+    and the sequence ratio, which only raises it: a pair that reaches ``least`` by the ratio alone is not
+    looked for, as no index bounds the ratio.
     """
     side = lambda df, n: df.select(F.col("name").alias(n), name_key("name").alias(f"{n}_key"), split_qualifier("name")["qualifier"].alias(f"{n}_q")).distinct()
     a, b = side(names, "name"), side(pool, "match")
-    digits = F.array_join(F.array_sort(F.split(F.regexp_replace(F.col("k"), "[^0-9]", ""), "")), "")
-    keyed = lambda df, n: df.withColumn("k", F.col(f"{n}_key")).withColumn("block", F.concat(F.substring("k", 1, block), F.lit("/"), digits)).drop("k")
-    both = keyed(a, "name").join(keyed(b, "match"), "block")
+    pairs = dice_pairs(a.select(F.col("name_key").alias("a")), b.select(F.col("match_key").alias("b")), least)
+    both = a.join(pairs, F.col("name_key") == F.col("a")).join(b, F.col("match_key") == F.col("b"))
     fits = F.col("name_q").isNull() | F.col("match_q").isNull() | (F.lower("name_q") == F.lower("match_q"))
     both = both.where(fits & ~digits_differ("name_key", "match_key"))
     equal = F.col("name_key") == F.col("match_key")
     score = F.when(equal, 1.0).otherwise(F.greatest(dice("name_key", "match_key"), sequence_ratio("name_key", "match_key")))
-    scored = both.withColumn("score", score).where(F.col("score") >= least)
+    scored = both.withColumn("score", score)
     reason = F.when(F.col("score") == 1.0, "equal").when(F.col("score") >= STRONG, "strong").otherwise("weak")
     return scored.select("name", "match", "score", reason.alias("reason"))

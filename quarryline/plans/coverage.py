@@ -260,11 +260,12 @@ def semi_scale(t: Tables) -> DataFrame:
 
 @R.add("q32_fuzzy_match")
 def fuzzy_match(t: Tables) -> DataFrame:
-    """Part names against part names that lost a letter: a common key prefix, equal digits, a score of 0.72 at least."""
+    """Part names against part names that lost their sixth or first letter: equal digits, a score of 0.72 at least."""
     from quarryline.operators.matching import candidates
 
     names = t.part.select(F.col("p_name").alias("name")).distinct()
-    return candidates(names, names.select(F.regexp_replace("name", "(?<=^.{5}).", "").alias("name")), 0.72)
+    lost = names.select(F.regexp_replace("name", "(?<=^.{5}).", "").alias("name")).union(names.select(F.regexp_replace("name", "^.", "").alias("name")))
+    return candidates(names, lost, 0.72)
 
 
 @R.add("q75_vote", "with w as (select source g, lang c, sum(n_chars) v from documents where lang is not null group by 1, 2), r as (select *, row_number() over (partition by g order by v desc, c) k, sum(v) over (partition by g) s, count(*) over (partition by g) contested from w) select g source, c lang, v::bigint votes, (v / s)::double share, contested from r where k = 1")

@@ -9,6 +9,7 @@ from quarryline.functions import numeric as N
 from quarryline.functions import text as T
 from quarryline.operators import joins as J
 from quarryline.operators import windows as W
+from quarryline.operators.matching import dice_pairs
 from quarryline.operators.passages import passages_in
 from quarryline.plans.base import Registry, Tables
 from quarryline.plans.coverage import _HTML_SQL
@@ -214,13 +215,13 @@ def keys(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", T.name_key("p_name").alias("key"), T.slug("p_type").alias("slug"), T.estimate_tokens("p_name").alias("tokens"))
 
 
-@R.add("q84_dice", """with n as (select distinct p_name from part), k as (select p_name, regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') k from n),
- g as (select p_name, k, list_transform(range(1, length(k)), lambda i: k[i:i+1]) b from k), o as (select p_name, unnest(b) x from g), c as (select p_name, x, count(*) m from o group by 1, 2), s as (select p_name, sum(m) t from c group by 1)
- select a.p_name a, b.p_name b, 2.0::double * sum(least(a.m, b.m)) / (any_value(sa.t) + any_value(sb.t)) dice from c a join c b on a.x = b.x and a.p_name < b.p_name join s sa on sa.p_name = a.p_name join s sb on sb.p_name = b.p_name where left(a.p_name, 3) = left(b.p_name, 3) group by 1, 2""")
+@R.add("q84_dice", """with k as (select distinct regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') k from part), g as (select k, unnest(list_transform(range(1, length(k)), lambda i: k[i:i+1])) x from k), c as (select k, x, count(*) m from g group by 1, 2), s as (select k, sum(m) t from c group by 1)
+ select a.k a, b.k b, 2.0::double * sum(least(a.m, b.m)) / (any_value(sa.t) + any_value(sb.t)) dice from c a join c b on a.x = b.x and a.k < b.k join s sa on sa.k = a.k join s sb on sb.k = b.k group by 1, 2 having 2.0::double * sum(least(a.m, b.m)) / (any_value(sa.t) + any_value(sb.t)) >= 0.5""")
 def dice(t: Tables) -> DataFrame:
-    names = t.part.select("p_name").distinct()
-    a, b = names.select(F.col("p_name").alias("a"), F.left("p_name", F.lit(3)).alias("block")), names.select(F.col("p_name").alias("b"), F.left("p_name", F.lit(3)).alias("block"))
-    return a.join(b, "block").where("a < b").select("a", "b", T.dice(T.name_key("a"), T.name_key("b")).alias("dice")).where("dice > 0")
+    """All pairs of name keys whose Dice coefficient is a half or more."""
+    keys = t.part.select(T.name_key("p_name").alias("a")).distinct()
+    pairs = dice_pairs(keys, keys.select(F.col("a").alias("b")), 0.5).where("a < b")
+    return pairs.select("a", "b", T.dice("a", "b").alias("dice"))
 
 
 @R.add("q85_first_text_wins", r"""with k as (select doc_id, source, sha256(regexp_replace(lower(text), '[^\p{L}\p{N}]', '', 'g')) key, n_chars from documents), r as (select *, row_number() over (partition by source, key order by n_chars > 0 desc, doc_id) i from k) select doc_id, source, key from r where i = 1""")

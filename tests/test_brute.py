@@ -223,12 +223,14 @@ def test_fuzzy_match(spark):
     key = lambda x: re.sub("[^a-z0-9]", "", x.lower())
     pairs = lambda k: Counter(k[i : i + 2] for i in range(len(k) - 1))
     for name in names[:20]:
-        for other in {n[:5] + n[6:] for n in names}:
+        for other in {n[:5] + n[6:] for n in names} | {n[1:] for n in names}:
             a, b = key(name), key(other)
             both = sum((pairs(a) & pairs(b)).values())
-            score = 1.0 if a == b else max(2 * both / (len(a) + len(b) - 2), SequenceMatcher(None, a, b, autojunk=False).ratio())
-            if score >= 0.72 and a[:3] == b[:3]:
-                assert abs(got[name, other] - score) < 1e-9
+            dice = 2 * both / (len(a) + len(b) - 2)
+            if a == b or dice >= 0.72:
+                assert abs(got[name, other] - (1.0 if a == b else max(dice, SequenceMatcher(None, a, b, autojunk=False).ratio()))) < 1e-9
+            else:
+                assert (name, other) not in got
 
 
 def test_passages_brute(spark):
