@@ -12,6 +12,10 @@ from quarryline.functions.numeric import band, log_score
 from quarryline.functions.text import entropy
 
 
+#: The name and sign of a credential assignment, and its value.
+SECRET_VALUE = K.SECRET_ASSIGN.replace(r"([^\s\"',}]{16,})", r"[^\s\"',}]{16,}").replace(r"\b[a-z0-9_\-]*(?:", r"(\b[a-z0-9_\-]*(?:", 1).replace(r"[\"']?[^\s", r"[\"']?)[^\s", 1)
+
+
 def act_upon_object(c: Column) -> Column:
     """An act and an object that starts within the proximity before the act's start or after its end."""
     near = f"(?:.{{0,{K.PROXIMITY}}})"
@@ -106,7 +110,7 @@ def real_secret(c: Column) -> Column:
 
 
 def scrub(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, K.SECRET, "[REDACTED]"), "(token = \")[0-9a-f]{40}(\")", "$1[REDACTED]$2")
+    return F.regexp_replace(F.regexp_replace(c, K.SECRET, "[REDACTED]"), SECRET_VALUE, "$1[REDACTED]")
 
 
 def cohort(code: Column) -> Column:

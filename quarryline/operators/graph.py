@@ -104,3 +104,28 @@ def prefix_rollup(df: DataFrame, path: str, separator: str = " ") -> DataFrame:
     parts = F.split(path, separator)
     prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.struct(F.array_join(F.slice(parts, F.lit(1), k), separator).alias("prefix"), k.alias("depth")))
     return df.select(F.explode(prefixes).alias("p")).groupBy("p.prefix", "p.depth").agg(F.count(F.lit(1)).alias("n"))
+
+
+def report(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """nodes, edges, parts, largest (part), isolates, diameter (most hops between two that reach each other); of a small graph."""
+    links = both_ways(edges)
+    far = eccentricity(links)
+    parts = components(links.withColumn("w", F.lit(1.0)), 1.0).groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    alone = nodes.select(F.col("node")).distinct().join(far.select("node"), "node", "left_anti")
+    one = lambda df, *columns: df.agg(*columns)  # noqa: E731  each is one row
+    out = one(nodes.select("node").distinct(), F.count(F.lit(1)).alias("nodes")).crossJoin(one(links.where("a < b"), F.count(F.lit(1)).alias("edges")))
+    out = out.crossJoin(one(parts, F.count(F.lit(1)).alias("parts"), F.max("n").alias("largest"))).crossJoin(one(alone, F.count(F.lit(1)).alias("isolates")))
+    return out.crossJoin(one(far, F.max("eccentricity").alias("diameter")))
+
+
+def dependency_faults(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, fault of a directed graph (a needs b) that should have no cycle: dangling (needs a node that is not there), cycle (reaches itself)."""
+    from quarryline.operators.weights import strong_components
+
+    known = nodes.select("node").distinct()
+    dangling = edges.join(known.withColumnRenamed("node", "b"), "b", "left_anti").select(F.col("a").alias("node"), F.lit("dangling").alias("fault")).distinct()
+    strong = strong_components(edges)
+    rings = strong.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component")
+    loops = edges.where("a = b").select(F.col("a").alias("node"))
+    cycle = strong.join(rings, "component", "left_semi").select("node").union(loops).distinct().withColumn("fault", F.lit("cycle"))
+    return dangling.union(cycle)

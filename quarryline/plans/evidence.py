@@ -132,9 +132,10 @@ def json_rules(t: Tables) -> DataFrame:
     return t.events.groupBy("event_type").agg(F.count_if(k >= 50).alias("gte"), F.count_if(v.isNull()).alias("absent"), F.count_if(k.between(10, 20)).alias("in_range"), F.count_if(v.rlike("^7")).alias("matches"))
 
 
-@R.add("q98_scrub", r"""select doc_id, regexp_replace(text, '(token = ")[0-9a-f]{40}(")', '\1[REDACTED]\2', 'g') scrubbed from documents where regexp_matches(text, 'token = "[0-9a-f]{40}"')""")
+@R.add("q98_scrub", f"""with s as (select doc_id, text, regexp_replace(regexp_replace(text, '{_sql(K.SECRET)}', '[REDACTED]', 'g'), '{_sql(G.SECRET_VALUE)}', '\\1[REDACTED]', 'g') scrubbed from documents) select doc_id, scrubbed from s where scrubbed <> text""")
 def scrubbed(t: Tables) -> DataFrame:
-    return t.documents.where(F.col("text").rlike('token = "[0-9a-f]{40}"')).select("doc_id", G.scrub(F.col("text")).alias("scrubbed"))
+    """Texts with their credentials redacted: known shapes, and values of assignments to credential names."""
+    return t.documents.select("doc_id", "text", G.scrub(F.col("text")).alias("scrubbed")).where("scrubbed <> text").drop("text")
 
 
 @R.add("q99_missing_runs", """with a as (select unnest(range(0, 200)) part), c as (select distinct p_partkey % 200 part from part where p_partkey % 7 <> 0 union select distinct l_partkey % 200 from lineitem where l_linenumber = 7 and l_quantity > 49.5 and l_tax > 0.07) select a.part from a anti join c using (part)""")

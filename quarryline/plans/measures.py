@@ -173,6 +173,21 @@ R.add("q62_linkage")(lambda t: G.complete_linkage(_graph(t), LINK))
 R.add("q63_eccentricity")(lambda t: G.eccentricity(_graph(t).where(F.col("w") >= LINK)))
 
 
+@R.add("q215_graph_report")
+def graph_report(t: Tables) -> DataFrame:
+    """The source graph in numbers."""
+    nodes = t.documents.where("source is not null").select(F.col("source").alias("node")).distinct()
+    return G.report(_graph(t).where(F.col("w") >= LINK), nodes)
+
+
+@R.add("q216_dependency_faults", """with recursive e as (select n_nationkey a, case when n_nationkey % 6 = 5 then 40 when n_nationkey < 9 then (n_nationkey + 1) % 3 else n_nationkey // 2 end b from nation),
+ r(a, b) as (select a, b from e union select r.a, e.b from r join e on e.a = r.b) select a node, 'cycle' fault from r where a = b union select a, 'dangling' from e where b not in (select n_nationkey from nation)""")
+def dependency_faults(t: Tables) -> DataFrame:
+    k = F.col("n_nationkey")
+    need = F.when(k % 6 == 5, 40).when(k < 9, (k + 1) % 3).otherwise(F.floor(k / 2))
+    return G.dependency_faults(t.nation.select(k.cast("long").alias("a"), need.cast("long").alias("b")), t.nation.select(k.cast("long").alias("node")))
+
+
 @R.add("q64_shortest")
 def shortest(t: Tables) -> DataFrame:
     g = _graph(t)
@@ -204,7 +219,11 @@ R.add("q68_montecarlo")(lambda t: S.at_least_one(t.spark, 0.2, 0.5))
 
 @R.add("q69_invariants", """select 'orders without customer' "check", count(*) violations from orders anti join customer on o_custkey = c_custkey union all select 'lines without order', count(*) from lineitem anti join orders on l_orderkey = o_orderkey
  union all select 'repeated line numbers', count(*) from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1) union all select 'documents of wrong length', count(*) from documents where n_chars <> length(text)
- union all select 'labels without document', count(*) from labels anti join documents using (doc_id) union all select 'negative balances', count(*) from customer where c_acctbal < 0 union all select 'empty turns', count(*) from conversations where coalesce(text, '') = ''""")
+ union all select 'labels without document', count(*) from labels anti join documents using (doc_id) union all select 'negative balances', count(*) from customer where c_acctbal < 0 union all select 'empty turns', count(*) from conversations where coalesce(text, '') = ''
+ union all select 'repeated documents', count(*) from (select 1 from documents group by doc_id having count(*) > 1) union all select 'labels out of range', count(*) from labels where quality not in (0, 1) or toxic not in (0, 1) union all select 'documents without language', count(*) from documents where lang is null
+ union all select 'orders of another total', count(*) from orders where o_totalprice <= 0 union all select 'lines without supplier', count(*) from lineitem anti join supplier on l_suppkey = s_suppkey union all select 'lines without part', count(*) from lineitem anti join part on l_partkey = p_partkey
+ union all select 'nations without region', count(*) from nation anti join region on n_regionkey = r_regionkey union all select 'events without user', count(*) from events where user_id is null union all select 'vectors of another length', count(*) from embeddings where len(embedding) <> 64
+ union all select 'turns out of order', count(*) from (select turn - row_number() over (partition by conv_id order by turn) d from conversations) where d <> -1""")
 def invariants(t: Tables) -> DataFrame:
     return A.violations(
         {
@@ -215,6 +234,16 @@ def invariants(t: Tables) -> DataFrame:
             "labels without document": J.stranded(t.labels, t.documents, ["doc_id"]),
             "negative balances": t.customer.where("c_acctbal < 0"),
             "empty turns": t.conversations.where(F.coalesce("text", F.lit("")) == ""),
+            "repeated documents": t.documents.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1"),
+            "labels out of range": t.labels.where("quality not in (0, 1) or toxic not in (0, 1)"),
+            "documents without language": t.documents.where("lang is null"),
+            "orders of another total": t.orders.where("o_totalprice <= 0"),
+            "lines without supplier": t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left_anti"),
+            "lines without part": t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"), "left_anti"),
+            "nations without region": t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left_anti"),
+            "events without user": t.events.where("user_id is null"),
+            "vectors of another length": t.embeddings.where(F.size("embedding") != 64),
+            "turns out of order": t.conversations.select((F.col("turn") - F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))).alias("d")).where("d <> -1"),
         }
     )
 
