@@ -22,10 +22,31 @@ def average_rank(value: Column, group: Sequence[str]) -> Column:
     return F.rank().over(w) + (F.count(F.lit(1)).over(peers) - 1) / 2.0
 
 
+def places(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str = "place") -> DataFrame:
+    """Numbers the rows of each group from 1 in the given order; rows of equal order in any.
+
+    All rows are sorted into ranges, so a group that holds most rows is numbered by many tasks: a row's
+    place is its position in its range, counted from the group's first row there, after the group's rows in
+    earlier ranges. For groups of bounded size a plain window is cheaper.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(g).asc_nulls_first() for g in group] + [F.col(o) if isinstance(o, str) else o for o in order]
+    rows = df.withColumn("_t", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(n, *keys, "_t").sortWithinPartitions(*keys, "_t").drop("_t")
+    rows = snapshot(rows.withColumn("_seq", F.monotonically_increasing_id()), "places")
+    part = F.shiftright("_seq", 33).alias("_part")
+    firsts = rows.groupBy(*[F.col(g).alias(f"_g{k}") for k, g in enumerate(group)], part).agg(F.min("_seq").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*[f"_g{k}" for k in range(len(group))]).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    firsts = firsts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    on = F.shiftright(rows["_seq"], 33) == firsts["_part"]
+    for k, g in enumerate(group):
+        on = on & rows[g].eqNullSafe(firsts[f"_g{k}"])
+    return rows.join(firsts, on).select(*df.columns, (F.col("_seq") - F.col("_first") + 1 + F.col("_before")).alias(name))
+
+
 def blocks(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], size: int) -> DataFrame:
     """Blocks of ``size`` rows with their 1-based span."""
-    n = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("n", n).withColumn("block", F.floor((F.col("n") - 1) / size)).groupBy(*group, "block").agg(F.min("n").alias("first"), F.max("n").alias("last"), F.count(F.lit(1)).alias("rows"))
+    return places(df, group, order, "n").withColumn("block", F.floor((F.col("n") - 1) / size)).groupBy(*group, "block").agg(F.min("n").alias("first"), F.max("n").alias("last"), F.count(F.lit(1)).alias("rows"))
 
 
 def weave(df: DataFrame, lane: str, order: Sequence[Column | str], each: int, group: Sequence[str] = ()) -> DataFrame:

@@ -9,6 +9,7 @@ from quarryline.functions import lifecycle as L
 from quarryline.functions import numeric as N
 from quarryline.functions import text as T
 from quarryline.operators import joins as J
+from quarryline.operators import windows as W
 from quarryline.plans.base import Registry, Tables
 from quarryline.streaming.retention import retained
 
@@ -182,7 +183,7 @@ def evidence_order(t: Tables) -> DataFrame:
     """A source's documents by the sentences they hold, then by id."""
     feats = F.length("text") - F.length(F.replace("text", F.lit("."), F.lit("")))
     rows = t.documents.select("source", "doc_id", feats.alias("n"))
-    return rows.select("source", "doc_id", F.row_number().over(Window.partitionBy("source").orderBy(F.desc_nulls_last("n"), "doc_id")).alias("place"))
+    return W.places(rows, ["source"], [F.desc_nulls_last("n"), "doc_id"]).select("source", "doc_id", "place")
 
 
 @R.add("q159_quotas", "with w as (select event_type, date_trunc('week', ts) w, greatest(0, 1000 - count(*)) left_, 1000 cap from events group by 1, 2) select event_type, min(round(left_ / cap::double, 4)) worst, string_agg(round(left_ / cap::double, 4)::varchar, ' ' order by left_, w) fractions from w group by 1")
@@ -288,7 +289,7 @@ def work_queue(t: Tables) -> DataFrame:
     rows = _entries(t).where("excluded is null").join(hosts, "doc_id", "left")
     tier = F.when(F.col("host").isNull(), 2).when(F.coalesce("catalogued", F.lit(False)), 1).otherwise(0)
     rows = rows.select("doc_id", "source", "n_chars", tier.alias("tier"))
-    return rows.select("doc_id", "tier", F.row_number().over(Window.partitionBy("source").orderBy("tier", F.desc_nulls_last("n_chars"), "doc_id")).alias("place"))
+    return W.places(rows, ["source"], ["tier", F.desc_nulls_last("n_chars"), "doc_id"]).select("doc_id", "tier", "place")
 
 
 @R.add("q171_resync", "with r as (select source, count(*) n, max(doc_id) last from documents where doc_id % 9 <> 0 group by 1), i as (select source, count(*) n, max(doc_id) last from documents where n_chars > 300 group by 1) select coalesce(r.source, i.source) source, coalesce(i.n, 0) indexed, coalesce(r.n, 0) recorded, case when i.n is null then 'missing' when r.n is null then 'orphan' when i.n <> r.n then 'stale' when i.last <> r.last then 'moved' else 'ok' end state from r full join i using (source)")

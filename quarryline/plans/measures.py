@@ -68,12 +68,11 @@ def rank_in_group(t: Tables) -> DataFrame:
 @R.add("q50_nearest_rank", """with r as (select event_type, value, row_number() over (partition by event_type order by value) - 1 i, count(*) over (partition by event_type) n from events where value is not null)
  select event_type, any_value(n) n, max(value) filter (where i = least(n - 1, floor(0.5 * n))) p50, max(value) filter (where i = least(n - 1, floor(0.95 * n))) p95 from r group by 1""")
 def nearest_rank(t: Tables) -> DataFrame:
-    """Exact nearest rank from value counts: distinct values are counted first, so no group is collected."""
-    counts = t.events.where("value is not null").groupBy("event_type", "value").agg(F.count(F.lit(1)).alias("c"))
-    run = Window.partitionBy("event_type").orderBy("value")
-    counts = counts.withColumn("upto", F.sum("c").over(run)).withColumn("n", F.sum("c").over(Window.partitionBy("event_type")))
-    at = lambda q: F.min(F.when(F.col("upto") > F.least(F.col("n") - 1, F.floor(F.lit(q) * F.col("n"))), F.col("value")))
-    return counts.groupBy("event_type").agg(F.max("n").alias("n"), at(0.5).alias("p50"), at(0.95).alias("p95"))
+    """Exact nearest rank from places in the sorted order, which are numbered by range and not by type."""
+    rows = W.places(t.events.where("value is not null").select("event_type", "value"), ["event_type"], ["value"])
+    sizes = rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    at = lambda q: F.max(F.when(F.col("place") - 1 == F.least(F.col("n") - 1, F.floor(F.lit(q) * F.col("n"))), F.col("value")))
+    return rows.join(sizes, "event_type").groupBy("event_type", "n").agg(at(0.5).alias("p50"), at(0.95).alias("p95"))
 
 
 @R.add("q51_movement", """with s as (select user_id, date_trunc('hour', ts) h, count(*) c from events group by 1, 2), t as (select user_id, h, sum(c) over (partition by user_id order by h)::bigint total from s)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions import rules as K
 from quarryline.operators.shelves import shelve
+from quarryline.operators.windows import places
 from quarryline.plans.base import Registry, Tables
 
 R = Registry()
@@ -56,7 +57,6 @@ def shelves(t: Tables) -> DataFrame:
  select source || '/' || lang || '/' || part job, first_n || '-' || last_n span, entries, content_hash from j""")
 def job_manifest(t: Tables) -> DataFrame:
     """Jobs of ten entries by source and chapter with their span and content hash."""
-    n = F.row_number().over(Window.partitionBy("source", "lang").orderBy("doc_id"))
-    rows = t.documents.select("source", "lang", "doc_id", n.alias("n")).withColumn("part", F.floor((F.col("n") - 1) / 10))
+    rows = places(t.documents.select("source", "lang", "doc_id"), ["source", "lang"], ["doc_id"], "n").withColumn("part", F.floor((F.col("n") - 1) / 10))
     jobs = rows.groupBy("source", "lang", "part").agg(F.min("n").alias("a"), F.max("n").alias("z"), F.count(F.lit(1)).alias("entries"), F.array_sort(F.collect_list("doc_id")).alias("ids"))
     return jobs.select(F.concat_ws("/", "source", "lang", F.col("part").cast("string")).alias("job"), F.concat_ws("-", F.col("a").cast("string"), F.col("z").cast("string")).alias("span"), "entries", F.sha2(F.array_join("ids", ","), 256).alias("content_hash"))

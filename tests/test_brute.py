@@ -297,3 +297,14 @@ def test_credentials(spark):
     rows = spark.createDataFrame([(s,) for s in shapes] + [("plain prose",), ("token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\" x",)], "x string")
     got = [r.y for r in rows.select(G.scrub(F.col("x")).alias("y")).collect()]
     assert all("[REDACTED]" in y for y in got[: len(shapes)]) and got[-2] == "plain prose" and got[-1] == "token = \"[REDACTED]\" x"
+
+
+def test_places(spark):
+    rng = np.random.default_rng(3)
+    rows = [(None if k % 50 == 0 else "hot" if rng.random() < 0.8 else f"g{k % 5}", int(rng.integers(0, 400)), k) for k in range(900)]
+    got = {r.k: r.place for r in W.places(spark.createDataFrame(rows, "g string, v long, k long"), ["g"], [F.desc("v"), "k"]).collect()}
+    expected, n = {}, Counter()
+    for g, _, k in sorted(rows, key=lambda r: (-r[1], r[2])):
+        n[g] += 1
+        expected[k] = n[g]
+    assert got == expected
