@@ -256,15 +256,17 @@ def ratchet_floor(t: Tables) -> DataFrame:
     return d.withColumn("verdict", F.when(F.col("standing").isNull(), "baseline").when(F.col("faults") > F.col("standing"), "REGRESSED").when(F.col("faults") == F.col("standing"), "held").otherwise("ratcheted"))
 
 
-@R.add("q132_names_covered", """with c as (select conv_id, string_agg(lower(text), ' ' order by turn) body from conversations group by 1), n as (select distinct p_name from part where p_partkey <= 40) select conv_id, count(*) filter (where contains(body, p_name) or (contains(body, split_part(p_name, ' ', 1)) and contains(body, split_part(p_name, ' ', -1)))) covered from c, n group by 1""")
+@R.add("q132_names_covered", r"""with w as (select distinct conv_id, unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) w from conversations), n as (select distinct lower(p_name) nm, split_part(lower(p_name), ' ', 1) a, split_part(lower(p_name), ' ', -1) z from part union select distinct lower(substr(text, 1, 3)), lower(substr(text, 1, 3)), lower(substr(text, 1, 3)) from benchmark)
+ select x.conv_id, count(distinct nm) covered from n join w x on x.w = a join w y on y.w = z and y.conv_id is not distinct from x.conv_id group by 1""")
 def names_covered(t: Tables) -> DataFrame:
-    """Names covered by a block: the whole name, or its first and last word. The names are a fixed small list of a job."""
-    body = t.conversations.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", F.lower("text").alias("x")))), lambda s: s["x"]), " ").alias("body"))
-    names = t.part.where("p_partkey <= 40").agg(F.collect_set("p_name").alias("names"))
-    first, last = (lambda n: F.split_part(n, F.lit(" "), F.lit(1))), (lambda n: F.split_part(n, F.lit(" "), F.lit(-1)))
-    b = F.col("body")
-    hit = lambda n: F.contains(b, n) | (F.contains(b, first(n)) & F.contains(b, last(n)))
-    return body.crossJoin(names).select("conv_id", F.size(F.filter("names", hit)).cast("long").alias("covered"))  # names is one row
+    """Names that a conversation covers, by their first and last word: the names of parts, and three-letter ones. Names and words meet by equality; no conversation is gathered."""
+    words = t.conversations.select("conv_id", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("w")).distinct()
+    short = F.lower(F.left("text", F.lit(3)))
+    parts = F.split(F.lower("p_name"), " ")
+    names = t.part.select(F.lower("p_name").alias("nm"), parts[0].alias("a"), F.element_at(parts, -1).alias("z")).union(t.benchmark.select(short, short, short)).distinct()
+    first = words.join(names, F.col("w") == F.col("a")).select("conv_id", "nm", F.col("z").alias("w"))
+    both = first.alias("f").join(words.alias("y"), (F.col("f.w") == F.col("y.w")) & F.col("f.conv_id").eqNullSafe(F.col("y.conv_id")), "left_semi")
+    return both.groupBy("conv_id").agg(F.count_distinct("nm").alias("covered"))
 
 
 @R.add("q133_ceiling_clamp", """with n as (select o_custkey, max(case when o_orderpriority like '1%' then o_totalprice end) gate, max(o_totalprice) top from orders group by 1) select o_orderkey, case when gate is null then 'unassayed' else 'M' || least(case when o_totalprice >= 400000 then 5 when o_totalprice >= 200000 then 4 when o_totalprice >= 100000 then 3 when o_totalprice >= 10000 then 2 else 1 end, case when gate >= 400000 then 5 when gate >= 200000 then 4 when gate >= 100000 then 3 when gate >= 10000 then 2 else 1 end) end band from orders join n using (o_custkey)""")

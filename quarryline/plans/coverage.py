@@ -31,18 +31,24 @@ def _coverage(t: Tables) -> DataFrame:
 R.add("q01_coverage_by_source", _COVERAGE_SQL)(_coverage)
 
 
+#: Entries that a source must have before its share is ranked (fixed value).
+FLOOR = 40
+
+
 def _cited(t: Tables, low: int, high: int) -> DataFrame:
-    rows = _judged(t).where(F.col("quality").isNotNull()).groupBy("source").agg(F.count(F.lit(1)).alias("entries"), F.count_if(F.col("quality") == 1).alias("cited"))
-    return rows.where(F.col("entries").between(low, high)).select("source", "entries", "cited", F.round(100.0 * F.col("cited") / F.col("entries"), 1).alias("percent"))
+    """Sources of so many entries with what is cited of them; sources without any judged entry are unmeasured and left out."""
+    rows = _judged(t).groupBy("source").agg(F.count(F.lit(1)).alias("entries"), F.count("quality").alias("judged"), F.count_if(F.col("quality") == 1).alias("cited"))
+    rows = rows.where((F.col("judged") > 0) & F.col("entries").between(low, high))
+    return rows.select("source", "entries", "cited", F.round(100.0 * F.col("cited") / F.col("entries"), 1).alias("percent"))
 
 
 def _cited_sql(low: int, high: int) -> str:
     return f"""select source, count(*) entries, count(*) filter (where quality = 1) cited, round(100.0 * count(*) filter (where quality = 1) / count(*), 1)::double percent
- from documents join labels using (doc_id) where quality is not null group by source having count(*) between {low} and {high}"""
+ from documents left join labels using (doc_id) group by source having count(quality) > 0 and count(*) between {low} and {high}"""
 
 
-R.add("q02_worst_cited", _cited_sql(21, 1_000_000))(lambda t: _cited(t, 21, 1_000_000))
-R.add("q03_below_floor", _cited_sql(1, 20))(lambda t: _cited(t, 1, 20))
+R.add("q02_worst_cited", _cited_sql(FLOOR, 1 << 40))(lambda t: _cited(t, FLOOR, 1 << 40))
+R.add("q03_below_floor", _cited_sql(1, FLOOR - 1))(lambda t: _cited(t, 1, FLOOR - 1))
 
 
 @R.add("q04_unmeasured", "select h host, n pages from (select regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) h, count(*) n, count(labels.doc_id) m from pages left join labels on labels.doc_id = page_id group by 1) where m = 0")
