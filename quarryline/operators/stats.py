@@ -69,27 +69,47 @@ def dominance(vectors: DataFrame, ident: str, columns: Sequence[str]) -> DataFra
     return pairs.groupBy(F.col("a").alias(ident)).agg(F.count_if(ge & ~le).alias("dominates"), F.count_if(le & ~ge).alias("dominated"), F.count_if(ge & le).alias("tied"), F.count_if(~ge & ~le).alias("incomparable"))
 
 
-def bradley_terry(contests: DataFrame, rounds: int = 2000, tolerance: float = 1e-10) -> DataFrame:
-    """player, strength (mean log 0) from (winner, loser, n) by minorise-maximise steps.
+def bradley_terry(contests: DataFrame, rounds: int = 2000, tolerance: float = 1e-10, prior: float = 0.0) -> DataFrame:
+    """player, strength (mean log 0), error (its standard error by the Fisher information) from (winner, loser, n).
 
-    Each round is a join and an aggregation over the distinct pairs; the driver sees one number. Pairs
+    Minorise-maximise steps, each a join and an aggregation over the distinct pairs; the driver sees one
+    number. ``prior`` adds so many wins and losses of each player against one of strength 1. Without it pairs
     must connect, and every player must have won and lost, or strengths would diverge (refused).
     """
     pairs = contests.where("winner <> loser").groupBy("winner", "loser").agg(F.sum("n").alias("n"))
     both = snapshot(pairs.select(F.col("winner").alias("a"), F.col("loser").alias("b"), F.col("n").alias("won"), "n").union(pairs.select(F.col("loser").alias("a"), F.col("winner").alias("b"), F.lit(0).cast("long").alias("won"), "n")).groupBy("a", "b").agg(F.sum("won").alias("won"), F.sum("n").alias("n")))
     record = both.groupBy("a").agg(F.sum("won").alias("wins"), F.sum("n").alias("games"))
-    if not record.where("wins = 0 or wins = games").isEmpty():
+    if prior <= 0 and not record.where("wins = 0 or wins = games").isEmpty():
         raise ValueError("a player has won or lost every contest; no finite strengths exist")
     strength = snapshot(record.select(F.col("a").alias("player"), F.lit(1.0).alias("s")))
+    with_both = lambda s: both.join(s.select(F.col("player").alias("a"), F.col("s").alias("sa")), "a").join(s.select(F.col("player").alias("b"), F.col("s").alias("sb")), "b")
     for _ in range(rounds):
-        joined = both.join(strength.select(F.col("player").alias("a"), F.col("s").alias("sa")), "a").join(strength.select(F.col("player").alias("b"), F.col("s").alias("sb")), "b")
-        new = joined.groupBy("a", "sa").agg((F.sum("won") / F.sum(F.col("n") / (F.col("sa") + F.col("sb")))).alias("raw"))
-        scale = new.agg(F.exp(F.avg(F.log("raw"))).alias("g"))
+        weight = F.sum(F.col("n") / (F.col("sa") + F.col("sb"))) + 2 * prior / (F.col("sa") + 1)
+        new = with_both(strength).groupBy("a", "sa").agg(((F.sum("won") + prior) / weight).alias("raw"))
+        scale = new.agg((F.exp(F.avg(F.log("raw"))) if prior <= 0 else F.max(F.lit(1.0))).alias("g"))
         new = snapshot(new.crossJoin(F.broadcast(scale)).select(F.col("a").alias("player"), (F.col("raw") / F.col("g")).alias("s"), F.abs(F.log(F.col("raw") / F.col("g")) - F.log("sa")).alias("moved")))  # scale is one row
         strength = new.select("player", "s")
         if new.agg(F.max("moved")).first()[0] < tolerance:
-            return strength.select("player", F.log("s").alias("strength"))
-    raise RuntimeError(f"strengths did not settle in {rounds} rounds")
+            break
+    else:
+        raise RuntimeError(f"strengths did not settle in {rounds} rounds")
+    p = F.col("sa") / (F.col("sa") + F.col("sb"))
+    q = F.col("sa") / (F.col("sa") + 1)
+    information = F.sum(F.col("n") * p * (1 - p)) + 2 * prior * q * (1 - q)
+    mean = strength.agg(F.avg(F.log("s")).alias("m"))
+    rows = with_both(strength).groupBy("a", "sa").agg((1 / F.sqrt(information)).alias("error"))
+    return rows.crossJoin(F.broadcast(mean)).select(F.col("a").alias("player"), (F.log("sa") - F.col("m")).alias("strength"), "error")  # mean is one row
+
+
+def deviance(contests: DataFrame, strengths: DataFrame) -> DataFrame:
+    """One row: deviance, twice the log-likelihood that the strengths lose against pairs' own shares, and pairs."""
+    pairs = contests.where("winner <> loser").groupBy("winner", "loser").agg(F.sum("n").alias("n"))
+    total = pairs.groupBy(F.least("winner", "loser").alias("lo"), F.greatest("winner", "loser").alias("hi")).agg(F.sum("n").alias("all"))
+    rows = pairs.join(total, (F.least("winner", "loser") == F.col("lo")) & (F.greatest("winner", "loser") == F.col("hi")))
+    side = lambda n, s: strengths.select(F.col("player").alias(n), F.col("strength").alias(s))
+    rows = rows.join(side("winner", "x"), "winner").join(side("loser", "y"), "loser")
+    fitted = 1 / (1 + F.exp(F.col("y") - F.col("x")))
+    return rows.agg((2 * F.sum(F.col("n") * (F.log(F.col("n") / F.col("all")) - F.log(fitted)))).alias("deviance"), F.count_distinct("lo", "hi").alias("pairs"))
 
 
 def gradient_share(edges: DataFrame, rounds: int = 2000, tolerance: float = 1e-9) -> DataFrame:
@@ -144,3 +164,9 @@ def at_least_one(spark, log10_median: float, sigma: float, samples: int = 200_00
     x = F.pow(F.lit(10.0), F.lit(log10_median) + normal * sigma)
     drawn = spark.range(samples).select((1 - F.exp(-x)).alias("p"))
     return drawn.agg(F.avg("p").alias("mean"), F.lit(1 - math.exp(-(10.0**log10_median))).alias("point"))
+
+
+def median_threshold(trials: DataFrame) -> DataFrame:
+    """trials, threshold: the upper median of the trials' thresholds."""
+    ordered = trials.agg(F.array_sort(F.collect_list("threshold")).alias("t"))  # one number a trial
+    return ordered.select(F.size("t").alias("trials"), F.get("t", F.floor(F.size("t") / 2).cast("int")).alias("threshold"))

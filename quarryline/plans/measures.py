@@ -210,7 +210,8 @@ def prefix_tree(t: Tables) -> DataFrame:
 
 @R.add("q67_null_threshold")
 def null_threshold(t: Tables) -> DataFrame:
-    return S.null_threshold(_source_words(t), "source", "token", "weight")
+    """The weight that chance alone reaches: forty trials at the 99.9th percentile, their median."""
+    return S.median_threshold(S.null_threshold(_source_words(t), "source", "token", "weight"))
 
 
 R.add("q68_montecarlo")(lambda t: S.at_least_one(t.spark, 0.2, 0.5))
@@ -327,3 +328,39 @@ def even_spread(t: Tables) -> DataFrame:
 def bin_pack(t: Tables) -> DataFrame:
     """Longest first to the least loaded of four bins, by hundreds of characters."""
     return W.bin_pack(t.documents.where("source is not null").select("source", "doc_id", F.floor(F.col("n_chars") / 100).alias("units")), "source", "doc_id", "units", 4)
+
+#: Floors over the tables: (metric, op, bound, severity).
+STANDARDS = [
+    ("orders", "gte", 1000, "MAJOR"), ("lines_per_order", "gte", 3.5, "MINOR"), ("customers_with_orders", "gte", 0.6, "MAJOR"), ("negative_balances", "lte", 0.05, "MINOR"), ("documents", "gte", 100, "CRITICAL"),
+    ("mean_chars", "gte", 500, "MAJOR"), ("unlabelled", "lte", 0.5, "MAJOR"), ("toxic_share", "lte", 0.2, "MAJOR"), ("languages", "gte", 4, "MINOR"), ("sources", "gte", 10, "MINOR"), ("pages", "gte", 40, "MAJOR"), ("hosts", "gte", 10, "MINOR"),
+    ("conversations", "gte", 50, "MINOR"), ("mean_turns", "gte", 3, "MINOR"), ("events", "gte", 1000, "MAJOR"), ("error_share", "lte", 0.15, "CRITICAL"), ("users", "gte", 200, "MINOR"), ("vectors", "gte", 100, "MINOR"), ("parts_sold", "gte", 0.9, "MAJOR"), ("suppliers", "gte", 10, "MINOR"),
+]
+
+_METRICS_SQL = """select 'orders' metric, count(*)::double "value" from orders union all select 'lines_per_order', count(*) / count(distinct l_orderkey)::double from lineitem union all select 'customers_with_orders', (select count(distinct o_custkey) from orders) / count(*)::double from customer
+ union all select 'negative_balances', count(*) filter (where c_acctbal < 0) / count(*)::double from customer union all select 'documents', count(*) from documents union all select 'mean_chars', avg(n_chars) from documents union all select 'unlabelled', 1 - (select count(*) from labels) / count(*)::double from documents
+ union all select 'toxic_share', avg(toxic) from labels union all select 'languages', count(distinct lang) from documents union all select 'sources', count(distinct source) from documents union all select 'pages', count(*) from pages union all select 'hosts', count(distinct regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1)) from pages
+ union all select 'conversations', count(distinct conv_id) from conversations union all select 'mean_turns', count(*) / count(distinct conv_id)::double from conversations union all select 'events', count(*) from events union all select 'error_share', count(*) filter (where event_type = 'error') / count(*)::double from events
+ union all select 'users', count(distinct user_id) from events union all select 'vectors', count(*) from embeddings union all select 'parts_sold', (select count(distinct l_partkey) from lineitem) / count(*)::double from part union all select 'suppliers', count(*) from supplier"""
+
+
+@R.add("q217_standards", f"with m as ({_METRICS_SQL}), r(metric, op, bound, severity) as (values " + ", ".join(f"('{m}', '{o}', {b}::double, '{s}')" for m, o, b, s in STANDARDS) + """) select metric, round("value", 6) observed, bound, severity, case when op = 'gte' then "value" >= bound else "value" <= bound end held from r left join m using (metric)""")
+def standards(t: Tables) -> DataFrame:
+    """Twenty floors over all tables, each with what was observed and whether it held; each table is read once for its own."""
+    count, share = F.count(F.lit(1)).cast("double"), lambda c: F.count_if(c) / F.count(F.lit(1))
+    one = lambda df, **m: df.agg(*[e.cast("double").alias(k) for k, e in m.items()])
+    line = one(t.lineitem, lines_per_order=F.count(F.lit(1)) / F.count_distinct("l_orderkey"), sold=F.count_distinct("l_partkey"))
+    order = one(t.orders, orders=count, buyers=F.count_distinct("o_custkey"))
+    people = one(t.customer, customers=count, negative_balances=share(F.col("c_acctbal") < 0))
+    docs = one(t.documents, documents=count, mean_chars=F.avg("n_chars"), languages=F.count_distinct("lang"), sources=F.count_distinct("source"))
+    rest = [
+        one(t.labels, labels=count, toxic_share=F.avg("toxic")), one(t.pages, pages=count, hosts=F.count_distinct(T.url_host("url"))), one(t.conversations, conversations=F.count_distinct("conv_id"), mean_turns=F.count(F.lit(1)) / F.count_distinct("conv_id")),
+        one(t.events, events=count, error_share=share(F.col("event_type") == "error"), users=F.count_distinct("user_id")), one(t.embeddings, vectors=count), one(t.part, parts=count), one(t.supplier, suppliers=count),
+    ]
+    row = line
+    for other in (order, people, docs, *rest):
+        row = row.crossJoin(other)  # one row each
+    row = row.withColumns({"customers_with_orders": F.col("buyers") / F.col("customers"), "unlabelled": 1 - F.col("labels") / F.col("documents"), "parts_sold": F.col("sold") / F.col("parts")})
+    metrics = row.unpivot([], [m for m, *_ in STANDARDS], "metric", "value")
+    rules = t.spark.createDataFrame([(m, o, float(b), s) for m, o, b, s in STANDARDS], "metric string, op string, bound double, severity string")
+    held = F.when(F.col("op") == "gte", F.col("value") >= F.col("bound")).otherwise(F.col("value") <= F.col("bound"))
+    return rules.join(metrics, "metric", "left").select("metric", F.round("value", 6).alias("observed"), "bound", "severity", held.alias("held"))

@@ -147,6 +147,26 @@ def test_bradley_terry(spark):
     assert got.keys() == s.keys() and all(abs(got[k] - math.log(s[k])) < 1e-6 for k in s)
 
 
+def test_bradley_terry_prior_and_error(spark):
+    rows = [("a", "b", 8), ("b", "a", 2), ("c", "a", 3)]
+    table = spark.createDataFrame(rows, "winner string, loser string, n long")
+    with pytest.raises(ValueError):
+        stats.bradley_terry(table)
+    got = {r.player: r for r in stats.bradley_terry(table, prior=1.0).collect()}
+    s = dict.fromkeys("abc", 1.0)
+    won = {(w, x): n for w, x, n in rows}
+    games = {(x, y): won.get((x, y), 0) + won.get((y, x), 0) for x in s for y in s if x != y}
+    for _ in range(4000):
+        s = {x: (sum(won.get((x, y), 0) for y in s) + 1) / (sum(games[x, y] / (s[x] + s[y]) for y in s if y != x) + 2 / (s[x] + 1)) for x in s}
+    mean = sum(map(math.log, s.values())) / 3
+    p = lambda x, y: s[x] / (s[x] + y)
+    for x in s:
+        info = sum(games[x, y] * p(x, s[y]) * (1 - p(x, s[y])) for y in s if y != x) + 2 * p(x, 1) * (1 - p(x, 1))
+        assert abs(got[x].strength - (math.log(s[x]) - mean)) < 1e-6 and abs(got[x].error - info**-0.5) < 1e-6
+    d = stats.deviance(spark.createDataFrame([("a", "b", 3), ("b", "a", 1)], "winner string, loser string, n long"), spark.createDataFrame([("a", 0.0), ("b", 0.0)], "player string, strength double")).first()
+    assert abs(d.deviance - 2 * (3 * math.log(0.75 / 0.5) + math.log(0.25 / 0.5))) < 1e-12 and d.pairs == 1
+
+
 def test_gradient_share(spark):
     won = contests(spark)
     pairs = [(a, b) for a, b in won if a < b and (b, a) in won]
@@ -180,6 +200,7 @@ def test_null_threshold(spark):
     # every trial keeps the number of pairs and their whole weight
     total = sum((1 + j % 3) * math.comb(1 + j % 6, 2) for j in range(30))
     assert all(total / 15 < r.threshold < total for r in got) and len({r.threshold for r in got}) > 1
+    assert stats.median_threshold(spark.createDataFrame([(k, float(v)) for k, v in enumerate([5, 1, 4, 9])], "trial int, threshold double")).first().threshold == 5
     again = stats.null_threshold(spark.createDataFrame(rows, "m string, k string, w double").repartition(7), "m", "k", "w", trials=5, share=0.9).collect()
     assert {r.trial: r.threshold for r in got} == {r.trial: r.threshold for r in again}
 
