@@ -80,13 +80,18 @@ def designators(t: Tables) -> DataFrame:
     return rows.groupBy("designator").agg(F.count_distinct("base").alias("bearers")).where("bearers >= 3")
 
 
-@R.add("q93_cohorts", """with c as (select s_suppkey, s_nationkey, 'C' || (s_nationkey % 5) || '.' || chr((65 + s_nationkey % 3)::int) || '.' || s_suppkey code, s_acctbal > 0 room from supplier), f as (select *, array_to_string(string_split(code, '.')[1:2], '.') family from c)
- select a.family, a.s_suppkey a, b.s_suppkey b from f a join f b on a.family = b.family and a.room = b.room and a.s_suppkey < b.s_suppkey""")
+@R.add("q93_cohorts", """with c as (select s_suppkey, case when s_suppkey % 17 = 0 then null else 'C' || (s_nationkey % 5) || '.' || chr((65 + s_nationkey % 3)::int) || '.' || s_suppkey end code, s_nationkey, s_acctbal > 0 room from supplier), f as (select *, array_to_string(string_split(code, '.')[1:2], '.') family from c), n as (select family, room, count(*) n from f where code is not null group by 1, 2), t3 as (select n_nationkey k, count(*) curated from nation join region on n_regionkey = r_regionkey where n_nationkey % 4 = 0 group by 1)
+ select f.s_suppkey, f.family, case when code is null then 'unaddressed' when n.n = 1 then 'unmatched' else 'cohort' end state, coalesce(n.n - 1, 0) t2, coalesce(curated, 0) t3 from f left join n on n.family = f.family and n.room = f.room left join t3 on k = s_nationkey""")
 def cohorts(t: Tables) -> DataFrame:
-    """Shelf cohorts: suppliers of one two-part family that share a room; families are small by construction."""
-    code = F.concat(F.lit("C"), (F.col("s_nationkey") % 5).cast("string"), F.lit("."), F.char(65 + F.col("s_nationkey") % 3), F.lit("."), F.col("s_suppkey").cast("string"))
-    f = t.supplier.select(F.col("s_suppkey").alias("a"), G.cohort(code).alias("family"), (F.col("s_acctbal") > 0).alias("room"))
-    return f.join(f.withColumnRenamed("a", "b"), ["family", "room"]).where("a < b").select("family", "a", "b")
+    """Shelf cohorts: one two-part family that shares a room. The graph stores each entry's degree by class and not its pairs; entries without an address, and those without a cohort, are told."""
+    address = F.concat(F.lit("C"), (F.col("s_nationkey") % 5).cast("string"), F.lit("."), F.char(65 + F.col("s_nationkey") % 3), F.lit("."), F.col("s_suppkey").cast("string"))
+    code = F.when(F.col("s_suppkey") % 17 != 0, address)
+    f = t.supplier.select("s_suppkey", "s_nationkey", G.cohort(code).alias("family"), (F.col("s_acctbal") > 0).alias("room"))
+    n = f.where("family is not null").groupBy("family", "room").agg(F.count(F.lit(1)).alias("n"))
+    curated = t.nation.where("n_nationkey % 4 = 0").join(t.region, F.col("n_regionkey") == F.col("r_regionkey"), "left_semi").groupBy(F.col("n_nationkey").alias("s_nationkey")).agg(F.count(F.lit(1)).alias("t3"))
+    rows = f.join(n, ["family", "room"], "left").join(curated, "s_nationkey", "left")
+    state = F.when(F.col("family").isNull(), "unaddressed").when(F.col("n") == 1, "unmatched").otherwise("cohort")
+    return rows.select("s_suppkey", "family", state.alias("state"), F.coalesce(F.col("n") - 1, F.lit(0)).alias("t2"), F.coalesce("t3", F.lit(0)).alias("t3"))
 
 
 @R.add("q94_denominators", """with k as (select c_nationkey n, c_mktsegment m, count(*) c from customer group by 1, 2), d as (select n, max(c) denominator, sum(c)::bigint total from k group by 1), s as (select s_nationkey n, count(*) have from supplier group by 1)
@@ -192,3 +197,11 @@ def session_windows(t: Tables) -> DataFrame:
 
     out = sessions(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "6 hours")
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
+@R.add("q218_paths", """with j as (select event_id, '{"a": {"b": [{"c": ' || (event_id % 50) || '}, {"c": "x"}]}, "k": ' || props || '}' doc from events) select event_id, doc->>'$.a.b[0].c' first, doc->>'$.a.b[1].c' other, doc->>'$.a.b[2].c' third, doc->>'$.k.k' inner_k from j""")
+def paths(t: Tables) -> DataFrame:
+    """Dotted paths through objects and lists of a document; what is not there is null."""
+    doc = F.concat(F.lit('{"a": {"b": [{"c": '), (F.col("event_id") % 50).cast("string"), F.lit('}, {"c": "x"}]}, "k": '), "props", F.lit("}"))
+    at = lambda path, name: F.get_json_object("doc", f"$.{path}").alias(name)
+    return t.events.select("event_id", doc.alias("doc")).select("event_id", at("a.b[0].c", "first"), at("a.b[1].c", "other"), at("a.b[2].c", "third"), at("k.k", "inner_k"))

@@ -29,10 +29,12 @@ def throughput(t: Tables) -> DataFrame:
     return recent.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") != "error").alias("ok"), (F.count(F.lit(1)) / F.lit(15.0)).alias("per_hour"))
 
 
-@R.add("q11_success_rate", "select user_id, count(*) n, case when count(*) filter (where event_type in ('purchase', 'error')) > 0 then count(*) filter (where event_type = 'purchase') / count(*) filter (where event_type in ('purchase', 'error'))::double end rate from events group by user_id")
+@R.add("q11_success_rate", "with r as (select user_id, count(*) n, case when count(*) filter (where event_type in ('purchase', 'error')) > 0 then count(*) filter (where event_type = 'purchase') / count(*) filter (where event_type in ('purchase', 'error'))::double end rate from events group by user_id) select *, case when rate is null then 'idle' when rate >= 0.75 then 'healthy' when rate >= 0.5 then 'degraded' else 'failing' end regime from r")
 def success_rate(t: Tables) -> DataFrame:
     tried, ok = F.count_if(F.col("event_type").isin("purchase", "error")), F.count_if(F.col("event_type") == "purchase")
-    return t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), A.ratio(ok, tried).alias("rate"))
+    rows = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), A.ratio(ok, tried).alias("rate"))
+    rate = F.col("rate")
+    return rows.withColumn("regime", F.when(rate.isNull(), "idle").when(rate >= 0.75, "healthy").when(rate >= 0.5, "degraded").otherwise("failing"))
 
 
 @R.add("q12_latest_state", """with r as (select *, row_number() over (partition by user_id order by ts desc, event_id desc) i, max(ts) over () m from events) select user_id, event_id, event_type from r where i = 1 and epoch(m) - epoch(ts) <= 86400""")

@@ -83,12 +83,20 @@ def axis_gate(t: Tables) -> DataFrame:
     return kept.select("doc_id", F.explode(hits).alias("axis")).groupBy("axis").agg(F.count(F.lit(1)).alias("hits"), F.count_distinct("doc_id").alias("docs"))
 
 
-@R.add("q40_openers", r"""with o as (select lang, array_to_string(list_filter(string_split_regex(lower(text), '[ \t\n\r]+'), lambda w: length(w) > 0)[1:4], ' ') opener from documents), c as (select lang, opener, count(*) n from o group by 1, 2)
- select lang, count(*) openers, max(n) most, sum(n) filter (where n > 1) / sum(n)::double repeat_share from c group by lang""")
+@R.add("q40_openers", r"""with o as (select lang, array_to_string(list_filter(string_split_regex(lower(text), '[ \t\n\r]+'), lambda w: length(w) > 0)[1:4], ' ') opener from documents), c as (select lang, opener, count(*) n from o group by 1, 2),
+ a as (select lang, count(*) openers, max(n) most, sum(n) filter (where n > 1) / sum(n)::double repeat_share from c group by lang), d as (select lang, sum(len(regexp_extract_all(text, '[-–—]')))::double / count(*) dashes, count(*) filter (where regexp_matches(text, '[?!]\s*$')) / count(*)::double turns from documents group by 1),
+ w as (select lang, count(distinct w) vocabulary from (select lang, unnest(regexp_extract_all(lower(text), '\p{L}{6,}')) w from documents) group by 1)
+ select a.lang, openers, most, repeat_share, dashes, turns, vocabulary from a join d on d.lang is not distinct from a.lang left join w on w.lang is not distinct from a.lang""")
 def openers(t: Tables) -> DataFrame:
+    """A style audit by language: openers and how often they repeat, dashes a text, endings in a question or a shout, and words of six letters and more."""
     counts = t.documents.select("lang", T.opener("text").alias("opener")).groupBy("lang", "opener").agg(F.count(F.lit(1)).alias("n"))
     repeated = F.sum(F.when(F.col("n") > 1, F.col("n")))
-    return counts.groupBy("lang").agg(F.count(F.lit(1)).alias("openers"), F.max("n").alias("most"), (repeated / F.sum("n")).alias("repeat_share"))
+    a = counts.groupBy("lang").agg(F.count(F.lit(1)).alias("openers"), F.max("n").alias("most"), (repeated / F.sum("n")).alias("repeat_share"))
+    d = t.documents.groupBy(F.col("lang").alias("l")).agg((F.sum(F.regexp_count("text", F.lit("[-–—]"))) / F.count(F.lit(1))).alias("dashes"), (F.count_if(F.col("text").rlike(r"[?!]\s*$")) / F.count(F.lit(1))).alias("turns"))
+    words = t.documents.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{6,}"), F.lit(0)))).alias("w")).distinct()
+    v = words.groupBy(F.col("lang").alias("k")).agg(F.count(F.lit(1)).alias("vocabulary"))
+    rows = a.join(d, F.col("lang").eqNullSafe(F.col("l"))).join(v, F.col("lang").eqNullSafe(F.col("k")), "left")
+    return rows.select("lang", "openers", "most", "repeat_share", "dashes", "turns", "vocabulary")
 
 
 #: Surface patterns counted a document: (name, pattern).
