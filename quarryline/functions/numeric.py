@@ -84,3 +84,21 @@ def lognormal_product(factors: Sequence[tuple[Column, Column]], correlation: flo
         for _, b in factors[:k]:
             variance = variance + 2 * correlation * a * b
     return median, F.sqrt(variance)
+
+
+#: A number with an optional power of ten (raised or after a caret) and a unit.
+QUANTITY = r"([0-9][0-9,]*(?:\.[0-9]+)?)\s*(?:[x×]\s*10\s*\^?\s*([⁻-]?[⁰¹²³⁴⁵⁶⁷⁸⁹0-9]+))?\s*(km|kg|m|j|w|tons?|joules?|watts?)\b"
+
+
+def quantities(text: Column) -> Column:
+    """array<struct<value, unit>> of the quantities in a text."""
+    i = f"(?i){QUANTITY}"
+    part = lambda k: F.regexp_extract_all(text, F.lit(i), F.lit(k))
+    raised = lambda c: F.translate(c, "⁻⁰¹²³⁴⁵⁶⁷⁸⁹", "-0123456789")
+
+    def one(q: Column) -> Column:
+        number = F.regexp_replace(q["0"], ",", "").cast("double")
+        power = F.coalesce(F.nullif(raised(q["1"]), F.lit("")).cast("int"), F.lit(0))
+        return F.struct((number * F.pow(F.lit(10.0), power.cast("double"))).alias("value"), F.lower(q["2"]).alias("unit"))
+
+    return F.transform(F.arrays_zip(part(1), part(2), part(3)), one)

@@ -419,3 +419,24 @@ def refusals(t: Tables) -> DataFrame:
 def carried(t: Tables) -> DataFrame:
     """Membership of a doctrine list, by folded first word; the list is a handful of names."""
     return t.part.select("p_partkey", T.fold(F.split("p_name", " ")[0]).isin("red", "blue").alias("carried"))
+
+
+_READERS = [(0.5, 0.3, 0.2), (0.2, 0.5, 0.3), (0.34, 0.33, 0.33)]
+
+
+@R.add("q219_convene", "with x as (select o_orderkey, o_totalprice / 60000 a, o_orderkey % 10 b, case when o_orderkey % 4 = 0 then null else o_custkey % 10 end c, (o_orderkey % 30) / 100.0::double stale from orders), r as (select o_orderkey, stale, ["
+ + ", ".join(f"(a * {p} + b * {q} + coalesce(c * {r}, 0)) / ({p} + {q} + case when c is null then 0 else {r} end)" for p, q, r in ((f"{p}::double", f"{q}::double", f"{r}::double") for p, q, r in _READERS))
+ + "] v from x) select o_orderkey, list_avg(v) mean, list_stddev_pop(v) sd, greatest(1.96::double * list_stddev_pop(v), list_max(v) - list_avg(v), list_avg(v) - list_min(v)) + stale half from r")
+def convene(t: Tables) -> DataFrame:
+    """Several readers weigh the same axes in their own way: mean and deviation of their readings, and a half-width that covers them all and what has aged."""
+    k = F.col("o_orderkey")
+    axes = [F.col("o_totalprice") / 60000, (k % 10).cast("double"), F.when(k % 4 != 0, (F.col("o_custkey") % 10).cast("double"))]
+    readings = F.array(*[S.weighted_composite(list(zip(axes, weights)), F.lit(1.0), 0.4)[0] for weights in _READERS])
+    rows = t.orders.select("o_orderkey", readings.alias("v"), ((k % 30) / 100.0).alias("stale"))
+    n = float(len(_READERS))
+    mean = F.aggregate("v", F.lit(0.0), lambda s, x: s + x) / n
+    rows = rows.withColumn("mean", mean)
+    sd = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x - F.col("mean")) * (x - F.col("mean"))) / n)
+    rows = rows.withColumn("sd", sd)
+    half = F.greatest(1.96 * F.col("sd"), F.array_max("v") - F.col("mean"), F.col("mean") - F.array_min("v")) + F.col("stale")
+    return rows.select("o_orderkey", "mean", "sd", half.alias("half"))

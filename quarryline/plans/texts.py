@@ -31,13 +31,20 @@ def token_overlap(t: Tables) -> DataFrame:
     return shared.select("doc_id", "item_id", (F.col("n") / F.least("na", "nb")).alias("overlap")).where("overlap > 0.6")
 
 
-@R.add("q35_paragraphs", r"""with p as (select page_id, unnest(list_transform(regexp_extract_all(html, '<p>[^<]*</p>'), lambda x: trim(replace(replace(replace(replace(x[4:-5], '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')))) para from pages)
+_FURNITURE = "nav|aside|footer|header|form|table"
+
+
+@R.add("q35_paragraphs", r"""with h as (select page_id, regexp_replace(html, '(?is)<(nav|aside|footer|header|form|table)\b.*?</(nav|aside|footer|header|form|table)>', ' ', 'g') h from pages), r as (select page_id, unnest(regexp_extract_all(h, '(?is)<p\b[^>]*>(.*?)(?:</p>|$)', 1)) x from h),
+ p as (select page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) para from r)
  select page_id, count(*) paragraphs, sum(length(para))::bigint chars from p where length(para) >= 45 and contains(para, '.') and not starts_with(para, '"') group by 1""")
 def paragraphs(t: Tables) -> DataFrame:
-    rows = t.pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit("<p>([^<]*)</p>"), F.lit(1))).alias("raw"))
-    para = F.col("raw")
+    """Paragraphs outside furniture, inline tags off, of 45 characters and more with a full stop, and not quotations."""
+    body = F.regexp_replace("html", rf"(?is)<({_FURNITURE})\b.*?</({_FURNITURE})>", " ")
+    rows = t.pages.select("page_id", F.explode(F.regexp_extract_all(body, F.lit(r"(?is)<p\b[^>]*>(.*?)(?:</p>|$)"), F.lit(1))).alias("raw"))
+    para = F.regexp_replace("raw", "<[^>]*>", " ")
     for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         para = F.replace(para, F.lit(name), F.lit(char))
+    para = F.regexp_replace(para, r"\s+", " ")
     rows = rows.select("page_id", F.trim(para).alias("para"))
     return rows.where("length(para) >= 45 and contains(para, '.') and not startswith(para, '\"')").groupBy("page_id").agg(F.count(F.lit(1)).alias("paragraphs"), F.sum(F.length("para")).alias("chars"))
 
@@ -155,9 +162,11 @@ def pack_budget(t: Tables) -> DataFrame:
     return W.pack_budget(t.documents.where("source is not null"), "source", "doc_id", "n_chars", 20_000)
 
 
-@R.add("q47_chunks", """with r as (select source, doc_id, row_number() over (partition by source order by n_chars desc, doc_id) n from documents) select source, (n - 1) // 14 block, min(n) "first", max(n) "last", count(*) "rows" from r group by 1, 2""")
+@R.add("q47_chunks", """with f as (select source, doc_id, n_chars, length(text) - length(replace(text, '!', '')) feats from documents), r as (select source, doc_id, row_number() over (partition by source order by feats desc, n_chars desc, doc_id) n from f) select source, (n - 1) // 14 block, min(n) "first", max(n) "last", count(*) "rows" from r group by 1, 2""")
 def chunks(t: Tables) -> DataFrame:
-    return W.blocks(t.documents.select("source", "doc_id", "n_chars"), ["source"], [F.desc("n_chars"), "doc_id"], 14)
+    """Blocks of fourteen for a synthesis: those that bear most first, the rest by length."""
+    feats = F.length("text") - F.length(F.replace("text", F.lit("!"), F.lit("")))
+    return W.blocks(t.documents.select("source", "doc_id", "n_chars", feats.alias("feats")), ["source"], [F.desc("feats"), F.desc("n_chars"), "doc_id"], 14)
 
 
 #: Weighted cues of the language classifier: (label, pattern, weight).

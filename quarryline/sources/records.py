@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
+from quarryline.functions.text import name_key
+
 _S = StringType()
 
 
@@ -93,3 +95,16 @@ def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType |
     """Elements of XML files as rows, by Spark's own XML source."""
     reader = spark.read.format("xml").option("rowTag", row_tag)
     return (reader.schema(schema) if schema is not None else reader).load(path)
+
+
+def distinct_elements(elements: DataFrame, kind: str, name: str, description: str, order: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept, dropped, unparsed) elements of a catalogue.
+
+    Only exact restatements drop: one type, one folded name and one description; the first by ``order``
+    stays. Elements without a type or a name are unparsed.
+    """
+    named = (F.trim(F.coalesce(F.col(name), F.lit(""))) != "") & (F.trim(F.coalesce(F.col(kind), F.lit(""))) != "")
+    rows = elements.where(named)
+    key = F.sha2(F.concat_ws(chr(31), F.col(kind), name_key(name), F.coalesce(F.col(description), F.lit(""))), 256)
+    numbered = rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+    return numbered.where("_n = 1").drop("_n"), numbered.where("_n > 1").drop("_n"), elements.where(~named)

@@ -127,3 +127,16 @@ def test_late_rows(spark, tmp_path):
     got = {r.start: r.n for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got[t0 + timedelta(hours=9)] == 1 and got[t0 + timedelta(hours=10)] == 1
     assert got.get(t0, 1) == 1  # the row of five past midnight came after its window was closed
+
+
+def test_quantities(spark):
+    from quarryline.functions import numeric as N
+
+    got = one(spark, N.quantities(F.lit("It burned 1.5×10²⁴ J over 3,000 km, 2 x 10^-3 kg and 7 apples")))
+    assert [(round(q.value, 9) if q.value < 1 else q.value, q.unit) for q in got] == [(1.5e24, "j"), (3000.0, "km"), (0.002, "kg")]
+
+
+def test_distinct_elements(spark):
+    rows = [(1, "Spell", "Firé", "burns"), (2, "Spell", "fire", "burns"), (3, "Item", "fire", "burns"), (4, "Spell", "Fire", "glows"), (5, None, "x", "y"), (6, "Item", " ", None), (7, "Item", "Fire", "burns")]
+    kept, dropped, unparsed = records.distinct_elements(spark.createDataFrame(rows, "i int, k string, n string, d string"), "k", "n", "d", "i")
+    assert sorted(r.i for r in kept.collect()) == [1, 3, 4] and sorted(r.i for r in dropped.collect()) == [2, 7] and sorted(r.i for r in unparsed.collect()) == [5, 6]
