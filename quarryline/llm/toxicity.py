@@ -75,23 +75,22 @@ def _grams(points: np.ndarray) -> Iterator[np.ndarray]:
             yield (x >> np.uint64(64 - BITS)).astype(np.int32)
 
 
-def present(text: str | None, place: np.ndarray | None = None) -> np.ndarray:
-    """Distinct feature numbers of a text; with ``place``, the distinct positions in the model instead."""
+def present(text: str | None, place: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """Distinct feature numbers of a text; with ``place`` (positions, and which there are), the distinct positions in the model instead."""
     points = _points(text)
     found = []
     for at in range(0, len(points), PIECE):
         for grams in _grams(points[at : at + PIECE + max(SIZES) - 1]):
             if place is not None:
-                grams = place[grams]
-                grams = grams[grams >= 0]
+                grams = place[0][grams[place[1][grams]]]  # the mask fits a core's cache, the places do not
             found.append(grams)
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int32)
 
 
-def _places(features: np.ndarray) -> np.ndarray:
+def _places(features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     place = np.full(1 << BITS, -1, np.int32)
     place[features] = np.arange(len(features))
-    return place
+    return place, place >= 0
 
 
 def in_fold(doc_id: str = "doc_id"):
