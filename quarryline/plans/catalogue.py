@@ -14,6 +14,7 @@ from quarryline.operators import graph as GR
 from quarryline.operators import joins as J
 from quarryline.operators import weights as WT
 from quarryline.plans.base import Registry, Tables
+from quarryline.plans.measures import LINK, components_sql
 
 R = Registry()
 
@@ -198,10 +199,10 @@ def pairwise_weights(t: Tables) -> DataFrame:
     return WT.principal_weights(pairs, "c_mktsegment")
 
 
-@R.add("q126_nested_cuts")
+@R.add("q126_nested_cuts", " union all ".join(f"select * from ({components_sql(LINK * share, f', {k} cut')})" for k, share in enumerate((0.8, 1.0, 1.2))))
 def nested_cuts(t: Tables) -> DataFrame:
     """Components of one graph at several thresholds; a finer cut refines a coarser one."""
-    from quarryline.plans.measures import LINK, _graph
+    from quarryline.plans.measures import _graph
 
     g = _graph(t)
     out = None

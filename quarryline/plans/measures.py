@@ -162,19 +162,29 @@ def _graph(t: Tables) -> DataFrame:
     return snapshot(rows.select("a", "b", (F.col("weight") / F.least("wa", "wb")).alias("w")), "graph")
 
 
-@R.add("q61_components", r"""with recursive o as (select distinct source, unnest(list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 9)) token from documents where source is not null),
+_EDGE_SQL = r"""o as (select distinct source, unnest(list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 9)) token from documents where source is not null),
  w as (select source, token, ln((select count(distinct source) from o) / count(*) over (partition by token)) w from o), s as (select source, sum(w) own from w group by 1),
- e as (select a.source a, b.source b from w a join w b using (token) join s x on x.source = a.source join s y on y.source = b.source where a.source < b.source and a.w > 0 group by 1, 2 having sum(a.w) / least(any_value(x.own), any_value(y.own)) >= LINK),
- u as (select a, b from e union select b, a from e), r(node, seen) as (select a, a from u union select r.node, u.b from r join u on r.seen = u.a) select node, min(seen) component from r group by node""".replace("LINK", str(LINK)))
+ e as (select a.source a, b.source b, sum(a.w) / least(any_value(x.own), any_value(y.own)) w from w a join w b using (token) join s x on x.source = a.source join s y on y.source = b.source where a.source < b.source and a.w > 0 group by 1, 2)"""
+
+
+def components_sql(least: float, tag: str = "") -> str:
+    return f"""with recursive {_EDGE_SQL}, u as (select a, b from e where w >= {least!r} union select b, a from e where w >= {least!r}), r(node, seen) as (select a, a from u union select r.node, u.b from r join u on r.seen = u.a) select node, min(seen) component{tag} from r group by node"""
+
+
+_HOPS_SQL = f"""with recursive {_EDGE_SQL}, u as (select a, b from e where w >= {LINK!r} union select b, a from e where w >= {LINK!r}), r(o, n, h) as (select a, a, 0 from u union select r.o, u.b, r.h + 1 from r join u on r.n = u.a where r.h < 25), d as (select o, n, min(h) h from r group by 1, 2)"""
+
+
+@R.add("q61_components", components_sql(LINK))
 def components(t: Tables) -> DataFrame:
     return G.components(_graph(t), LINK)
 
 
 R.add("q62_linkage")(lambda t: G.complete_linkage(_graph(t), LINK))
-R.add("q63_eccentricity")(lambda t: G.eccentricity(_graph(t).where(F.col("w") >= LINK)))
+R.add("q63_eccentricity", _HOPS_SQL + " select o node, max(h)::int eccentricity, count(*) - 1 reached from d group by 1")(lambda t: G.eccentricity(_graph(t).where(F.col("w") >= LINK)))
 
 
-@R.add("q215_graph_report")
+@R.add("q215_graph_report", _HOPS_SQL + """, p as (select o, min(n) part from d group by 1), z as (select part, count(*) n from p group by 1), a as (select count(distinct source) nodes from documents)
+ select nodes, (select count(*) from e where w >= """ + repr(LINK) + """) edges, (select count(*) from z) parts, (select max(n) from z) largest, nodes - (select count(*) from p) isolates, (select max(h)::int from d) diameter from a""")
 def graph_report(t: Tables) -> DataFrame:
     """The source graph in numbers."""
     nodes = t.documents.where("source is not null").select(F.col("source").alias("node")).distinct()
