@@ -191,7 +191,8 @@ def train(findings: DataFrame, words: Language, seed: int = 7) -> PipelineModel:
     rows = findings.where("label is not null").orderBy(F.xxhash64("candidate", "left", "path")).limit(MOST_ROWS)
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=seed)
     stages = [HashingTF(inputCol="nearby", outputCol="hashed", numFeatures=HASHED, binary=True), VectorAssembler(inputCols=[*FEATURES, "hashed"], outputCol="features"), forest]
-    return Pipeline(stages=stages).fit(with_features(rows, words))
+    # written once, as the forest reads its rows several times
+    return Pipeline(stages=stages).fit(cut(with_features(rows, words).select("label", "nearby", *FEATURES), "training").coalesce(4))
 
 
 def scan(docs: DataFrame, model: PipelineModel, words: Language, path: str | None = None) -> DataFrame:
