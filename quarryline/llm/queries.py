@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import chat_format, decontamination, exact_dedup, html_extraction, packing, secret_scan, sharding, simhash, substring_dedup, toxicity
+from quarryline.llm import chat_format, decontamination, exact_dedup, html_extraction, packing, secret_scan, sharding, simhash, spelling, substring_dedup, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 40
@@ -69,6 +69,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.in_fold().alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -122,5 +127,37 @@ from sd join si using (s) join n on n.id = si.id group by sd.id, si.id having co
 with c as (select conv_id, list(struct_pack(r := coalesce(role, 'unknown'), t := coalesce(text, '')) order by turn nulls first, role nulls first, text nulls first) l from conversations group by conv_id)
 select conv_id, len(l) n_turns, array_to_string(list_transform(l, lambda x: '<|' || x.r || E'|>\\n' || x.t || E'\\n<|end|>'), E'\\n') text
 from c where not exists (select 1 from c d where len(d.l) > len(c.l) and d.l[1:len(c.l)] = c.l)
+""",
+    "op13_spelling_variants": r"""
+with recursive crc_table as (
+  select list(c order by b) t from (
+    select b, list_reduce([b, 1, 1, 1, 1, 1, 1, 1, 1], lambda c, s: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) c
+    from (select unnest(range(0, 256)) b))),
+runs as (
+  select key, run, count(*) m from (
+    select coalesce(doc_id::varchar, '') key, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) run
+    from documents) group by key, run),
+hashed as (
+  select run, m, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, 1 + strlen(key || ':' || run)),
+    lambda k: ('0x' || substr(hex(encode(key || ':' || run)), 2 * k - 1, 2))::bigint)), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]))) h
+  from runs, crc_table),
+words as (
+  select word, sum(m)::bigint n from (
+    select case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end word, m from hashed)
+  where length(word) >= 6 group by word having sum(m) >= 5),
+deletions as (select word, n, k, substr(word, 1, k - 1) || substr(word, k + 1) key from (select word, n, unnest(range(1, length(word) + 1)) k from words)),
+pairs as (
+  select distinct a.word, a.n, b.word other, b.n other_n from deletions a join deletions b using (k, key) where a.word <> b.word
+  union select a.word, a.n, b.word, b.n from deletions a join words b on b.word = a.key
+  union select b.word, b.n, a.word, a.n from deletions a join words b on b.word = a.key),
+best as (
+  select word, count(*) n_near, first(other order by other_n desc, other) other, max(other_n) other_n, any_value(n) n from pairs group by word),
+form as (select word, n_near, case when other_n >= 5 * n then other end form, case when other_n >= 5 * n then other_n end form_n from best),
+way as (
+  select word, form cur from form where form is not null
+  union all select way.word, f.form from way join form f on f.word = way.cur where f.form is not null),
+root as (select word, cur root from way where not exists (select 1 from form f where f.word = way.cur and f.form is not null))
+select w.word, f.form, coalesce(r.root, w.word) root, w.n, coalesce(f.n_near, 0)::bigint n_near, f.form_n
+from words w left join form f using (word) left join root r using (word)
 """,
 }
