@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import chat_format, decontamination, exact_dedup, html_extraction, packing, secret_scan, sharding, simhash, spelling, substring_dedup, toxicity
+from quarryline.llm import chat_format, conversation_repair, decontamination, exact_dedup, html_extraction, packing, secret_scan, sharding, simhash, spelling, substring_dedup, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 40
@@ -69,6 +69,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", toxicity.in_fold().alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_format": op8_chat_format,
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
