@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.llm import chat_format, conversation_repair, decontamination, exact_dedup, html_extraction, packing, secret_scan, sharding, simhash, spelling, substring_dedup, toxicity
+from quarryline.llm import chat_format, conversation_repair, decontamination, exact_dedup, html_extraction, lm_scoring, packing, secret_scan, sharding, simhash, spelling, substring_dedup, toxicity
 
 TOKENIZER = "byte_bpe_50k.json"
 SHARDS = 40
@@ -73,6 +73,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(_table(spark, sf_dir, "conversations"))
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_packing": op9_packing,
     "op10_toxicity": op10_toxicity,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_lm_scoring": op12_lm_scoring,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
