@@ -7,29 +7,30 @@ regression; the others carry nothing but noise. Its loss and gradient are added
 the sample's feature sets, and the driver takes L-BFGS steps. Scoring reads each text once, with
 numpy on code points inside Arrow batches.
 
-The classifier is fitted on a bounded sample of labelled rows (at most ``PER_CLASS`` rows of each label,
+The classifier is fitted on a bounded sample of labelled rows (at most ``PER_CLASS`` ids of each label,
 chosen by a hash of the id); the held-out fold is never read for it. Defined cases: a null or empty text
 has no features and gets the intercept's score; a null ``doc_id`` is scored and not held out; labels
 that are null or without a document are left out; a document labelled twice counts as toxic if any
-label says so; rows that repeat an id count as rows of the sample; with no usable labels every score is
-0; further columns are ignored.
+label says so; an id counts once in the sample, however many rows repeat it, and of its texts that of the
+least hash stands for it; with no usable labels every score is 0; further columns are ignored.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quarryline.llm.shared import bounded, cut, release, sliced
 
-#: Labelled rows of each class that the classifier is fitted on, at most.
+#: Labelled ids of each class that the classifier is fitted on, at most.
 PER_CLASS = 8_000
 SIZES = (3, 4, 5, 6)
 BITS = 20
@@ -99,17 +100,17 @@ def in_fold(doc_id: str = "doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> DataFrame:
-    """text, y of the sample; at most ``per_class`` rows of each class, so the id list may be broadcast."""
+    """text, y of the sample: one row an id, and at most ``per_class`` ids of each class, so the id list may be broadcast.
+
+    An id's rows are brought to one before the shuffle, however many there are.
+    """
     usable = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~in_fold())
     usable = usable.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("y"))
-    counted = usable.join(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "doc_id")
-    parts = []
-    for y in (0, 1):
-        first = counted.where(F.col("y") == y).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(per_class)
-        rows = F.sum("n").over(Window.partitionBy("y").orderBy("h", "doc_id"))  # over per_class rows at most
-        parts.append(first.withColumn("rows", rows).where(F.col("rows") <= per_class).select("doc_id", "y"))
-    sample = parts[0].union(parts[1])
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "y")
+    there = usable.join(docs.select("doc_id").distinct(), "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    no, yes = (there.where(F.col("y") == y).orderBy("h", "doc_id").limit(per_class).select("doc_id", "y") for y in (0, 1))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(no.union(yes)), "doc_id")
+    one = rows.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("first"))
+    return one.select("first.text", "y")
 
 
 def _log_ratios(rows: DataFrame, totals: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -203,6 +204,8 @@ def _fit(sets: DataFrame, totals: tuple[int, int], ratios: np.ndarray, ridge: fl
         v, loss, gradient = new, new_loss, new_gradient
         if small:
             break
+    else:
+        warnings.warn(f"the fit has not settled after {STEPS} steps; its last coefficients are used", stacklevel=2)
     return v[:-1], float(v[-1])
 
 
