@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -213,12 +214,12 @@ def test_cuckoo_insert_delete_resize():
     for k, d in enumerate(keys):
         live.put(*d, k, 1)
     assert live.resizes > 0 and all(live.filter.contains(d) for d, _ in keys)
-    assert live.looked_up < 30  # new texts miss the filter, and then no content is looked at
+    assert live.hits < 30 and live.hits + live.misses == 3000  # new texts miss the filter, and then no content is looked at
     for d in keys[::2]:
         live.put(*d, None, 0)
     assert {(d, e[0]) for d, held in live.keys.items() for e in held} == set(keys[1::2]) and all(live.filter.contains(d) for d, _ in keys[1::2])
     assert sum(live.filter.contains(d) for d, _ in keys[::2]) < 20
-    again = exact_dedup.LiveDigests.load(live.row(3))
+    again = exact_dedup.LiveDigests.load(live.rows(3, pa.int64()))
     assert again.keys == live.keys and all(again.filter.contains(d) for d in again.keys)
 
 
@@ -235,7 +236,7 @@ def test_equal_digests_are_verified():
 
 
 def live_entries(index):
-    return {bytes(r.content): (r.keep_id, r.group_size) for r in exact_dedup.entries(index.buckets).collect()}
+    return {bytes(r.content): (r.keep_id, r.group_size) for r in exact_dedup.entries(index.read("entries")).collect()}
 
 
 def test_index_updates(spark):
@@ -269,6 +270,57 @@ def test_index_random_updates(spark):
         assert live_entries(index) == expected
 
 
+def test_filter_decides_for_every_arrival(spark):
+    """Each bucket asks its filter for each arrival: new texts miss, copies of other batches hit and are verified."""
+    docs = frame(spark, [(k, f"text {k % 50}", "", "", 0) for k in range(400)]).repartition(8, "doc_id")
+    rows = exact_dedup._built(docs, 3).cache()
+    asked = rows.where("filter is not null").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"), F.sum("keys").alias("keys")).first()
+    arrived = exact_dedup.arrivals(docs).count()
+    assert asked["keys"] == 50 and asked.hits + asked.misses == arrived and asked.misses <= 50 <= asked.hits
+    assert {r.group_size for r in exact_dedup.entries(rows).collect()} == {8}
+    rows.unpersist()
+
+
+def test_update_reads_its_buckets_alone(spark):
+    docs = frame(spark, [(k, f"text {k}", "", "", 0) for k in range(300)])
+    index = exact_dedup.build_index(docs, 16)
+    assert len(index.folders) == 16 and sum(index.keys.values()) == 300
+    batch = frame(spark, [(900, "text 5", "", "", 0), (901, "text 5", "", "", 0)])
+    bucket = exact_dedup.digests(batch).select(exact_dedup.bucket_of("digest", 16).alias("b")).first().b
+    for table in ("entries", "members"):
+        assert {f.split("bucket=")[1].split("/")[0] for f in index.read(table, [bucket]).inputFiles()} >= {str(bucket)}
+        plan = index.read(table, [bucket])._jdf.queryExecution().toString()
+        assert "bucket#" in plan and "PartitionFilters" in plan
+    later = exact_dedup.update_index(index, insert=batch)
+    assert {b for b in later.folders if later.folders[b] != index.folders[b]} == {bucket}
+    assert live_entries(later)[hashlib.sha256(b"text 5").digest()] == (901, 3)
+    assert live_entries(index)[hashlib.sha256(b"text 5").digest()] == (5, 1)  # the old index stands
+
+
+def test_buckets_split_from_stored_digests(spark):
+    index = exact_dedup.build_index(frame(spark, [(k, f"text {k % 90}", "", "", 0) for k in range(180)]), 3)
+    before = live_entries(index)
+    more = exact_dedup.split(index, 7)
+    assert live_entries(more) == before and more.n_buckets == 7 and sum(more.keys.values()) == 90
+    four = exact_dedup.split(index, 4)  # of which only one parts; the others stay where they are
+    assert [four.folders[b] == index.folders[b] for b in range(3)] == [True, False, True] and live_entries(four) == before
+    for b in (5, 11):  # each bucket holds the digests that its number says
+        there = exact_dedup.split(index, b).read("entries").where("content is not null")
+        assert there.where(exact_dedup.bucket_of("digest", b) != F.col("bucket")).count() == 0
+    grown = exact_dedup.update_index(index, insert=frame(spark, [(k, f"new {k}", "", "", 0) for k in range(200)]), bucket_keys=20)
+    assert grown.n_buckets == 15 and len(live_entries(grown)) == 290
+    gone = exact_dedup.update_index(grown, delete=frame(spark, [(k, f"new {k}", "", "", 0) for k in range(200)]), bucket_keys=20)
+    assert live_entries(gone) == before
+
+
+def test_lookup_verifies_hits(spark):
+    index = exact_dedup.build_index(frame(spark, [(1, "a", "", "", 0), (4, "a", "", "", 0), (2**60 + 1, None, "", "", 0)]), 4)
+    got = exact_dedup.lookup(index, frame(spark, [(7, "a", "", "", 0), (8, "", "", "", 0), (9, "b", "", "", 0), (None, "a", "", "", 0)])).collect()
+    assert key([tuple(r) for r in got]) == key([(7, 4, 2), (8, 2**60 + 1, 1), (None, 4, 2)])
+    assert exact_dedup.lookup(index, frame(spark, [])).count() == 0
+    assert exact_dedup.lookup(exact_dedup.build_index(frame(spark, []), 4), frame(spark)).count() == 0
+
+
 # --- 6: decontamination
 
 
