@@ -2,8 +2,8 @@
 
 Old shards are cut into blocks; the sizes of old shards and the capacities of new ones make a
 transportation network in which a byte that stays costs nothing and a byte that moves costs one.
-The flow of least cost (successive shortest paths) says how many bytes go from which shard to
-which; blocks are then chosen that realise the flow, and the shards that gain or lose blocks are the
+The flow of least cost (all shortest paths of one cost at a time, through a hub that what moves
+passes) says how many bytes go from which shard to which; blocks are then chosen that realise the flow, and the shards that gain or lose blocks are the
 only ones to rewrite.
 
 Only block totals reach the driver: at most ``blocks`` times the number of shards, and as many more
@@ -29,6 +29,8 @@ from quarryline.llm.shared import cut
 ROW_BYTES = 16
 #: Blocks that a new shard consists of, about.
 BLOCKS = 256
+#: Bytes of a shard that one task writes, about.
+TASK_BYTES = 128 << 20
 
 
 def sized(docs: DataFrame, old_shard: Column) -> DataFrame:
@@ -42,54 +44,122 @@ def capacities(total: int, n: int) -> list[int]:
     return [total * (k + 1) // n - total * k // n for k in range(n)]
 
 
+class Network:
+    """Arcs with room and cost; every arc has a reverse arc beside it, at its number xor 1."""
+
+    def __init__(self, n: int) -> None:
+        self.out: list[list[int]] = [[] for _ in range(n)]
+        self.to: list[int] = []
+        self.room: list[int] = []
+        self.cost: list[int] = []
+
+    def arc(self, a: int, b: int, room: int, cost: int) -> int:
+        for x, y, r, c in ((a, b, room, cost), (b, a, 0, -cost)):
+            self.out[x].append(len(self.to))
+            self.to.append(y)
+            self.room.append(r)
+            self.cost.append(c)
+        return len(self.to) - 2
+
+    def _distances(self, source: int, potential: list[int]) -> list[int | None]:
+        """Least cost to each node over arcs with room, less what the potentials account for."""
+        far: list[int | None] = [None] * len(self.out)
+        heap = [(0, source)]
+        while heap:
+            d, a = heapq.heappop(heap)
+            if far[a] is None:
+                far[a] = d
+                for e in self.out[a]:
+                    if self.room[e] and far[self.to[e]] is None:
+                        heapq.heappush(heap, (d + self.cost[e] + potential[a] - potential[self.to[e]], self.to[e]))
+        return far
+
+    def _blocking(self, source: int, sink: int, potential: list[int]) -> bool:
+        """Fills all shortest paths of least cost (fewest arcs first); False if there is none."""
+        free = lambda a, e: self.room[e] and not self.cost[e] + potential[a] - potential[self.to[e]]
+        level = {source: 0}
+        queue = [source]
+        for a in queue:
+            for e in self.out[a]:
+                if self.to[e] not in level and free(a, e):
+                    level[self.to[e]] = level[a] + 1
+                    queue.append(self.to[e])
+        if sink not in level:
+            return False
+        ahead = [0] * len(self.out)
+        path: list[int] = []
+        at = source
+        while True:
+            if at == sink:
+                push = min(self.room[e] for e in path)
+                for e in path:
+                    self.room[e] -= push
+                    self.room[e ^ 1] += push
+                full = next(k for k, e in enumerate(path) if not self.room[e])
+                at = self.to[path[full] ^ 1]
+                del path[full:]
+                continue
+            while ahead[at] < len(self.out[at]):
+                e = self.out[at][ahead[at]]
+                if level.get(self.to[e]) == level[at] + 1 and free(at, e):
+                    break
+                ahead[at] += 1
+            if ahead[at] < len(self.out[at]):
+                path.append(e)
+                at = self.to[e]
+            elif path:
+                at = self.to[path.pop() ^ 1]
+                ahead[at] += 1
+            else:
+                return True
+
+    def flow(self, source: int, sink: int) -> None:
+        """A flow of most bytes and, of those, least cost: all paths of one cost at a time, by rising cost."""
+        potential = [0] * len(self.out)
+        while True:
+            far = self._distances(source, potential)
+            if far[sink] is None:
+                return
+            beyond = max(d for d in far if d is not None)
+            potential = [p + (beyond if d is None else d) for p, d in zip(potential, far)]
+            while self._blocking(source, sink, potential):
+                pass
+
+
 def min_cost_flow(supply: dict[int, int], capacity: list[int], kept: dict[int, int]) -> dict[tuple[int, int], int]:
     """Bytes from each old to each new shard; ``kept`` names the new shard that an old one lives on as.
 
-    Nodes: source, old shards, new shards, sink. Successive shortest augmenting paths with
-    potentials (Dijkstra); each path fills an arc, so there are at most (old + new) of them and some
-    reversals, on a graph of shards, not of rows.
+    Every byte that moves costs the same, so what moves passes one hub: old shards send to their own
+    new shard for nothing and to the hub for one, and the hub sends to new shards for nothing. The graph has as many
+    arcs as there are shards, not their product, and the same least cost; bytes in the hub are then dealt out in order.
     """
     olds = sorted(supply)
-    source, sink = ("s", 0), ("t", 0)
-    arcs: dict[tuple, dict[tuple, list[int]]] = defaultdict(dict)  # residual capacity and cost
-
-    def arc(a: tuple, b: tuple, room: int, cost: int) -> None:
-        arcs[a][b] = [room, cost]
-        arcs[b].setdefault(a, [0, -cost])
-
-    total = sum(supply.values())
-    for i in olds:
-        arc(source, ("o", i), supply[i], 0)
-        for j in range(len(capacity)):
-            arc(("o", i), ("n", j), total, 0 if kept.get(i) == j else 1)
+    hub, sink = len(olds) + 1, len(olds) + len(capacity) + 2
+    net = Network(sink + 1)
+    stay, leave, come = {}, {}, {}
+    for k, i in enumerate(olds):
+        net.arc(0, 1 + k, supply[i], 0)
+        if i in kept:
+            stay[i] = net.arc(1 + k, hub + 1 + kept[i], supply[i], 0)
+        leave[i] = net.arc(1 + k, hub, supply[i], 1)
     for j, room in enumerate(capacity):
-        arc(("n", j), sink, room, 0)
-    potential: dict[tuple, int] = defaultdict(int)
-    while True:
-        far = {source: 0}
-        came: dict[tuple, tuple] = {}
-        heap: list[tuple[int, tuple]] = [(0, source)]
-        while heap:
-            d, a = heapq.heappop(heap)
-            if d > far[a]:
-                continue
-            for b, (room, cost) in arcs[a].items():
-                if room > 0 and (new := d + cost + potential[a] - potential[b]) < far.get(b, 1 << 62):
-                    far[b], came[b] = new, a
-                    heapq.heappush(heap, (new, b))
-        if sink not in far:
-            break
-        for a, d in far.items():
-            potential[a] += d
-        path = [sink]
-        while path[-1] != source:
-            path.append(came[path[-1]])
-        steps = list(zip(path[::-1], path[-2::-1]))
-        push = min(arcs[a][b][0] for a, b in steps)
-        for a, b in steps:
-            arcs[a][b][0] -= push
-            arcs[b][a][0] += push
-    return {(i, j): arcs[("n", j)][("o", i)][0] for i in olds for j in range(len(capacity)) if arcs[("n", j)].get(("o", i), [0])[0] > 0}
+        come[j] = net.arc(hub, hub + 1 + j, room, 0)
+        net.arc(hub + 1 + j, sink, room, 0)
+    net.flow(0, sink)
+    used = lambda e: net.room[e ^ 1]
+    flow = {(i, kept[i]): used(e) for i, e in stay.items() if used(e)}
+    wanting = [[j, used(e)] for j, e in come.items() if used(e)][::-1]
+    for i, e in leave.items():
+        left = used(e)
+        while left:
+            j, want = wanting[-1]
+            part = min(left, want)
+            flow[i, j] = flow.get((i, j), 0) + part
+            left -= part
+            wanting[-1][1] -= part
+            if not wanting[-1][1]:
+                wanting.pop()
+    return flow
 
 
 def block_moves(blocks: dict[int, list[tuple[int, int]]], flow: dict[tuple[int, int], int], capacity: list[int], kept: dict[int, int]) -> dict[tuple[int, int], int]:
@@ -100,8 +170,11 @@ def block_moves(blocks: dict[int, list[tuple[int, int]]], flow: dict[tuple[int,
     """
     target: dict[tuple[int, int], int] = {}
     fill = [0] * len(capacity)
+    leaving: dict[int, list[list]] = defaultdict(list)
+    for (i, j), f in flow.items():
+        leaving[i].append([-f, kept.get(i) != j, j])
     for i, own in sorted(blocks.items()):
-        open_arcs = [[-f, kept.get(i) != j, j] for (o, j), f in flow.items() if o == i]
+        open_arcs = leaving[i]
         heapq.heapify(open_arcs)
         for size, b in sorted(own, key=lambda x: (-x[0], x[1])):
             best = heapq.heappop(open_arcs) if open_arcs else [0, True, min(range(len(capacity)), key=lambda j: fill[j] - capacity[j])]
@@ -113,10 +186,18 @@ def block_moves(blocks: dict[int, list[tuple[int, int]]], flow: dict[tuple[int,
     members: dict[int, list[tuple[int, tuple[int, int]]]] = defaultdict(list)
     for key, j in target.items():
         members[j].append((sizes[key], key))
+    over = lambda j: fill[j] - capacity[j]
+    # the fullest and the emptiest shard; entries that a move has made untrue are passed over
+    full, empty = [(-over(j), j) for j in range(len(capacity))], [(over(j), j) for j in range(len(capacity))]
+    heapq.heapify(full)
+    heapq.heapify(empty)
     for _ in range(20 * len(capacity)):
-        over = [fill[j] - capacity[j] for j in range(len(capacity))]
-        high, low = max(range(len(over)), key=over.__getitem__), min(range(len(over)), key=over.__getitem__)
-        gap = over[high] - over[low]
+        while -full[0][0] != over(full[0][1]):
+            heapq.heappop(full)
+        while empty[0][0] != over(empty[0][1]):
+            heapq.heappop(empty)
+        high, low = full[0][1], empty[0][1]
+        gap = over(high) - over(low)
         # a block of about half the gap, or the best exchange of two blocks
         single = min((m for m in members[high] if m[0] < gap), key=lambda m: abs(2 * m[0] - gap), default=None)
         if single is None:
@@ -137,6 +218,9 @@ def block_moves(blocks: dict[int, list[tuple[int, int]]], flow: dict[tuple[int,
                 target[m[1]] = b
                 fill[a] -= m[0]
                 fill[b] += m[0]
+        for j in (high, low):
+            heapq.heappush(full, (-over(j), j))
+            heapq.heappush(empty, (over(j), j))
     return target
 
 
@@ -190,7 +274,7 @@ def affected(plan: DataFrame) -> list[int]:
     return sorted(r.k for r in gains.union(losses).where("k is not null").distinct().collect())
 
 
-def rewrite(docs: DataFrame, old_shard: Column, plan: DataFrame, folder: str) -> list[int]:
+def rewrite(docs: DataFrame, old_shard: Column, plan: DataFrame, folder: str, task_bytes: int = TASK_BYTES) -> list[int]:
     """Writes the affected shards of ``folder``, one folder ``shard=N`` each, and returns their numbers.
 
     The files of all other shards stay as they are, and shards that end empty are emptied. ``plan`` is
@@ -199,7 +283,7 @@ def rewrite(docs: DataFrame, old_shard: Column, plan: DataFrame, folder: str) ->
     be read from ``folder`` itself; a column ``shard`` of its own is replaced by the new number.
     """
     spark = docs.sparkSession
-    plan = cut(plan.select("doc_id", "text_crc32", "old", "shard", "moved"), "plan")
+    plan = cut(plan.select("doc_id", "text_crc32", "old", "shard", "moved", "size"), "plan")
     changed = affected(plan)
     if not changed:
         return changed
@@ -228,8 +312,11 @@ def rewrite(docs: DataFrame, old_shard: Column, plan: DataFrame, folder: str) ->
     dealt = numbered.join(counts, on).select(*[numbered[c] for c in kept], F.filter(to, lambda x: x["upto"] >= number)[0]["shard"].alias("shard"))
     rows = cut(one.unionByName(dealt).where(F.col("shard").isin(changed)), "rows")
     full = [r.shard for r in rows.select("shard").distinct().collect()]
-    spread = F.pmod(F.xxhash64("doc_id", F.col("text")), F.lit(8))
-    rows.repartition("shard", spread).write.partitionBy("shard").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(folder)
+    # as many tasks a shard as its bytes need; one row a shard that changes
+    tasks = plan.where(F.col("shard").isin(full)).groupBy(F.col("shard").alias(to)).agg(F.ceil(F.sum("size") / F.lit(task_bytes)).cast("int").alias(task))
+    sized = rows.join(F.broadcast(tasks), rows["shard"] == tasks[to])
+    spread = F.pmod(F.xxhash64("doc_id", F.col("text")), F.col(task))
+    sized.repartition("shard", spread).drop(to, task).write.partitionBy("shard").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(folder)
     for k in sorted(set(changed) - set(full)):
         spark.createDataFrame([], rows.drop("shard").schema).write.mode("overwrite").parquet(f"{folder}/shard={k}")
     return changed

@@ -103,30 +103,33 @@ def bit_planes(values: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=1, bitorder="little").view(np.uint64)
 
 
-def close_pairs(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i < j) of values that differ in up to ``radius`` bits. values: uint64, or (n, lanes) of it.
+def close_pairs(values: np.ndarray, radius: int, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs (i < j) of values of one group that differ in up to ``radius`` bits. values: uint64, or (n, lanes) of it.
 
-    Groups of up to 64 are one word of lanes and compared by XOR and bit counts. Larger ones are
-    compared bit-sliced: a block of queries meets a plane of all values in one XOR, distances are
-    counted by carry-save steps into bit slices, and queries whose distances all exceed the radius
-    leave the block.
+    Groups (numbers that lie together; one group by default) fill blocks of lanes whatever their size: a block of
+    queries meets a plane of the lanes of all its groups in one XOR, distances are counted by carry-save
+    steps into bit slices, and queries whose distances all exceed the radius leave the block. Lanes of other groups
+    count as beyond the radius from the start.
     """
     values = values.reshape(len(values), -1)
     n = len(values)
-    if n <= 64:
-        distance = np.bitwise_count(values[:, None] ^ values[None]).sum(axis=2, dtype=np.int32)
-        return np.nonzero(np.triu(distance <= radius, 1))
+    group = np.zeros(n, np.int64) if group is None else group
+    edge = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
+    upto = np.repeat(edge[1:], np.diff(edge))  # where each value's group ends
     planes = bit_planes(values)
     bits = np.unpackbits(np.ascontiguousarray(values).view(np.uint8), axis=1, bitorder="little")
-    order = np.flatnonzero((bits != bits[:1]).any(axis=0))  # planes in which the block differs at all
     slices = max(1, (radius + 1).bit_length())
     left, right = [], []
     for first in range(0, n, QUERIES):
-        words = planes[:, first // 64 :]
         query = np.arange(first, min(n, first + QUERIES))
+        base, end = first // 64 * 64, int(upto[query[-1]])
+        words = planes[:, base // 64 : -(-end // 64)]
+        lane = np.arange(base, base + 64 * words.shape[1])
+        other = (lane <= query[:, None]) | (lane >= upto[query][:, None])
+        over = np.packbits(other, axis=1, bitorder="little").view(np.uint64)  # lanes without a pair, or whose distance left the counters
+        order = np.flatnonzero((bits[first:end] != bits[first]).any(axis=0))  # planes in which the block differs at all
         flip = (np.uint64(0) - bits[query].astype(np.uint64)).T  # all ones where the query's bit is set
         counters = [np.zeros((len(query), words.shape[1]), np.uint64) for _ in range(slices)]
-        over = np.zeros_like(counters[0])  # distances that left the counters
         for k, p in enumerate(order):
             carry = words[p][None] ^ flip[p][:, None]
             for c in counters:
@@ -141,10 +144,8 @@ def close_pairs(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray
         if len(query):
             within = ~(_beyond(counters, radius) | over)
             row, column = np.nonzero(np.unpackbits(within.view(np.uint8), axis=1, bitorder="little"))
-            i, j = query[row], column + first // 64 * 64
-            ok = (j > i) & (j < n)
-            left.append(i[ok])
-            right.append(j[ok])
+            left.append(query[row])
+            right.append(column + base)
     return (np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, int), np.zeros(0, int))
 
 
@@ -181,17 +182,9 @@ def compare_groups(radius: int):
     """For rows (key, node, lanes...) sorted by key: links (a, b) that span each group's close pairs."""
 
     def linked(key: np.ndarray, ids: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-        edge = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
-        size = np.diff(edge)
-        two = edge[:-1][size == 2]
-        near = two[np.bitwise_count(fps[two] ^ fps[two + 1]).sum(axis=1, dtype=np.int32) <= radius]
-        a, b = [ids[near]], [ids[near + 1]]
-        for at, n in zip(edge[:-1][size > 2], size[size > 2]):
-            root = np.array(_spanning(*close_pairs(fps[at : at + n], radius), n))
-            other = np.flatnonzero(root != np.arange(n))
-            a.append(ids[at + other])
-            b.append(ids[at + root[other]])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+        root = np.array(_spanning(*close_pairs(fps, radius, key), len(key)), np.int64)
+        other = np.flatnonzero(root != np.arange(len(key)))
+        return pa.RecordBatch.from_arrays([pa.array(ids[other]), pa.array(ids[root[other]])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The last group of a batch may go on in the next."""

@@ -155,6 +155,33 @@ def test_bit_sliced_distances(values, radius, bit):
     assert set(zip(left.tolist(), right.tolist())) == expected
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 15), st.integers(0, 63)), min_size=1, max_size=90), st.integers(0, 3))
+def test_groups_share_blocks_of_lanes(rows, radius):
+    """Small groups side by side in one block of planes; values lie close, so that only the group keeps them apart."""
+    rows = sorted(rows)
+    group = np.array([g for g, *_ in rows], np.int64)
+    values = np.array([(v << 40) ^ (1 << b) for _, v, b in rows], np.uint64)
+    left, right = simhash.close_pairs(values, radius, group)
+    expected = {(a, b) for a in range(len(rows)) for b in range(a + 1, len(rows)) if group[a] == group[b] and bin(int(values[a] ^ values[b])).count("1") <= radius}
+    assert set(zip(left.tolist(), right.tolist())) == expected and len(left) == len(expected)
+
+
+def test_planes_decide_every_link(spark, monkeypatch):
+    """No link of the test documents is found without the bit planes and their counters."""
+    nodes = simhash.fingerprints(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).groupBy("fp").agg(F.min("doc_id").alias("node"))
+    rows = simhash._keys(nodes.select("fp", "node", F.lit(0).alias("path"), F.lit(0).cast("long").alias("key")), 0, 2).orderBy("key").toPandas()
+    rows = rows[rows["key"].duplicated(keep=False)]
+    batch = pa.RecordBatch.from_arrays([pa.array(rows[c].to_numpy()) for c in ("key", "node", "fp")], names=["key", "node", "fp"])
+    seen = []
+    count = simhash._beyond
+    monkeypatch.setattr(simhash, "_beyond", lambda counters, radius: seen.append(int((~count(counters, radius)).any())) or count(counters, radius))
+    found = [b for b in simhash.compare_groups(2)(iter([batch]))]
+    assert sum(b.num_rows for b in found) > 0 and len(seen) >= 1
+    monkeypatch.setattr(simhash, "_beyond", lambda counters, radius: ~(counters[0] ^ counters[0]))
+    assert sum(b.num_rows for b in simhash.compare_groups(2)(iter([batch]))) == 0
+
+
 @pytest.mark.parametrize("block", [4096, 2])
 def test_links_span_all_components(spark, block):
     rng = np.random.default_rng(3)
