@@ -85,6 +85,19 @@ HANDOFF = (
 )
 NAME_STOP = ("the", "and", "for", "with", "from", "that", "this", "then", "when", "though", "after", "before", "while", "his", "her", "its", "their", "they", "she", "who", "which")
 
+# Words after a name that do not make it act, titles that name nobody alone, and pronouns (fixed values).
+NOT_A_VERB = (
+    "of the a an and or but nor in on at to for with from by as into onto upon over under near about per via than then also not only just "
+    "however though although because since while during after before until against between among beyond behind within without throughout "
+    "despite toward towards who whom whose which that when where why how his her its their our your my this these those there here such both "
+    "each every all any some no more most less least very much many again still even so too"
+).split()
+TITLE_WORDS = (
+    "captain doctor iron lord lady king queen prince princess black white green red blue dark mister miss general commander professor sir saint "
+    "master super great grand high little big young old man woman girl boy"
+).split()
+PRONOUN = r"(?i)\b(?:he|she|it|they|him|her|his|hers|its|their|them|himself|herself|itself|themselves|who|which|that)\b"
+
 # Grades of labelled parameter blocks, and what a link target must not be (fixed values).
 PARAMETER = r"(?i)\b(power|speed|range|durability|precision|potential)\s*[:=|!]+\s*([A-E])\b"
 NOT_A_NAME = r"(?i)^(list|saga|arc|chapter|episode|volume|movie|film|game|manga|anime|the [a-z]|[a-z ]*(?:pirates|crew|powers|bounties|characters|references|contents))\b|#|/"

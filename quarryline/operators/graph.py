@@ -16,6 +16,24 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return one.select("a", "b", "w").union(one.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")).groupBy("a", "b").agg(F.max("w").alias("w"))
 
 
+def follow(edges: DataFrame) -> DataFrame:
+    """node, end, hops of each node of ``edges`` (a, b: one way on at most): where its chain ends, and in how many steps.
+
+    Each round doubles the stretch that is known. Chains that run into a ring have no end (null ``end`` and ``hops``):
+    they are those that still move once the stretch exceeds the number of nodes.
+    """
+    way = snapshot(edges.select(F.col("a").alias("node"), F.col("b").alias("end"), F.lit(1).cast("long").alias("hops"), F.lit(True).alias("moves")), "way")
+    n = way.count()
+    for _ in range(n.bit_length() + 1):
+        onward = way.select(F.col("node").alias("end"), F.col("end").alias("next"), F.col("hops").alias("more"))
+        joined = way.join(onward, "end", "left")
+        way = snapshot(joined.select("node", F.coalesce("next", "end").alias("end"), (F.col("hops") + F.coalesce("more", F.lit(0))).alias("hops"), F.col("next").isNotNull().alias("moves")), "way")
+        if way.where("moves").isEmpty():
+            break
+    settled = lambda c: F.when(~F.col("moves"), F.col(c)).alias(c)
+    return way.select("node", settled("end"), settled("hops"))
+
+
 def components(edges: DataFrame, threshold: float, rounds: int = 100) -> DataFrame:
     """node, component (its smallest member) over edges of at least ``threshold``; isolates are absent.
 

@@ -13,6 +13,10 @@ from quarryline.operators.snapshots import snapshot
 from quarryline.operators.windows import average_rank
 
 
+#: Steps of the fixed sequence: the inverses of the plastic number and of its square (fixed values).
+LATTICE = (0.7548776662466927, 0.5698402909980532)
+
+
 def correlations(df: DataFrame, columns: Sequence[str], least: int = 4) -> DataFrame:
     """a, b, n, r of every pair of columns over the rows that have both, in one pass of moments.
 
@@ -153,17 +157,19 @@ def null_threshold(occurrences: DataFrame, member: str, key: str, weight: str, t
     return ranked.where(F.col("r") == F.least(F.col("n"), F.floor(F.col("n") * share) + 1)).select("trial", F.col("w").alias("threshold"))
 
 
-def at_least_one(spark, log10_median: float, sigma: float, samples: int = 200_000, seed: int = 20) -> DataFrame:
-    """Monte-Carlo mean of 1 - exp(-x) for a log-normal x, beside the value at its median.
+def at_least_one(rates: DataFrame, key: str, log10_median: str, sigma: str, samples: int = 20_000) -> DataFrame:
+    """key, mean, point: the Monte-Carlo mean of 1 - exp(-x) for each row's log-normal x, beside the value at its median.
 
-    Normal deviates come from two hashes of the sample's number (Box and Muller), so that the result
-    does not depend on how the samples are partitioned.
+    The deviates are a fixed sequence in two dimensions (multiples of two irrational numbers, Box and Muller), so
+    that the result depends neither on a generator nor on how samples are partitioned. Sums are added up map-side.
     """
-    uniform = lambda salt: (F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.col("id")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    normal = F.sqrt(-2 * F.ln(uniform("radius"))) * F.cos(2 * math.pi * uniform("angle"))
-    x = F.pow(F.lit(10.0), F.lit(log10_median) + normal * sigma)
-    drawn = spark.range(samples).select((1 - F.exp(-x)).alias("p"))
-    return drawn.agg(F.avg("p").alias("mean"), F.lit(1 - math.exp(-(10.0**log10_median))).alias("point"))
+    i = F.col("_i") + 0.5
+    radius, angle = (i * step - F.floor(i * step) for step in LATTICE)
+    normal = F.sqrt(-2 * F.ln(F.greatest(radius, F.lit(1e-12)))) * F.cos(2 * math.pi * angle)
+    x = F.pow(F.lit(10.0), F.col(log10_median) + normal * F.col(sigma))
+    drawn = rates.select(key, log10_median, sigma, F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("_i"))
+    point = (1 - F.exp(-F.pow(F.lit(10.0), F.first(log10_median)))).alias("point")
+    return drawn.groupBy(key).agg(F.avg(1 - F.exp(-x)).alias("mean"), point)
 
 
 def median_threshold(trials: DataFrame) -> DataFrame:

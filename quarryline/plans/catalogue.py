@@ -107,16 +107,14 @@ def citations(t: Tables) -> DataFrame:
     return hits.select("item_id", F.when(F.col("n") == 1, F.col("hit")).alias("resolved"), F.when(F.col("n") == 1, "contained").otherwise("ambiguous").alias("how"))
 
 
-@R.add("q115_redirects", """with recursive r as (select n_nationkey a, case when n_nationkey % 3 = 0 then n_nationkey + 1 when n_nationkey % 3 = 1 and n_nationkey < 20 then n_nationkey + 4 end b from nation), w(origin, spot, hops) as (select a, a, 0 from r union all select w.origin, r.b, w.hops + 1 from w join r on r.a = w.spot where r.b is not null and w.hops < 10), e as (select *, row_number() over (partition by origin order by hops desc) i from w)
- select origin, spot target, hops from e where i = 1""")
+@R.add("q115_redirects", """with recursive r as (select n_nationkey a, case when n_nationkey % 3 = 0 then n_nationkey + 1 when n_nationkey % 3 = 1 and n_nationkey < 20 then n_nationkey + 4 end b from nation), w(origin, spot, hops) as (select a, a, 0 from r union all select w.origin, r.b, w.hops + 1 from w join r on r.a = w.spot where r.b is not null), e as (select *, row_number() over (partition by origin order by hops desc) i from w)
+ select origin, spot target, hops::bigint hops from e where i = 1""")
 def redirects(t: Tables) -> DataFrame:
-    """Redirect chains followed to their end, ten hops at most."""
-    t.views("nation")
-    return t.spark.sql(
-        """with recursive r as (select n_nationkey a, case when n_nationkey % 3 = 0 then n_nationkey + 1 when n_nationkey % 3 = 1 and n_nationkey < 20 then n_nationkey + 4 end b from nation),
-        w(origin, spot, hops) as (select a, a, 0 from r union all select w.origin, r.b, w.hops + 1 from w join r on r.a = w.spot where r.b is not null and w.hops < 10)
-        select origin, max_by(spot, hops) target, max(hops) hops from w group by origin"""
-    )
+    """Redirect chains followed to their end, however long."""
+    k = F.col("n_nationkey")
+    onward = F.when(k % 3 == 0, k + 1).when((k % 3 == 1) & (k < 20), k + 4)
+    way = GR.follow(t.nation.select(k.alias("a"), onward.alias("b")).where("b is not null"))
+    return t.nation.select(k.alias("origin")).join(way, F.col("node") == F.col("origin"), "left").select("origin", F.coalesce("end", "origin").alias("target"), F.coalesce("hops", F.lit(0)).cast("long").alias("hops"))
 
 
 @R.add("q116_continuities", """with n as (select p_partkey, p_name base, p_type d from part), i as (select d, count(distinct base) bearers from n group by 1 having count(distinct base) >= 3) select p_partkey, base, case when i.d is not null then base || '@' || lower(replace(n.d, ' ', '-')) else base end node from n left join i using (d)""")

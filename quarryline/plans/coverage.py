@@ -113,12 +113,12 @@ def _occurrences(t: Tables) -> DataFrame:
     return o.join(o.groupBy("token").agg(F.count(F.lit(1)).alias("n")), "token")
 
 
-@R.add("q16_pair_weights", _OCC_SQL + """, w as (select source, token, ln((select count(distinct source) from o) / n) weight from o join d using (token) where n between 2 and 12)
+@R.add("q16_pair_weights", _OCC_SQL + """, w as (select source, token, ln((select count(distinct source) from o) / n) weight from o join d using (token) where n >= 2)
  select a.source a, b.source b, sum(a.weight) weight, count(*) shared from w a join w b using (token) where a.source < b.source group by 1, 2""")
 def pair_weights(t: Tables) -> DataFrame:
     o = _occurrences(t)
     total = t.documents.agg(F.count_distinct("source").alias("total"))
-    weighted = o.where(F.col("n").between(2, 12)).crossJoin(total).select("source", "token", F.log(F.col("total") / F.col("n")).alias("weight"))  # total is one row
+    weighted = o.where("n >= 2").crossJoin(total).select("source", "token", F.log(F.col("total") / F.col("n")).alias("weight"))  # total is one row
     return J.pair_weights(weighted, "source", "token", "weight")
 
 

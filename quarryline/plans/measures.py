@@ -226,7 +226,13 @@ def null_threshold(t: Tables) -> DataFrame:
     return S.median_threshold(S.null_threshold(_source_words(t), "source", "token", "weight"))
 
 
-R.add("q68_montecarlo")(lambda t: S.at_least_one(t.spark, 0.2, 0.5))
+@R.add("q68_montecarlo", f"""with r as (select s_nationkey, ln(count(*)) / ln(10) - 1 m, 0.25::double + stddev_pop(s_acctbal) / 10000 s from supplier group by 1),
+ i as (select (i + 0.5::double) i from range(20000) t(i)), u as (select greatest(i * {S.LATTICE[0]}::double - floor(i * {S.LATTICE[0]}::double), 1e-12) r, i * {S.LATTICE[1]}::double - floor(i * {S.LATTICE[1]}::double) a from i)
+ select s_nationkey, avg(1 - exp(-pow(10.0::double, m + sqrt(-2 * ln(r)) * cos(2 * pi() * a) * s))) mean, 1 - exp(-pow(10.0::double, any_value(m))) point from r, u group by s_nationkey""")
+def montecarlo(t: Tables) -> DataFrame:
+    """Chance that a nation's suppliers give at least one event, with a log-normal rate from their number and the spread of their balances."""
+    rates = t.supplier.groupBy("s_nationkey").agg((F.log10(F.count(F.lit(1))) - 1).alias("m"), (0.25 + F.stddev_pop("s_acctbal") / 10000).alias("s"))
+    return S.at_least_one(rates, "s_nationkey", "m", "s")
 
 
 @R.add("q69_invariants", """select 'orders without customer' "check", count(*) violations from orders anti join customer on o_custkey = c_custkey union all select 'lines without order', count(*) from lineitem anti join orders on l_orderkey = o_orderkey

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarryline.functions import lifecycle as L
 from quarryline.functions import rules as K
 from quarryline.functions import text as T
-from quarryline.functions.subjects import subject_refusal
+from quarryline.functions.subjects import Patterns, forms, subject_refusals
 from quarryline.operators import joins as J
 from quarryline.operators import stats as S
 from quarryline.operators import windows as W
@@ -199,16 +199,15 @@ def surviving(theories: DataFrame) -> DataFrame:
     return left
 
 
-_ROSTER = [("A", "ruin", 6.0, 0.5), ("A", "reach", 4.0, 0.3), ("A", "celerity", None, 0.2), ("B", "ruin", 2.5, 0.5), ("B", "reach", None, 0.3), ("B", "celerity", 8.0, 0.2)]
-
-
-@R.add("q195_rosters", "with r(nm, axis, score, w) as (values " + ", ".join(f"('{n}', '{a}', {'null' if s is None else s}::double, {w}::double)" for n, a, s, w in _ROSTER) + "), g as (select nm, sum(score * w) / sum(w) filter (where score is not null) v, count(score) n from r group by 1) select nm, round(v, 2) v, nm || ' ' || round(v, 2) || ' (' || n || ' of 3 axes)' citation from g")
+@R.add("q195_rosters", """with g as (select p_brand nm, split_part(p_type, ' ', 1) axis, avg(case when p_size % 7 <> 0 then p_size end) / 5 score, ln(1 + count(*)) w from part group by 1, 2),
+ s as (select nm, sum(score * w) / sum(w) filter (where score is not null) v, count(score) n, count(*) axes from g group by 1) select nm, v, nm || ': ' || n || ' of ' || axes || ' axes' citation from s""")
 def rosters(t: Tables) -> DataFrame:
-    """Hand-built sheets: the weighted mean of the axes that are read, and its citation."""
-    r = t.spark.createDataFrame(_ROSTER, "nm string, axis string, score double, w double")
-    g = r.groupBy("nm").agg((F.sum(F.col("score") * F.col("w")) / F.sum(F.when(F.col("score").isNotNull(), F.col("w")))).alias("v"), F.count("score").alias("n"))
-    v = F.round("v", 2)
-    return g.select("nm", v.alias("v"), F.concat("nm", F.lit(" "), v.cast("string"), F.lit(" ("), F.col("n").cast("string"), F.lit(" of 3 axes)")).alias("citation"))
+    """Sheets of readings by axis: the weighted mean of the axes that are read, and its citation."""
+    read = F.avg(F.when(F.col("p_size") % 7 != 0, F.col("p_size"))) / 5
+    g = t.part.groupBy(F.col("p_brand").alias("nm"), F.split("p_type", " ")[0].alias("axis")).agg(read.alias("score"), F.log1p(F.count(F.lit(1))).alias("w"))
+    mean = F.sum(F.col("score") * F.col("w")) / F.sum(F.when(F.col("score").isNotNull(), F.col("w")))
+    s = g.groupBy("nm").agg(mean.alias("v"), F.count("score").alias("n"), F.count(F.lit(1)).alias("axes"))
+    return s.select("nm", "v", F.concat("nm", F.lit(": "), F.col("n").cast("string"), F.lit(" of "), F.col("axes").cast("string"), F.lit(" axes")).alias("citation"))
 
 
 _FLOORS = [x for x in K.SETTLEMENTS[::-1]]
@@ -404,15 +403,45 @@ def mutuals(t: Tables) -> DataFrame:
     return pairs.select("lo", "hi", split.alias("split"), "lo_wins", "hi_wins")
 
 
-_DEEDS = ["Planets were destroyed by {}", "Planets were destroyed by Galan", "The city was razed", "{} summoned Zeno, who erased it", "{} walked home"]
+# How the tables' English tells deeds: who is done to, by whom, what is handed on, and the deed itself.
+_TELLING = Patterns(passive=r"\b(?:was|is|had) (?:[a-z]+ )?[a-z]+ed\b", agent=r"\bof\s+(?:the\s+)?([A-Z][a-z]{2,})", handoff=r"\bwith\b.{0,60}?\b[A-Z][a-z]+\b.{0,20}?\b(?:that|the)\b", act=r"\b[a-z]+ing\b")
+_NAMED = r"[A-Z][a-z]{2,}(?:[ -][A-Z][a-z]{2,})*"
+
+
+def _in(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+_FORM_WORDS = rf"list_filter(regexp_extract_all(lower({{0}}), '[a-z][a-z''\-]{{{{2,}}}}'), lambda w: w not in {_in(K.NAME_STOP)})".replace("{{", "{").replace("}}", "}")
+_MINE = "(list_contains(f, lower({0})) or list_contains(f, array_to_string({1}, ' ')) or list_has_any(list_filter({1}, lambda w: w not in " + _in(K.TITLE_WORDS) + "), f))"
+
+
+def _mine(name: str) -> str:
+    return _MINE.replace("{0}", name).replace("{1}", _FORM_WORDS.replace("{0}", name))
+
+
+def _spans(text: str) -> str:
+    return rf"list_filter(regexp_extract_all({text}, '\b{_NAMED}\b'), lambda n: len(list_filter(regexp_split_to_array(lower(n), '[ -]'), lambda w: w not in {_in(K.NAME_STOP)})) > 0)"
 
 
-@R.add("q213_subject_refusal", "with s(k, why) as (values (0, null), (1, 'the deed is Galan''s'), (2, 'the subject is on the receiving end'), (3, 'the deed passes to Zeno'), (4, null)) select p_partkey, why from part join s on k = p_partkey % 5")
+@R.add("q213_subject_refusal", rf"""with d as (select doc_id, regexp_replace(text, '[^\x00-\x7F]', 'x', 'g') t from documents where text is not null),
+ e as (select doc_id, regexp_extract(t, '[^.!?]*[.!?]\s+(?:[^.!?]*\b)?({_NAMED})', 1) entity, unnest(regexp_extract_all(t, '[^.!?]+')) s from d),
+ k as (select *, list_filter(list_distinct(list_concat([lower(entity)], {_FORM_WORDS.replace("{0}", "entity")})), lambda x: x <> '') f from e),
+ p as (select *, regexp_matches(s, '{_TELLING.passive}') passive, regexp_extract(regexp_extract(s, '(?s)((?:{_TELLING.passive}).*)$', 1), '{_TELLING.agent}', 1) agent, regexp_matches(s, '(?s){_TELLING.handoff}') handed,
+   coalesce(list_last({_spans(f"regexp_extract(s, '(?s){_TELLING.handoff}', 0)")}), '') heir, regexp_extract(s, '(?s)^(.*?)(?:{_TELLING.act})', 1) ahead, regexp_extract(s, '(?s)^.*?(?:{_TELLING.act})', 0) upto, regexp_matches(s, '{_TELLING.act}') acts from k where len(f) > 0),
+ l as (select *, list_zip(regexp_extract_all(upto, '\b({_NAMED})(?:[''’]s\b)?[\s,]*([a-z][a-z''\-]+)\b', 1), regexp_extract_all(upto, '\b({_NAMED})(?:[''’]s\b)?[\s,]*([a-z][a-z''\-]+)\b', 2)) pairs from p),
+ v as (select doc_id, case when passive then case when agent = '' then ('suffered', '') when not {_mine("agent")} then ('credited', agent) end when handed then case when not (heir <> '' and {_mine("heir")}) then ('handed', heir) end
+   when acts and len(list_filter({_spans("ahead")}, lambda n: {_mine("n")})) = 0 and not regexp_matches(ahead, '{K.PRONOUN}')
+   then ('led', list_filter(pairs, lambda q: q[2] not in {_in(K.NOT_A_VERB)} and not {_mine("q[1]")} and len({_spans("q[1]")}) > 0 and contains(ahead, q[1]))[1][1]) end x from l)
+ select x[1] rule, nullif(x[2], '') "name", count(*) n, count(distinct doc_id) documents from v where x is not null and not (x[1] = 'led' and x[2] is null) group by 1, 2""")
 def refusals(t: Tables) -> DataFrame:
-    """Sentences whose deed is not the entity's, with the reason."""
-    name = F.initcap("p_name")
-    deed = F.get(F.array(*[F.lit(d) for d in _DEEDS]), (F.col("p_partkey") % 5).cast("int"))
-    return t.part.select("p_partkey", subject_refusal(name, F.replace(deed, F.lit("{}"), name)).alias("why"))
+    """Sentences of all texts whose deed is not that of the text's entity (the first name after its first sentence), by rule and name."""
+    d = t.documents.where("text is not null").select("doc_id", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("t"))
+    entity = F.regexp_extract("t", rf"[^.!?]*[.!?]\s+(?:[^.!?]*\b)?({_NAMED})", 1)
+    named = d.withColumn("entity", entity).select("doc_id", "t", forms(F.col("entity")).alias("f"))
+    s = named.select("doc_id", "f", F.explode(F.regexp_extract_all("t", F.lit("[^.!?]+"), F.lit(0))).alias("s"))
+    told = subject_refusals(s, "f", "s", _TELLING).where("refusal is not null")
+    return told.groupBy(F.col("refusal.rule").alias("rule"), F.col("refusal.name").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
 
 
 @R.add("q214_carried", "with d(nm) as (values ('red'), ('blue')) select p_partkey, exists (select 1 from d where nm = split_part(lower(p_name), ' ', 1)) carried from part")

@@ -206,12 +206,23 @@ def test_null_threshold(spark):
 
 
 def test_monte_carlo(spark):
-    mean = stats.at_least_one(spark, 0.2, 0.5).first()
+    rates = [("a", 0.2, 0.5), ("b", -1.0, 0.3), ("c", 0.0, 0.0)]
+    frame = spark.createDataFrame(rates, "k string, m double, s double")
+    got = {r.k: (r["mean"], r.point) for r in stats.at_least_one(frame, "k", "m", "s").collect()}
     rng = np.random.default_rng(1)
-    assert abs(mean["mean"] - np.mean(1 - np.exp(-(10 ** (0.2 + 0.5 * rng.standard_normal(400_000)))))) < 3e-3
-    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "3")
-    assert abs(stats.at_least_one(spark, 0.2, 0.5).first()["mean"] - mean["mean"]) < 1e-12
-    spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    for k, m, s in rates:
+        assert abs(got[k][0] - np.mean(1 - np.exp(-(10 ** (m + s * rng.standard_normal(400_000)))))) < 3e-3
+        assert abs(got[k][1] - (1 - np.exp(-(10.0**m)))) < 1e-12
+    again = {r.k: r["mean"] for r in stats.at_least_one(frame.repartition(3), "k", "m", "s").collect()}
+    assert all(abs(again[k] - got[k][0]) < 1e-12 for k in got)
+
+
+def test_chains_are_followed(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, 101), (101, 102), (102, 100), (99, 100), (7000, 3)]
+    got = {r.node: (r.end, r.hops) for r in graph.follow(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert all(got[k] == (40, 40 - k) for k in range(40)) and got[7000] == (40, 38)
+    assert all(got[k] == (None, None) for k in (99, 100, 101, 102))  # a ring has no end
+    assert graph.follow(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_coined_names(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions import lifecycle as L
 from quarryline.functions import text as T
-from quarryline.functions.subjects import refusal
+from quarryline.functions.subjects import Patterns, forms, subject_refusals
 from quarryline.plans.resolution import surviving
 from quarryline.sources import markup, records
 from quarryline.streaming.retention import History, retained
@@ -41,13 +41,31 @@ def test_names_subject(spark):
     assert all(r.x == r.want for r in got), got
 
 
-def test_subject_refusal():
-    assert refusal("Goku (Z)", "Planets destroyed by Goku in rage") is None
-    assert refusal("Krillin", "Planets destroyed by Goku in rage") == "the deed is Goku's"
-    assert refusal("Krillin", "The city was completely razed") == "the subject is on the receiving end"
-    assert refusal("Goku", "Goku summoned Zeno, who erased it") == "the deed passes to Zeno"
-    assert refusal("Zeno", "Goku summoned Zeno, who erased it") is None
-    assert refusal("", "anything") is None and refusal("A", None) is None
+def test_subject_refusal(spark):
+    ruin = Patterns(act=r"\b(?:destroy|erase)\w*")
+    cases = [
+        ("Goku (Z)", "Planets destroyed by Goku in rage", None),
+        ("Goku (Z)", "Planets were destroyed by the Goku", None),
+        ("Krillin", "Planets destroyed by Goku in rage", ("credited", "Goku")),
+        ("Krillin", "The city was completely razed", ("suffered", None)),
+        ("Goku", "Goku summoned Zeno, who erased it", ("handed", "Zeno")),
+        ("Zeno", "Goku summoned Zeno, who erased it", None),
+        ("", "anything", None),
+        ("A", None, None),
+        (None, "The city was razed", None),
+        ("Captain America", "Planets were destroyed by Captain Marvel", ("credited", "Captain Marvel")),
+        ("Tony Stark", "Planets were destroyed by Iron Stark", None),
+        ("Iron Man (Tony Stark)", "Planets were destroyed by Tony", None),
+        ("Krillin", "Later the Galan calmly destroyed the moon", ("led", "Galan")),
+        ("Krillin", "Galan of the hills destroyed the moon", None),  # no verb follows the name
+        ("Krillin", "Galan calmly watched as he destroyed the moon", None),  # a pronoun ahead
+        ("Krillin", "Galan calmly told Krillin to destroy it", None),  # the entity ahead
+        ("Krillin", "Destroying all, Galan rested", None),
+        ("Krillin", "Krillin walked home", None),
+    ]
+    rows = spark.createDataFrame([(k, e, s) for k, (e, s, _) in enumerate(cases)], "k int, e string, s string")
+    got = {r.k: r.refusal and tuple(r.refusal) for r in subject_refusals(rows.withColumn("f", forms(F.col("e"))), "f", "s", ruin).collect()}
+    assert got == {k: want for k, (*_, want) in enumerate(cases)}
 
 
 def test_where_spans(spark):
