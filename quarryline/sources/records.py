@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from quarryline.functions.text import name_key
+from quarryline.sources.tableset import TableSet
 
 _S = StringType()
 
@@ -66,29 +67,21 @@ def index_collisions(rows: DataFrame, key: str, order: str) -> tuple[DataFrame,
 
 
 def rebuild(spark: SparkSession, records_path: str, evidence_paths: list[str], folder: str) -> dict[str, int]:
-    """Scans all records and evidence trees and writes the four tables anew: source, entry, evidence, meta.
+    """Scans all records and evidence trees and puts the four tables in place in one commit: source, entry, evidence, meta.
 
     Never incremental: what is no longer in the files is no longer in the tables. Of an entity that two
-    trees have, the row of the later tree counts. Returns rows by table; ``meta`` says which files did not parse.
+    trees have, the row of the later tree counts. Readers (``TableSet(spark, folder).read``) see the tables of one rebuild,
+    never some of the last one. Returns rows by table; ``meta`` says which files did not parse.
     """
     docs = read_json(spark, records_path, RECORD)
-    found = None
+    found = spark.createDataFrame([], "entity string, host string, feats int, pages int, chars long, refused int, _tree int")
     for k, path in enumerate(evidence_paths):
-        tree = read_json(spark, path, EVIDENCE)
-        rows = evidence(tree).withColumn("_tree", F.lit(k))
-        found = rows if found is None else found.unionByName(rows)
-    kept = None
-    if found is not None:
-        kept = found.groupBy("entity", "host").agg(F.max_by(F.struct("feats", "pages", "chars", "refused"), "_tree").alias("r")).select("entity", "host", "r.*")
+        found = found.unionByName(evidence(read_json(spark, path, EVIDENCE)).withColumn("_tree", F.lit(k)))
+    kept = found.groupBy("entity", "host").agg(F.max_by(F.struct("feats", "pages", "chars", "refused"), "_tree").alias("r")).select("entity", "host", "r.*")
     bad = unreadable(docs).select(F.lit("unreadable").alias("key"), F.col("file").alias("value"))
-    bound = sources(docs)
-    tables = {"source": bound, "entry": entries(docs), "evidence": kept, "meta": bad}
-    out = {}
-    for name, rows in tables.items():
-        if rows is not None:
-            rows.write.mode("overwrite").parquet(f"{folder}/{name}")
-            out[name] = spark.read.parquet(f"{folder}/{name}").count()
-    return out
+    tables = TableSet(spark, folder)
+    done = tables.commit({"source": sources(docs), "entry": entries(docs), "evidence": kept, "meta": bad})
+    return {name: tables.read(name, done).count() for name in done.paths}
 
 
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: StructType | str | None = None) -> DataFrame:

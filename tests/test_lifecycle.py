@@ -11,6 +11,7 @@ from quarryline.functions import text as T
 from quarryline.functions.subjects import Patterns, forms, subject_refusals
 from quarryline.plans.resolution import surviving
 from quarryline.sources import markup, records
+from quarryline.sources.tableset import TableSet
 from quarryline.streaming.retention import History, retained
 from quarryline.streaming.windows import windowed_counts
 
@@ -110,7 +111,7 @@ def test_rebuild(spark, tmp_path):
     out = str(tmp_path / "db")
     args = (spark, str(tmp_path / "records"), [str(tmp_path / "feats"), str(tmp_path / "read")], out)
     assert records.rebuild(*args) == {"source": 2, "entry": 2, "evidence": 1, "meta": 1}
-    assert spark.read.parquet(f"{out}/evidence").first().feats == 1
+    assert TableSet(spark, out).read("evidence").first().feats == 1
     (tmp_path / "records/b.json").unlink()
     assert records.rebuild(*args)["source"] == 1
     last, shared = records.index_collisions(spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("l", 1, "c")], "k string, o int, v string"), "k", "o")
