@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarryline.plans import catalogue, coverage, evidence, lifecycle, measures, resolution, shelving, texts
+from quarryline.plans import catalogue, coverage, evidence, lifecycle, measures, mining, resolution, shelving, texts
 
-MODULES = [coverage, texts, measures, evidence, catalogue, shelving, lifecycle, resolution]
+MODULES = [coverage, texts, measures, evidence, catalogue, shelving, lifecycle, resolution, mining]
 
 
 def queries() -> dict:
