@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarryline.operators.snapshots import snapshot
+from quarryline.sources.tableset import TableSet
 
 
 def retained(rows: DataFrame, at: str, hours: int, most: int, tie: str) -> DataFrame:
@@ -16,17 +16,26 @@ def retained(rows: DataFrame, at: str, hours: int, most: int, tie: str) -> DataF
 
 
 class History:
-    """A stream's history table: each batch is merged and evicted, and the table is never larger than ``most`` rows.
+    """A stream's history table in a folder: each batch is merged and evicted in one commit, which also notes the batch.
 
-    Used with ``writeStream.foreachBatch(history.merge)``. A batch that Spark repeats after a failure
-    changes nothing, as rows are told apart by ``tie``.
+    Used with ``writeStream.foreachBatch(History(...).merge)``. The table is in the folder, not in this object, so a
+    query that stops and starts again goes on with it; a batch that Spark repeats after a failure changes nothing. The table is
+    never larger than ``most`` rows, and only the last two states of it are kept.
     """
 
-    def __init__(self, at: str, tie: str, hours: int = 24, most: int = 2000) -> None:
-        self.at, self.tie, self.hours, self.most = at, tie, hours, most
-        self.table: DataFrame | None = None
+    def __init__(self, folder: str, at: str, tie: str, hours: int = 24, most: int = 2000) -> None:
+        self.folder, self.at, self.tie, self.hours, self.most = folder, at, tie, hours, most
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
-        rows = batch if self.table is None else self.table.unionByName(batch)
+        tables = TableSet(batch.sparkSession, self.folder)
+        now = tables.current()
+        if now.notes.get("batch", -1) >= batch_id:
+            return
+        held = tables.read("history", now)
+        rows = batch if held is None else held.unionByName(batch)
         kept = retained(rows.dropDuplicates([self.tie]), self.at, self.hours, self.most, self.tie)
-        self.table = snapshot(kept, "history")
+        tables.commit({"history": kept}, now, notes={"batch": batch_id})
+        tables.vacuum()
+
+    def table(self, spark: SparkSession) -> DataFrame | None:
+        return TableSet(spark, self.folder).read("history")

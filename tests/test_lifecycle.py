@@ -125,12 +125,16 @@ def test_retention_stream(spark, tmp_path):
     kept = retained(spark.createDataFrame(rows, schema), "at", 24, 10, "id").collect()
     assert sorted(r.id for r in kept) == list(range(50, 60))
     assert sorted(r.id for r in retained(spark.createDataFrame(rows, schema), "at", 24, 2000, "id").collect()) == list(range(36, 60))
-    history = History("at", "id", 24, 10)
+    # three starts of the query, each with an object of its own: the history is in the folder
     for part in (rows[:30], rows[25:45], rows[45:]):
         spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        history = History(str(tmp_path / "h"), "at", "id", 24, 10)
         query = spark.readStream.schema(schema).parquet(str(tmp_path / "in")).writeStream.foreachBatch(history.merge).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
         query.awaitTermination(120)
-    assert sorted(r.id for r in history.table.collect()) == list(range(50, 60))
+    held = lambda: sorted(r.id for r in History(str(tmp_path / "h"), "at", "id", 24, 10).table(spark).collect())
+    assert held() == list(range(50, 60))
+    history.merge(spark.createDataFrame(rows[:30], schema), 2)  # the last batch again
+    assert held() == list(range(50, 60)) and len(list((tmp_path / "h" / "_sets").glob("*/history"))) == 2
 
 
 def test_late_rows(spark, tmp_path):
