@@ -10,6 +10,7 @@ from quarryline.functions import rules as K
 from quarryline.functions import text as T
 from quarryline.functions.subjects import Patterns, forms, subject_refusals
 from quarryline.operators import joins as J
+from quarryline.operators import mining as M
 from quarryline.operators import stats as S
 from quarryline.operators import windows as W
 from quarryline.plans.base import Registry, Tables
@@ -364,14 +365,15 @@ def remine(t: Tables) -> DataFrame:
     return g.groupBy("stored", "ok").agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add("q209_mine_chunks", """with recursive d as (select source, doc_id, least(n_chars, 9000) n, row_number() over (partition by source order by doc_id) i from documents where source is not null), r as (select source, 0::bigint i, null::bigint doc_id, null::bigint n, 0::bigint held, 0::bigint block from (select distinct source from d) union all
- select d.source, d.i, d.doc_id, d.n, case when held > 0 and held + d.n > 9000 then d.n else held + d.n end, case when held > 0 and held + d.n > 9000 then block + 1 else block end from r join d on d.source = r.source and d.i = r.i + 1)
- select source, block, min(doc_id) first, count(*) pages, sum(n)::bigint chars from r where i > 0 group by 1, 2""")
+@R.add("q209_mine_chunks", """with recursive p as (select source, doc_id, unnest(range(0, greatest(1, ceil(length(coalesce(text, '')) / 9000))::bigint)) k, coalesce(text, '') t from documents where source is not null),
+ d as (select source, doc_id, k, length(substr(t, k * 9000 + 1, 9000)) n, case when length(t) > 9000 then 9000 else greatest(length(t), 1) end z, row_number() over (partition by source order by doc_id, k) i from p),
+ r as (select source, 0::bigint i, null::bigint doc_id, null::bigint n, 0::bigint held, 0::bigint block from (select distinct source from d) union all
+ select d.source, d.i, d.doc_id, d.n, case when held > 0 and held + d.z > 9000 then d.z else held + d.z end, case when held > 0 and held + d.z > 9000 then block + 1 else block end from r join d on d.source = r.source and d.i = r.i + 1)
+ select source, block, min(doc_id) first, count(*) pieces, sum(n)::bigint chars from r where i > 0 group by 1, 2""")
 def mine_chunks(t: Tables) -> DataFrame:
-    """Pages packed in order into chunks for reading; an oversize page is a chunk of its own size."""
-    rows = t.documents.where("source is not null").select("source", "doc_id", F.least("n_chars", F.lit(9000).cast("long")).alias("n"))
-    packed = W.pack_budget(rows, "source", "doc_id", "n", 9000)
-    return packed.groupBy("source", "block").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("chars"))
+    """Pages packed in order into chunks for reading; an oversize page is cut, and its pieces are chunks of their own. No character is lost."""
+    packed = M.chunks(t.documents.where("source is not null"), "source", "doc_id", "text", 9000)
+    return packed.groupBy(F.col("group").alias("source"), "block").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("pieces"), F.sum(F.length("part")).alias("chars"))
 
 
 @R.add("q210_nav_drift", "with a as (select distinct p_brand s, p_type k from part where p_size < 40), b as (select distinct p_brand s, p_type k from part where p_size > 10) select coalesce(a.s, b.s) s, count(*) filter (where b.k is null) gone, count(*) filter (where a.k is null) new, count(*) filter (where a.k is not null and b.k is not null) both_have from a full join b using (s, k) group by 1")
