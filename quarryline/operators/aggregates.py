@@ -23,14 +23,14 @@ def with_total(df: DataFrame, key: str, total: str = "TOTAL") -> DataFrame:
     return df.rollup(key).agg(F.count(F.lit(1)).alias("n"), F.grouping(key).alias("_g")).select(F.when(F.col("_g") == 1, F.lit(total)).otherwise(F.col(key)).alias(key), "n")
 
 
-def document_frequency(pairs: DataFrame, document: str, key: str, documents: DataFrame | None = None) -> DataFrame:
-    """key, df, idf = ln(N / df) from (document, key) pairs without repeats; N is the number of documents that have keys.
+def document_frequency(documents: DataFrame, keys: Column) -> DataFrame:
+    """key, df, idf = ln(N / df) of each document's array of distinct keys; N is the number of documents that have keys.
 
-    ``documents`` gives those documents where they are cheaper to count than the pairs (one row each).
+    Each document adds a null to its keys, so that one aggregate counts keys and documents, and the input is read once.
     """
-    n = documents.agg(F.count(F.lit(1)).alias("total")) if documents is not None else pairs.agg(F.count_distinct(document).alias("total"))
-    df = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("df"))
-    return df.crossJoin(n).select(key, "df", F.log(F.col("total") / F.col("df")).alias("idf"))  # n is one row
+    counted = documents.select(keys.alias("k")).where("size(k) > 0").select(F.explode(F.concat("k", F.array(F.lit(None).cast("string")))).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("df"))
+    n = counted.where("key is null").select(F.col("df").alias("total"))
+    return counted.where("key is not null").crossJoin(n).select("key", "df", F.log(F.col("total") / F.col("df")).alias("idf"))  # n is one row
 
 
 def surprisal(pairs: DataFrame, name: str, token: str) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
-from quarryline.functions.text import bigrams, dice, digits_differ, name_key, split_qualifier
+from quarryline.functions.text import bigrams, dice, digits_differ, name_key, split_qualifier, token_overlap
+from quarryline.operators.snapshots import snapshot
 
 STRONG, WEAK = 0.90, 0.72
 
@@ -61,3 +62,32 @@ def candidates(names: DataFrame, pool: DataFrame, least: float = WEAK) -> DataFr
     scored = both.withColumn("score", score)
     reason = F.when(F.col("score") == 1.0, "equal").when(F.col("score") >= STRONG, "strong").otherwise("weak")
     return scored.select("name", "match", "score", reason.alias("reason"))
+
+
+def overlap_pairs(left: DataFrame, right: DataFrame, least: float = 0.8) -> DataFrame:
+    """a, b, score of all rows of ``left`` (a, tokens) and ``right`` (b, tokens) whose distinct tokens overlap by ``least`` of the smaller set or more.
+
+    Prefix filter: of n tokens, the smaller set shares n * least at least, so one of its first n - n * least + 1, counted from
+    rare to frequent, is among the other's. Each side's prefixes meet the other side's tokens of sets at least as
+    large; a pair is then decided by the whole sets. Sets without tokens match nothing.
+    """
+    sides = [df.select(F.col(c).alias("id"), F.array_distinct(F.filter("tokens", lambda w: w.isNotNull())).alias("tokens")).where("size(tokens) > 0") for df, c in ((left, "a"), (right, "b"))]
+    sets = snapshot(sides[0].withColumn("side", F.lit(0)).unionByName(sides[1].withColumn("side", F.lit(1))), "sets")
+    each = sets.select("side", "id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    frequency = each.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    ordered = each.join(frequency, "token").groupBy("side", "id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("t"))  # a set's own tokens
+    length = (F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).cast("int")
+    prefix = ordered.select("side", "id", "n", F.explode(F.slice("t", F.lit(1), length)["token"]).alias("token"))
+    pick = lambda df, side, n: df.where(F.col("side") == side).select(F.col("id").alias("ab"[side]), F.col("n").alias(n), "token")
+    met = pick(prefix, 0, "na").join(pick(each, 1, "nb"), "token").where("nb >= na").select("a", "b")
+    met = met.union(pick(prefix, 1, "nb").join(pick(each, 0, "na"), "token").where("na > nb").select("a", "b")).distinct()
+    whole = lambda side, name: sets.where(F.col("side") == side).select(F.col("id").alias("ab"[side]), F.col("tokens").alias(name))
+    shared = met.join(whole(0, "x"), "a").join(whole(1, "y"), "b").withColumn("score", token_overlap(F.col("x"), F.col("y")))
+    return shared.where(F.col("score") >= least - 1e-9).select("a", "b", "score")
+
+
+def best_only(pairs: DataFrame, key: str, match: str, score: str) -> DataFrame:
+    """key, match, score of each key's best match; a key whose best score several matches share is refused and left out."""
+    top = pairs.groupBy(key).agg(F.max(score).alias("_top"))
+    held = pairs.join(top, key).where(F.col(score) == F.col("_top")).groupBy(key).agg(F.min(match).alias(match), F.max(match).alias("_last"), F.max(score).alias(score))
+    return held.where(F.col(match) == F.col("_last")).drop("_last")

@@ -91,9 +91,7 @@ def refused_by_host(t: Tables) -> DataFrame:
 @R.add("q14_idf", r"""with p as (select distinct doc_id, unnest(list_filter(string_split(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 4)) token from documents)
  select token, count(*) df, ln((select count(distinct doc_id) from p) / count(*)) idf from p group by token having count(*) >= 2""")
 def idf(t: Tables) -> DataFrame:
-    pairs = t.documents.select("doc_id", F.explode(T.tokens("text", 4)).alias("token"))
-    some = t.documents.where(F.lower("text").rlike(r"[\p{L}\p{N}]{4}")).select("doc_id")
-    return A.document_frequency(pairs, "doc_id", "token", some).where("df >= 2")
+    return A.document_frequency(t.documents, T.tokens("text", 4)).withColumnRenamed("key", "token").where("df >= 2")
 
 
 @R.add("q15_surprisal", r"""with p as (select distinct p_name, unnest(list_filter(string_split(regexp_replace(lower(p_name), '[^\p{L}\p{N}]+', ' ', 'g'), ' '), lambda w: length(w) >= 1)) token from part),

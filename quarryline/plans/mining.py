@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.spans import outermost, spans_of
 from quarryline.operators import harvest as H
+from quarryline.operators.matching import best_only, overlap_pairs
 from quarryline.plans.base import Registry, Tables
 
 R = Registry()
@@ -64,3 +65,17 @@ def tell_spans(t: Tables) -> DataFrame:
     d = t.documents.where("text is not null").select("doc_id", text.alias("t"))
     found = d.select("doc_id", F.explode(outermost(F.concat(*[spans_of(F.col("t"), p, name) for name, p in _TELLS]))).alias("s"))
     return found.groupBy("s.kind").agg(F.count(F.lit(1)).alias("shown"), F.count_distinct("doc_id").alias("documents"), F.sum("s.start").alias("starts"))
+
+
+@R.add("q223_token_overlap", r"""with i as (select item_id, list_distinct(list_filter(regexp_extract_all(lower(text), '[a-z0-9]+'), lambda w: length(w) > 1 and w not in ('the', 'and', 'of'))) t from benchmark),
+ d as (select doc_id, list_distinct(list_filter(regexp_extract_all(lower(regexp_extract(text, '^[^.!?]*')), '[a-z0-9]+'), lambda w: length(w) > 1 and w not in ('the', 'and', 'of'))) t from documents where text is not null),
+ p as (select doc_id a, item_id b, len(list_intersect(d.t, i.t)) / least(len(d.t), len(i.t)) score from d, i where len(d.t) > 0 and len(i.t) > 0),
+ m as (select a, b, score, max(score) over (partition by a) top from p where score >= 0.8 - 1e-9),
+ g as (select a, min(b) b, max(b) last, max(score) score from m where score = top group by a) select a doc_id, b item_id, score from g where b = last""")
+def token_overlap_stage(t: Tables) -> DataFrame:
+    """A text's first sentence against benchmark items by words: four fifths of the smaller set, the best alone, ties refused."""
+    words = lambda c: F.array_distinct(F.filter(F.regexp_extract_all(F.lower(c), F.lit("[a-z0-9]+"), F.lit(0)), lambda w: (F.length(w) > 1) & ~w.isin("the", "and", "of")))
+    items = t.benchmark.select(F.col("item_id").alias("b"), words(F.col("text")).alias("tokens"))
+    first = t.documents.where("text is not null").select(F.col("doc_id").alias("a"), words(F.regexp_extract("text", r"^[^.!?]*", 0)).alias("tokens"))
+    best = best_only(overlap_pairs(first, items), "a", "b", "score")
+    return best.select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), "score")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quarryline.functions.spans import outermost, spans_of
 from quarryline.operators import harvest
+from quarryline.operators.matching import best_only, overlap_pairs
 from quarryline.sources.filetable import FileTable
 
 TELLING = harvest.Telling(won=r"\b(?:defeated|beat)\b", lost=r"\b(?:lost to|was (?:defeated|beaten) by)\b")
@@ -108,3 +109,24 @@ def test_automaton_finds_all(text):
     found = harvest._automaton([("ab", "1"), ("b c", "2"), ("a", "3")])
     got = sorted((e + 1 - n, e + 1, k) for e, (n, k) in found.iter(text)) if text else []
     assert got == sorted((m.start(), m.start() + len(n), k) for n, k in (("ab", "1"), ("b c", "2"), ("a", "3")) for m in re.finditer(f"(?={re.escape(n)})", text))
+
+
+def test_overlap_pairs_equal_brute_force(spark):
+    import random
+
+    random.seed(9)
+    vocabulary = [f"w{k}" for k in range(12)]
+    sets = lambda n: [(k, [random.choice(vocabulary) for _ in range(random.randrange(9))]) for k in range(n)]
+    left, right = [*sets(60), (999, [])], [*sets(60), (888, ["zz"])]
+    frame = lambda rows, c: spark.createDataFrame(rows, f"{c} long, tokens array<string>")
+    for least in (0.5, 0.8, 1.0):
+        got = {(r.a, r.b): round(r.score, 9) for r in overlap_pairs(frame(left, "a"), frame(right, "b"), least).collect()}
+        want = {}
+        for a, x in left:
+            for b, y in right:
+                x_, y_ = set(x), set(y)
+                if x_ and y_ and len(x_ & y_) / min(len(x_), len(y_)) >= least - 1e-9:
+                    want[a, b] = round(len(x_ & y_) / min(len(x_), len(y_)), 9)
+        assert got == want
+    pairs = spark.createDataFrame([(1, 5, 0.9), (1, 6, 0.9), (2, 5, 0.8), (2, 6, 0.9), (3, 7, 1.0)], "a long, b long, score double")
+    assert sorted(tuple(r) for r in best_only(pairs, "a", "b", "score").collect()) == [(2, 6, 0.9), (3, 7, 1.0)]
