@@ -14,7 +14,9 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quarryline.operators.snapshots import snapshot
 from quarryline.sources.sinks import Changed
 
 #: Seconds after which a pointer that is still unfinished is nobody's; writing one takes milliseconds.
@@ -114,3 +116,26 @@ class TableSet:
                     self._fs.delete(table.getPath(), True)
                     gone += 1
         return gone
+
+
+class Shrunk(RuntimeError):
+    """A replacement that would lose too much of what is there."""
+
+
+def replace_guarded(tables: TableSet, name: str, df: DataFrame, by: str, floor: float = 0.5) -> Commit:
+    """Replaces a table unless a category (``by``) would keep less than ``floor`` of its rows, or somebody else committed meanwhile.
+
+    The check and the commit start from one state, so that a writer cannot pass the check against a table that another
+    has replaced. An empty replacement of a table with rows is refused like any other loss.
+    """
+    now = tables.current()
+    new = snapshot(df, name)
+    held = tables.read(name, now)
+    if held is not None:
+        counts = lambda rows, c: rows.groupBy(F.col(by).alias("_by")).agg(F.count(F.lit(1)).alias(c))
+        old, left = counts(held, "old"), counts(new, "new").withColumnRenamed("_by", "_new")
+        lost = old.join(left, F.col("_by").eqNullSafe(F.col("_new")), "left").where(F.coalesce("new", F.lit(0)) < floor * F.col("old"))
+        worst = lost.orderBy(F.desc("old")).limit(5).collect()
+        if worst:
+            raise Shrunk("; ".join(f"{r['_by']}: {r['new'] or 0} of {r['old']}" for r in worst))
+    return tables.commit({name: new}, now)

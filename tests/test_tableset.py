@@ -3,13 +3,14 @@
 import json
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import DataFrameWriter
 
 from quarryline.sources import records, tableset
 from quarryline.sources.sinks import Changed
-from quarryline.sources.tableset import TableSet
+from quarryline.sources.tableset import Shrunk, TableSet, replace_guarded
 
 
 def rows(spark, *values):
@@ -98,3 +99,38 @@ def test_rebuild_is_one_commit(spark, tmp_path, monkeypatch):
     assert {r.source for r in tables.read("source").collect()} == {"A"} and tables.read("entry").count() == 2  # the new source table is there, and nobody sees it
     assert records.rebuild(spark, str(tmp_path / "records"), [], folder)["entry"] == 5
     assert {r.source for r in tables.read("source").collect()} == {"A", "B"}
+
+
+def test_a_replacement_must_not_shrink_a_category(spark, tmp_path):
+    tables = TableSet(spark, str(tmp_path))
+    frame = lambda **n: spark.createDataFrame([(c if c != "none" else None, k) for c, m in n.items() for k in range(m)], "c string, v long")
+    sizes = lambda: {r.c: r.n for r in tables.read("t").groupBy("c").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()}
+    replace_guarded(tables, "t", frame(a=10, b=4, none=2), "c")
+    with pytest.raises(Shrunk, match="b: 1 of 4"):
+        replace_guarded(tables, "t", frame(a=50, b=1, none=2), "c")
+    with pytest.raises(Shrunk, match="None: 0 of 2"):
+        replace_guarded(tables, "t", frame(a=50, b=4), "c")
+    with pytest.raises(Shrunk):
+        replace_guarded(tables, "t", frame(), "c")
+    assert sizes() == {"a": 10, "b": 4, None: 2}
+    replace_guarded(tables, "t", frame(a=5, b=4, none=1, d=1), "c")
+    assert sizes() == {"a": 5, "b": 4, None: 1, "d": 1}
+
+
+def test_concurrent_writers(spark, tmp_path):
+    tables = TableSet(spark, str(tmp_path))
+    replace_guarded(tables, "t", rows(spark, 1, 1), "v")
+
+    def write(k):
+        try:
+            replace_guarded(TableSet(spark, str(tmp_path)), "t", rows(spark, 1, 1, *range(10 * k, 10 * k + 5)), "v")
+            return k
+        except Changed:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        won = [k for k in pool.map(write, range(1, 5)) if k]
+    # each that was not refused committed on top of what it had read: the table is the last one's, and no two took one number
+    numbers = sorted(int(f.name) for f in (tmp_path / "_pointers").iterdir() if f.name.isdigit())
+    assert won and numbers == list(range(len(won) + 1))
+    assert held(tables, "t")[2:] in [list(range(10 * k, 10 * k + 5)) for k in won]
