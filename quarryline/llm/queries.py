@@ -169,5 +169,53 @@ way as (
 root as (select word, cur root from way where not exists (select 1 from form f where f.word = way.cur and f.form is not null))
 select w.word, f.form, coalesce(r.root, w.word) root, w.n, coalesce(f.n_near, 0)::bigint n_near, f.form_n
 from words w left join form f using (word) left join root r using (word)
+""",
+    "op11_conversation_repair": r"""
+with recursive crc_table as (
+  select list(c order by b) t from (
+    select b, list_reduce([b, 1, 1, 1, 1, 1, 1, 1, 1], lambda c, s: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) c
+    from (select unnest(range(0, 256)) b))),
+named as (
+  select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') k from conversations),
+coded as (
+  select conv_id, turn, role, text, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, 1 + strlen(k)),
+    lambda j: ('0x' || substr(hex(encode(k)), 2 * j - 1, 2))::bigint)), lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]))) % 20 code
+  from named, crc_table),
+damaged as (
+  select conv_id, turn, case when code = 4 then 'user' else role end role,
+    case code when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end text, unnest(case when code = 3 then [1, 2] else [1] end) copy
+  from coded where code <> 0),
+ordered as (
+  select coalesce(conv_id::varchar, '') c, turn, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) i from damaged),
+placed as (
+  select c, turn, role, text, i, row_number() over (partition by c, role, text order by i) > 1 again, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) last from ordered),
+turns as (
+  select c, turn, role, text, i, left(role, 1) initial, case when last = '' then 'blank' when again then 'duplicate' when last not in ('.', '!', '?') then 'truncated' else '' end fault from placed),
+moves(p, q, e, cost, wants, before, role) as (values
+  (0, 0, 'D', 3, null, null, null), (1, 1, 'D', 3, null, null, null), (2, 2, 'D', 3, null, null, null), (3, 3, 'D', 3, null, null, null),
+  (0, 1, 'K', 0, 's', null, null), (0, 2, 'K', 0, 'u', null, null), (1, 2, 'K', 0, 'u', null, null), (3, 2, 'K', 0, 'u', null, null), (2, 3, 'K', 0, 'a', null, null),
+  (0, 2, 'R', 2, null, null, 'user'), (1, 2, 'R', 2, null, null, 'user'), (3, 2, 'R', 2, null, null, 'user'), (2, 3, 'R', 2, null, null, 'assistant'),
+  (0, 3, 'IK', 2, 'a', 'user', null), (1, 3, 'IK', 2, 'a', 'user', null), (3, 3, 'IK', 2, 'a', 'user', null), (2, 2, 'IK', 2, 'u', 'assistant', null),
+  (0, 3, 'IR', 4, null, 'user', 'assistant'), (1, 3, 'IR', 4, null, 'user', 'assistant'), (3, 3, 'IR', 4, null, 'user', 'assistant'), (2, 2, 'IR', 4, null, 'assistant', 'user')),
+walk as (
+  select distinct coalesce(conv_id::varchar, '') c, 0::bigint i, 0 q, {'cost': 0::bigint, 's': '', 't': ''} b from conversations
+  union all
+  select c, i, q, b from (
+    select w.c, w.i + 1 i, m.q, min({'cost': w.b.cost + m.cost + case when m.e <> 'D' and r.fault = 'truncated' then 1 else 0 end, 's': w.b.s || m.e,
+      't': w.b.t || coalesce(chr(10) || m.before || ':', '') || case when m.e = 'D' then '' else chr(10) || coalesce(m.role, r.role) || ':' || r.text end}) b
+    from walk w join turns r on r.c = w.c and r.i = w.i + 1 join moves m on m.p = w.q
+      and (m.e = 'D' or r.fault not in ('blank', 'duplicate') and (m.wants is null or m.wants = r.initial))
+    group by w.c, w.i, m.q)),
+ended as (
+  select w.c, min({'cost': b.cost + case q when 1 then 4 when 2 then 2 else 0 end, 's': b.s || case q when 1 then 'II' when 2 then 'I' else '' end,
+    't': b.t || case q when 1 then chr(10) || 'user:' || chr(10) || 'assistant:' when 2 then chr(10) || 'assistant:' else '' end}) b
+  from walk w left join (select c, max(i) n from turns group by c) z on z.c = w.c where w.i = coalesce(z.n, 0) group by w.c),
+counts as (
+  select c, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count(*) filter (where fault = 'blank') blank, count(*) filter (where fault = 'duplicate') duplicate,
+    count(*) filter (where fault = 'truncated') truncated, count(*) filter (where i > 1 and pair not in ('su', 'ua', 'au')) illegal
+  from (select *, lag(initial) over (partition by c order by i) || initial pair from turns) group by c)
+select v.conv_id, coalesce(gaps, 0)::bigint gaps, coalesce(blank, 0)::bigint blank, coalesce(duplicate, 0)::bigint duplicate, coalesce(truncated, 0)::bigint truncated,
+  coalesce(illegal, 0)::bigint illegal, e.b.cost::bigint "cost", e.b.s audit, sha256(substr(e.b.t, 2)) repaired_sha256
+from (select distinct conv_id from conversations) v join ended e on e.c = coalesce(v.conv_id::varchar, '') left join counts n on n.c = e.c
 """,
 }
