@@ -966,3 +966,27 @@ def test_wide_bit_sliced_distances(n, radius, seed):
     left, right = simhash.close_pairs(values, radius)
     distance = np.bitwise_count(values[:, None] ^ values[None]).sum(axis=2)
     assert set(zip(left.tolist(), right.tolist())) == set(zip(*map(np.ndarray.tolist, np.nonzero(np.triu(distance <= radius, 1)))))
+
+
+# --- 3: many shards
+
+
+def test_flow_of_many_shards():
+    rng = np.random.default_rng(2)
+    supply = {i: int(x) for i, x in enumerate(rng.zipf(1.5, 3000) % 10**9)}
+    capacity = sharding.capacities(sum(supply.values()), 3300)
+    flow = sharding.min_cost_flow(supply, capacity, {i: i for i in supply})
+    out, into = {}, {}
+    for (i, j), f in flow.items():
+        assert f > 0
+        out[i], into[j] = out.get(i, 0) + f, into.get(j, 0) + f
+    assert all(out.get(i, 0) == s for i, s in supply.items()) and all(into.get(j, 0) <= c for j, c in enumerate(capacity))
+    assert sum(f for (i, j), f in flow.items() if i == j) == sum(min(supply[i], capacity[i]) for i in supply)  # no flow keeps more
+    assert len(flow) <= 2 * (3000 + 3300)
+
+
+def test_flow_of_shards_that_share_a_successor():
+    # three old shards live on as one; what it cannot hold goes elsewhere
+    flow = sharding.min_cost_flow({0: 5, 1: 4, 2: 3, 3: 0}, [6, 6], {0: 0, 1: 0, 2: 0})
+    assert sum(flow.values()) == 12 and sum(f for (_, j), f in flow.items() if j == 0) == 6
+    assert sharding.min_cost_flow({}, [0, 0], {}) == {}
