@@ -41,6 +41,18 @@ def evidence_gate(t: Tables) -> DataFrame:
     return rows.select("p_partkey", F.coalesce(G.evidence_reason(F.col("s")), F.lit("ok")).alias("reason"), G.needs_rephrase(F.col("s")).alias("rephrase"))
 
 
+@R.add("q224_gate_of_texts", rf"""with n as (select doc_id, trim(unnest(regexp_extract_all(regexp_replace(text, '[^\x00-\x7F]', 'x', 'g'), '[^.!?]+'))) s from documents where text is not null),
+ g as (select doc_id, case when length(s) < 8 then 'short' when regexp_matches(s, '{_sql(K.STATBLOCK)}') then 'mechanics' when regexp_matches(s, '{_sql(K.MAGNITUDE)}') then 'ok'
+ when not (regexp_matches(s, '(?is){K.ACT}.{{0,70}}{K.OBJECT}') or regexp_matches(s, '(?is){K.OBJECT}.{{0,64}}{K.ACT}')) then 'no deed' when regexp_matches(s, '{_sql(K.PATIENT)}') then 'passive' when regexp_matches(s, '{_sql(K.REPUTATION)}') then 'reputation' else 'ok' end reason,
+ regexp_matches(s, '{K.SETTING_META}') rephrase from n) select reason, rephrase, count(*) n, count(distinct doc_id) documents from g group by 1, 2""")
+def gate_of_texts(t: Tables) -> DataFrame:
+    """The evidence gate over every sentence of all texts: how many pass, and why the others do not."""
+    plain = F.regexp_replace("text", r"[^\x00-\x7F]", "x")
+    s = t.documents.where("text is not null").select("doc_id", F.explode(F.regexp_extract_all(plain, F.lit("[^.!?]+"), F.lit(0))).alias("s")).withColumn("s", F.trim("s"))
+    told = s.select("doc_id", F.coalesce(G.evidence_reason(F.col("s")), F.lit("ok")).alias("reason"), G.needs_rephrase(F.col("s")).alias("rephrase"))
+    return told.groupBy("reason", "rephrase").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
+
+
 _AXES = ["ruin", "reach", "celerity"]
 
 
