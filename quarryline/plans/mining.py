@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarryline.functions import lifecycle as L
 from quarryline.functions.spans import outermost, spans_of
 from quarryline.operators import harvest as H
 from quarryline.operators.matching import best_only, overlap_pairs
@@ -79,3 +80,22 @@ def token_overlap_stage(t: Tables) -> DataFrame:
     first = t.documents.where("text is not null").select(F.col("doc_id").alias("a"), words(F.regexp_extract("text", r"^[^.!?]*", 0)).alias("tokens"))
     best = best_only(overlap_pairs(first, items), "a", "b", "score")
     return best.select(F.col("a").alias("doc_id"), F.col("b").alias("item_id"), "score")
+
+
+_SECOND = r"[^.!?]*[.!?]\s+(?:[^.!?]*\b)?([A-Z][a-z]{2,})"
+
+
+@R.add("q225_names_in_texts", rf"""with d as (select doc_id, regexp_replace(text, '[^\x00-\x7F]', 'x', 'g') t from documents where text is not null),
+ s as (select doc_id, lower(regexp_extract(t, '{_SECOND}', 1)) nm, lower(unnest(regexp_extract_all(t, '[^.!?]+'))) s from d),
+ w as (select *, case when length(nm) > 3 then [nm] else [] end parts, list_filter(regexp_split_to_array(s, '[^a-z0-9_]+'), lambda x: x <> '') said from s),
+ n as (select doc_id, len(list_filter(parts, lambda p: len(list_filter(said, lambda x: starts_with(x, p))) > 0)) > 0
+   or (len(parts) = 0 and nm <> '' and (contains(' ' || array_to_string(said, ' ') || ' ', ' ' || nm || ' ') or contains(' ' || array_to_string(said, ' ') || ' ', ' ' || nm || 's ')))
+   or list_has_any(said, ['he', 'she', 'they', 'his', 'her', 'their', 'him', 'himself', 'herself', 'themselves']) named from w)
+ select doc_id, count(*) sentences, count(*) filter (where named) named from n group by doc_id""")
+def names_in_texts(t: Tables) -> DataFrame:
+    """How many sentences of each text speak of its entity (the first name after its first sentence), by name or pronoun."""
+    plain = t.documents.where("text is not null").select("doc_id", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("t"))
+    named = plain.withColumn("entity", F.regexp_extract("t", _SECOND, 1))
+    s = named.select("doc_id", "entity", F.explode(F.regexp_extract_all("t", F.lit("[^.!?]+"), F.lit(0))).alias("s"))
+    told = s.select("doc_id", L.names_subject(F.col("s"), F.col("entity")).alias("named"))
+    return told.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.count_if("named").alias("named"))
