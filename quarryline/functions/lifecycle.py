@@ -70,14 +70,18 @@ def names_subject(sentence: Column, entity: Column) -> Column:
     A word of the entity's name of more than three letters must start a word of the sentence; a name
     without such words must stand whole; accents do not count.
     """
-    low, name = fold(sentence), fold(entity)
-    words = lambda c: F.filter(F.split(c, r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) > 0)
-    parts, said = F.filter(words(name), lambda w: F.length(w) > 3), words(low)
-    by_part = F.exists(parts, lambda p: F.exists(said, lambda w: w.startswith(p)))
-    phrase, spoken = F.array_join(words(name), " "), F.array_join(said, " ")
-    whole = (F.size(parts) == 0) & (phrase != "") & F.rlike(F.concat(F.lit(" "), spoken, F.lit(" ")), F.concat(F.lit(" \\Q"), phrase, F.lit("\\E( ?s)? ")))
-    pronoun = F.arrays_overlap(F.split(low, "[^a-z]+"), F.array(*[F.lit(p) for p in PRONOUNS]))
-    return F.coalesce(by_part | whole | pronoun, F.lit(False))
+    return names_folded(fold(sentence), fold(entity))
+
+
+def names_folded(low: Column, name: Column) -> Column:
+    """``names_subject`` of a sentence and a name that are folded already, so that a text can be folded once before it is cut into sentences."""
+    words = F.filter(F.split(name, r"[^\p{L}\p{N}_]+"), lambda w: F.length(w) > 0)
+    parts, phrase = F.filter(words, lambda w: F.length(w) > 3), F.array_join(words, " ")
+    spoken = F.concat(F.lit(" "), F.regexp_replace(low, r"[^\p{L}\p{N}_]+", " "), F.lit(" "))  # each word after a space
+    by_part = F.exists(parts, lambda p: F.contains(spoken, F.concat(F.lit(" "), p)))
+    whole = (F.size(parts) == 0) & (phrase != "") & F.rlike(spoken, F.concat(F.lit(" \\Q"), phrase, F.lit("\\E( ?s)? ")))
+    pronoun = low.rlike(f"(?<![a-z])(?:{'|'.join(PRONOUNS)})(?![a-z])")
+    return F.coalesce(pronoun | by_part | whole, F.lit(False))
 
 
 def category_path(category: Column, topic: Column, subroom: Column, parents: Mapping[str, str]) -> Column:

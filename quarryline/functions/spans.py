@@ -6,6 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def after_first_sentence(name: str) -> str:
+    """A pattern whose group is the last ``name`` of the first sentence that has one and is not the text's first.
+
+    It finds what ``[^.!?]*[.!?]\\s+(?:[^.!?]*\\b)?(name)`` finds, in time in proportion to the text: a sentence is tried from
+    its start alone, and neither it nor the white space after it is given back (``name`` starts with neither).
+    """
+    return rf"(?<![^.!?])[^.!?]*+[.!?]\s++(?:[^.!?]*\b)?({name})"
+
+
 def spans_of(text: Column, pattern: str, kind: str) -> Column:
     """array of (start, end, kind, found) of every match, by character from 0.
 

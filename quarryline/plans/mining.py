@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarryline.functions import lifecycle as L
-from quarryline.functions.spans import outermost, spans_of
+from quarryline.functions.spans import after_first_sentence, outermost, spans_of
 from quarryline.operators import harvest as H
 from quarryline.operators.matching import best_only, overlap_pairs
 from quarryline.plans.base import Registry, Tables
@@ -95,7 +95,8 @@ _SECOND = r"[^.!?]*[.!?]\s+(?:[^.!?]*\b)?([A-Z][a-z]{2,})"
 def names_in_texts(t: Tables) -> DataFrame:
     """How many sentences of each text speak of its entity (the first name after its first sentence), by name or pronoun."""
     plain = t.documents.where("text is not null").select("doc_id", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("t"))
-    named = plain.withColumn("entity", F.regexp_extract("t", _SECOND, 1))
-    s = named.select("doc_id", "entity", F.explode(F.regexp_extract_all("t", F.lit("[^.!?]+"), F.lit(0))).alias("s"))
-    told = s.select("doc_id", L.names_subject(F.col("s"), F.col("entity")).alias("named"))
+    entity = F.regexp_extract("t", after_first_sentence("[A-Z][a-z]{2,}"), 1)
+    low = plain.select("doc_id", F.lower(entity).alias("entity"), F.lower("t").alias("t"))  # folded, as only ASCII is left
+    s = low.select("doc_id", "entity", F.explode(F.regexp_extract_all("t", F.lit("[^.!?]+"), F.lit(0))).alias("s"))
+    told = s.select("doc_id", L.names_folded(F.col("s"), F.col("entity")).alias("named"))
     return told.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.count_if("named").alias("named"))

@@ -130,3 +130,20 @@ def test_overlap_pairs_equal_brute_force(spark):
         assert got == want
     pairs = spark.createDataFrame([(1, 5, 0.9), (1, 6, 0.9), (2, 5, 0.8), (2, 6, 0.9), (3, 7, 1.0)], "a long, b long, score double")
     assert sorted(tuple(r) for r in best_only(pairs, "a", "b", "score").collect()) == [(2, 6, 0.9), (3, 7, 1.0)]
+
+
+def test_entity_is_found_in_time_in_proportion_to_the_text(spark):
+    import random
+    import time
+
+    from quarryline.functions.spans import after_first_sentence
+
+    random.seed(11)
+    texts = ["".join(random.choice(["Bob", "Al", "New", "York", "mcDon", "x", ".", "!", "? ", ". ", " ", "  ", "\n", "-"]) for _ in range(random.randrange(2, 30))) for _ in range(600)]
+    for name in (r"[A-Z][a-z]{2,}", r"[A-Z][a-z]{2,}(?:[ -][A-Z][a-z]{2,})*"):
+        plain = [m.group(1) if (m := re.search(rf"[^.!?]*[.!?]\s+(?:[^.!?]*\b)?({name})", t)) else "" for t in texts]
+        rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", F.regexp_extract("t", after_first_sentence(name), 1).alias("n")).collect()
+        assert {r.k: r.n for r in rows} == dict(enumerate(plain)) and len(set(plain)) > 3
+    start = time.perf_counter()
+    long = spark.createDataFrame([("lower words " * 60_000 + ". and no name",)], "t string").select(F.regexp_extract("t", after_first_sentence("[A-Z][a-z]{2,}"), 1).alias("n")).first()
+    assert long.n == "" and time.perf_counter() - start < 20

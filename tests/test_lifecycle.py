@@ -1,6 +1,7 @@
 """Record status, subjects, scale tables, rebuilds and retention on small fixtures."""
 
 import json
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -163,3 +164,22 @@ def test_distinct_elements(spark):
     rows = [(1, "Spell", "Firé", "burns"), (2, "Spell", "fire", "burns"), (3, "Item", "fire", "burns"), (4, "Spell", "Fire", "glows"), (5, None, "x", "y"), (6, "Item", " ", None), (7, "Item", "Fire", "burns")]
     kept, dropped, unparsed = records.distinct_elements(spark.createDataFrame(rows, "i int, k string, n string, d string"), "k", "n", "d", "i")
     assert sorted(r.i for r in kept.collect()) == [1, 3, 4] and sorted(r.i for r in dropped.collect()) == [2, 7] and sorted(r.i for r in unparsed.collect()) == [5, 6]
+
+
+def test_folded_names_equal_names(spark):
+    said = ["MetalGarurumon then defeats it", "the Xenomorphs came", "Zanpakuto is drawn", "Ash's sword fell", "ash  s end", "ashes", "then-he left", "the others_he saw", "Mr Fox ran", "", "mr. fox", None]
+    names = ["Garurumon", "Xenomorph", "Zanpakutō", "Ash", "Mr. Fox", "", None, "Other One"]
+
+    def plain(s, e):
+        if s is None:
+            return False
+        low, words = s.lower(), [w for w in re.split(r"\W+", (e or "").lower().replace("ō", "o")) if w]
+        heard = [w for w in re.split(r"\W+", low) if w]
+        parts = [w for w in words if len(w) > 3]
+        by_name = any(h.startswith(p) for p in parts for h in heard) if parts else bool(words) and re.search(rf" {' '.join(words)}( ?s)? ", f" {' '.join(heard)} ") is not None
+        return by_name or bool(set(re.split("[^a-z]+", low)) & set(L.PRONOUNS))
+
+    cases = [(s, e, plain(s, e)) for s in said for e in names]
+    rows = spark.createDataFrame(cases, "s string, e string, want boolean")
+    got = rows.select("s", "e", "want", L.names_subject(F.col("s"), F.col("e")).alias("x"), L.names_folded(F.lower("s"), F.lower(F.replace(F.col("e"), F.lit("ō"), F.lit("o")))).alias("y")).collect()
+    assert all(r.x == r.want == r.y for r in got), [r for r in got if not r.x == r.want == r.y]
