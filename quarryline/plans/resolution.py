@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quarryline.functions import lifecycle as L
 from quarryline.functions import rules as K
 from quarryline.functions import text as T
+from quarryline.functions.spans import after_first_sentence
 from quarryline.functions.subjects import Patterns, forms, subject_refusals
 from quarryline.operators import joins as J
 from quarryline.operators import mining as M
@@ -439,10 +440,12 @@ def _spans(text: str) -> str:
 def refusals(t: Tables) -> DataFrame:
     """Sentences of all texts whose deed is not that of the text's entity (the first name after its first sentence), by rule and name."""
     d = t.documents.where("text is not null").select("doc_id", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("t"))
-    entity = F.regexp_extract("t", rf"[^.!?]*[.!?]\s+(?:[^.!?]*\b)?({_NAMED})", 1)
+    entity = F.regexp_extract("t", after_first_sentence(_NAMED), 1)
     named = d.withColumn("entity", entity).select("doc_id", "t", forms(F.col("entity")).alias("f"))
     s = named.select("doc_id", "f", F.explode(F.regexp_extract_all("t", F.lit("[^.!?]+"), F.lit(0))).alias("s"))
-    told = subject_refusals(s, "f", "s", _TELLING).where("refusal is not null")
+    found = subject_refusals(s, "f", "s", _TELLING)
+    # a condition on the refusal would be moved below its steps, with all of them written out in it again and again
+    told = found.select("doc_id", F.explode(F.array_compact(F.array("refusal"))).alias("refusal"))
     return told.groupBy(F.col("refusal.rule").alias("rule"), F.col("refusal.name").alias("name")).agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("documents"))
 
 

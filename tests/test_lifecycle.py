@@ -183,3 +183,13 @@ def test_folded_names_equal_names(spark):
     rows = spark.createDataFrame(cases, "s string, e string, want boolean")
     got = rows.select("s", "e", "want", L.names_subject(F.col("s"), F.col("e")).alias("x"), L.names_folded(F.lower("s"), F.lower(F.replace(F.col("e"), F.lit("ō"), F.lit("o")))).alias("y")).collect()
     assert all(r.x == r.want == r.y for r in got), [r for r in got if not r.x == r.want == r.y]
+
+
+def test_patterns_of_refusals_are_written_once_in_the_plan(spark, tmp_path):
+    import __spark_entry__
+
+    spark.createDataFrame([(1, "First one. Then Galan came. The city was razed.", "s")], "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = __spark_entry__.queries()["q213_subject_refusal"](spark, str(tmp_path))
+    assert [tuple(r) for r in found.collect()] == [("suffered", None, 1, 1)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") + plan.count("regexp_") < 40  # 500 and more where the condition was moved down
