@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+from collections.abc import Iterator, Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Spans that a task holds before it hands them on.
+_HELD = 100_000
+
 
 def after_first_sentence(name: str) -> str:
     """A pattern whose group is the last ``name`` of the first sentence that has one and is not the text's first.
@@ -49,3 +56,35 @@ def outermost(spans: Column, kind: str = "array<struct<start:int,end:int,kind:st
     start = F.struct(F.array().cast(kind).alias("out"), F.lit(-1).alias("reach"))
     keep = lambda s, x: F.when(x["end"] > s["reach"], F.struct(F.concat(s["out"], F.array(x)).alias("out"), x["end"].alias("reach"))).otherwise(s)
     return F.aggregate(F.array_sort(spans, before), start, keep, lambda s: s["out"])
+
+
+def outermost_rows(rows: DataFrame, key: str, text: str, patterns: Sequence[tuple[str, str]]) -> DataFrame:
+    """key, kind, start, end: a row a span of ``outermost`` over the matches of all (kind, pattern), for long texts.
+
+    Column expressions have no positions of matches, and arrays that grow by one element are copied each time; here a
+    text's time grows with its length and the sorting of its spans.
+    """
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = [(name, re.compile(pattern)) for name, pattern in patterns]
+
+        def out(batch: pa.RecordBatch) -> pa.RecordBatch:
+            at, names, starts, ends = zip(*held)
+            return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(names, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[key, "kind", "start", "end"])
+
+        for batch in batches:
+            held: list[tuple] = []
+            for at, value in enumerate(batch.column(1)):
+                body, reach = value.as_py() or "", -1
+                for start, end, name in sorted((m.start(), -m.end(), name) for name, pattern in told for m in pattern.finditer(body)):
+                    if -end > reach:
+                        reach = -end
+                        held.append((at, name, start, reach))
+                if len(held) >= _HELD:
+                    yield out(batch)
+                    held.clear()
+            if held:
+                yield out(batch)
+
+    return rows.select(key, text).mapInArrow(run, f"`{key}` {kind}, kind string, start int, end int")

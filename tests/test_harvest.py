@@ -147,3 +147,18 @@ def test_entity_is_found_in_time_in_proportion_to_the_text(spark):
     start = time.perf_counter()
     long = spark.createDataFrame([("lower words " * 60_000 + ". and no name",)], "t string").select(F.regexp_extract("t", after_first_sentence("[A-Z][a-z]{2,}"), 1).alias("n")).first()
     assert long.n == "" and time.perf_counter() - start < 20
+
+
+def test_outermost_rows_equal_column_expressions(spark):
+    import time
+
+    from quarryline.functions.spans import outermost_rows
+
+    told = [("v", r"very"), ("s", r"\bso\b"), ("vv", r"very,? very"), ("w", r"[a-z]+ry")]
+    texts = ["so very, very well", "", None, "very", "xx very very", "a so-so so", "every so very, very fury"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    want = rows.select("k", F.explode(outermost(F.concat(*[spans_of(F.col("t"), p, n) for n, p in told]))).alias("s")).select("k", "s.kind", "s.start", "s.end").collect()
+    assert sorted(map(tuple, outermost_rows(rows, "k", "t", told).collect())) == sorted(map(tuple, want))
+    start = time.perf_counter()
+    long = spark.createDataFrame([(1, "so very " * 60_000)], "k int, t string")
+    assert outermost_rows(long, "k", "t", told).count() == 120_000 and time.perf_counter() - start < 20  # grown one by one, an array of them took minutes
