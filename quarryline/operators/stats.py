@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -136,22 +138,41 @@ def gradient_share(edges: DataFrame, rounds: int = 2000, tolerance: float = 1e-9
     return fitted.agg(F.count(F.lit(1)).alias("edges"), F.try_divide(explained, total).alias("eta"))
 
 
+def _drawn_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """trial, a, b, w: the weights of the pairs of members (by place) that are drawn together, added up within each batch.
+
+    Rows are (trial, n, w, h): a key's members are the ``n`` places with the least hashes ``h``. A trial's pairs are a product
+    of matrices, rows by members, whose places without a common row are left out.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        trial, n, w = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        h = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        order = np.argsort(h, axis=1, kind="stable")
+        drawn = np.zeros(h.shape, np.float64)
+        np.put_along_axis(drawn, order, np.arange(h.shape[1])[None, :] < n[:, None], axis=1)
+        for t in np.unique(trial):
+            held, weight = drawn[trial == t], w[trial == t]
+            a, b = np.nonzero(np.triu(held.T @ held, 1))
+            if len(a):
+                total = (held.T @ (held * weight[:, None]))[a, b]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(a), t), pa.int32()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(total)], names=["trial", "a", "b", "w"])
+
+
 def null_threshold(occurrences: DataFrame, member: str, key: str, weight: str, trials: int = 40, share: float = 0.999, seed: int = 20) -> DataFrame:
     """trial, threshold: what pair weights arise by chance, as the ``share`` quantile (nearest rank) of each trial.
 
     Every key keeps the number of its members and its weight, and its members are drawn anew without
     repeats: of all members, those with the least hashes of (trial, key, member). Members are the bounded
-    side (sources), so a key's draw is one small sort. ``occurrences`` is (member, key, weight) without
+    side (sources), so a key's draw is one small sort; pairs are added up batch by batch and never listed by key. ``occurrences`` is (member, key, weight) without
     repeats; keys of one member make no pair and are left out. The median of the trials is the threshold.
     """
     every = occurrences.select(member).distinct().agg(F.sort_array(F.collect_set(member)).alias("every"))
-    sizes = occurrences.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("n"), F.max(weight).alias("w")).where("n > 1")
-    trial = sizes.crossJoin(every).withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))  # every is one row of members
-    scored = F.transform("every", lambda m: F.struct(F.xxhash64(F.lit(seed), F.col("trial"), F.col(key), m).alias("h"), m.alias("m")))
-    drawn = F.array_sort(F.transform(F.slice(F.array_sort(scored), F.lit(1), F.col("n")), lambda s: s["m"]))
-    pairs = F.flatten(F.transform("drawn", lambda a, i: F.transform(F.slice("drawn", i + 2, F.size("drawn")), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    each = trial.select("trial", "w", drawn.alias("drawn")).select("trial", "w", F.explode(pairs).alias("p"))
-    totals = each.groupBy("trial", "p.a", "p.b").agg(F.sum("w").alias("w"))
+    sizes = occurrences.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("n"), F.max(weight).cast("double").alias("w")).where("n > 1")
+    rows = sizes.crossJoin(every).withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(trials))))  # every is one row of members
+    rows = rows.select("trial", "n", "w", F.transform("every", lambda m: F.xxhash64(F.lit(seed), F.col("trial"), F.col(key), m)).alias("h"))
+    totals = rows.mapInArrow(_drawn_pairs, "trial int, a int, b int, w double").groupBy("trial", "a", "b").agg(F.sum("w").alias("w"))
     by = Window.partitionBy("trial")
     ranked = totals.select("trial", "w", F.row_number().over(by.orderBy("w")).alias("r"), F.count(F.lit(1)).over(by).alias("n"))  # one row a pair of members
     return ranked.where(F.col("r") == F.least(F.col("n"), F.floor(F.col("n") * share) + 1)).select("trial", F.col("w").alias("threshold"))

@@ -340,3 +340,25 @@ def test_places(spark):
         n[g] += 1
         expected[k] = n[g]
     assert got == expected
+
+
+def test_null_threshold_equals_pairs_listed_one_by_one(spark):
+    import itertools
+    from collections import Counter
+
+    rows = [(f"s{k}", f"t{j}", 0.5 + j % 4) for j in range(40) for k in range(1 + j % 7)]
+    frame = spark.createDataFrame(rows, "m string, k string, w double")
+    hashed = frame.groupBy("k").agg(F.count("m").alias("n"), F.max("w").alias("w")).where("n > 1").crossJoin(frame.select("m").distinct())
+    hashed = hashed.withColumn("trial", F.explode(F.sequence(F.lit(1), F.lit(3)))).withColumn("h", F.xxhash64(F.lit(20), F.col("trial"), F.col("k"), F.col("m"))).collect()
+    want = {}
+    for trial in (1, 2, 3):
+        total = Counter()
+        for _, held in itertools.groupby(sorted((r for r in hashed if r.trial == trial), key=lambda r: (r.k, r.h, r.m)), lambda r: r.k):
+            held = list(held)
+            for pair in itertools.combinations(sorted(r.m for r in held[: held[0].n]), 2):
+                total[pair] += held[0].w
+        ranked = sorted(total.values())
+        want[trial] = ranked[min(len(ranked), int(len(ranked) * 0.8) + 1) - 1]
+    found = stats.null_threshold(frame, "m", "k", "w", trials=3, share=0.8)
+    assert {r.trial: r.threshold for r in found.collect()} == want
+    assert "posexplode" not in (plan := found._jdf.queryExecution().optimizedPlan().toString()) and plan.count("Generate") == 1  # trials are listed, pairs are not
